@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waymark.llm.chat import format_chat, read_back
 from waymark.llm.common import table
+from waymark.llm.packing import pack
+
+
+def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens; a digest of each piece's ids."""
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,5 +49,8 @@ SELECT conv_id, count(*) AS n_turns,
 FROM summed GROUP BY conv_id
 """
 
-QUERIES = {"op10_chat_format": op10_chat_format}
+QUERIES = {
+    "op9_pack": op9_pack,
+    "op10_chat_format": op10_chat_format,
+}
 ORACLE_SQL = {"op10_chat_format": OP10_SQL}
