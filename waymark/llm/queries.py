@@ -6,8 +6,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.chat import format_chat, read_back
-from waymark.llm.common import table
+from waymark.llm.common import fold, table
 from waymark.llm.packing import pack
+from waymark.llm.quality import fit_quality, with_quality
+from waymark.llm.toxicity import fit_toxicity, with_toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from labels outside fold 1 of 3."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1))
+    scored = with_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", 3) == 1).alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= 0.7).cast("int").alias("predicted"),
+        F.col("toxicity.spans").alias("spans"),
+    )
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learnt from labels outside fold 0 of 5."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
+    scored = with_quality(docs, model)
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", 5) == 0).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
+    )
 
 
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +79,8 @@ FROM summed GROUP BY conv_id
 """
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op8_quality": op8_quality,
     "op9_pack": op9_pack,
     "op10_chat_format": op10_chat_format,
 }
