@@ -16,7 +16,7 @@ logistic fit on training texts that the log-odds haven't seen.
 
 Defined results: null and empty texts score as texts without tokens; repeated rows
 score alike; an empty table gives no rows; a column of the result's name is
-replaced. Labels that lack one class, or all of them, give a score of 0.
+replaced. Labels that lack one class, or too few to tell them apart, give a score of 0.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ from waymark.llm.labelled import fit_logistic, labelled_sample, logistic, withou
 
 _WORD = re.compile(r"\w+")
 _STEM = 4
+#: Pseudo-count of a rare word; parts (of ten) of the sample that give log-odds.
+_LEAST, _ODDS_PARTS = 0.5, 7
 RESULT = "struct<score: double, spans: array<struct<start: int, end: int, score: double, e_value: double>>>"
 
 
@@ -114,7 +116,7 @@ def _counts(sample: DataFrame) -> dict[tuple[str, str], np.ndarray]:
                 found.update(("s", stem, label) for stem in {token[:_STEM] for token in words if len(token) > _STEM})
         yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["kind", "token", "label", "n"])
 
-    rows = sample.where("part < 5").select("text", "label").mapInPandas(counted, "kind string, token string, label int, n long")
+    rows = sample.where(F.col("part") < _ODDS_PARTS).select("text", "label").mapInPandas(counted, "kind string, token string, label int, n long")
     rows = rows.groupBy("kind", "token").agg(F.sum(F.expr("if(label = 0, n, 0)")).alias("n0"), F.sum(F.expr("if(label = 1, n, 0)")).alias("n1"))
     return {(r["kind"], r["token"]): np.array([r["n0"], r["n1"]], dtype=float) for r in rows.where("n0 + n1 >= 3 or kind = 's'").collect()}
 
@@ -129,8 +131,8 @@ def _log_odds(n0: float, n1: float, total0: float, total1: float, prior: float,
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 6000, prior: float = 2000.0, z: float = 2.5) -> ToxicityModel:
     """Fit on about ``per_class`` documents with ``labels.toxic`` 0 and as many with 1.
 
-    Half of them (by a hash of the id) give the log-odds, with ``prior`` pseudo-counts
-    spread like the pooled corpus; the other half gives the extreme-value law and the
+    Most of them (by a hash of the id) give the log-odds, with ``prior`` pseudo-counts
+    spread like the pooled corpus; the others give the extreme-value law and the
     logistic fit. Of near copies one is used, as copies aren't further evidence.
     """
     sample = without_copies(labelled_sample(docs, labels, "toxic", per_class))
@@ -142,12 +144,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 6000, prio
     pooled = total0 + total1 - 2 * prior
     for (kind, token), (n0, n1) in counts.items():
         if kind == "s" and n0 + n1 >= 5:
-            share = prior * (n0 + n1) / pooled
+            share = max(_LEAST, prior * (n0 + n1) / pooled)
             if odds := _log_odds(n0, n1, total0, total1, share, z):
                 model.stems[token] = odds
     for (kind, token), (n0, n1) in counts.items():
         if kind == "w":
-            odds = _log_odds(n0, n1, total0, total1, prior * (n0 + n1) / pooled, z)
+            odds = _log_odds(n0, n1, total0, total1, max(_LEAST, prior * (n0 + n1) / pooled), z)
             stem = model.stems.get(token[:_STEM], 0.0) if len(token) > _STEM else 0.0
             if odds and (odds * stem <= 0 or abs(odds) > abs(stem)):
                 model.words[token] = odds
@@ -163,7 +165,7 @@ def _calibrated(model: ToxicityModel, sample: DataFrame) -> ToxicityModel:
             found = [model.segments(t, scores) for t in batch["text"]]
             yield pd.DataFrame({"label": batch["label"], "n": [n for n, _ in found], "sums": [[s for _, _, s in x] for _, x in found]})
 
-    seen = sample.where("part >= 5").select("text", "label").mapInPandas(scanned, "label int, n int, sums array<double>").collect()
+    seen = sample.where(F.col("part") >= _ODDS_PARTS).select("text", "label").mapInPandas(scanned, "label int, n int, sums array<double>").collect()
     clean = [(max(1, r["n"]), max(r["sums"], default=0.0)) for r in seen if r["label"] == 0]
     if not clean or len(clean) == len(seen):
         return model
@@ -176,7 +178,9 @@ def _calibrated(model: ToxicityModel, sample: DataFrame) -> ToxicityModel:
     model.decay = max(np.linspace(0.1, 1.0, 91), key=lambda d: fit(d)[0])
     model.k = fit(model.decay)[1]
     x = np.array([model.evidence(r["n"], [(0, 0, s) for s in r["sums"]]) for r in seen])
-    model.slope, model.intercept = fit_logistic(x, np.array([r["label"] for r in seen], dtype=float))
+    slope, intercept = fit_logistic(x, np.array([r["label"] for r in seen], dtype=float))
+    if slope > 0:
+        model.slope, model.intercept = slope, intercept
     return model
 
 
