@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from waymark.llm.chat import format_chat, read_back
 from waymark.llm.common import fold, table
 from waymark.llm.packing import pack
+from waymark.llm.pii import KINDS, fit_skip_chain, with_pii
 from waymark.llm.quality import fit_quality, with_quality
 from waymark.llm.toxicity import fit_toxicity, with_toxicity
 
@@ -26,6 +27,29 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents: counts and digest of the base spans, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_pii(docs, fit_skip_chain(docs))
+
+    def told(spans):
+        order = F.transform(
+            spans, lambda s: F.struct(s["start"], F.array_position(F.array(*map(F.lit, KINDS)), s["kind"]).alias("k"), s["end"], s["kind"])
+        )
+        return F.array_join(F.transform(F.sort_array(order), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("pii.base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, KINDS),
+        F.sha2(told(F.col("pii.base")), 256).alias("base_sha256"),
+        told(F.concat("pii.base", "pii.added")).alias("spans"),
+        F.size("pii.added").cast("long").alias("n_added"),
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learnt from labels outside fold 0 of 5."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,6 +104,7 @@ FROM summed GROUP BY conv_id
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op7_pii": op7_pii,
     "op8_quality": op8_quality,
     "op9_pack": op9_pack,
     "op10_chat_format": op10_chat_format,
