@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.llm.chat import format_chat, read_back
 from waymark.llm.common import fold, table
+from waymark.llm.decontaminate import with_matches
 from waymark.llm.packing import pack
 from waymark.llm.pii import KINDS, fit_skip_chain, with_pii
 from waymark.llm.quality import fit_quality, with_quality
@@ -27,6 +28,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, a row for each pair."""
+    found = with_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("matches"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of all documents: counts and digest of the base spans, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -104,6 +111,7 @@ FROM summed GROUP BY conv_id
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op5_decontaminate": op5_decontaminate,
     "op7_pii": op7_pii,
     "op8_quality": op8_quality,
     "op9_pack": op9_pack,
