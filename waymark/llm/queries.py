@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from waymark.llm.chat import format_chat, read_back
 from waymark.llm.common import fold, table
 from waymark.llm.decontaminate import with_matches
+from waymark.llm.lines import dedup_lines
 from waymark.llm.packing import pack
 from waymark.llm.pii import KINDS, fit_skip_chain, with_pii
 from waymark.llm.quality import fit_quality, with_quality
@@ -28,6 +29,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated lines."""
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, a row for each pair."""
     found = with_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -111,6 +117,7 @@ FROM summed GROUP BY conv_id
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_line_dedup": op3_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op7_pii": op7_pii,
     "op8_quality": op8_quality,
