@@ -9,6 +9,7 @@ from waymark.llm.chat import format_chat, read_back
 from waymark.llm.common import fold, table
 from waymark.llm.decontaminate import with_matches
 from waymark.llm.lines import dedup_lines
+from waymark.llm.near import near_duplicates
 from waymark.llm.packing import pack
 from waymark.llm.pii import KINDS, fit_skip_chain, with_pii
 from waymark.llm.quality import fit_quality, with_quality
@@ -29,6 +30,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of each document."""
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without repeated lines."""
     return dedup_lines(table(spark, sf_dir, "documents"))
@@ -117,6 +123,7 @@ FROM summed GROUP BY conv_id
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_near_dedup": op2_near_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op7_pii": op7_pii,
