@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymark.llm.ann import nearest
 from waymark.llm.chat import format_chat, read_back
 from waymark.llm.common import fold, table
 from waymark.llm.decontaminate import with_matches
@@ -40,6 +41,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of each vector whose id is divisible by 20."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, a row for each pair."""
     found = with_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -125,6 +131,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op4_nearest": op4_nearest,
     "op5_decontaminate": op5_decontaminate,
     "op7_pii": op7_pii,
     "op8_quality": op8_quality,
