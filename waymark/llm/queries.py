@@ -13,6 +13,7 @@ from waymark.llm.lines import dedup_lines
 from waymark.llm.near import near_duplicates
 from waymark.llm.packing import pack
 from waymark.llm.pii import KINDS, fit_skip_chain, with_pii
+from waymark.llm.pitman_yor import score_texts
 from waymark.llm.quality import fit_quality, with_quality
 from waymark.llm.toxicity import fit_toxicity, with_toxicity
 
@@ -52,6 +53,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.inline("matches"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of all documents, learnt from those outside fold 2 of 7."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold("doc_id", 7) != 2).alias("learn"))
+    return score_texts(docs).select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of all documents: counts and digest of the base spans, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -133,6 +140,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_nearest": op4_nearest,
     "op5_decontaminate": op5_decontaminate,
+    "op6_lm_score": op6_lm_score,
     "op7_pii": op7_pii,
     "op8_quality": op8_quality,
     "op9_pack": op9_pack,
