@@ -48,7 +48,10 @@ def _signs(codes: np.ndarray) -> np.ndarray:
 def _blocks(bits: np.ndarray, radius: int) -> np.ndarray:
     """Values of the ``radius + 1`` blocks of each row of bits."""
     edges = np.linspace(0, BITS, radius + 2).astype(int)
-    return np.stack([bits[:, a:b] @ (1 << np.arange(b - a)) for a, b in zip(edges[:-1], edges[1:], strict=True)], axis=1)
+    weights = np.zeros((BITS, radius + 1), dtype=np.float32)
+    for b, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        weights[low:high, b] = 1 << np.arange(high - low)
+    return (bits.astype(np.float32) @ weights).astype(np.int64)
 
 
 @dataclass
@@ -58,12 +61,17 @@ class _Class:
     ids: list
     bags: list[np.ndarray]
     bits: np.ndarray
+    blocks: np.ndarray
     order: np.ndarray
     values: np.ndarray
 
     def near(self, bits: np.ndarray, radius: int) -> list[tuple[int, int]]:
         """(row of ``bits``, item) of all fingerprints within the radius, by equal blocks."""
         own, found = _blocks(bits, radius), []
+        if len(own) * len(self.ids) <= 20_000:  # few enough to look at the blocks themselves
+            rows, items = np.nonzero((own[:, None, :] == self.blocks).any(axis=2))
+            close = (bits[rows] != self.bits[items]).sum(axis=1) <= radius
+            return list(zip(rows[close].tolist(), items[close].tolist(), strict=True))
         for b in range(own.shape[1]):
             low = np.searchsorted(self.values[b], own[:, b], "left")
             n = np.searchsorted(self.values[b], own[:, b], "right") - low
@@ -89,9 +97,10 @@ class Index:
         self.classes: dict[int, _Class] = {}
         for length, own in by_length.items():
             bits = np.stack([_signs(s).sum(axis=0) >= 0 for _, s in own])
-            values = _blocks(bits, radius).T
+            blocks = _blocks(bits, radius)
+            values = blocks.T
             order = np.argsort(values, axis=1, kind="stable")
-            self.classes[length] = _Class([i for i, _ in own], [s for _, s in own], bits, order, np.take_along_axis(values, order, axis=1))
+            self.classes[length] = _Class([i for i, _ in own], [s for _, s in own], bits, blocks, order, np.take_along_axis(values, order, axis=1))
         self.known = {}
         for k in {min(SHINGLE, n) for n in self.classes}:
             every = np.unique(np.concatenate([s for n, c in self.classes.items() if min(SHINGLE, n) == k for s in c.bags]))
@@ -112,14 +121,14 @@ class Index:
                 continue
             true = every[np.minimum(np.searchsorted(every, said[at]), len(every) - 1)] == said[at]
             hit[at[~true]] = False
-            total = np.concatenate([[0], np.cumsum(hit)])
-            if not total[-1]:
-                continue
+            hits, total = int(true.sum()), None
             for length, c in self.classes.items():
                 size = length - k + 1
-                if min(SHINGLE, length) != k or size > len(said):
-                    continue
                 need = 2 * self.similarity * size / (1 + self.similarity)
+                if min(SHINGLE, length) != k or size > len(said) or hits < need - 1e-9:
+                    continue
+                if total is None:
+                    total = np.concatenate([[0], np.cumsum(hit)])
                 starts = np.flatnonzero(total[size:] - total[:-size] >= need - 1e-9)
                 for part in np.array_split(starts, len(starts) // 2048 + 1):
                     if len(part):
@@ -164,4 +173,5 @@ def _matcher(shared):
         for texts in batches:
             yield pd.Series([index.matches(codes.of(t)) for t in texts], dtype=object)
 
-    return matched
+    # told to be non-deterministic, so that a filter on its result doesn't run it a second time
+    return matched.asNondeterministic()

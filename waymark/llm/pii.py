@@ -235,4 +235,5 @@ def with_pii(docs: DataFrame, model: SkipChain, column: str = "pii") -> DataFram
                 out.append((told(base), told(shared.value.added(text or "", base))))
             yield pd.DataFrame(out, columns=["base", "added"])
 
-    return docs.withColumn(column, found(F.col("text")))
+    # told to be non-deterministic, so that a filter on its result doesn't run it a second time
+    return docs.withColumn(column, found.asNondeterministic()(F.col("text")))

@@ -158,4 +158,5 @@ def with_quality(docs: DataFrame, model: QualityModel, column: str = "quality_sc
         for texts in batches:
             yield pd.Series([logistic(model.slope * model.margin(features(t or "", codes)) + model.intercept) for t in texts], dtype=float)
 
-    return docs.withColumn(column, scored(F.col("text")))
+    # told to be non-deterministic, so that a filter on its result doesn't run it a second time
+    return docs.withColumn(column, scored.asNondeterministic()(F.col("text")))

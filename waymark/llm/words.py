@@ -13,20 +13,19 @@ SHINGLE = 5
 
 
 class WordCodes(dict):
-    """Codes by lower-case word, filled on demand, of bounded size."""
+    """Codes of the words of each white-space separated chunk, as bytes, filled on demand and of bounded size."""
 
     MOST = 500_000
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, chunk: str) -> bytes:
         if len(self) > self.MOST:
             self.clear()
-        self[word] = code = xxhash.xxh3_64_intdigest(word)
-        return code
+        self[chunk] = codes = b"".join(xxhash.xxh3_64_intdigest(w).to_bytes(8, "little") for w in _WORD.findall(chunk.lower()))
+        return codes
 
     def of(self, text: str | None) -> np.ndarray:
         """uint64 codes of a text's words (runs of letters, digits and underscores, lower case)."""
-        words = _WORD.findall(text.lower()) if text else []
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+        return np.frombuffer(b"".join(map(self.__getitem__, text.split())) if text else b"", dtype="<u8")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
