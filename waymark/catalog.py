@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from waymark.plans import network
+
+_ALL = network.QUERIES
+QUERIES = {name: query for name, (query, _) in _ALL.items()}
+ORACLE_SQL = {name: sql for name, (_, sql) in _ALL.items() if sql}
 FLAGSHIP = "flagship"
