@@ -19,6 +19,7 @@ small edit. Blank lines are kept.
    emitted within a group.
 5. Pairs (a line and its earliest partner) are verified on the words themselves: the
    lengths of the common prefix and suffix show whether one edit makes them equal.
+6. Only texts that lose a line are shuffled and put together anew.
 
 Defined results: null text stays null; an empty text stays empty; null ids come
 last and their lines are handled alike; of repeated rows the first keeps its lines;
@@ -31,8 +32,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waymark.llm.common import checkpointed, free_name
+
 _BITS = (1 << 40) - 1
 _EDGE = "\x00"
+_BUCKETS = 1 << 19
 
 
 def _hash(*columns: Column) -> Column:
@@ -97,16 +101,29 @@ def within_one_edit(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (common(a, b) + common(F.reverse(a), F.reverse(b)) >= longer - 1)
 
 
-def _near(distinct: DataFrame, min_words: int) -> DataFrame:
-    """Keys of the distinct lines (key, place, line) that have an earlier one within one edit."""
-    long = distinct.select("key", "place", F.split("line", " ").alias("words")).where(F.size("words") >= min_words)
-    halves = long.select("key", F.explode(_halves(F.col("words"))).alias("half"))
+def _among(rows: DataFrame, keys: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that may have a partner in ``keys``, and those that surely have none.
+
+    The broadcast holds hashes of the keys modulo ``_BUCKETS``, so its size is bounded;
+    when most buckets are taken, more rows only go through the join that follows.
+    """
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(_BUCKETS)).alias("_bucket")
+    taken = F.broadcast(keys.select(bucket).distinct())
+    marked = rows.withColumn("_bucket", bucket)
+    return marked.join(taken, "_bucket", "left_semi").drop("_bucket"), marked.join(taken, "_bucket", "left_anti").drop("_bucket")
+
+
+def _near(distinct: DataFrame, lines: DataFrame) -> DataFrame:
+    """Keys of the distinct lines (key, place, halves) that have an earlier one within one edit."""
+    halves = distinct.select("key", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("key.a").alias("low"), F.max("key.a").alias("high")).where("low <> high").select("half")
-    able = halves.join(shared, "half", "left_semi").select("key").distinct()
-    able = long.join(able, "key", "left_semi")
-    variants = _variants(able)
-    me = F.struct("place", "key").alias("me")
-    variants = variants.select(F.struct("a", "b", "n").alias("variant"), "at", me)
+    able = halves.join(shared, "half", "left_semi").select("key").distinct().join(distinct.select("key", "place"), "key")
+    able = checkpointed(able.select("key", "place", F.col("place.row").alias("row"), F.col("place.at").alias("at")))
+    texts, _ = _among(lines, able, ["row", "at"])
+    able = checkpointed(texts.join(able, ["row", "at"]).select("key", "place", F.split("line", " ").alias("words")))
+    variants = _variants(able).select(F.xxhash64("a", "b", "n").alias("variant"), "at", F.struct("place", "key").alias("me"))
+    met = variants.select("variant", F.col("me.key.a").alias("a")).groupBy("variant").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low <> high")
+    variants = checkpointed(variants.join(met.select("variant"), "variant", "left_semi"))
     replaced = variants.where("at >= 0").groupBy("variant", "at").agg(F.min("me").alias("first"), F.max("me").alias("last")).where("first <> last")
     both = (
         variants.groupBy("variant")
@@ -126,18 +143,29 @@ def dedup_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     """``docs`` (doc_id, text and any further columns) with repeated lines, equal or within one word edit, taken out of ``text``.
 
     A line within one edit of an earlier one goes, whether or not that one stays.
+    ``docs`` should be a table or another plan that gives the same rows when it is read
+    again.
     """
-    names = docs.columns
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.lit(None).cast(t).alias(c) if c == "text" else F.col(c) for c, t in docs.dtypes]).alias("rest"), F.col("doc_id").alias("id"), F.col("text").alias("body"))
-    lines = rows.where("body is not null").select("row", "id", F.posexplode(F.split("body", "\n", -1)).alias("at", "line"))
-    blank = F.trim("line") == ""
+    row, kept_at = free_name(docs, "row", "kept")
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    split = F.split("text", "\n", -1)
+    lines = rows.where("text is not null").select(F.col(row).alias("row"), F.col("doc_id").alias("id"), F.posexplode(split).alias("at", "line"))
+    lines = lines.where(F.trim("line") != "")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "at")
-    told = lines.where(~blank).select(_hash(F.col("line")).alias("key"), place.alias("place"), "line")
-    distinct = told.groupBy("key").agg(F.min("place").alias("place"), F.first("line").alias("line"))
-    kept = distinct.join(_near(distinct, min_words), "key", "left_anti").select(F.col("place.row").alias("row"), F.col("place.at").alias("at"), "line")
-    kept = kept.unionByName(lines.where(blank).select("row", "at", "line"))
-    said = kept.select("row", F.struct("at", "line").alias("piece"), F.lit(None).cast(rows.schema["rest"].dataType).alias("rest"), F.lit(None).cast("boolean").alias("has_text"))
-    heads = rows.select("row", F.lit(None).cast(said.schema["piece"].dataType).alias("piece"), "rest", F.col("body").isNotNull().alias("has_text"))
-    whole = heads.unionByName(said).groupBy("row").agg(F.first("rest", ignorenulls=True).alias("rest"), F.max("has_text").alias("has_text"), F.sort_array(F.collect_list("piece")).alias("pieces"))
-    text = F.when(F.col("has_text"), F.array_join(F.transform("pieces", lambda p: p["line"]), "\n"))
-    return whole.select(*[text.alias("text") if c == "text" else F.col("rest")[c].alias(c) for c in names])
+    words = F.split("line", " ")
+    told = lines.select(_hash(F.col("line")).alias("key"), place.alias("place"), F.when(F.size(words) >= min_words, _halves(words)).alias("halves"))
+    distinct = checkpointed(told.groupBy("key").agg(F.min("place").alias("place"), F.first("halves").alias("halves")))
+    kept = distinct.join(_near(distinct, lines), "key", "left_anti")
+    kept = kept.groupBy(F.col("place.row").alias("row")).agg(F.collect_list("place.at").alias("kept"))
+    # blank lines stay, so texts that lose nothing keep as many lines as aren't blank
+    said = rows.where("text is not null").select(F.col(row).alias("row"), F.size(F.filter(split, lambda x: F.trim(x) != "")).alias("n"))
+    changed = said.where("n > 0").join(kept, "row", "left").where("kept is null or size(kept) < n")
+    changed = checkpointed(changed.select(F.col("row").alias(row), F.coalesce("kept", F.array().cast("array<int>")).alias(kept_at)))
+    able, rest = _among(rows, changed, [row])
+    able = able.join(changed, row, "left")
+    blank = F.filter(F.transform(split, lambda x, i: F.when(F.trim(x) == "", i)), lambda i: i.isNotNull())
+    order = F.array_sort(F.concat(F.col(kept_at), F.col("_blank")))
+    text = F.array_join(F.transform(order, lambda i: F.get(F.col("_lines"), i)), "\n")
+    able = able.withColumns({"_lines": split, "_blank": blank})
+    able = able.withColumn("text", F.when(F.col(kept_at).isNull(), F.col("text")).otherwise(text))
+    return rest.select(*docs.columns).unionByName(able.select(*docs.columns))
