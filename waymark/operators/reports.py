@@ -49,7 +49,7 @@ def family_counts(df: DataFrame, family: str = "ROUTE_FAMILY") -> DataFrame:
 
 def confusion_matrix(df: DataFrame, derived: str, official: str, tiers: list[str]) -> DataFrame:
     """A row per official tier, a column per derived tier."""
-    return df.groupBy(official).pivot(derived, tiers).agg(F.count("*")).na.fill(0, tiers)
+    return df.groupBy(official).pivot(derived, tiers).agg(F.count(F.lit(1))).na.fill(0, tiers)
 
 
 def tier_agreement(df: DataFrame, derived: str, official: str, tiers: list[str]) -> DataFrame:

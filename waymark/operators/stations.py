@@ -6,15 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.scalars import haversine_m, percent
+from waymark.lineage import checkpointed
 
 
-def knn(points: DataFrame, stations: DataFrame, id_: str, station: str, k: int = 5, by: list[str] | None = None, cell: float = 2000.0, rounds: int = 12) -> DataFrame:
+def knn(points: DataFrame, stations: DataFrame, id_: str, station: str, k: int = 5, by: list[str] | None = None, cell: float | None = None, rounds: int = 12) -> DataFrame:
     """The ``k`` nearest stations of each point (x, y in metres) within equal ``by`` columns: id, k_rank, station, distance.
 
     Points meet stations of their own and the eight neighbouring grid cells; a point is
     final when its k-th distance lies within the ring searched, the others go on with
     cells twice as wide. Ties go to the smaller station id. Ranks without a station are
-    padded with nulls. The loop's one action counts the points that are left.
+    padded with nulls. Each round's points go to the checkpoint folder. Without ``cell`` the
+    first cells are as wide as hold about ``k`` stations on average.
     """
     by = by or []
     s = stations.select(*by, F.col(station).alias("_station"), F.col("x").alias("_sx"), F.col("y").alias("_sy"))
@@ -24,6 +26,9 @@ def knn(points: DataFrame, stations: DataFrame, id_: str, station: str, k: int =
     open_points = open_points.join(supply, by, "left") if by else open_points.crossJoin(F.broadcast(supply))
     open_points = open_points.withColumn("_need", F.least(F.lit(k), F.coalesce("_supply", F.lit(0))))
     done = None
+    if cell is None:
+        e = s.agg(F.max("_sx") - F.min("_sx"), F.max("_sy") - F.min("_sy"), F.count_distinct(*by) if by else F.lit(1), F.count("*")).first()
+        cell = max(1.0, ((e[0] or 0.0) * (e[1] or 0.0) * k * e[2] / max(1, e[3])) ** 0.5)
     size = cell
     for n in range(rounds):
         around = F.explode(F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))"))
@@ -35,7 +40,8 @@ def knn(points: DataFrame, stations: DataFrame, id_: str, station: str, k: int =
         found = near.groupBy(id_).agg(F.slice(F.array_sort(F.collect_list(F.struct(distance.alias("d"), F.col("_station").alias("s")))), 1, k).alias("_near"))
         x, y = F.col("x"), F.col("y")
         border = F.least(x - (px - 1) * size, (px + 2) * size - x, y - (py - 1) * size, (py + 2) * size - y)
-        told = open_points.join(found, id_, "left").withColumn("_final", (F.col("_need") == 0) | F.coalesce((F.size("_near") >= F.col("_need")) & (F.element_at("_near", -1)["d"] <= border), F.lit(False)))
+        told = open_points.join(found, id_, "left")
+        told = checkpointed(told.withColumn("_final", (F.col("_need") == 0) | F.coalesce((F.size("_near") >= F.col("_need")) & (F.element_at("_near", -1)["d"] <= border), F.lit(False))))
         last = n == rounds - 1
         ready = told if last else told.where("_final")
         done = ready if done is None else done.unionByName(ready)
@@ -137,7 +143,7 @@ def cohort_ratios(rows: DataFrame, keys: list[str], value: str, ratio: Column, m
     Exact medians at both levels from one pass of grouping sets; null is a key like others.
     """
     told = rows.withColumn("_ratio", ratio)
-    level = F.grouping_id() if False else F.grouping(keys[-1])
+    level = F.grouping(keys[-1])
     both = told.groupingSets([[F.col(k) for k in keys], [F.col(k) for k in keys[:-1]]], *[F.col(k) for k in keys]).agg(
         F.count(value).alias("n"), F.median(value).alias("median_value"), F.median("_ratio").alias("median_ratio"), level.cast("int").alias("_parent")
     )
