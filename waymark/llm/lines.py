@@ -43,18 +43,16 @@ def _hash(*columns: Column) -> Column:
     return F.struct(F.xxhash64(F.lit(1), *columns).alias("a"), F.xxhash64(F.lit(2), *columns).alias("b"))
 
 
-def _halves(words: Column) -> Column:
-    """Hashes of the first and of the last ``m`` words, for the ``m`` of this length and of the next greater one."""
+def _halves(line: Column, n: Column) -> Column:
+    """Hashes of the first and of the last ``m`` of ``n`` words, for the ``m`` of this length and of the next greater one."""
 
     def m(n: Column) -> Column:
         return F.pow(F.lit(2.0), F.floor(F.log2((n - 1) / 2.0))).cast("int")
 
-    def keys(k: Column) -> list[Column]:
-        return [F.xxhash64(F.lit("first"), F.slice(words, 1, k)), F.xxhash64(F.lit("last"), F.slice(words, -k, k))]
+    def keys(k: Column) -> Column:
+        return F.array(F.xxhash64(F.lit("first"), F.call_function("substring_index", line, F.lit(" "), k)), F.xxhash64(F.lit("last"), F.call_function("substring_index", line, F.lit(" "), -k)))
 
-    n = F.size(words)
-    small, large = m(n), m(n + 1)
-    return F.array_distinct(F.array(*keys(small), *keys(large)))
+    return F.when(m(n) == m(n + 1), keys(m(n))).otherwise(F.concat(keys(m(n)), keys(m(n + 1))))
 
 
 def _pair(a: Column, b: Column, seed: int) -> Column:
@@ -152,8 +150,9 @@ def dedup_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     lines = rows.where("text is not null").select(F.col(row).alias("row"), F.col("doc_id").alias("id"), F.posexplode(split).alias("at", "line"))
     lines = lines.where(F.trim("line") != "")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "at")
-    words = F.split("line", " ")
-    told = lines.select(_hash(F.col("line")).alias("key"), place.alias("place"), F.when(F.size(words) >= min_words, _halves(words)).alias("halves"))
+    counted = lines.withColumn("n", F.length("line") - F.length(F.translate("line", " ", "")) + 1)
+    halves = F.when(F.col("n") >= min_words, _halves(F.col("line"), F.col("n")))
+    told = counted.select(_hash(F.col("line")).alias("key"), place.alias("place"), halves.alias("halves"))
     distinct = checkpointed(told.groupBy("key").agg(F.min("place").alias("place"), F.first("halves").alias("halves")))
     kept = distinct.join(_near(distinct, lines), "key", "left_anti")
     kept = kept.groupBy(F.col("place.row").alias("row")).agg(F.collect_list("place.at").alias("kept"))
