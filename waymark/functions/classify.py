@@ -184,7 +184,7 @@ def with_highway_names(segments: DataFrame) -> DataFrame:
 def source_agreement(state: Column, hpms: Column) -> Column:
     """Whether two counts agree: within 200 vehicles or 15 percent of the larger."""
     gap = F.abs(state - hpms)
-    agree = (gap <= 200) | (gap / F.greatest(state, hpms) <= 0.15)
+    agree = (gap <= 200) | (F.try_divide(gap, F.greatest(state, hpms)) <= 0.15)
     return F.when(state.isNull() & hpms.isNull(), "missing").when(hpms.isNull(), "state_only").when(state.isNull(), "hpms_only").when(agree, "both_agree").otherwise("both_disagree")
 
 

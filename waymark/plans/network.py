@@ -141,7 +141,7 @@ AUDIT_SQL = f"""{SEG} SELECT CASE WHEN grouping(DISTRICT) = 0 THEN 'DISTRICT' WH
 
 def cohorts(spark: SparkSession, d: str) -> DataFrame:
     s = segments(spark, d).withColumns({"fc_bin": P.fc_bin(F.col("FUNCTIONAL_CLASS")), "area": P.urban_rural(F.col("URBAN_CODE"))})
-    return S.cohort_ratios(s, ["fc_bin", "area", "DISTRICT"], "AADT", F.bround(F.col("AADT") / F.col("HPMS_AADT"), 6), 400)
+    return S.cohort_ratios(s, ["fc_bin", "area", "DISTRICT"], "AADT", F.bround(F.try_divide("AADT", "HPMS_AADT"), 6), 400)
 
 
 COHORTS_SQL = f"""{SEG}, c AS (SELECT *, CASE WHEN FUNCTIONAL_CLASS <= 2 THEN '1-2' WHEN FUNCTIONAL_CLASS <= 4 THEN '3-4' WHEN FUNCTIONAL_CLASS <= 6 THEN '5-6' ELSE '7' END AS fc_bin,
