@@ -167,10 +167,11 @@ def _reranked(index: MultiIndex, entries: DataFrame, probes: DataFrame, k: int)
                     least = np.partition(s, len(s) - k)[len(s) - k]
                     at = at[s >= least - 1e-9 * max(1.0, abs(least))]
                 vector = probe["query"].iloc[row]
-                exact = np.array([float(np.dot(vector, x[a])) for a in at])
+                exact = np.array([float(np.dot(vector, x[a])) for a in at], dtype=float)
                 top = np.lexsort((ids[at], -exact))[:k]
-                out.append(pd.DataFrame({"query_id": q, "vec_id": ids[at[top]], "score": exact[top]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+                out.append((np.full(len(top), q, dtype=np.int64), ids[at[top]], exact[top]))
+        columns = map(np.concatenate, zip(*out, strict=True)) if out else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
     if not lists.sum():
         return session.createDataFrame([], "query_id long, rank int, vec_id long, score double")
