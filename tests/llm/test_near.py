@@ -97,5 +97,25 @@ def test_large_mixed_groups(spark):
     assert sum(x.is_first for x in got) == len(want)
 
 
+def test_hot_template(spark):
+    """Some thousands of texts below the similarity to each other by one template; planted pairs reach it."""
+    r = random.Random(12)
+    template = [f"t{i}" for i in range(140)]
+    docs = []
+    for i in range(3000):
+        docs.append(" ".join(template + [f"p{i}x{j}" for j in range(24)]))
+    planted = {}
+    for i in r.sample(range(3000), 120):
+        # 144 of 160 shingles in common, a similarity of 0.818
+        planted[len(docs)] = i
+        docs.append(" ".join(template + [f"p{i}x{j}" for j in range(8)] + [f"q{i}x{j}" for j in range(16)]))
+    codes = WordCodes()
+    assert all(weighted_jaccard(bag(codes, docs[a]), bag(codes, docs[b])) >= 0.8 for a, b in planted.items())
+    assert max(weighted_jaccard(bag(codes, docs[0]), bag(codes, docs[b])) for b in range(1, 3000)) < 0.8
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {x.doc_id: x.class_id for x in near_duplicates(df).collect()}
+    assert got == {i: planted.get(i, i) for i in range(len(docs))}
+
+
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -16,13 +16,20 @@ components have one, and ranges drop out as their next point lies beyond it.
 3. Each bucket links its nodes to its least one (a star); candidates are verified by
    the exact similarity of their bags, and verified links give components.
 4. Only nodes of one bucket that lie in different components are compared further,
-   each with the nodes before it in a window. Buckets too large for the window to
-   cover are banded again, twice at most, by each of the next three bands, as long as
-   they hold different components. A pair at similarity 0.8 has some eight buckets in
-   common, and its nodes need only be in one component in the end.
-
-So no bucket emits all its pairs, and copies cost a row each. What reaches the
-driver are counts.
+   each with the nodes before it in a window; this covers all pairs of small buckets.
+5. The nodes of larger buckets that still hold different components meet by exact
+   prefixes, which lose no pair: a node's shingles are put in one order, rare ones
+   first, and two bags whose overlap reaches the similarity share a shingle among
+   the first few of each, as many as their sizes tell. So texts from one template
+   that are below the similarity to each other don't meet by the template. Where a
+   shingle's nodes lie in different components, those outside its largest one meet
+   all others, in salted blocks where there are many; candidates are verified in
+   three steps, a few for each node first, then more and in the end all whose
+   components still differ.
+
+No bucket emits pairs within a component, and copies cost a row each. Pairs across
+components that share a rare shingle are all compared, however many there are. What
+reaches the driver are counts, those of the order of shingles in a bounded table.
 
 Defined results: null and empty texts, and texts without words, have no shingles,
 so each is a class of its own for null, and equal texts without words form one as
@@ -49,7 +56,8 @@ from waymark.llm.words import WordCodes, mix, shingles, weighted_jaccard
 COMPONENTS, BANDS, ROWS = 128, 25, 5
 _GOLDEN, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _WINDOW = 16
-_NEXT, _LEVELS = 3, 3
+#: places of the table of frequencies by which shingles are put in order, nodes of a shingle in one block, candidates of a node in the first steps
+_PLACES, _BLOCK, _FIRST = 1 << 18, 1024, (4, 64)
 
 
 def bag_min_hash(items: np.ndarray, weights: np.ndarray, m: int = COMPONENTS) -> np.ndarray:
@@ -185,34 +193,107 @@ def _window_pairs(members: DataFrame) -> DataFrame:
     return rows.where("component <> x.component").select("u", F.col("x.node").alias("v"))
 
 
+def _elements(codes: WordCodes, text: str) -> np.ndarray:
+    """Distinct codes for each occurrence of each shingle of a text, so that bags become sets."""
+    found, n = np.unique(bag(codes, text), return_counts=True)
+    turn = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return mix(np.repeat(found, n) + turn.astype(np.uint64) * np.uint64(_GOLDEN))
+
+
+def _prefixes(texts: DataFrame, least: float) -> DataFrame:
+    """Rows (node, size, element, at) for the first elements of each text (node, text) in one order, rare ones first.
+
+    Of two bags of which the larger has ``size`` elements, the overlap is at least
+    ``least * size`` at the similarity, so further elements can't be the first in common.
+    """
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes, seen = WordCodes(), np.zeros(_PLACES, dtype=np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                seen += np.bincount((_elements(codes, text) % np.uint64(_PLACES)).astype(np.int64), minlength=_PLACES)
+        place = np.flatnonzero(seen)
+        yield pd.DataFrame({"place": place, "n": seen[place]})
+
+    counts = np.zeros(_PLACES, dtype=np.int64)
+    for row in texts.select("text").mapInPandas(counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
+        counts[row["place"]] = row["n"]
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes, counts = WordCodes(), shared.value
+        for batch in batches:
+            for node, text in zip(batch["node"], batch["text"], strict=True):
+                found = _elements(codes, text)
+                found = found[np.lexsort((found, counts[(found % np.uint64(_PLACES)).astype(np.int64)]))]
+                first = found[: len(found) - int(np.ceil(least * len(found) - 1e-9)) + 1].view(np.int64)
+                yield pd.DataFrame({"node": [node] * len(first), "size": len(found), "element": first, "at": np.arange(len(first))})
+
+    return texts.select("node", "text").mapInPandas(cut, "node binary, size int, element long, at int")
+
+
+def _prefix_pairs(prefixes: DataFrame, found: DataFrame, least: float) -> DataFrame:
+    """All pairs (u, v) of nodes in different components whose prefixes allow the similarity."""
+    rows = prefixes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    each = rows.groupBy("element", "component").agg(F.count("*").alias("n"))
+    each = each.groupBy("element").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max_by("component", F.struct("n", "component")).alias("main"))
+    rows = rows.join(each.where("parts > 1").drop("parts"), "element")
+    rows = checkpointed(rows.withColumn("blocks", F.ceil(F.col("n") / _BLOCK).cast("int")))
+    side = rows.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")).cast("int"))
+    side = side.select("element", "block", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("size").alias("size_v"), F.col("at").alias("at_v"), (F.col("component") == F.col("main")).alias("main_v"))
+    own = rows.where("component <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.select("element", "block", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("size").alias("size_u"), F.col("at").alias("at_u"))
+    # the overlap that the similarity asks for; the first common element leaves room for it in both
+    need = F.ceil(F.lit(least / (1 + least)) * (F.col("size_u") + F.col("size_v")) - 1e-9)
+    met = own.join(side, ["element", "block"]).where("cu <> cv and (main_v or u > v)")
+    met = met.where((F.col("size_u") - F.col("at_u") >= need) & (F.col("size_v") - F.col("at_v") >= need))
+    return met.select("u", "v").distinct()
+
+
 def near_duplicate_links(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """(node, component): distinct texts, by md5, that are linked to others; a component is called by its least node."""
     signed = checkpointed(_signed(docs))
-    members = signed.select("node", F.posexplode("bands").alias("band", "value")).select("node", "band", F.struct("band", "value").alias("key"))
+    members = signed.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.struct("band", "value").alias("key"))
     shared = members.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
     members = checkpointed(members.join(shared, "key"))
     able = members.select("node").distinct()
     texts = docs.where("text is not null").select(_node().alias("node"), "text")
     texts = texts.where(maybe_in(F.col("node"), able)).join(able, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     texts = checkpointed(texts)
+
+    def mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+        """Members of those buckets that hold different components."""
+        rows = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        across = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
+        return checkpointed(rows.join(across, "key", "left_semi"))
+
     links = _verified(members.where("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v")), signed, texts, similarity)
-    for level in range(_LEVELS):
-        found = components(links)
-        mixed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        across = mixed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
-        mixed = checkpointed(mixed.join(across, "key", "left_semi"))
-        more = _verified(_window_pairs(mixed).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), signed, texts, similarity)
-        links = links.unionByName(more)
-        if level == _LEVELS - 1:
-            break
-        wide = mixed.where(F.col("n") > _WINDOW + 1).join(signed.select("node", "bands"), "node")
-        again = F.transform(F.sequence(F.lit(1), F.lit(_NEXT)), lambda j: F.struct(((F.col("band") + j) % BANDS).alias("band"), F.get("bands", (F.col("band") + j) % BANDS).alias("value")))
-        wide = wide.select("node", F.col("key").alias("old"), F.explode(again).alias("next")).select("node", F.col("next.band").alias("band"), F.struct(F.xxhash64("old", "next.band").alias("band"), F.xxhash64("old", "next.band", "next.value").alias("value")).alias("key"))
-        shared = wide.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
-        members = checkpointed(wide.join(shared, "key"))
-        if members.isEmpty():
+    members = mixed(members, components(links))
+    more = _verified(_window_pairs(members).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), signed, texts, similarity)
+    links = links.unionByName(more)
+    wide = members.where(F.col("n") > _WINDOW + 1).drop("component")
+    found = components(links)
+    if wide.isEmpty():
+        return found
+    nodes = mixed(wide, found).select("node").distinct()
+    prefixes = checkpointed(_prefixes(texts.join(nodes, "node", "left_semi"), similarity))
+    pairs = checkpointed(_prefix_pairs(prefixes, found, similarity))
+    if pairs.isEmpty():
+        return found
+    # a few candidates for each node first, then more and in the end all of those that still lie apart
+    pairs = checkpointed(pairs.select("u", "v", F.row_number().over(Window.partitionBy("u").orderBy(F.xxhash64("u", "v"))).alias("turn")))
+    done = 0
+    for most in (*_FIRST, None):
+        rest = pairs.where(F.col("turn") > done)
+        for x in "uv":
+            rest = rest.join(found.toDF(x, f"c{x}"), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+        pairs = checkpointed(rest.where("cu <> cv").select("u", "v", "turn"))
+        if pairs.isEmpty():
             break
-    return components(links)
+        part = pairs if most is None else pairs.where(F.col("turn") <= most)
+        links = links.unionByName(_verified(part.select("u", "v"), signed, texts, similarity))
+        found, done = components(links), most
+    return found
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
