@@ -63,6 +63,33 @@ def test_edited_passages(spark):
     assert small == got
 
 
+def test_texts_shorter_than_items(spark):
+    """Clipped items alone in a text, some edited; the whole text is the window."""
+    r = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(r.choices(vocabulary, k=k))) for i, k in enumerate([3, 5, 6, 20, 45, 50, 50, 60, 200])]
+    docs = []
+    for _, text in items:
+        words = text.split()
+        for cut in (0, 1, 2, 5, 10, 11, len(words) // 5, len(words) // 2):
+            for own in (words[cut:], words[: len(words) - cut], words[cut // 2 : len(words) - cut + cut // 2]):
+                docs.append((len(docs), " ".join(own)))
+                if len(own) > 20:
+                    docs.append((len(docs), " ".join([*own[:7], "other", *own[8:]])))
+
+    def best(text, item):
+        a, b = bag(text.split()), bag(item.split())
+        return max(brute(text, item), sum((a & b).values()) / sum((a | b).values()) if a and len(text.split()) < len(item.split()) else 0.0)
+
+    want = {(d, i): s for d, t in docs for i, x in items if (s := best(t, x)) >= 0.8}
+    df = with_matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = pairs(df)
+    assert got.keys() == want.keys() and all(np.isclose(got[k], want[k]) for k in want)
+    lengths = {d: len(t.split()) for d, t in docs}
+    assert any(lengths[d] < len(items[i][1].split()) for d, i in want)
+    assert all(m.n_words == min(lengths[r.doc_id], len(items[m.item_id][1].split())) for r in df.collect() for m in r.matches)
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame([(None, None, 1), (1, "", 1), (2, "one two three four five six", 1), (2, "one two three four five six", 1), (3, "two three", 1)], "doc_id long, text string, matches int")
     items = spark.createDataFrame([(7, "one two three four five six"), (None, "Two, three!"), (8, None), (9, ""), (10, "one two three four five six")], "item_id long, text string")

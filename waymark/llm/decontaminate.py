@@ -2,13 +2,13 @@
 
 Each benchmark item has a 64-bit SimHash of its five-word shingles, weighted by
 how often they occur in it. Windows of as many words as an item slide over every
-text. Fingerprints are cut into ``radius + 1`` blocks, so that any two within
+text; a text shorter than the item is one window as a whole. Fingerprints are cut into ``radius + 1`` blocks, so that any two within
 ``radius`` bits agree in one block at least; tables of the items' blocks, by item
 length, give all items within the radius of a window. Exact weighted similarity of
 the shingles (sum of smaller over sum of larger multiplicities) decides.
 
-A window of ``s`` shingles reaches similarity ``t`` with an item of ``s`` only if
-``2 t s / (1 + t)`` of its shingles occur in the benchmark; windows with fewer are
+A window of ``w`` shingles reaches similarity ``t`` with an item of ``s`` only if
+``t (w + s) / (1 + t)`` of its shingles occur in the benchmark; windows with fewer are
 left out before they get a fingerprint, which loses nothing. Shingles of a pair at
 similarity 0.8 put its fingerprints some 10 bits apart on average; the default
 radius of 23 lies more than four standard deviations beyond.
@@ -110,7 +110,7 @@ class Index:
 
     def matches(self, words: np.ndarray) -> list[dict]:
         """Best window of each matching item."""
-        best: dict[int, dict] = {}
+        best: dict[tuple[int, int], dict] = {}
         for k, (every, seen) in self.known.items():
             if len(words) < k:
                 continue
@@ -124,27 +124,28 @@ class Index:
             hits, total = int(true.sum()), None
             for length, c in self.classes.items():
                 size = length - k + 1
-                need = 2 * self.similarity * size / (1 + self.similarity)
-                if min(SHINGLE, length) != k or size > len(said) or hits < need - 1e-9:
+                span = min(size, len(said))  # a text shorter than the item is its one window
+                need = self.similarity * (size + span) / (1 + self.similarity)
+                if min(SHINGLE, length) != k or hits < need - 1e-9:
                     continue
                 if total is None:
                     total = np.concatenate([[0], np.cumsum(hit)])
-                starts = np.flatnonzero(total[size:] - total[:-size] >= need - 1e-9)
+                starts = np.flatnonzero(total[span:] - total[:-span] >= need - 1e-9)
                 for part in np.array_split(starts, len(starts) // 2048 + 1):
                     if len(part):
-                        self._verify(said, part, size, length, c, best)
+                        self._verify(said, part, span, min(length, len(words)), c, best)
         return sorted(best.values(), key=lambda m: (m["item_id"] is None, m["item_id"] or 0))
 
-    def _verify(self, said: np.ndarray, starts: np.ndarray, size: int, length: int, c: _Class, best: dict) -> None:
+    def _verify(self, said: np.ndarray, starts: np.ndarray, size: int, n_words: int, c: _Class, best: dict) -> None:
         low = starts[0]
         sums = np.concatenate([np.zeros((1, BITS), dtype=np.int32), np.cumsum(_signs(said[low : starts[-1] + size]), axis=0, dtype=np.int32)])
         bits = sums[starts - low + size] - sums[starts - low] >= 0
         for row, item in c.near(bits, self.radius):
             start = int(starts[row])
             score = weighted_jaccard(said[start : start + size], c.bags[item])
-            key = (length, item)
+            key = (id(c), item)
             if score >= self.similarity and (key not in best or score > best[key]["similarity"]):
-                best[key] = {"item_id": c.ids[item], "similarity": score, "start_word": start, "n_words": length}
+                best[key] = {"item_id": c.ids[item], "similarity": score, "start_word": start, "n_words": n_words}
 
 
 def with_matches(docs: DataFrame, items: DataFrame, similarity: float = 0.8, radius: int = 23, block_chars: int = 20_000_000, column: str = "matches") -> DataFrame:
