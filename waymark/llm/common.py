@@ -19,16 +19,24 @@ def fold(column: Column | str, parts: int) -> Column:
     return (F.crc32(text.cast("binary")) % F.lit(parts)).cast("int")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared checkpoint folder.
+def checkpoint_folder(session: SparkSession) -> str:
+    """The checkpoint folder that the cluster shares, as named in ``spark.checkpoint.dir``.
 
-    The cluster names that folder in ``spark.checkpoint.dir``; only where it is
-    unset (tests on one machine) a temporary folder is taken.
+    Only on one machine, as in tests, a temporary folder is taken where it is unset;
+    elsewhere that is an error, since executors can't read each other's local folders.
     """
-    context = df.sparkSession.sparkContext
+    context = session.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = session.conf.get("spark.checkpoint.dir", None)
+        if not shared and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="waymark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -1,35 +1,40 @@
 """Language-model scoring by a hierarchical Pitman-Yor model with Gibbs-sampled seating.
 
-Each context is a restaurant of the Chinese-restaurant franchise: the previous word,
-if it makes up at least ``share`` of the training tokens (so there are at most
-``1 / share`` contexts, whatever the corpus), or else none. All contexts share one
-parent, the root restaurant, whose base is uniform over the training words and one
-unknown word. Customers of a context are its next tokens; each of its tables is a
-customer of the root.
-
-Gibbs sweeps reseat all customers. Given the tables of a whole restaurant and the
-root's probability of a word, both as the last sweep left them, the seatings of
-different words are independent, so every (context, word) row is sampled for
-itself and nothing but totals by context (bounded) meets between sweeps. Reseating
-a dish of ``c`` customers draws its number of tables customer by customer, and beyond
-64 of them in blocks that grow with their number. After the burn-in the predictive
-probabilities of all kept sweeps are averaged; a text's score is the sum of their
-logarithms.
-
-Scale: tokens are shuffled once, as compressed blocks of (word, context, document)
-triples, by a hash of the word (for words above ``share``, of word and context), and
-written to the checkpoint folder. The sweeps read that table's counts, the last step
-its documents too. Sweeps before the current one are drawn anew from their seeds
-instead of being stored.
-
-Defined results: a null text is empty; an empty text is its end token; rows with
-equal id and text score alike and each gives a row; null ids are learnt from and
-scored like others; an empty table gives no rows; without training texts every
-token is unknown. Words are told apart by 64-bit hashes.
+Contexts are restaurants of the Chinese-restaurant franchise. Every pair of words
+seen in training is one, whose customers are the words that follow; its parent is
+the restaurant of the pair's second word, and the parent of those is the root, whose
+base is uniform over the training words and one unknown word. Each table of a
+restaurant is a customer of its parent. No context is left out.
+
+Gibbs sampling reseats a dish's customers all at once: given the other dishes' tables
+and the parent, the number of tables of ``c`` customers is drawn from its exact
+conditional (generalised Stirling numbers), up to ``EXACT`` customers of one dish;
+further ones are seated in blocks. Dishes are reseated side by side, so each sees the
+others as the last sweep left them. Discounts come from the numbers of dishes with one
+and two customers, strengths are sampled by auxiliary variables. After ``burn_in``
+sweeps the predictive probabilities of the next ``kept`` ones are averaged; a text's
+score is the sum of their logarithms.
+
+Scale: a bucket holds all restaurants of some second words, so the two lower levels
+are local to it, and gets about ``GRAIN`` tokens. Tokens are shuffled once, as packed
+blocks of distinct triples with their documents, into a table bucketed by that key.
+The root lives by word: a round sends each bucket's customers to the buckets of words
+and gets back what is seated there. A second word that fills more than half a bucket
+is dealt out by the word before it, and its own dishes are seated by word as the
+root's are. A pair that makes up a sixteenth of a block of such a word has a
+restaurant for that block, so that no pair's tokens meet in one task. Score sums go
+back as one packed row for a bucket and a block of documents.
+
+Defined results: a null text is empty; an empty text is its end token; repeated rows
+score alike and each gives a row; null ids are learnt from and scored like others; an
+empty table gives no rows; without training texts every token is unknown. Words are
+told apart by 63-bit hashes.
 """
 
 from __future__ import annotations
 
+import struct
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,21 +42,24 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import checkpointed
+from waymark.llm.common import checkpoint_folder, checkpointed
 from waymark.llm.words import mix
 
 END = np.int64(1)
+GRAIN, BLOCK, EXACT = 1_000_000, 2_000_000, 128
 _MASK = (1 << 63) - 1
+_BASE_UNIT, _SCORE_UNIT = 1e-9, 1e-6
 
 
 class _Words(dict):
     """63-bit codes of words as bytes, filled on demand; END is no word's code."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 300_000:
             self.clear()
         self[word] = code = max(2, xxhash.xxh3_64_intdigest(word) & _MASK)
         return code
@@ -63,37 +71,50 @@ def codes_of(text: str | None, words: _Words) -> np.ndarray:
     return np.fromiter((*map(words.__getitem__, found), END), dtype=np.int64, count=len(found) + 1)
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """Compressed bytes of an integer array, byte planes apart."""
-    width = x.dtype.itemsize
-    return zstandard.compress(x.dtype.char.encode() + np.ascontiguousarray(x.view(np.uint8).reshape(-1, width).T).tobytes(), 1)
+def _bundle(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed value, byte planes of each apart."""
+    out = []
+    for x in arrays:
+        planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.dtype.itemsize).T).tobytes()
+        data = zstandard.compress(x.dtype.char.encode() + planes, 1)
+        out += [struct.pack("<I", len(data)), data]
+    return b"".join(out)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    raw = zstandard.decompress(data)
-    kind = np.dtype(raw[:1].decode())
-    planes = np.frombuffer(raw, dtype=np.uint8, offset=1)
-    return np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
+def _unbundle(data: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(data):
+        (n,) = struct.unpack_from("<I", data, at)
+        raw = zstandard.decompress(data[at + 4 : at + 4 + n])
+        kind = np.dtype(raw[:1].decode())
+        planes = np.frombuffer(raw, dtype=np.uint8, offset=1).reshape(kind.itemsize, -1)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += 4 + n
+    return out
+
+
+def _deltas(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=x.dtype.type(0))
 
 
 @dataclass
-class Corpus:
-    """Bounded totals of the training tokens, and the contexts (codes, sorted) with their counts as words and as contexts."""
+class Layout:
+    """How tokens are dealt: buckets, and the codes (sorted) of words that fill more than half a bucket, with their parts."""
 
-    tokens: int = 0
-    words: int = 0
-    contexts: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
-    counts: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    buckets: int
+    hot: np.ndarray
+    parts: np.ndarray
 
-    def number(self, codes: np.ndarray) -> np.ndarray:
-        """Context number of each code, the number of contexts for all others."""
-        at = np.searchsorted(self.contexts, codes)
-        at[at == len(self.contexts)] = 0
-        return np.where(self.contexts[at] == codes, at, len(self.contexts)) if len(self.contexts) else np.zeros(len(codes), dtype=np.int64)
+    def rank(self, codes: np.ndarray) -> np.ndarray:
+        """Place among the hot words, -1 for others."""
+        if not len(self.hot):
+            return np.full(len(codes), -1)
+        at = np.minimum(np.searchsorted(self.hot, codes), len(self.hot) - 1)
+        return np.where(self.hot[at] == codes, at, -1)
 
 
-def count_words(docs: DataFrame, share: float) -> Corpus:
-    """Totals over the training rows of ``docs`` (text, learn)."""
+def _layout(docs: DataFrame, grain: int) -> Layout:
+    """Count words; those seen once by a task count there as none, which moves no frequent word."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = _Words()
@@ -101,310 +122,462 @@ def count_words(docs: DataFrame, share: float) -> Corpus:
             codes = [codes_of(t, words) for t in batch["text"]]
             if codes:
                 word, n = np.unique(np.concatenate(codes), return_counts=True)
-                yield pd.DataFrame({"word": word, "n": n})
-
-    rows = docs.where("learn").select("text").mapInPandas(counted, "word long, n long")
-    counts = checkpointed(rows.groupBy("word").agg(F.sum("n").alias("n")))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("words")).first()
-    often = counts.where(F.col("n") >= F.lit(share * total["tokens"])).orderBy("word").collect()
-    return Corpus(total["tokens"], total["words"], np.array([r["word"] for r in often], dtype=np.int64), np.array([r["n"] for r in often], dtype=np.int64))
-
-
-def _blocks(docs: DataFrame, corpus: Corpus, buckets: int) -> DataFrame:
-    """bucket and blocks of (word, context, document, learn) triples with counts; documents are numbered in the block."""
-    shared = docs.sparkSession.sparkContext.broadcast(corpus)
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        corpus, words = shared.value, _Words()
-        for batch in batches:
-            for start in range(0, len(batch), 2500):
-                part = batch.iloc[start : start + 2500]
-                codes = [codes_of(t, words) for t in part["text"]]
-                ids = part["id"].to_numpy(dtype=np.int64)
-                marks = np.array([xxhash.xxh3_64_intdigest((t or "").encode("utf-8", "surrogatepass")) & _MASK for t in part["text"]], dtype=np.int64)
-                flags = part["flags"].to_numpy(dtype=np.uint8)
-                word = np.concatenate(codes)
-                lengths = [len(c) for c in codes]
-                first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-                before = np.roll(word, 1)
-                before[first] = END
-                context = corpus.number(before).astype(np.int32)
-                doc = np.repeat(np.arange(len(codes), dtype=np.int64), lengths)
-                often = corpus.number(word) < len(corpus.contexts)
-                bucket = (mix(np.where(often, word + context.astype(np.int64) * 7919, word).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-                order = np.lexsort((doc, context, word, bucket))
-                word, context, doc, bucket = word[order], context[order], doc[order], bucket[order]
-                new = np.concatenate([[True], (word[1:] != word[:-1]) | (context[1:] != context[:-1]) | (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])])
-                at = np.flatnonzero(new)
-                n = np.diff(np.append(at, len(new))).astype(np.int32)
-                word, context, doc, bucket = word[at], context[at], doc[at], bucket[at]
-                out = []
-                for b, a, z in zip(*_runs(bucket), strict=True):
-                    used, local = np.unique(doc[a:z], return_inverse=True)
-                    turn = np.concatenate([[True], word[a + 1 : z] != word[a : z - 1]])
-                    heads = np.flatnonzero(turn)
-                    out.append(
-                        (
-                            int(b),
-                            _packed(np.diff(word[a:z][heads], prepend=np.int64(0))),
-                            _packed(np.diff(np.append(heads, z - a)).astype(np.int32)),
-                            _packed(context[a:z]),
-                            _packed(local.astype(np.int32)),
-                            _packed(n[a:z]),
-                            _packed(ids[used]),
-                            _packed(marks[used]),
-                            _packed(flags[used]),
-                        )
-                    )
-                yield pd.DataFrame(out, columns=["bucket", "word", "run", "context", "doc", "n", "ids", "marks", "flags"])
-
-    schema = "bucket int, word binary, run binary, context binary, doc binary, n binary, ids binary, marks binary, flags binary"
-    flags = F.col("learn").cast("int") + 2 * F.col("doc_id").isNull().cast("int")
-    return docs.select(F.coalesce("doc_id", F.lit(0)).alias("id"), "text", flags.alias("flags")).mapInPandas(cut, schema)
-
-
-def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values, starts and ends of the runs of equal values."""
-    if not len(x):
-        return x, np.zeros(0, dtype=int), np.zeros(0, dtype=int)
-    start = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
-    return x[start], start, np.append(start[1:], len(x))
-
-
-def _table(docs: DataFrame, corpus: Corpus, buckets: int) -> DataFrame:
-    """A row per bucket: its distinct (word, context) pairs with training counts, and its documents' occurrences."""
-
-    def joined(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        word, context, doc, n, ids, marks, flags, docs = [], [], [], [], [], [], [], 0
-        for r in frame.itertuples():
-            word.append(np.repeat(np.cumsum(_unpacked(r.word)), _unpacked(r.run)))
-            context.append(_unpacked(r.context))
-            doc.append(_unpacked(r.doc) + docs)
-            n.append(_unpacked(r.n))
-            ids.append(_unpacked(r.ids))
-            marks.append(_unpacked(r.marks))
-            flags.append(_unpacked(r.flags))
-            docs += len(ids[-1])
-        word, context, doc, n, ids, marks, flags = map(np.concatenate, (word, context, doc, n, ids, marks, flags))
-        order = np.lexsort((doc, context, word))
-        word, context, doc, n = word[order], context[order], doc[order], n[order]
-        start = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (context[1:] != context[:-1])]))
-        taught = np.add.reduceat(np.where(flags[doc] & 1, n, 0), start)
-        run = np.diff(np.append(start, len(word)))
-        out = [(int(key[0]), _packed(word[start]), _packed(context[start]), _packed(taught.astype(np.int64)), _packed(run.astype(np.int32)), _packed(doc.astype(np.int32)), _packed(n), _packed(ids), _packed(marks), _packed(flags))]
-        return pd.DataFrame(out, columns=["bucket", "word", "context", "taught", "run", "doc", "n", "ids", "marks", "flags"])
-
-    schema = "bucket int, word binary, context binary, taught binary, run binary, doc binary, n binary, ids binary, marks binary, flags binary"
-    return checkpointed(_blocks(docs, corpus, buckets).groupBy("bucket").applyInPandas(joined, schema))
-
-
-def new_tables(customers: np.ndarray, rate: np.ndarray, discount: float, random: np.random.Generator) -> np.ndarray:
-    """Tables of each dish when its customers are seated one after the other.
-
-    The first opens a table; customer ``i`` opens another with probability ``rate / (rate +
-    i - discount * tables)``, ``i`` customers being seated. ``rate`` is (strength + discount *
-    tables of the restaurant) times the parent's probability of the dish. Beyond 64
-    customers they are seated in blocks of a sixteenth of those who sit, with one chance
-    for a block.
+                often = n > max(1, n.sum() >> 20)
+                yield pd.DataFrame({"word": np.append(word[often], 0), "n": np.append(n[often], n.sum())})
+
+    counts = docs.select("text").mapInPandas(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = counts.where((F.col("word") == 0) | (F.col("n") > grain // 2)).collect()
+    tokens = sum(r["n"] for r in rows if r["word"] == 0)
+    hot = sorted((r["word"], r["n"]) for r in rows if r["word"] and r["n"] > grain // 2)
+    return Layout(max(1, round(tokens / grain)), np.array([w for w, _ in hot], dtype=np.int64), np.array([1 + 4 * n // grain for _, n in hot], dtype=np.int64))
+
+
+def _block(held: list[tuple], number: int, layout: Layout) -> Iterator[tuple]:
+    """(bucket, block, data) rows of some documents (id, is null, learn, codes): their triples by bucket, and themselves below 0."""
+    lengths = np.array([len(h[3]) for h in held])
+    ids, nulls, learn = (np.array([h[c] for h in held], dtype=kind) for c, kind in ((0, np.int64), (1, np.uint8), (2, np.int64)))
+    yield -1 - number % layout.buckets, number, _bundle(ids, nulls, lengths.astype(np.int32))
+    codes, third = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True)
+    third = third.astype(np.int64)
+    end = int(np.searchsorted(codes, END))
+    doc = np.repeat(np.arange(len(held)), lengths)
+    first = np.cumsum(lengths) - lengths
+    second, one = np.roll(third, 1), np.roll(third, 2)
+    second[first] = one[first] = end
+    one[first[lengths > 1] + 1] = end
+    rank = layout.rank(codes)
+    of_code = mix(codes.astype(np.uint64))
+    part = np.zeros(len(third), dtype=np.uint64)
+    spread = rank[second] >= 0
+    if spread.any():
+        at = np.flatnonzero(spread)
+        part[at] = mix(of_code[one[at]]) % layout.parts[rank[second[at]]].astype(np.uint64)
+        pair, turn, n = np.unique(second[at] * len(codes) + one[at], return_inverse=True, return_counts=True)
+        wide = np.flatnonzero(n > len(third) // 16)
+        for i, p in enumerate(wide):
+            # a restaurant of this pair for this block alone
+            own = at[turn == p]
+            salt = mix(np.array([number * 16 + i], dtype=np.uint64))
+            part[own] = salt % np.uint64(1 << 20)
+            codes = np.append(codes, np.int64(salt[0] & np.uint64(_MASK)))
+            one[own] = len(codes) - 1
+    bucket = (mix(of_code[second] + part * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(layout.buckets)).astype(np.int32)
+    size = len(codes)
+    by_bucket = np.argsort(bucket, kind="stable")
+    starts = np.searchsorted(bucket[by_bucket], np.arange(layout.buckets + 1))
+    place = np.zeros(size, dtype=np.int64)
+    code_order = np.argsort(codes, kind="stable")
+    rise = np.empty(size, dtype=np.int64)
+    rise[code_order] = np.arange(size)
+    for b in range(layout.buckets):
+        at = by_bucket[starts[b] : starts[b + 1]]
+        if not len(at):
+            continue
+        j, k, i, d = second[at], one[at], third[at], doc[at]
+        # local places follow the order of codes, as they do in every other block
+        used = np.unique(np.concatenate([j, k, i]))
+        used = used[np.argsort(rise[used])]
+        place[used] = np.arange(len(used))
+        j, k, i = place[j], place[k], place[i]
+        if len(used) < 1 << 21:
+            key = (j * len(used) + k) * len(used) + i
+            order = np.argsort(key, kind="stable")
+        else:
+            order = np.lexsort((i, k, j))
+        j, k, i, d = j[order], k[order], i[order], d[order]
+        new = np.ones(len(j), dtype=bool)
+        new[1:] = (j[1:] != j[:-1]) | (k[1:] != k[:-1]) | (i[1:] != i[:-1])
+        apart = new.copy()
+        apart[1:] |= d[1:] != d[:-1]
+        pair_at, triple_at = np.flatnonzero(apart), np.flatnonzero(new)
+        n = np.diff(np.append(pair_at, len(j)))
+        run = np.diff(np.append(np.searchsorted(pair_at, triple_at), len(pair_at)))
+        taught = np.add.reduceat(learn[d], triple_at)
+        yield b, number, _bundle(
+            _deltas(codes[used]), *(_deltas(x[triple_at]).astype(np.int32) for x in (j, k)), i[triple_at].astype(np.int32), taught.astype(np.int32), run.astype(np.int32), d[pair_at].astype(np.int32), n.astype(np.int32)
+        )
+
+
+def _gathered(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    """One row of a bucket: the model's triples with training counts, and each block's occurrences; rows of documents stay."""
+    columns = ["bucket", "block", "model", "blocks", "pieces"]
+    if key[0] < 0:
+        return pd.DataFrame({"bucket": frame["bucket"], "block": frame["block"], "model": frame["data"], "blocks": [[]] * len(frame), "pieces": [[]] * len(frame)}, columns=columns)
+    frame = frame.sort_values("block")
+    parts = [_unbundle(x) for x in frame["data"]]
+    local = [np.cumsum(p[0]) for p in parts]
+    words = np.unique(np.concatenate(local))
+    at = [np.searchsorted(words, x) for x in local]
+    j = np.concatenate([a[np.cumsum(p[1])] for a, p in zip(at, parts, strict=True)])
+    k = np.concatenate([a[np.cumsum(p[2])] for a, p in zip(at, parts, strict=True)])
+    i = np.concatenate([a[p[3]] for a, p in zip(at, parts, strict=True)])
+    pairs, pair = np.unique(j * len(words) + k, return_inverse=True)
+    triples, turn = np.unique(pair * len(words) + i, return_inverse=True)
+    taught = np.bincount(turn, weights=np.concatenate([p[4] for p in parts]), minlength=len(triples)).astype(np.int64)
+    of_pair = triples // len(words)
+    model = _bundle(_deltas(words), _deltas(pairs // len(words)).astype(np.int32), (pairs % len(words)).astype(np.int32), _deltas(of_pair).astype(np.int32), (triples % len(words)).astype(np.int32), taught)
+    pieces, done = [], 0
+    for p in parts:
+        pieces.append(_bundle(_deltas(turn[done : done + len(p[1])]).astype(np.int32), *p[5:]))
+        done += len(p[1])
+    return pd.DataFrame([(int(key[0]), None, model, frame["block"].tolist(), pieces)], columns=columns)
+
+
+def stirling(discount: float, n: int = EXACT) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers: weights of ``t`` tables for ``c`` customers, at [c, t]."""
+    out = np.full((n + 1, n + 1), -np.inf)
+    out[0, 0] = 0
+    t = np.arange(n + 1)
+    for c in range(n):
+        stay = np.full(n + 1, -np.inf)
+        stay[1 : c + 1] = out[c, 1 : c + 1] + np.log(c - discount * t[1 : c + 1])
+        out[c + 1, 1:] = np.logaddexp(out[c, :-1], stay[1:])
+    return out
+
+
+def draw_tables(customers: np.ndarray, others: np.ndarray, parent: np.ndarray, strength: float, discount: float, numbers: np.ndarray, random: np.random.Generator) -> np.ndarray:
+    """Tables of each dish given the tables of the restaurant's other dishes and the parent's probability of the dish.
+
+    Exact up to ``EXACT`` customers. Further ones are seated in blocks of a sixteenth of
+    those who sit, with one chance for a block.
     """
     tables = (customers > 0).astype(np.int64)
     order = np.flatnonzero(customers > 1)
-    order = order[np.argsort(-customers[order], kind="stable")]
-    left = customers[order]
-    most = left.max(initial=0)
-    t, r = np.ones(len(order)), rate[order]
-    for i in range(1, int(min(most, 64))):
-        k = int(np.searchsorted(-left, -i, side="left"))
-        t[:k] += random.random(k) < r[:k] / (r[:k] + i - discount * t[:k])
-    at = 64
-    while at < most:
-        # the next block of customers; its chance of a new table is taken in its middle
-        k = int(np.searchsorted(-left, -at, side="left"))
-        block = np.minimum(max(1, at // 16), left[:k] - at)
-        chance = r[:k] / (r[:k] + at - discount * t[:k])
-        middle = at + block / 2 - discount * (t[:k] + block * chance / 2)
-        t[:k] += random.binomial(block, r[:k] / (r[:k] + middle))
-        at += max(1, at // 16)
-    tables[order] = t.astype(np.int64)
+    order = order[np.argsort(customers[order], kind="stable")]
+    exact = np.minimum(customers[order], EXACT)
+    log_parent = np.log(parent[order])
+    bounds = np.searchsorted(exact, np.arange(2, EXACT + 2))
+    for c, (a, z) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), 2):
+        step = max(1, 2_000_000 // c)
+        for lo in range(a, z, step):
+            hi = min(z, lo + step)
+            seats = np.log(strength + discount * (others[order[lo:hi], None] + np.arange(c)))
+            weight = np.cumsum(seats + log_parent[lo:hi, None], axis=1) + numbers[c, 1 : c + 1]
+            weight = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+            tables[order[lo:hi]] = 1 + (weight < random.random(hi - lo)[:, None] * weight[:, -1:]).sum(axis=1)
+    more = order[np.searchsorted(exact, EXACT) :]
+    more = more[customers[more] > EXACT]
+    at = np.full(len(more), EXACT)
+    while len(more):
+        block = np.minimum(np.maximum(1, at // 16), customers[more] - at)
+        rate = (strength + discount * (others[more] + tables[more])) * parent[more]
+        stay = at + block / 2 - discount * tables[more]
+        tables[more] += random.binomial(block, rate / (rate + stay))
+        at = at + block
+        on = at < customers[more]
+        more, at = more[on], at[on]
     return tables
 
 
 @dataclass
 class Model:
-    """The corpus' totals, and for each sweep the tables by context and the root's totals and table counts of frequent words."""
+    """What all buckets know: the layout, totals, discounts and strengths by level (root, word, pair), and totals of hot words' restaurants."""
 
-    corpus: Corpus
-    discount: float = 0.8
-    root_discount: float = 0.8
-    strength: float = 1.0
-    root_strength: float = 1.0
+    layout: Layout
     seed: int = 11
-    #: per sweep: tables by context; customers and tables of the root; both by frequent word
-    context_tables: list[np.ndarray] = field(default_factory=list)
-    root_totals: list[tuple[int, int]] = field(default_factory=list)
-    root_words: list[np.ndarray] = field(default_factory=list)
-    #: per sweep: the frequent words' root tables for the next one
-    root_drawn: list[np.ndarray] = field(default_factory=list)
-
-
-def _draw(model: Model, bucket: int, word: np.ndarray, context: np.ndarray, taught: np.ndarray, sweeps: int) -> Iterator[dict]:
-    """State of a bucket's rows after each of the sweeps: tables of each pair, customers and tables of each word at the root."""
-    c = model.corpus
-    heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-    of_word = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(word))))
-    number = c.number(word[heads])
-    often = number < len(c.contexts)
-    own = context < len(c.contexts)
-    base = 1.0 / (c.words + 1)
-    customers = np.add.reduceat(np.where(own, 0, taught), heads)
-    direct = customers.copy()
-    # to begin with, a table for each pair and for each word
-    tables = np.where(own & (taught > 0), 1, 0)
-    for sweep in range(sweeps):
-        random = np.random.default_rng([model.seed, bucket, sweep])
-        if sweep == 0:
-            root_customers = direct + np.add.reduceat(tables, heads)
-            root_tables = (root_customers > 0).astype(np.int64)
-            parent = np.full(len(heads), base)
-            rate = np.ones(len(word))
-        else:
-            parent = root_probability(model, sweep - 1, root_customers, root_tables, often, number)
-            rate = (model.strength + model.discount * model.context_tables[sweep - 1][context]) * parent[of_word]
-            tables = np.where(own, new_tables(np.where(own, taught, 0), rate, model.discount, random), 0)
-            root_customers = direct + np.add.reduceat(tables, heads)
-            root_rate = np.full(len(heads), (model.root_strength + model.root_discount * model.root_totals[sweep - 1][1]) * base)
-            # a frequent word's customers are spread over buckets; its tables are
-            # drawn from their total of the last sweep, once for all
-            root_tables = new_tables(np.where(often, 0, root_customers), root_rate, model.root_discount, random)
-            root_tables[often] = model.root_drawn[sweep - 1][number[often]]
-        yield {"tables": tables, "root_customers": root_customers, "root_tables": root_tables, "often": often, "number": number, "of_word": of_word, "heads": heads}
-
-
-def root_probability(model: Model, sweep: int, customers: np.ndarray, tables: np.ndarray, often: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """The root's predictive probability of each word after a sweep."""
-    customers, tables = customers.astype(float), tables.astype(float)
-    customers[often], tables[often] = model.root_words[sweep][:, number[often]]
-    all_customers, all_tables = model.root_totals[sweep]
-    fresh = (model.root_strength + model.root_discount * all_tables) / (model.corpus.words + 1)
-    return (np.maximum(customers - model.root_discount * tables, 0) + fresh) / (model.root_strength + all_customers)
-
-
-def _sweep(table: DataFrame, model: Model) -> None:
-    """One more Gibbs sweep; adds its totals to the model."""
-    sweeps, contexts = len(model.root_totals) + 1, len(model.corpus.contexts)
-    shared = table.sparkSession.sparkContext.broadcast(model)
-
-    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    tokens: int = 0
+    words: int = 0
+    root: tuple[int, int] = (0, 0)
+    discount: list[float] = field(default_factory=lambda: [0.8, 0.8, 0.8])
+    strength: list[float] = field(default_factory=lambda: [1.0, 1.0, 1.0])
+    hot: np.ndarray = field(default_factory=lambda: np.zeros((2, 0)))
+
+    def root_probability(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        fresh = (self.strength[0] + self.discount[0] * self.root[1]) / (self.words + 1)
+        return (np.maximum(customers - self.discount[0] * tables, 0) + fresh) / (self.strength[0] + self.root[0])
+
+
+class Bucket:
+    """The restaurants of some second words, and of all their pairs."""
+
+    def __init__(self, number: int, data: bytes, layout: Layout):
+        words, j, self.k, pair, self.word, self.taught = _unbundle(data)
+        self.number, self.layout = number, layout
+        self.words, j, self.pair = np.cumsum(words), np.cumsum(j), np.cumsum(pair)
+        size = len(self.words)
+        self.said = np.unique(self.word)
+        self.word_taught = np.bincount(self.word, weights=self.taught, minlength=size).astype(np.int64)
+        # dishes of the second words' restaurants
+        dishes, self.dish = np.unique(j[self.pair].astype(np.int64) * size + self.word, return_inverse=True)
+        self.dish_second, self.dish_word = dishes // size, dishes % size
+        rank = layout.rank(self.words)[self.dish_second]
+        self.is_hot, self.rank = rank >= 0, rank
+        # each word's bucket at the root, and words in the order in which they are sent
+        at = (mix(self.words[self.said].astype(np.uint64)) % np.uint64(layout.buckets)).astype(np.int64)
+        self.sent = np.argsort(at, kind="stable")
+        self.sent_bounds = np.searchsorted(at[self.sent], np.arange(layout.buckets + 1))
+        self.hot_dish = np.flatnonzero(self.is_hot)
+        turn = np.empty(size, dtype=np.int64)
+        turn[self.said[self.sent]] = np.arange(len(self.said))
+        self.hot_dish = self.hot_dish[np.lexsort((self.dish_second[self.hot_dish], turn[self.dish_word[self.hot_dish]]))]
+        self.hot_turn = turn[self.dish_word[self.hot_dish]]
+        self.hot_bounds = np.searchsorted(self.hot_turn, self.sent_bounds)
+
+    def start(self) -> None:
+        """A table for each dish."""
+        self.t3 = np.minimum(self.taught, 1)
+        self.c2 = np.bincount(self.dish, weights=self.t3, minlength=len(self.dish_word)).astype(np.int64)
+        self.t2 = np.minimum(self.c2, 1)
+
+    def messages(self) -> Iterator[tuple[int, bytes]]:
+        """What each bucket of words gets: codes, training counts and customers of words, and customers of hot words' dishes."""
+        own = np.bincount(self.dish_word[~self.is_hot], weights=self.t2[~self.is_hot], minlength=len(self.words)).astype(np.int64)
+        for q, (a, z, b, y) in enumerate(zip(self.sent_bounds[:-1], self.sent_bounds[1:], self.hot_bounds[:-1], self.hot_bounds[1:], strict=True)):
+            if z > a:
+                word = self.said[self.sent[a:z]]
+                dish = self.hot_dish[b:y]
+                yield q, _bundle(_deltas(self.words[word]), self.word_taught[word].astype(np.int32), own[word].astype(np.int32), (self.hot_turn[b:y] - a).astype(np.int32), self.rank[dish].astype(np.int32), self.c2[dish].astype(np.int32))
+
+    def seen(self) -> tuple[float, ...]:
+        """Numbers of dishes with one and two customers, of pairs' and of words' restaurants."""
+        return (self.taught == 1).sum(), (self.taught == 2).sum(), (self.c2 == 1).sum(), (self.c2 == 2).sum()
+
+    def receive(self, answers: list[tuple[int, bytes]], model: Model) -> None:
+        """Take the root's state of the words, and that of hot words' dishes."""
+        size = len(self.words)
+        self.count, customers, tables = np.zeros((3, size), dtype=np.int64)
+        hot_c, hot_t = np.zeros((2, len(self.dish_word)))
+        for q, data in answers:
+            count, c, t, hc, ht = _unbundle(data)
+            word = self.said[self.sent[self.sent_bounds[q] : self.sent_bounds[q + 1]]]
+            self.count[word], customers[word], tables[word] = count, c, t
+            dish = self.hot_dish[self.hot_bounds[q] : self.hot_bounds[q + 1]]
+            hot_c[dish], hot_t[dish] = hc, ht
+        self.root = model.root_probability(customers, tables)
+        d, s = model.discount[1], model.strength[1]
+        at = self.rank[self.hot_dish]
+        c_all, t_all = model.hot[:, at]
+        self.hot_probability = (np.maximum(hot_c[self.hot_dish] - d * hot_t[self.hot_dish], 0) + (s + d * t_all) * self.root[self.dish_word[self.hot_dish]]) / (s + c_all)
+
+    def _totals(self) -> tuple[np.ndarray, ...]:
+        pairs, size = len(self.k), len(self.words)
+        return (
+            np.bincount(self.pair, weights=self.taught, minlength=pairs), np.bincount(self.pair, weights=self.t3, minlength=pairs),
+            np.bincount(self.dish_second, weights=self.c2, minlength=size), np.bincount(self.dish_second, weights=self.t2, minlength=size),
+        )
+
+    def _second(self, model: Model, c2: np.ndarray, t2: np.ndarray, at: np.ndarray, c_all: np.ndarray, t_all: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        """Probability of dishes ``at`` in the second words' restaurants."""
+        d, s = model.discount[1], model.strength[1]
+        j = self.dish_second[at]
+        p = (np.maximum(c2 - d * t2, 0) + (s + d * t_all[j]) * self.root[self.dish_word[at]]) / (s + c_all[j])
+        return np.where(self.is_hot[at], hot[at], p)
+
+    def sweep(self, model: Model, numbers: list[np.ndarray], random: np.random.Generator) -> None:
+        """Reseat all dishes of the pairs' and then of the second words' restaurants."""
+        _, t_pair, c_all, t_all = self._totals()
+        hot = np.zeros(len(self.dish_word))
+        hot[self.hot_dish] = self.hot_probability
+        live = np.flatnonzero(self.taught > 1)
+        at = self.dish[live]
+        # the parent as it is with one customer from this dish, as the first table is there anyway
+        c2 = self.c2[at] - (self.t3[live] - 1)
+        parent = self._second(model, c2, np.minimum(self.t2[at], c2), at, c_all, t_all, hot)
+        self.t3[live] = draw_tables(self.taught[live], t_pair[self.pair[live]] - self.t3[live], parent, model.strength[2], model.discount[2], numbers[2], random)
+        self.c2 = np.bincount(self.dish, weights=self.t3, minlength=len(self.dish_word)).astype(np.int64)
+        self.t2 = np.minimum(self.t2, self.c2)
+        own = np.flatnonzero(~self.is_hot & (self.c2 > 0))
+        others = t_all[self.dish_second[own]] - self.t2[own]
+        self.t2[own] = draw_tables(self.c2[own], others, self.root[self.dish_word[own]], model.strength[1], model.discount[1], numbers[1], random)
+
+    def auxiliary(self, model: Model, random: np.random.Generator) -> list[float]:
+        """Sums of the auxiliary variables of the strengths of words' and pairs' restaurants."""
+        c_pair, t_pair, c_all, t_all = self._totals()
+        out = []
+        for level, c, t in ((1, c_all, t_all), (2, c_pair, t_pair)):
+            d, s = model.discount[level], model.strength[level]
+            c, t = c[c > 1], t[c > 1].astype(np.int64)
+            logs = np.log(random.beta(s + 1, c - 1)).sum() if len(c) else 0.0
+            above = len(t) - np.cumsum(np.bincount(t)) if len(t) else np.zeros(0, dtype=np.int64)
+            i = np.arange(1, len(above))
+            out += [logs, random.binomial(above[1:], s / (s + d * i)).sum() if len(i) else 0]
+        return out
+
+    def probability(self, model: Model) -> np.ndarray:
+        """Predictive probability of each triple."""
+        c_pair, t_pair, c_all, t_all = self._totals()
+        hot = np.zeros(len(self.dish_word))
+        hot[self.hot_dish] = self.hot_probability
+        parent = self._second(model, self.c2, self.t2, np.arange(len(self.dish_word)), c_all, t_all, hot)[self.dish]
+        d, s = model.discount[2], model.strength[2]
+        return (np.maximum(self.taught - d * self.t3, 0) + (s + d * t_pair[self.pair]) * parent) / (s + c_pair[self.pair])
+
+
+def _seat(shared, turn: int):
+    """Seats the customers of a bucket of words, and those of hot words' dishes; answers every sender."""
+    columns = ["kind", "bucket", "q", "data", "a", "b", "c", "d"]
+
+    def seat(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        model = shared.value
+        q = int(key[0])
+        if q < 0:
+            return pd.DataFrame([("seen", 0, 0, None, *map(float, np.sum(list(frame["sums"]), axis=0)))], columns=columns)
+        frame = frame.sort_values("bucket")
+        parts = [_unbundle(x) for x in frame["data"]]
+        codes, word = np.unique(np.concatenate([np.cumsum(p[0]) for p in parts]), return_inverse=True)
+        size = len(codes)
+        taught, customers = (np.bincount(word, weights=np.concatenate([p[c] for p in parts]), minlength=size).astype(np.int64) for c in (1, 2))
+        start = np.cumsum([0, *[len(p[0]) for p in parts]])
+        hot_word = word[np.concatenate([p[3] + s for p, s in zip(parts, start, strict=False)]).astype(np.int64)]
+        hots = len(model.layout.hot)
+        dishes, dish = np.unique(np.concatenate([p[4] for p in parts]) * np.int64(size) + hot_word, return_inverse=True)
+        of_word, of_hot = dishes % size, dishes // size
+        hot_c = np.bincount(dish, weights=np.concatenate([p[5] for p in parts]), minlength=len(dishes)).astype(np.int64)
+        hot_t = np.minimum(hot_c, 1)
+        whole = customers + np.bincount(of_word, weights=hot_t, minlength=size).astype(np.int64)
+        tables = np.minimum(whole, 1)
+        if turn:
+            random = np.random.default_rng([model.seed, turn, 1, q])
+            numbers = [stirling(model.discount[x]) for x in (0, 1)]
+            for _ in range(2):
+                root = model.root_probability(whole, tables)
+                others = np.maximum(model.hot[1][of_hot] - hot_t, 0) if hots else np.zeros(0)
+                hot_t = draw_tables(hot_c, others, root[of_word], model.strength[1], model.discount[1], numbers[1], random)
+                whole = customers + np.bincount(of_word, weights=hot_t, minlength=size).astype(np.int64)
+                others = np.maximum(model.root[1] - tables, 0)
+                tables = draw_tables(whole, others, np.full(size, 1.0 / (model.words + 1)), model.strength[0], model.discount[0], numbers[0], random)
+        rows, done = [], 0
+        for p, s, b in zip(parts, start, frame["bucket"], strict=False):
+            w, h = word[s : s + len(p[0])], dish[done : done + len(p[4])]
+            done += len(p[4])
+            rows.append(("answer", int(b), q, _bundle(*(x.astype(np.int32) if x.max(initial=0) < 2**31 else x for x in (taught[w], whole[w], tables[w], hot_c[h], hot_t[h]))), 0.0, 0.0, 0.0, 0.0))
+        rows.append(("total", 0, 0, None, float(taught.sum()), float((taught > 0).sum()), float(whole.sum()), float(tables.sum())))
+        rows.append(("words", 0, 0, None, float((whole == 1).sum()), float((whole == 2).sum()), 0.0, 0.0))
+        by_hot = np.bincount(of_hot, weights=hot_c, minlength=hots), np.bincount(of_hot, weights=hot_t, minlength=hots)
+        rows += [("hot", h, 0, None, float(c), float(t), 0.0, 0.0) for h, (c, t) in enumerate(zip(*by_hot, strict=True)) if c]
+        return pd.DataFrame(rows, columns=columns)
+
+    return seat
+
+
+def _round(table: DataFrame, answers: DataFrame | None, model: Model, turn: int, sweeps: int) -> DataFrame:
+    """Sweeps over all buckets and the root's part of it; adds totals to the model and returns the answers (bucket, answers)."""
+    context = table.sparkSession.sparkContext
+    shared = context.broadcast(model)
+
+    def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
-        by_context, words, totals = np.zeros(contexts + 1, dtype=np.int64), np.zeros((2, contexts + 1), dtype=np.int64), np.zeros(2, dtype=np.int64)
-        for batch in batches:
-            for r in batch.itertuples():
-                context, taught = _unpacked(r.context), _unpacked(r.taught)
-                *_, s = _draw(model, r.bucket, _unpacked(r.word), context, taught, sweeps)
-                np.add.at(by_context, context, s["tables"])
-                seldom = ~s["often"]
-                totals += [s["root_customers"][seldom].sum(), s["root_tables"][seldom].sum()]
-                np.add.at(words[0], s["number"][s["often"]], s["root_customers"][s["often"]])
-                np.maximum.at(words[1], s["number"][s["often"]], s["root_tables"][s["often"]])
-        rows = [("c", i, n) for i, n in enumerate(by_context.tolist()) if n] + [("w", i, n) for i, n in enumerate(words[0, :-1].tolist()) if n]
-        rows += [("m", i, n) for i, n in enumerate(words[1, :-1].tolist()) if n] + [("t", i, n) for i, n in enumerate(totals.tolist())]
-        yield pd.DataFrame(rows, columns=["kind", "i", "n"])
-
-    rows = table.select("bucket", "word", "context", "taught").mapInPandas(summed, "kind string, i int, n long")
-    found = rows.groupBy("kind", "i").agg(F.when(F.col("kind") == "m", F.max("n")).otherwise(F.sum("n")).alias("n")).collect()
-    by_context, words, totals = np.zeros(contexts + 1), np.zeros((2, contexts), dtype=np.int64), [0, 0]
-    for r in found:
-        if r["kind"] == "c":
-            by_context[r["i"]] = r["n"]
-        elif r["kind"] == "t":
-            totals[r["i"]] = r["n"]
-        else:
-            words[0 if r["kind"] == "w" else 1, r["i"]] = r["n"]
-    words[1] = np.minimum(words[0], np.maximum(words[1], words[0] > 0))
-    model.context_tables.append(by_context)
-    model.root_words.append(words)
-    rate = (model.root_strength + model.root_discount * (totals[1] + int(words[1].sum()))) / (model.corpus.words + 1)
-    model.root_drawn.append(new_tables(words[0], np.full(contexts, rate), model.root_discount, np.random.default_rng([model.seed, sweeps])))
-    model.root_totals.append((totals[0] + int(words[0].sum()), totals[1] + int(words[1].sum())))
-
-
-def _discounts(table: DataFrame, model: Model) -> None:
-    """Discounts from the numbers of pairs and words seen once and twice."""
-
-    def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros(4, dtype=np.int64)
         for batch in batches:
             for r in batch.itertuples():
-                word, context, taught = _unpacked(r.word), _unpacked(r.context), _unpacked(r.taught)
-                own = taught[context < len(shared.value.contexts)]
-                heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-                whole = np.add.reduceat(taught, heads)
-                n += [(own == 1).sum(), (own == 2).sum(), (whole == 1).sum(), (whole == 2).sum()]
-        yield pd.DataFrame([n], columns=["a", "b", "c", "d"])
-
-    shared = table.sparkSession.sparkContext.broadcast(model.corpus)
-    rows = table.select("word", "context", "taught").mapInPandas(seen, "a long, b long, c long, d long")
-    r = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in "abcd"]).first()
-    model.discount = min(0.95, max(0.1, r["a"] / max(1, r["a"] + 2 * r["b"])))
-    model.root_discount = min(0.95, max(0.1, r["c"] / max(1, r["c"] + 2 * r["d"])))
-
-
-def score_texts(docs: DataFrame, learn: str = "learn", share: float = 1e-4, burn_in: int = 2, kept: int = 2, buckets: int | None = None) -> DataFrame:
+                bucket = Bucket(r.bucket, r.model, model.layout)
+                bucket.start()
+                random = np.random.default_rng([model.seed, turn, 0, r.bucket])
+                if turn:
+                    _swept(bucket, r.answers, model, sweeps, random)
+                sums = [float(x) for x in (bucket.auxiliary(model, random) if turn else bucket.seen())]
+                out = [(q, r.bucket, data, []) for q, data in bucket.messages()]
+                yield pd.DataFrame([*out, (-1, r.bucket, None, sums)], columns=["q", "bucket", "data", "sums"])
+
+    rows = table.where("bucket >= 0").select("bucket", "model")
+    if answers is not None:
+        rows = rows.join(answers, "bucket")
+    told = rows.mapInPandas(sent, "q int, bucket int, data binary, sums array<double>")
+    schema = "kind string, bucket int, q int, data binary, a double, b double, c double, d double"
+    seated = checkpointed(told.groupBy("q").applyInPandas(_seat(shared, turn), schema))
+    sums = {(r["kind"], r["bucket"]): [r[x] for x in "abcd"] for r in seated.where("kind <> 'answer'").groupBy("kind", "bucket").agg(*[F.sum(x).alias(x) for x in "abcd"]).collect()}
+    total = sums.get(("total", 0), [0.0] * 4)
+    model.tokens, model.words, model.root = int(total[0]), int(total[1]), (int(total[2]), int(total[3]))
+    hots = len(model.layout.hot)
+    model.hot = np.array([sums.get(("hot", h), [0.0] * 4)[:2] for h in range(hots)], dtype=float).reshape(hots, 2).T
+    seen = sums.get(("seen", 0), [0.0] * 4)
+    if turn == 0:
+        ones = sums.get(("words", 0), [0.0] * 4)[:2], seen[2:], seen[:2]
+        model.discount = [min(0.95, max(0.1, a / max(1.0, a + 2 * b))) for a, b in ones]
+    else:
+        random = np.random.default_rng([model.seed, turn, 2])
+        for level, (logs, chosen) in ((1, seen[:2]), (2, seen[2:])):
+            model.strength[level] = float(max(0.01, random.gamma(1 + chosen, 1 / (1 - logs))))
+    found = seated.where("kind = 'answer'").groupBy("bucket").agg(F.collect_list(F.struct("q", "data")).alias("answers"))
+    return found
+
+
+def _swept(bucket: Bucket, answers: list, model: Model, sweeps: int, random: np.random.Generator) -> list[np.ndarray]:
+    numbers = [stirling(d) for d in model.discount]
+    bucket.receive([(a["q"], a["data"]) for a in answers], model)
+    for _ in range(sweeps):
+        bucket.sweep(model, numbers, random)
+    return numbers
+
+
+def score_texts(docs: DataFrame, learn: str = "learn", burn_in: int = 4, kept: int = 4, rounds: int = 1, grain: int = GRAIN) -> DataFrame:
     """Scores of all rows of ``docs`` (doc_id, text, and a boolean column ``learn`` that marks the training rows).
 
     Columns: doc_id, n_tokens, n_known, train_tokens, base_score (add-one unigrams), score
-    (the model's log10 probability of the text). After ``burn_in`` sweeps the next
-    ``kept`` are averaged.
+    (the model's log10 probability of the text). After the first seating, ``rounds``
+    times ``burn_in`` sweeps are followed by reseating the root; then come ``burn_in``
+    sweeps and the ``kept`` ones that are averaged.
     """
     session = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(learn, F.lit(False)).alias("learn"))
-    corpus = count_words(rows, share)
-    buckets = buckets or 2 * int(session.conf.get("spark.sql.shuffle.partitions"))
-    table = _table(rows, corpus, buckets)
-    model = Model(corpus)
-    _discounts(table, model)
-    for _ in range(burn_in + kept):
-        _sweep(table, model)
-    shared = session.sparkContext.broadcast(model)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().cast("int").alias("gone"), "text", F.coalesce(learn, F.lit(False)).cast("int").alias("learn"))
+    layout = _layout(rows, grain)
+    shared = session.sparkContext.broadcast(layout)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, number, held, size = _Words(), TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            for r in zip(batch["id"], batch["gone"], batch["learn"], batch["text"], strict=True):
+                held.append((*r[:3], codes_of(r[3], words)))
+                size += len(held[-1][3])
+                if size >= BLOCK:
+                    yield pd.DataFrame(_block(held, number, shared.value), columns=["bucket", "block", "data"])
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield pd.DataFrame(_block(held, number, shared.value), columns=["bucket", "block", "data"])
+
+    blocks = rows.mapInPandas(cut, "bucket int, block long, data binary").repartition(layout.buckets, "bucket")
+    gathered = blocks.groupBy("bucket").applyInPandas(_gathered, "bucket int, block long, model binary, blocks array<long>, pieces array<binary>")
+    name = f"waymark_lm_{uuid.uuid4().hex}"
+    gathered.write.bucketBy(layout.buckets, "bucket").option("path", f"{checkpoint_folder(session)}/{name}").saveAsTable(name)
+    table = session.table(name)
+    model = Model(layout)
+    answers = _round(table, None, model, 0, 0)
+    for turn in range(1, rounds + 1):
+        answers = _round(table, answers, model, turn, burn_in)
+    final = session.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        c = model.corpus
-        seated = np.append(c.counts.astype(float), 0)
+        model = final.value
         for batch in batches:
             for r in batch.itertuples():
-                word, context, taught = _unpacked(r.word), _unpacked(r.context), _unpacked(r.taught)
-                own, total = context < len(c.contexts), np.zeros(len(word))
-                states = _draw(model, r.bucket, word, context, taught, burn_in + kept)
-                for sweep, s in enumerate(states):
-                    if sweep >= burn_in:
-                        parent = root_probability(model, sweep, s["root_customers"], s["root_tables"], s["often"], s["number"])[s["of_word"]]
-                        tables = model.context_tables[sweep][context]
-                        mine = (np.maximum(taught - model.discount * s["tables"], 0) + (model.strength + model.discount * tables) * parent) / (model.strength + seated[context])
-                        total += np.where(own, mine, parent)
-                if not len(word):
+                if r.bucket < 0:
+                    yield pd.DataFrame({"block": [int(r.block)], "head": [True], "data": [r.model]})
                     continue
-                whole = np.add.reduceat(taught, s["heads"])
-                whole[s["often"]] = c.counts[s["number"][s["often"]]]
-                whole = whole[s["of_word"]]
-                logs = np.log10(total / kept)
-                base = np.log10((whole + 1) / (c.tokens + c.words + 1))
-                run, doc, n = _unpacked(r.run), _unpacked(r.doc), _unpacked(r.n)
-                pair = np.repeat(np.arange(len(word)), run)
-                ids, flags = _unpacked(r.ids), _unpacked(r.flags)
-                size = len(ids)
-                sums = {k: np.bincount(doc, weights=v, minlength=size) for k, v in (("n_tokens", n), ("n_known", n * (whole[pair] > 0)), ("base_score", n * base[pair]), ("score", n * logs[pair]), ("copies", n * (word[pair] == END)))}
-                yield pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "mark": _unpacked(r.marks), **sums}).assign(doc_id=lambda x: x["doc_id"].mask((flags & 2) > 0))
-
-    schema = "doc_id long, mark long, n_tokens double, n_known double, base_score double, score double, copies double"
-    parts = table.mapInPandas(scored, schema)
-    sums = parts.groupBy("doc_id", "mark").agg(*[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base_score", "score", "copies")])
-    each = sums.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return each.select(
-        "doc_id",
-        F.round(F.col("n_tokens") / F.col("copies")).cast("long").alias("n_tokens"),
-        F.round(F.col("n_known") / F.col("copies")).cast("long").alias("n_known"),
-        F.lit(corpus.tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") / F.col("copies")).alias("base_score"),
-        (F.col("score") / F.col("copies")).alias("score"),
-    )
+                bucket = Bucket(r.bucket, r.model, model.layout)
+                bucket.start()
+                random = np.random.default_rng([model.seed, rounds + 1, 0, r.bucket])
+                numbers = _swept(bucket, r.answers, model, burn_in, random)
+                total = np.zeros(len(bucket.taught))
+                for _ in range(kept):
+                    bucket.sweep(model, numbers, random)
+                    total += bucket.probability(model)
+                count = bucket.count[bucket.word]
+                logs, base = np.log10(total / kept), np.log10((count + 1) / (model.tokens + model.words + 1))
+                out = []
+                for block, piece in zip(r.blocks, r.pieces, strict=True):
+                    triple, run, doc, n = _unbundle(piece)
+                    triple = np.repeat(np.cumsum(triple), run)
+                    used, at = np.unique(doc, return_inverse=True)
+                    sums = [np.bincount(at, weights=n * x[triple], minlength=len(used)) for x in (count > 0, base / _BASE_UNIT, logs / _SCORE_UNIT)]
+                    out.append((int(block), False, _bundle(_deltas(used).astype(np.int32), sums[0].astype(np.int32), *(np.rint(-x).astype(np.int64) for x in sums[1:]))))
+                yield pd.DataFrame(out, columns=["block", "head", "data"])
+
+    tokens = model.tokens
+
+    def summed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        heads = frame["head"].to_numpy(dtype=bool)
+        ids, nulls, lengths = _unbundle(frame["data"][heads].iloc[0])
+        sums = np.zeros((3, len(ids)), dtype=np.int64)
+        for data in frame["data"][~heads]:
+            used, *parts = _unbundle(data)
+            used = np.cumsum(used)
+            for i, x in enumerate(parts):
+                sums[i, used] += x
+        found = pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "n_tokens": lengths.astype(np.int64), "n_known": sums[0], "train_tokens": tokens, "base_score": -sums[1] * _BASE_UNIT, "score": -sums[2] * _SCORE_UNIT})
+        found["doc_id"] = found["doc_id"].mask(nulls > 0)
+        return found
+
+    parts = table.join(answers, "bucket", "left").mapInPandas(scored, "block long, head boolean, data binary")
+    scores = parts.groupBy("block").applyInPandas(summed, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scores = checkpointed(scores)
+    session.sql(f"DROP TABLE {name}")
+    return scores
