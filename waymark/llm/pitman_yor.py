@@ -50,18 +50,29 @@ from waymark.llm.common import checkpoint_folder, checkpointed
 from waymark.llm.words import mix
 
 END = np.int64(1)
-GRAIN, BLOCK, EXACT = 1_000_000, 2_000_000, 128
+GRAIN, BLOCK, EXACT = 1_000_000, 3_000_000, 128
+#: words with short codes, and the least code of any other
+_TOP, _FIRST = 1 << 18, 1 << 20
 _MASK = (1 << 63) - 1
 _BASE_UNIT, _SCORE_UNIT = 1e-9, 1e-6
 
 
 class _Words(dict):
-    """63-bit codes of words as bytes, filled on demand; END is no word's code."""
+    """Codes of words as bytes, filled on demand: places of the most frequent ones from 2 on, 63-bit hashes of all others."""
+
+    def __init__(self, layout: Layout | None = None):
+        super().__init__()
+        self.layout = layout
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 200_000:
             self.clear()
-        self[word] = code = max(2, xxhash.xxh3_64_intdigest(word) & _MASK)
+        code = max(_FIRST, xxhash.xxh3_64_intdigest(word) & _MASK)
+        if self.layout and len(top := self.layout.top):
+            at = int(np.searchsorted(top, code))
+            if at < len(top) and top[at] == code:
+                code = int(self.layout.place[at])
+        self[word] = code
         return code
 
 
@@ -99,11 +110,17 @@ def _deltas(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Layout:
-    """How tokens are dealt: buckets, and the codes (sorted) of words that fill more than half a bucket, with their parts."""
+    """How tokens are dealt: buckets, and the codes (sorted) of words that fill more than half a bucket, with their parts.
+
+    ``top`` holds the hashes (sorted) of the most frequent words, at most ``_TOP``, and
+    ``place`` their codes by frequency.
+    """
 
     buckets: int
     hot: np.ndarray
     parts: np.ndarray
+    top: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    place: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
 
     def rank(self, codes: np.ndarray) -> np.ndarray:
         """Place among the hot words, -1 for others."""
@@ -126,10 +143,13 @@ def _layout(docs: DataFrame, grain: int) -> Layout:
                 yield pd.DataFrame({"word": np.append(word[often], 0), "n": np.append(n[often], n.sum())})
 
     counts = docs.select("text").mapInPandas(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = counts.where((F.col("word") == 0) | (F.col("n") > grain // 2)).collect()
-    tokens = sum(r["n"] for r in rows if r["word"] == 0)
-    hot = sorted((r["word"], r["n"]) for r in rows if r["word"] and r["n"] > grain // 2)
-    return Layout(max(1, round(tokens / grain)), np.array([w for w, _ in hot], dtype=np.int64), np.array([1 + 4 * n // grain for _, n in hot], dtype=np.int64))
+    rows = counts.orderBy(F.col("word") != 0, F.desc("n"), "word").limit(_TOP + 1).collect()
+    tokens = rows[0]["n"] if rows else 0
+    word, n = (np.array([r[x] for r in rows[1:]], dtype=np.int64) for x in ("word", "n"))
+    place = np.where(word == END, END, np.arange(2, len(word) + 2))
+    wide, order = np.flatnonzero(n > grain // 2), np.argsort(word)
+    wide = wide[np.argsort(place[wide])]
+    return Layout(max(1, round(tokens / grain)), place[wide], 1 + 4 * n[wide] // grain, word[order], place[order])
 
 
 def _block(held: list[tuple], number: int, layout: Layout) -> Iterator[tuple]:
@@ -138,9 +158,9 @@ def _block(held: list[tuple], number: int, layout: Layout) -> Iterator[tuple]:
     ids, nulls, learn = (np.array([h[c] for h in held], dtype=kind) for c, kind in ((0, np.int64), (1, np.uint8), (2, np.int64)))
     yield -1 - number % layout.buckets, number, _bundle(ids, nulls, lengths.astype(np.int32))
     codes, third = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True)
-    third = third.astype(np.int64)
+    third = third.astype(np.int32)
     end = int(np.searchsorted(codes, END))
-    doc = np.repeat(np.arange(len(held)), lengths)
+    doc = np.repeat(np.arange(len(held), dtype=np.int32), lengths)
     first = np.cumsum(lengths) - lengths
     second, one = np.roll(third, 1), np.roll(third, 2)
     second[first] = one[first] = end
@@ -152,7 +172,7 @@ def _block(held: list[tuple], number: int, layout: Layout) -> Iterator[tuple]:
     if spread.any():
         at = np.flatnonzero(spread)
         part[at] = mix(of_code[one[at]]) % layout.parts[rank[second[at]]].astype(np.uint64)
-        pair, turn, n = np.unique(second[at] * len(codes) + one[at], return_inverse=True, return_counts=True)
+        pair, turn, n = np.unique(second[at].astype(np.int64) * len(codes) + one[at], return_inverse=True, return_counts=True)
         wide = np.flatnonzero(n > len(third) // 16)
         for i, p in enumerate(wide):
             # a restaurant of this pair for this block alone
@@ -513,7 +533,7 @@ def score_texts(docs: DataFrame, learn: str = "learn", burn_in: int = 4, kept: i
     shared = session.sparkContext.broadcast(layout)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, number, held, size = _Words(), TaskContext.get().partitionId() << 32, [], 0
+        words, number, held, size = _Words(shared.value), TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             for r in zip(batch["id"], batch["gone"], batch["learn"], batch["text"], strict=True):
                 held.append((*r[:3], codes_of(r[3], words)))
