@@ -52,9 +52,9 @@ from waymark.llm.words import mix
 END = np.int64(1)
 GRAIN, BLOCK, EXACT = 1_000_000, 3_000_000, 128
 #: words with short codes, and the least code of any other
-_TOP, _FIRST = 1 << 18, 1 << 20
+_TOP, _FIRST = 1 << 19, 1 << 20
 _MASK = (1 << 63) - 1
-_BASE_UNIT, _SCORE_UNIT = 1e-9, 1e-6
+_BASE_UNIT, _SCORE_UNIT = 1e-7, 1e-6
 
 
 class _Words(dict):
@@ -120,7 +120,7 @@ class Layout:
     hot: np.ndarray
     parts: np.ndarray
     top: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
-    place: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    place: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
 
     def rank(self, codes: np.ndarray) -> np.ndarray:
         """Place among the hot words, -1 for others."""
@@ -146,21 +146,24 @@ def _layout(docs: DataFrame, grain: int) -> Layout:
     rows = counts.orderBy(F.col("word") != 0, F.desc("n"), "word").limit(_TOP + 1).collect()
     tokens = rows[0]["n"] if rows else 0
     word, n = (np.array([r[x] for r in rows[1:]], dtype=np.int64) for x in ("word", "n"))
-    place = np.where(word == END, END, np.arange(2, len(word) + 2))
+    place = np.where(word == END, END, np.arange(2, len(word) + 2)).astype(np.int32)
     wide, order = np.flatnonzero(n > grain // 2), np.argsort(word)
     wide = wide[np.argsort(place[wide])]
-    return Layout(max(1, round(tokens / grain)), place[wide], 1 + 4 * n[wide] // grain, word[order], place[order])
+    return Layout(max(1, round(tokens / grain)), place[wide].astype(np.int64), 1 + 4 * n[wide] // grain, word[order], place[order])
 
 
 def _block(held: list[tuple], number: int, layout: Layout) -> Iterator[tuple]:
-    """(bucket, block, data) rows of some documents (id, is null, learn, codes): their triples by bucket, and themselves below 0."""
+    """(bucket, block, data) rows of some documents (id, is null, learn, codes): their triples by bucket, and themselves below 0; takes them out of ``held``."""
     lengths = np.array([len(h[3]) for h in held])
     ids, nulls, learn = (np.array([h[c] for h in held], dtype=kind) for c, kind in ((0, np.int64), (1, np.uint8), (2, np.int64)))
     yield -1 - number % layout.buckets, number, _bundle(ids, nulls, lengths.astype(np.int32))
-    codes, third = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True)
-    third = third.astype(np.int32)
+    said = np.concatenate([h[3] for h in held])
+    held.clear()
+    codes = np.unique(said)
+    third = np.searchsorted(codes, said).astype(np.int32)
+    del said
     end = int(np.searchsorted(codes, END))
-    doc = np.repeat(np.arange(len(held), dtype=np.int32), lengths)
+    doc = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
     first = np.cumsum(lengths) - lengths
     second, one = np.roll(third, 1), np.roll(third, 2)
     second[first] = one[first] = end
