@@ -5,7 +5,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from waymark.llm.packing import best_cuts, pack
+from waymark.llm.packing import Cuts, pack
 from waymark.llm.queries import op9_pack
 from waymark.llm.tokens import encoder
 
@@ -26,7 +26,15 @@ def test_best_cuts_brute_force(steps):
     fee = np.array([0.0] + [f for _, f in steps])
     n = len(at) - 1
     best = min(cost_of([0, *c, n], at, fee, 8) for k in range(n) for c in itertools.combinations(range(1, n), k))
-    assert cost_of(best_cuts(at, fee, 8), at, fee, 8) == best
+    index = {int(x): i for i, x in enumerate(at)}
+    for stretch in (1, 3, 20):
+        # settled early or late, the cuts are as good
+        cuts, found = Cuts(8), [0]
+        for i in range(1, n + 1, stretch):
+            cuts.add(at[i : i + stretch].tolist(), fee[i : i + stretch].tolist())
+            found += cuts.settled()[1:]
+        found += cuts.settled(ended=True)[1:]
+        assert cost_of([index[x] for x in found], at, fee, 8) == best
 
 
 def test_encoder_equals_tokenizer():

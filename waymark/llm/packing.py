@@ -8,10 +8,11 @@ plus penalties; as a window's padding is ``window - (end - start)``, the best
 start for an end is the least ``cost + position`` within reach, which a monotone
 queue gives in constant time.
 
-The stream is worked off in stretches of some hundred windows; what follows the
-cheapest cut near a stretch's end begins the next one. Each partition
-ends with one partly filled window, and no document is moved between partitions,
-so there is no shuffle.
+The program runs on along the stream. Now and then the ways back from all cuts that a
+next window could start at are followed until they meet; what lies before that cut
+is settled and goes out, so the result is the same however often that is done. Each
+partition ends with one partly filled window, and no document is moved between
+partitions, so there is no shuffle.
 
 Defined results: a null or empty text is its end id alone; null and repeated ids
 are documents like others; an empty table gives no rows; further columns are
@@ -33,84 +34,101 @@ from waymark.llm.tokens import encoder
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def best_cuts(positions: np.ndarray, penalties: np.ndarray, window: int, whole: bool = True) -> list[int]:
-    """Indices into ``positions`` of the cuts of least padding plus penalties.
+class Cuts:
+    """Cuts of least padding plus penalties along a stream of marks, places where it may be cut.
 
-    ``positions`` starts at 0, rises, and has no gap above ``window``. The cuts run
-    from 0 to the last position; unless ``whole``, to that of the least cost within
-    the last two windows, as more tokens will follow.
+    ``cost`` and ``before`` belong to the marks that aren't settled; the first of these is a
+    cut. Marks rise from 0 and no gap between them is above ``window``.
     """
-    at, fee = positions.tolist(), penalties.tolist()
-    cost, before = [0.0] * len(at), [0] * len(at)
-    queue: deque[tuple[float, int, int]] = deque([(0.0, 0, 0)])
-    for j in range(1, len(at)):
-        here = at[j]
-        while queue[0][1] < here - window:
-            queue.popleft()
-        least, _, before[j] = queue[0]
-        cost[j] = least + window - here + fee[j]
-        key = cost[j] + here
-        while queue and queue[-1][0] >= key:
-            queue.pop()
-        queue.append((key, here, j))
-    end = len(at) - 1
-    if not whole:
-        end = min((j for j in range(end, 0, -1) if at[j] > at[-1] - 2 * window), key=cost.__getitem__)
-    cuts = [end]
-    while cuts[-1]:
-        cuts.append(before[cuts[-1]])
-    return cuts[::-1]
+
+    def __init__(self, window: int):
+        self.window = window
+        self.at, self.cost, self.before = [0], [0.0], [0]
+        self.queue: deque[tuple[float, int, int]] = deque([(0.0, 0, 0)])
+
+    def add(self, marks: list[int], fees: list[float]) -> None:
+        window, queue, j = self.window, self.queue, len(self.at) - 1
+        at, cost, before = self.at.append, self.cost.append, self.before.append
+        for here, fee in zip(marks, fees, strict=True):
+            j += 1
+            reach = here - window
+            while queue[0][1] < reach:
+                queue.popleft()
+            least, _, k = queue[0]
+            total = least + window - here + fee
+            key = total + here
+            while queue and queue[-1][0] >= key:
+                queue.pop()
+            queue.append((key, here, j))
+            at(here)
+            cost(total)
+            before(k)
+
+    def settled(self, ended: bool = False) -> list[int]:
+        """The cuts that are certain, from the last one known; all of them if the stream has ended."""
+        heads = {len(self.at) - 1} if ended else {j for _, _, j in self.queue}
+        while len(heads) > 1:
+            last = max(heads)
+            heads.remove(last)
+            heads.add(self.before[last])
+        (j,) = heads
+        cuts = [j]
+        while cuts[-1]:
+            cuts.append(self.before[cuts[-1]])
+        found = [self.at[c] for c in reversed(cuts)]
+        self.at, self.cost, self.before = self.at[j:], self.cost[j:], [max(0, b - j) for b in self.before[j:]]
+        self.queue = deque((key, here, i - j) for key, here, i in self.queue if i >= j)
+        return found
 
 
 class Packer:
     """Packs a stream of documents; ``add`` and ``close`` return finished pieces."""
 
-    def __init__(self, window: int, sentence_end: np.ndarray, first_sequence: int, stretch: int = 128, sentence_fee: float = 2, inner_fee: float = 8, step: int = 32):
+    def __init__(self, window: int, sentence_end: np.ndarray, first_sequence: int, stretch: int = 64, sentence_fee: float = 2, inner_fee: float = 8, step: int = 32):
         self.window, self.sentence_end, self.sequence = window, sentence_end, first_sequence
         self.stretch, self.sentence_fee, self.inner_fee, self.step = stretch * window, sentence_fee, inner_fee, min(step, window)
-        self.held: list[tuple[object, int, int, np.ndarray]] = []  # doc_id, doc_tokens, start of what is left, its ids
-        self.tokens = 0
+        self.cuts = Cuts(window)
+        #: documents that aren't out yet: doc_id, place of the first id in the stream, ids
+        self.held: deque[tuple[object, int, np.ndarray]] = deque()
+        self.end, self.next = 0, self.stretch
+
+    def marks(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in a document where it may be cut, and their fees: its end, ends of sentences, and others where these are far."""
+        fee = np.full(len(ids) + 1, np.inf)
+        fee[1:][self.sentence_end[ids]] = self.sentence_fee
+        fee[0] = fee[-1] = 0
+        marks = np.flatnonzero(fee < np.inf)
+        for k in np.flatnonzero(np.diff(marks) > self.step):
+            fee[marks[k] + self.step : marks[k + 1] : self.step] = self.inner_fee
+        marks = np.flatnonzero(fee < np.inf)[1:]
+        return marks, fee[marks]
 
     def add(self, doc_id: object, ids: np.ndarray) -> list[tuple]:
-        self.held.append((doc_id, len(ids), 0, ids))
-        self.tokens += len(ids)
-        return self._cut(False) if self.tokens >= self.stretch else []
+        marks, fees = self.marks(ids)
+        self.cuts.add((marks + self.end).tolist(), fees.tolist())
+        self.held.append((doc_id, self.end, ids))
+        self.end += len(ids)
+        if self.end < self.next:
+            return []
+        self.next = self.end + self.stretch
+        return self._pieces(self.cuts.settled())
 
     def close(self) -> list[tuple]:
-        return self._cut(True) if self.held else []
-
-    def _cut(self, whole: bool) -> list[tuple]:
-        lengths = np.array([len(h[3]) for h in self.held])
-        ends = np.cumsum(lengths)
-        stream = np.concatenate([h[3] for h in self.held])
-        fee = np.full(len(stream) + 1, np.inf)
-        fee[1:][self.sentence_end[stream]] = self.sentence_fee
-        fee[ends] = 0
-        fee[0] = 0
-        marks = np.flatnonzero(fee < np.inf)
-        for k in np.flatnonzero(np.diff(marks) > self.step):
-            fee[marks[k] + self.step : marks[k + 1] : self.step] = self.inner_fee
-        marks = np.flatnonzero(fee < np.inf)
-        cuts = marks[best_cuts(marks, fee[marks], self.window, whole)]
-        pieces, k, begin = [], 0, 0
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        return self._pieces(self.cuts.settled(ended=True))
+
+    def _pieces(self, cuts: list[int]) -> list[tuple]:
+        pieces = []
+        for a, z in zip(cuts[:-1], cuts[1:], strict=True):
             offset = 0
-            while a < b:
-                doc_id, total, start, ids = self.held[k]
-                upto = min(b, ends[k])
-                part = ids[a - begin : upto - begin]
-                pieces.append((doc_id, start + a - begin, len(part), part.tobytes(), total, self.sequence, offset))
+            while a < z:
+                doc_id, first, ids = self.held[0]
+                part = ids[a - first : z - first]
+                pieces.append((doc_id, a - first, len(part), part.tobytes(), len(ids), self.sequence, offset))
                 offset += len(part)
-                a = upto
-                if upto == ends[k]:
-                    k, begin = k + 1, ends[k]
+                a += len(part)
+                if a == first + len(ids):
+                    self.held.popleft()
             self.sequence += 1
-        done = cuts[-1]
-        rest = self.held[k:]
-        if rest and done > begin:
-            doc_id, total, start, ids = rest[0]
-            rest[0] = (doc_id, total, start + done - begin, ids[done - begin :])
-        self.held, self.tokens = rest, int(len(stream) - done)
         return pieces
 
 

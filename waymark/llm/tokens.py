@@ -6,6 +6,8 @@ import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -18,8 +20,7 @@ class ChunkEncoder:
     bounded size and unknown ones are encoded together.
     """
 
-    MOST = 1_000_000
-    _TAIL = ".,!?;:"
+    MOST = 250_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,54 +34,58 @@ class ChunkEncoder:
             if token.endswith("</w>"):
                 self.closes[i] = True
                 self.sentence_end[i] = token[-5:-4] in (".", "!", "?")
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = [t.content for t in added.values()]
+        self.mark_id, self.mark = next((i, t.content) for i, t in added.items() if t.special and not (t.lstrip or t.rstrip))
         self.cache: dict[str, bytes] = {"": b""}
 
-    def encode(self, texts: Iterable[str], chars: int = 1_000_000) -> Iterator[np.ndarray]:
+    def encode(self, texts: Iterable[str], chars: int = 2_000_000) -> Iterator[np.ndarray]:
         """uint32 ids of each text, in order."""
-        held: list[list[str]] = []
+        held: list[str] = []
         size = 0
         for text in texts:
-            low = text if "Σ" in text else text.lower()
-            held.append(low.replace("\n", " ").split(" "))
+            held.append((text if "Σ" in text else text.lower()).replace("\n", " "))
             size += len(text)
             if size >= chars:
                 yield from self._flush(held)
                 held, size = [], 0
-        yield from self._flush(held)
+        if held:
+            yield from self._flush(held)
 
-    def _flush(self, held: list[list[str]]) -> Iterator[np.ndarray]:
+    def _flush(self, held: list[str]) -> Iterator[np.ndarray]:
         if len(self.cache) > self.MOST:
             self.cache = {"": b""}
-        self._learn(set().union(*held) - self.cache.keys())
-        get = self.cache.__getitem__
-        for chunks in held:
-            yield np.frombuffer(b"".join(map(get, chunks)), dtype="<u4")
-
-    def _learn(self, chunks: set[str]) -> None:
-        words, tails, other = {}, {}, {}
-        for chunk in chunks:
-            word = chunk.rstrip(self._TAIL)
-            if word.lower().isalpha():
-                words[word] = None
-                if len(word) < len(chunk):
-                    tails[chunk] = word
-            else:
-                other[chunk] = None
-        words = [w for w in words if w not in self.cache]
-        if words:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) == len(words) and ends[-1] == len(ids):
-                for word, piece in zip(words, np.split(ids, ends[:-1]), strict=True):
-                    self.cache[word] = piece.tobytes()
-            else:
-                other |= dict.fromkeys(words)
-        other |= dict.fromkeys(x for c, w in tails.items() if (x := c[len(w) :]) not in self.cache)
-        rest = list(other)
-        for chunk, code in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+        lists = pc.split_pattern(pa.array(held, pa.large_string()), " ")
+        coded = lists.values.dictionary_encode()
+        chunks, turn, bounds = coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
+        self._learn([c for c in chunks if c not in self.cache])
+        pieces = list(map(self.cache.__getitem__, chunks))
+        size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
+        known = np.frombuffer(b"".join(pieces), dtype="<u4")
+        first, n = (np.cumsum(size) - size)[turn], size[turn]
+        ends = np.cumsum(n)
+        ids = known[np.repeat(first - (ends - n), n) + np.arange(ends[-1])]
+        ends = np.append(0, ends)[bounds]
+        for a, z in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            yield ids[a:z]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode unknown chunks together, a special token between them: it keeps them apart and shows where each ends."""
+        joined, other = "\n".join(chunks), []
+        for x in self.special:
+            if x in joined:
+                other += [c for c in chunks if x in c]
+        plain = [c for c in chunks if c not in set(other)] if other else chunks
+        if plain:
+            code = self.tokenizer.encode_batch_fast([self.mark.join(plain) + self.mark], add_special_tokens=False)[0]
+            ids = np.array(code.ids, dtype="<u4")
+            ends = np.flatnonzero(ids == self.mark_id)
+            data, at = ids.tobytes(), 0
+            for chunk, end in zip(plain, (4 * ends).tolist(), strict=True):
+                self.cache[chunk] = data[at:end]
+                at = end + 4
+        for chunk, code in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
             self.cache[chunk] = np.array(code.ids, dtype="<u4").tobytes()
-        for chunk, word in tails.items():
-            self.cache[chunk] = self.cache[word] + self.cache[chunk[len(word) :]]
 
 
 _encoders: dict[str, ChunkEncoder] = {}
