@@ -72,3 +72,11 @@ def test_plan_runs_no_python(spark):
     df = spark.createDataFrame([(1, "a", 0, "")], SCHEMA)
     plan = dedup_lines(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_clashing_names(spark):
+    names = ["row", "kept", "lines", "blank", "bucket", "_row", "_kept", "_lines", "_blank", "_bucket", "id", "at", "line", "n", "halves", "key", "place", "words"]
+    df = spark.createDataFrame([(1, "a\nb\na", *range(len(names))), (2, "b\nc", *range(len(names)))], ["doc_id", "text", *names])
+    got = dedup_lines(df)
+    assert got.columns == df.columns
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a\nb", *range(len(names))), (2, "c", *range(len(names)))]

@@ -119,3 +119,14 @@ def test_hot_template(spark):
 
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_clashing_names(spark):
+    names = ["class_id", "class_size", "is_first", "row", "node", "link", "first", "size", "able", "component", "n", "_n", "_able", "u", "v", "key", "Text_", "_class_id"]
+    docs = [(1, "one two three four five six"), (2, "one two three four five six"), (3, "other words here")]
+    df = spark.createDataFrame([(*d, *range(len(names))) for d in docs], ["doc_id", "text", *names])
+    got = near_duplicates(df)
+    assert got.columns[: len(df.columns)] == df.columns and len(got.columns) == len(df.columns) + 3
+    rows = sorted(tuple(r) for r in got.collect())
+    assert [r[-3:] for r in rows] == [(1, 2, True), (1, 2, False), (3, 1, True)]
+    assert all(r[2:-3] == tuple(range(len(names))) for r in rows)

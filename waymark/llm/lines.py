@@ -105,10 +105,11 @@ def _among(rows: DataFrame, keys: DataFrame, columns: list[str]) -> tuple[DataFr
     The broadcast holds hashes of the keys modulo ``_BUCKETS``, so its size is bounded;
     when most buckets are taken, more rows only go through the join that follows.
     """
-    bucket = F.pmod(F.xxhash64(*columns), F.lit(_BUCKETS)).alias("_bucket")
+    (name,) = free_name(rows, "bucket")
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(_BUCKETS)).alias(name)
     taken = F.broadcast(keys.select(bucket).distinct())
-    marked = rows.withColumn("_bucket", bucket)
-    return marked.join(taken, "_bucket", "left_semi").drop("_bucket"), marked.join(taken, "_bucket", "left_anti").drop("_bucket")
+    marked = rows.withColumn(name, bucket)
+    return marked.join(taken, name, "left_semi").drop(name), marked.join(taken, name, "left_anti").drop(name)
 
 
 def _near(distinct: DataFrame, lines: DataFrame) -> DataFrame:
@@ -144,7 +145,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     ``docs`` should be a table or another plan that gives the same rows when it is read
     again.
     """
-    row, kept_at = free_name(docs, "row", "kept")
+    row, kept_at, own, blank_at = free_name(docs, "row", "kept", "lines", "blank")
     rows = docs.withColumn(row, F.monotonically_increasing_id())
     split = F.split("text", "\n", -1)
     lines = rows.where("text is not null").select(F.col(row).alias("row"), F.col("doc_id").alias("id"), F.posexplode(split).alias("at", "line"))
@@ -163,8 +164,8 @@ def dedup_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     able, rest = _among(rows, changed, [row])
     able = able.join(changed, row, "left")
     blank = F.filter(F.transform(split, lambda x, i: F.when(F.trim(x) == "", i)), lambda i: i.isNotNull())
-    order = F.array_sort(F.concat(F.col(kept_at), F.col("_blank")))
-    text = F.array_join(F.transform(order, lambda i: F.get(F.col("_lines"), i)), "\n")
-    able = able.withColumns({"_lines": split, "_blank": blank})
+    order = F.array_sort(F.concat(F.col(kept_at), F.col(blank_at)))
+    text = F.array_join(F.transform(order, lambda i: F.get(F.col(own), i)), "\n")
+    able = able.withColumns({own: split, blank_at: blank})
     able = able.withColumn("text", F.when(F.col(kept_at).isNull(), F.col("text")).otherwise(text))
     return rest.select(*docs.columns).unionByName(able.select(*docs.columns))

@@ -301,24 +301,23 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
 
     class_id is the doc_id of the class's first document, which has the least doc_id.
     """
-    class_id, class_size, is_first, row, node = free_name(docs, "class_id", "class_size", "is_first", "row", "node")
+    class_id, class_size, is_first, row, node, link, first, size, able = free_name(docs, "class_id", "class_size", "is_first", "row", "node", "link", "first", "size", "able")
     rows = docs.withColumn(row, F.monotonically_increasing_id())
     rows = rows.withColumn(node, F.coalesce(_node(), F.concat(F.lit("null").cast("binary"), F.col(row).cast("string").cast("binary"))))
     linked = near_duplicate_links(docs, similarity)
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
-    copies = rows.groupBy(node).agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    copies = copies.join(linked.withColumnRenamed("node", node), node, "left").withColumn("component", F.coalesce("component", node))
-    classes = copies.groupBy("component").agg(F.min("first").alias("first"), F.sum("n").alias("size")).where("size > 1")
-    found = checkpointed(copies.select(node, "component").join(classes, "component").select(F.col(node).alias("_n"), "first", "size"))
-    able = maybe_in(F.col(node), found)
-    flagged = rows.withColumn("_able", able)
-    alone = flagged.where("not _able").select(*docs.columns, F.col("doc_id").alias(class_id), F.lit(1).cast("long").alias(class_size), F.lit(True).alias(is_first))
-    joined = flagged.where("_able").join(found, F.col(node) == F.col("_n"), "left")
-    in_class = F.col("size").isNotNull()
+    copies = rows.groupBy(F.col(node).alias("node")).agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    copies = copies.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    classes = copies.groupBy("component").agg(F.min("first").alias(first), F.sum("n").alias(size)).where(F.col(size) > 1)
+    found = checkpointed(copies.select(F.col("node").alias(link), "component").join(classes, "component").select(link, first, size))
+    flagged = rows.withColumn(able, maybe_in(F.col(node), found))
+    alone = flagged.where(~F.col(able)).select(*docs.columns, F.col("doc_id").alias(class_id), F.lit(1).cast("long").alias(class_size), F.lit(True).alias(is_first))
+    joined = flagged.where(F.col(able)).join(found, F.col(node) == F.col(link), "left")
+    in_class = F.col(size).isNotNull()
     joined = joined.select(
         *docs.columns,
-        F.when(in_class, F.col("first.id")).otherwise(F.col("doc_id")).alias(class_id),
-        F.coalesce("size", F.lit(1)).cast("long").alias(class_size),
-        F.when(in_class, F.col("first.row") == F.col(row)).otherwise(True).alias(is_first),
+        F.when(in_class, F.col(f"{first}.id")).otherwise(F.col("doc_id")).alias(class_id),
+        F.coalesce(size, F.lit(1)).cast("long").alias(class_size),
+        F.when(in_class, F.col(f"{first}.row") == F.col(row)).otherwise(True).alias(is_first),
     )
     return alone.unionByName(joined)

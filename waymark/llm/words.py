@@ -15,7 +15,7 @@ SHINGLE = 5
 class WordCodes(dict):
     """Codes of the words of each white-space separated chunk, as bytes, filled on demand and of bounded size."""
 
-    MOST = 500_000
+    MOST = 150_000
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) > self.MOST:
