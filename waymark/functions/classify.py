@@ -10,8 +10,10 @@ from waymark.functions.scalars import as_int, is_true, mapping, parse_route_id,
 # Route numbers of interstates and of U.S. routes, route suffixes and function types.
 INTERSTATE_NUMBERS = {401: 75, 402: 20, 403: 85, 404: 16, 405: 95, 406: 59, 407: 285, 408: 475, 409: 24, 411: 185, 413: 675, 415: 520, 417: 575, 419: 985, 421: 516}
 US_NUMBERS = [
-    *range(1, 34), 35, 38, 39, *range(41, 48), 49, 50, 52, 53, 54, 56, 58, 60, 61, 67, 70, 73, 76, 77, 78, 80, 82, 85, 87, 89, 97, 98, 105, 107, 109,
-    112, 116, 117, 121, 127, 135, 150, 154, 155, 171, 193, 197, 247, 253, 272, 282, 316, 334, 369, 385, 400, 401, 402, 404, 407, 410, 419, 421, 422, 515, 520, 540,
+    1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25,
+    26, 27, 28, 29, 30, 31, 32, 33, 35, 38, 39, 41, 42, 43, 44, 45, 46, 47, 49, 50, 52, 53, 54, 56, 58,
+    60, 61, 67, 70, 73, 76, 77, 78, 80, 82, 85, 87, 89, 97, 98, 105, 107, 109, 112, 116, 117, 121, 127, 135, 150,
+    154, 155, 171, 193, 197, 247, 253, 272, 282, 316, 334, 369, 385, 400, 401, 402, 404, 407, 410, 419, 421, 422, 515, 520, 540,
 ]
 SUFFIX_LABELS = {
     "AL": "Alternate", "BU": "Business", "BY": "Bypass", "CO": "Connector", "EA": "East", "EC": "East Connector", "LO": "Loop", "NO": "North",
@@ -182,41 +184,54 @@ def with_highway_names(segments: DataFrame) -> DataFrame:
 
 
 def source_agreement(state: Column, hpms: Column) -> Column:
-    """Whether two counts agree: within 200 vehicles or 15 percent of the larger."""
-    gap = F.abs(state - hpms)
-    agree = (gap <= 200) | (F.try_divide(gap, F.greatest(state, hpms)) <= 0.15)
+    """Whether two counts agree: within 200 vehicles or 15 percent of the state's."""
+    gap = F.abs(hpms - state)
+    agree = F.coalesce((gap <= 200) | (F.try_divide(gap, F.abs(state)) <= 0.15), F.lit(False))
     return F.when(state.isNull() & hpms.isNull(), "missing").when(hpms.isNull(), "state_only").when(state.isNull(), "hpms_only").when(agree, "both_agree").otherwise("both_disagree")
 
 
-def confidence_tier(agreement: Column, source: Column) -> Column:
-    """missing, then low (derived or disagreeing), then high (agreeing or official), else medium."""
+# Sources of values that are derived and not published.
+DERIVED_SOURCES = ("direction_mirror", "analytical_gap_fill", "nearest_neighbor")
+
+
+def confidence_tier(agreement: Column, source: Column, statistics: Column) -> Column:
+    """missing by source; then low (derived or disagreeing); then high (Actual or agreeing); then medium, as is all else."""
     return (
-        F.when(agreement == "missing", "missing")
-        .when((agreement == "both_disagree") | source.isin("direction_mirror", "interpolated", "nearest"), "low")
-        .when((agreement == "both_agree") | (source == "official_exact"), "high")
+        F.when(source == "missing", "missing")
+        .when(F.coalesce(source.isin(*DERIVED_SOURCES), F.lit(False)) | F.coalesce(agreement == "both_disagree", F.lit(False)), "low")
+        .when(F.coalesce(F.trim(statistics) == "Actual", F.lit(False)) | F.coalesce(agreement == "both_agree", F.lit(False)), "high")
         .otherwise("medium")
     )
 
 
-def priority_tier(c=F.col) -> Column:
-    """Struct tier and reasons of a segment: the first of Critical, High and Medium with a reason, else Low."""
-    fc, nhs = as_int(c("FUNCTIONAL_CLASS")), as_int(c("NHS_IND"))
-    stra, nhfn, aadt = as_int(c("STRAHNET")), as_int(c("NHFN")), c("AADT").cast("double")
+def priority_tier(columns: list[str]) -> Column:
+    """Struct tier and reasons of a segment: the first of Critical, High and Medium with a reason, else Low with its own.
+
+    ``columns`` are those of the table; rules on others find null there.
+    """
+
+    def c(name: str) -> Column:
+        return F.col(name) if name in columns else F.lit(None)
+
+    fc, nhs, lanes = as_int(c("FUNCTIONAL_CLASS")), as_int(c("NHS_IND")), as_int(c("THROUGH_LANES"))
+    stra, nhfn = as_int(c("STRAHNET")), as_int(c("NHFN"))
+    aadt = F.coalesce(*[c(n).cast("double") for n in ("AADT_2024", "AADT_2024_OFFICIAL", "AADT_2024_HPMS", "AADT")])
     busy = F.coalesce(aadt > AADT_THRESHOLD, F.lit(False))
     on_nhs = F.coalesce(nhs >= 1, F.lit(False))
-    us = is_true(c("SIGNED_US_ROUTE_FLAG")) | F.coalesce(F.trim(c("ROUTE_TYPE_GDOT")) == "US", F.lit(False))
+    us = is_true(c("SIGNED_US_ROUTE_FLAG")) | F.coalesce(F.trim(c("ROUTE_TYPE_GDOT").cast("string")) == "US", F.lit(False))
     evacuation = is_true(c("SEC_EVAC"))
 
     def reasons(*pairs: tuple[Column, str]) -> Column:
         return F.array_compact(F.array(*[F.when(test, F.lit(text)) for test, text in pairs]))
 
     critical = reasons(
-        ((fc == 1) | is_true(c("SIGNED_INTERSTATE_FLAG")), "Interstate"),
+        (F.coalesce(fc == 1, F.lit(False)) | is_true(c("SIGNED_INTERSTATE_FLAG")), "Interstate"),
         (nhfn != 0, "National freight corridor (NHFN)"),
         (stra.isin(1, 2), "State freight corridor (STRAHNET)"),
         (nhs.between(2, 9), "Intermodal connector (NHS)"),
     )
     high = reasons(
+        (stra.isin(1, 2), "STRAHNET"),
         (on_nhs & busy, "NHS principal arterial (AADT > 3,000)"),
         (us, "US route"),
         (is_true(c("IS_GRIP_CORRIDOR")), "GRIP corridor"),
@@ -225,10 +240,19 @@ def priority_tier(c=F.col) -> Column:
         (is_true(c("IS_SOLE_COUNTY_SEAT_CONNECTION")), "Sole county-seat connection"),
         (busy & ~on_nhs, "AADT > 3,000 (non-NHS)"),
     )
-    medium = reasons((evacuation | is_true(c("SEC_EVAC_CONTRAFLOW")), "Hurricane evacuation route"), (on_nhs & ~busy, "NHS with AADT <= 3,000"))
-    tiers = ((critical, "Critical"), (high, "High"), (medium, "Medium"))
-    tier, why = F.lit("Low"), F.lit("")
-    for found, name in reversed(tiers):
+    medium = reasons(
+        (evacuation | is_true(c("SEC_EVAC_CONTRAFLOW")), "Hurricane evacuation route"),
+        (on_nhs & ~busy, "NHS with AADT <= 3,000"),
+        (us & (lanes >= 4), "US highway with 4+ lanes"),
+    )
+    low = reasons(
+        (aadt < AADT_THRESHOLD, "AADT < 3,000"),
+        (c("SPEED_LIMIT").cast("double") < 35, "Speed limit < 35 mph"),
+        (c("segment_length_mi").cast("double") < 5, "Segment < 5 mi"),
+    )
+    tier = F.lit("Low")
+    why = F.when(F.size(low) > 0, F.array_join(low, " | ")).otherwise("Default (no higher criteria met)")
+    for found, name in ((medium, "Medium"), (high, "High"), (critical, "Critical")):
         tier = F.when(F.size(found) > 0, name).otherwise(tier)
         why = F.when(F.size(found) > 0, F.array_join(found, " | ")).otherwise(why)
     return F.struct(tier.alias("tier"), why.alias("reasons"))
@@ -249,11 +273,16 @@ def corridor_flag(segments: DataFrame, corridors: DataFrame) -> DataFrame:
 def repeated_value_flag(df: DataFrame, value: str, least: int, flag: str, classes: tuple[int, ...] | None = None, fc: str = "FUNCTIONAL_CLASS") -> DataFrame:
     """1 where a value occurs ``least`` times or more within its functional class (of ``classes``, if given), else 0; null without a value.
 
-    With least 500 and classes (6, 7) the flag of synthetic defaults, with 101 that of hard outliers.
+    With least 500 and classes (6, 7) the flag of synthetic defaults, with 101 that of hard
+    outliers. Values are counted with partial sums and joined back, so a value that a third
+    of all rows have doesn't meet in one task: the frequent (class, value) pairs are few
+    (rows / ``least`` at most), and adaptive execution broadcasts or splits that join.
     """
-    n = F.count("*").over(Window.partitionBy(fc, value))
+    many = df.where(F.col(value).isNotNull()).groupBy(F.col(fc).alias("_fc"), F.col(value).alias("_value")).agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
+    told = df.join(many.drop("_n").withColumn("_many", F.lit(True)), F.col(fc).eqNullSafe(F.col("_fc")) & (F.col(value) == F.col("_value")), "left")
     inside = F.coalesce(F.col(fc).isin(*classes), F.lit(False)) if classes else F.lit(True)
-    return df.withColumn(flag, F.when(F.col(value).isNotNull(), ((n >= least) & inside).cast("int")))
+    new = F.when(F.col(value).isNotNull(), (F.coalesce("_many", F.lit(False)) & inside).cast("int"))
+    return told.withColumn(flag, new).drop("_fc", "_value", "_many")
 
 
 def hard_outlier_flag(df: DataFrame, year: int) -> DataFrame:
@@ -265,3 +294,37 @@ def hard_outlier_flag(df: DataFrame, year: int) -> DataFrame:
 
 def resolver_confidence(margin: Column) -> Column:
     return F.when(margin > 0.10, "high").when(margin > 0.05, "medium").otherwise("low")
+
+
+def _any_designation(designations: Column, test) -> Column:
+    return F.coalesce(F.exists(designations, lambda s: F.coalesce(test(s), F.lit(False))), F.lit(False))
+
+
+def evacuation_prefilter(designations: Column, columns: list[str]) -> Column:
+    """Whether a segment may match a corridor of these designations: county roads and city streets only if they are named themselves."""
+    if "ROUTE_TYPE_GDOT" not in columns:
+        return F.lit(True)
+    kind = F.col("ROUTE_TYPE_GDOT")
+    local = F.coalesce(kind.isin("CR", "CS"), F.lit(False))
+    if "BASE_ROUTE_NUMBER" not in columns:
+        return ~local
+    named = _any_designation(designations, lambda s: s["type"].isin("CR", "CS") & (kind == s["type"]) & (F.col("BASE_ROUTE_NUMBER") == s["number"]))
+    return ~local | named
+
+
+def designation_match(designations: Column, columns: list[str]) -> Column:
+    """Whether a segment is one of the designated routes: interstates by highway name, others by type (or that of the suffix) and number."""
+    short = mapping({"Spur": "SP", "Business": "BU", "Connector": "CN", "Bypass": "BY", "Loop": "LP", "Alternate": "AL"})
+    found = F.lit(False)
+    if "HWY_NAME" in columns:
+        name = F.col("HWY_NAME")
+        found = found | _any_designation(
+            designations,
+            lambda s: (s["type"] == "I") & F.startswith(name, F.concat(F.lit("I-"), s["number"].cast("string"))) & (s["suffix"].isNull() | F.contains(F.upper(name), F.upper(s["suffix"]))),
+        )
+    if "ROUTE_TYPE_GDOT" in columns and "BASE_ROUTE_NUMBER" in columns:
+        kind = F.col("ROUTE_TYPE_GDOT")
+        found = found | _any_designation(
+            designations, lambda s: (s["type"] != "I") & ((kind == s["type"]) | F.coalesce(kind == F.try_element_at(short, s["suffix"]), F.lit(False))) & (F.col("BASE_ROUTE_NUMBER") == s["number"])
+        )
+    return found

@@ -72,6 +72,11 @@ def decode_label(code: Column, labels: dict[str, str], pad: int = 0) -> Column:
     return F.coalesce(*[F.try_element_at(table, k) for k in (text, F.upper(text), number)])
 
 
+def geometry_wins_label(existing: Column, decoded: Column) -> Column:
+    """Struct label and diverges: the label by geometry, else the decoded one; whether both are there and differ."""
+    return F.struct(F.coalesce(existing, decoded).alias("label"), F.coalesce(existing != decoded, F.lit(False)).alias("diverges"))
+
+
 def percent(part: Column, whole: Column, digits: int | None = None) -> Column:
     """100 part / whole; null unless whole is positive."""
     x = F.when(whole > 0, 100.0 * part / whole)
@@ -125,21 +130,35 @@ def null_bad_coordinates(lat: Column, lon: Column) -> Column:
     return F.struct(F.when(~F.coalesce(bad, F.lit(False)), lat).alias("lat"), F.when(~F.coalesce(bad, F.lit(False)), lon).alias("lon"))
 
 
+# What is taken out of road names, in this order.
+ROAD_NAME_PATTERNS = ((r"\*+", ""), (r"\n", " "), (r"SCHOOL\s*ZONE", ""), (r"\(.*?\)", ""), (r"/.*$", ""), (r"[.\-,'\"]", " "), (r"\s+", " "))
+
+
 def normalize_road_name(x: Column) -> Column:
     """Upper case without school-zone notes, brackets, alternatives after a slash and punctuation, with short road words; null is empty."""
     s = F.rtrim(F.upper(F.trim(F.coalesce(x, F.lit("")))), F.lit(";"))
-    for pattern, by in ((r"\*+", ""), (r"\n", " "), (r"SCHOOL\s*ZONE", ""), (r"\(.*?\)", ""), (r"/.*$", ""), (r"[.\-,'\"]", " "), (r"\s+", " ")):
+    for pattern, by in ROAD_NAME_PATTERNS:
         s = F.regexp_replace(s, pattern, by)
     words = F.split(F.trim(s), " ")
     return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(mapping(ROAD_WORDS), w), w)), " ")
 
 
-def rclink_candidates(route_id: Column) -> Column:
-    """One or two ten-character reference keys of a route id: county, number, suffix; the second with a blank suffix as 00."""
-    r = parse_route_id(route_id)
-    first = F.concat(r["county"], F.lpad(F.substring(r["route_number"], 2, 5), 5, "0"), r["suffix"])
-    second = F.concat(r["county"], F.lpad(F.substring(r["route_number"], 2, 5), 5, "0"), F.lit("00"))
-    return F.when(F.length(route_id) >= 13, F.array_distinct(F.array(first, second))).otherwise(F.array().cast("array<string>"))
+def rclink_candidates(route_id: Column, function_type: Column | None = None, system_code: Column | None = None) -> Column:
+    """One or two ten-character reference keys of a route id: county, system, four digits, suffix.
+
+    The digits are the last four of the route number, or the last three with a zero before
+    them for function types 2 to 4. On the state system a second key has county 000.
+    Ids of fewer than 13 characters and ids without digits have none.
+    """
+    x = F.upper(F.trim(F.coalesce(route_id, F.lit(""))))
+    r = parse_route_id(x)
+    kind = F.coalesce(clean_text(function_type) if function_type is not None else F.lit(None), r["function_type"])
+    system = F.coalesce(clean_text(system_code) if system_code is not None else F.lit(None), r["system_code"])
+    digits = F.regexp_replace(r["route_number"], "[^0-9]", "")
+    number = F.lpad(F.when(kind.isin("2", "3", "4"), F.right(digits, F.lit(3))).otherwise(F.right(digits, F.lit(4))), 4, "0")
+    rest = F.upper(F.concat(system, number, r["suffix"]))
+    keys = F.array_compact(F.array(F.concat(r["county"], rest), F.when((system == "1") & (r["county"] != "000"), F.concat(F.lit("000"), rest))))
+    return F.when((F.length(x) >= 13) & (digits != ""), F.array_distinct(keys)).otherwise(F.array().cast("array<string>"))
 
 
 # Patterns of route designations, the first that matches counts.
@@ -158,24 +177,35 @@ def route_number_of_name(x: Column) -> Column:
     return F.coalesce(*[F.nullif(F.regexp_extract(x, p, 1), F.lit("")) for p in NUMBER_PATTERNS]).cast("int")
 
 
-def route_designations(x: Column) -> Column:
-    """array<struct<type, number, suffix>> of the designations, such as ``US 27 BUS / SR 1``, in a name."""
-    pattern = r"^\s*(I|INTERSTATE|US|SR|CR)[\s-]*(\d{1,4})\s*(\w*)"
+# A designation, and the short forms of its suffixes; directions are no suffix.
+DESIGNATION = r"(?i)(I|Interstate|US|SR|CR)\s*-?\s*(\d+)(?:\s+(North|South|East|West|Spur|Business|Connector|Bypass|Loop|Alternate))?"
+SUFFIX_SHORT = {"SPUR": "SPUR", "BUSINESS": "BUS", "CONNECTOR": "CONN", "BYPASS": "BYP", "LOOP": "LOOP", "ALTERNATE": "ALT"}
 
-    def one(p: Column) -> Column:
-        kind = F.regexp_extract(p, pattern, 1)
-        kind = F.when(kind == "INTERSTATE", "I").otherwise(kind)
-        return F.struct(kind.alias("type"), F.nullif(F.regexp_extract(p, pattern, 2), F.lit("")).cast("int").alias("number"), F.nullif(F.regexp_extract(p, pattern, 3), F.lit("")).alias("suffix"))
 
-    return F.filter(F.transform(F.split(F.upper(x), "/"), one), lambda s: s["number"].isNotNull())
+def _designations(x: Column) -> Column:
+    """array<struct<type, digits, suffix>> of the first designation in each part of a name between slashes; suffix in upper case."""
+    plain = F.trim(F.regexp_replace(x, r"\s+", " "))
+
+    def one(part: Column) -> Column:
+        part = F.trim(part)
+        kind = F.upper(F.regexp_extract(part, DESIGNATION, 1))
+        suffix = F.upper(F.regexp_extract(part, DESIGNATION, 3))
+        return F.struct(
+            F.when(kind == "INTERSTATE", "I").otherwise(kind).alias("type"), F.regexp_extract(part, DESIGNATION, 2).alias("digits"), F.when(suffix.isin(*SUFFIX_SHORT), suffix).alias("suffix")
+        )
+
+    found = F.filter(F.transform(F.split(plain, "/"), one), lambda s: s["digits"] != "")
+    return F.coalesce(found, F.array().cast("array<struct<type:string,digits:string,suffix:string>>"))
+
+
+def route_designations(x: Column) -> Column:
+    """array<struct<type, number, suffix>> of the designations, such as ``US 27 Business/SR 1``, in a name; empty if there is none."""
+    return F.transform(_designations(x), lambda s: F.struct(s["type"].alias("type"), s["digits"].try_cast("int").alias("number"), F.initcap(s["suffix"]).alias("suffix")))
 
 
 def corridor_prefixes(x: Column) -> Column:
     """Names such as ``SR-1`` and ``US-27 BUS`` of the designations in a name."""
-    short = mapping({"BUSINESS": "BUS", "BYPASS": "BYP", "CONNECTOR": "CONN", "SPUR": "SPUR", "LOOP": "LOOP", "ALTERNATE": "ALT"})
-    return F.array_distinct(
-        F.transform(route_designations(x), lambda s: F.concat_ws(" ", F.concat_ws("-", s["type"], s["number"]), F.coalesce(F.try_element_at(short, s["suffix"]), s["suffix"])))
-    )
+    return F.transform(_designations(x), lambda s: F.concat_ws(" ", F.concat_ws("-", s["type"], s["digits"]), F.try_element_at(mapping(SUFFIX_SHORT), s["suffix"])))
 
 
 def expected_family(x: Column) -> Column:

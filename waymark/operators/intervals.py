@@ -158,27 +158,33 @@ def gap_runs(segments: DataFrame, covered: Column, route: str = "ROUTE_ID") -> D
     return runs.withColumn("strategy", F.when(both, "interpolate").when(F.col("has_before") | F.col("has_after"), "extend").otherwise("none"))
 
 
+def _ordered(route: str) -> tuple[Window, Window, Window]:
+    """The order along a route, all rows before in it, and all rows behind (as rows before in the reversed order, which Spark works off in one pass)."""
+    w = Window.partitionBy(route).orderBy("from_mp", "to_mp")
+    back = Window.partitionBy(route).orderBy(F.desc("from_mp"), F.desc("to_mp"))
+    return w, w.rowsBetween(Window.unboundedPreceding, -1), back.rowsBetween(Window.unboundedPreceding, -1)
+
+
 def interpolate_gaps(segments: DataFrame, value: str, official: Column, route: str = "ROUTE_ID", longest: float = 5.0) -> DataFrame:
-    """Fill runs of null values up to ``longest`` between official values, linearly at the midpoint; ``interpolated`` says which.
+    """Fill runs of rows without official value, up to ``longest`` in all, between two that have one; ``interpolated`` says which.
 
-    The share along the gap is clipped to 0 to 1 (0.5 if the gap has no length); results
-    are rounded half to even.
+    ``official`` says whether a row's value is one. The rows beside a run are the next
+    ones in order, whether or not they touch it. A row takes the value at its midpoint on
+    the straight line from the end of the row before to the begin of the row after, clipped
+    to that span (its middle if it has no length), rounded half to even.
     """
-    w = Window.partitionBy(route).orderBy("from_mp", "to_mp")
-    past, ahead = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
-    known = F.when(official & F.col(value).isNotNull(), F.struct(F.col(value).cast("double").alias("v"), F.col("from_mp").alias("b"), F.col("to_mp").alias("e")))
-    gap = F.col(value).isNull()
-    told = segments.withColumns({"_known": known, "_gap": gap})
-    told = told.withColumns({"_p": F.last("_known", ignorenulls=True).over(past), "_n": F.first("_known", ignorenulls=True).over(ahead)})
+    w, past, ahead = _ordered(route)
+    on = official & F.col(value).isNotNull()
+    known = F.when(on, F.struct(F.col(value).cast("double").alias("v"), F.col("from_mp").alias("b"), F.col("to_mp").alias("e")))
+    told = segments.withColumns({"_known": known, "_gap": ~F.coalesce(on, F.lit(False))})
+    told = told.withColumns({"_p": F.last("_known", ignorenulls=True).over(past), "_n": F.last("_known", ignorenulls=True).over(ahead)})
     told = told.withColumn("_run", F.sum((F.col("_gap") != F.coalesce(F.lag("_gap").over(w), ~F.col("_gap"))).cast("int")).over(w))
-    run = Window.partitionBy(route, "_run")
-    told = told.withColumns({"_length": F.sum(F.col("to_mp") - F.col("from_mp")).over(run)})
-    # the values beside the run itself have to be the official ones
-    touching = (F.abs(F.min("from_mp").over(run) - F.col("_p.e")) <= EPSILON) & (F.abs(F.col("_n.b") - F.max("to_mp").over(run)) <= EPSILON)
+    told = told.withColumn("_length", F.sum(F.col("to_mp") - F.col("from_mp")).over(Window.partitionBy(route, "_run")))
     span = F.col("_n.b") - F.col("_p.e")
     share = F.when(span <= EPSILON, 0.5).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), ((F.col("from_mp") + F.col("to_mp")) / 2 - F.col("_p.e")) / span)))
     new = F.bround(F.col("_p.v") + share * (F.col("_n.v") - F.col("_p.v"))).cast("bigint")
-    told = told.withColumn("interpolated", F.coalesce(F.col("_gap") & (F.col("_length") <= longest) & touching, F.lit(False)))
+    bracketed = F.col("_p").isNotNull() & F.col("_n").isNotNull()
+    told = told.withColumn("interpolated", F.coalesce(F.col("_gap") & (F.col("_length") <= longest) & bracketed, F.lit(False)))
     return told.withColumn(value, F.when(F.col("interpolated"), new).otherwise(F.col(value).cast("bigint"))).drop("_known", "_gap", "_p", "_n", "_run", "_length")
 
 
@@ -188,10 +194,10 @@ def nearest_on_route(segments: DataFrame, value: str, route: str = "ROUTE_ID", f
     As-of in both directions over the ordered route, without a self-join.
     """
     middle = (F.col("from_mp") + F.col("to_mp")) / 2
-    w = Window.partitionBy(route).orderBy("from_mp", "to_mp")
+    _, past, ahead = _ordered(route)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), F.col("_middle").alias("m")))
     told = segments.withColumn("_middle", middle).withColumn("_known", known)
-    told = told.withColumns({"_p": F.last("_known", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), "_n": F.first("_known", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))})
+    told = told.withColumns({"_p": F.last("_known", ignorenulls=True).over(past), "_n": F.last("_known", ignorenulls=True).over(ahead)})
     back, on = F.col("_middle") - F.col("_p.m"), F.col("_n.m") - F.col("_middle")
     earlier = back.isNotNull() & (on.isNull() | (back <= on))
     distance, found = F.when(earlier, back).otherwise(on), F.when(earlier, F.col("_p.v")).otherwise(F.col("_n.v"))

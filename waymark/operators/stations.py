@@ -9,45 +9,59 @@ from waymark.functions.scalars import haversine_m, percent
 from waymark.lineage import checkpointed
 
 
-def knn(points: DataFrame, stations: DataFrame, id_: str, station: str, k: int = 5, by: list[str] | None = None, cell: float | None = None, rounds: int = 12) -> DataFrame:
+def knn(points: DataFrame, stations: DataFrame, id_: str, station: str, k: int = 5, by: list[str] | None = None, cell: float | None = None) -> DataFrame:
     """The ``k`` nearest stations of each point (x, y in metres) within equal ``by`` columns: id, k_rank, station, distance.
 
     Points meet stations of their own and the eight neighbouring grid cells; a point is
     final when its k-th distance lies within the ring searched, the others go on with
-    cells twice as wide. Ties go to the smaller station id. Ranks without a station are
-    padded with nulls. Each round's points go to the checkpoint folder. Without ``cell`` the
-    first cells are as wide as hold about ``k`` stations on average.
+    cells twice as wide, until none is open: cells as wide as the stations' extent and a
+    point's distance to it hold every station, so a round count bounds nothing. Points far
+    outside begin at the stations' border: they are moved onto it for the choice of cells.
+    Ties go to the smaller station id. Ranks without a station are padded with nulls. Each
+    round's points go to the checkpoint folder. A point's candidates are cut to the ``k``
+    best of each cell by a partial window limit before they meet. Without ``cell`` the first
+    cells are as wide as hold about ``k`` stations on average.
     """
     by = by or []
-    s = stations.select(*by, F.col(station).alias("_station"), F.col("x").alias("_sx"), F.col("y").alias("_sy"))
+    s = stations.select(*by, F.col(station).alias("_station"), F.col("x").alias("_sx"), F.col("y").alias("_sy")).where("_sx is not null and _sy is not null")
     s = s.dropDuplicates([*by, "_station"]) if by else s.dropDuplicates(["_station"])
     supply = s.groupBy(*by).agg(F.count("*").alias("_supply")) if by else s.agg(F.count("*").alias("_supply"))
+    e = s.agg(F.min("_sx"), F.max("_sx"), F.min("_sy"), F.max("_sy"), F.count_distinct(*by) if by else F.lit(1), F.count("*")).first()
+    low_x, high_x, low_y, high_y = (float(v or 0.0) for v in e[:4])
+    width, height = high_x - low_x, high_y - low_y
+    if cell is None:
+        area = width * height if width and height else max(width, height) ** 2 / max(1, e[5])
+        cell = max(1.0, (area * k * e[4] / max(1, e[5])) ** 0.5)
     open_points = points.select(id_, *by, "x", "y")
     open_points = open_points.join(supply, by, "left") if by else open_points.crossJoin(F.broadcast(supply))
-    open_points = open_points.withColumn("_need", F.least(F.lit(k), F.coalesce("_supply", F.lit(0))))
-    done = None
-    if cell is None:
-        e = s.agg(F.max("_sx") - F.min("_sx"), F.max("_sy") - F.min("_sy"), F.count_distinct(*by) if by else F.lit(1), F.count("*")).first()
-        cell = max(1.0, ((e[0] or 0.0) * (e[1] or 0.0) * k * e[2] / max(1, e[3])) ** 0.5)
-    size = cell
-    for n in range(rounds):
+    need = F.when(F.col("x").isNull() | F.col("y").isNull(), 0).otherwise(F.least(F.lit(k), F.coalesce("_supply", F.lit(0))))
+    # where the search of a point begins: the nearest place of the stations' extent
+    open_points = open_points.withColumns({"_need": need, "_ox": F.greatest(F.lit(low_x), F.least(F.lit(high_x), "x")), "_oy": F.greatest(F.lit(low_y), F.least(F.lit(high_y), "y"))})
+    best = Window.partitionBy(id_).orderBy("_d", "_station")
+    done, size = None, cell
+    while True:
         around = F.explode(F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))"))
-        px, py = F.floor(F.col("x") / size), F.floor(F.col("y") / size)
-        asked = open_points.withColumn("_o", around).withColumns({"_cx": px + F.col("_o.i"), "_cy": py + F.col("_o.j")}).drop("_o")
+        px, py = F.floor(F.col("_ox") / size), F.floor(F.col("_oy") / size)
+        asked = open_points.where("_need > 0").withColumn("_o", around).withColumns({"_cx": px + F.col("_o.i"), "_cy": py + F.col("_o.j")}).drop("_o")
         cells = s.withColumns({"_cx": F.floor(F.col("_sx") / size), "_cy": F.floor(F.col("_sy") / size)})
         near = asked.join(cells, [*by, "_cx", "_cy"])
-        distance = F.sqrt(F.pow(F.col("x") - F.col("_sx"), 2) + F.pow(F.col("y") - F.col("_sy"), 2))
-        found = near.groupBy(id_).agg(F.slice(F.array_sort(F.collect_list(F.struct(distance.alias("d"), F.col("_station").alias("s")))), 1, k).alias("_near"))
-        x, y = F.col("x"), F.col("y")
-        border = F.least(x - (px - 1) * size, (px + 2) * size - x, y - (py - 1) * size, (py + 2) * size - y)
+        near = near.withColumn("_d", F.sqrt(F.pow(F.col("x") - F.col("_sx"), 2) + F.pow(F.col("y") - F.col("_sy"), 2)))
+        near = near.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
+        found = near.groupBy(id_).agg(F.array_sort(F.collect_list(F.struct(F.col("_d").alias("d"), F.col("_station").alias("s")))).alias("_near"))
+        ox, oy = F.col("_ox"), F.col("_oy")
+        # stations beyond the ring are at least this far from the place where the search begins, and farther from the point itself unless that lies outside
+        border = F.least(ox - (px - 1) * size, (px + 2) * size - ox, oy - (py - 1) * size, (py + 2) * size - oy)
+        outside = F.sqrt(F.pow(F.col("x") - ox, 2) + F.pow(F.col("y") - oy, 2))
+        reach = F.when(outside == 0, border).otherwise(F.sqrt(F.pow(border, 2) + F.pow(outside, 2)))
+        covered = ((px - 1) * size <= low_x) & ((px + 2) * size > high_x) & ((py - 1) * size <= low_y) & ((py + 2) * size > high_y)
         told = open_points.join(found, id_, "left")
-        told = checkpointed(told.withColumn("_final", (F.col("_need") == 0) | F.coalesce((F.size("_near") >= F.col("_need")) & (F.element_at("_near", -1)["d"] <= border), F.lit(False))))
-        last = n == rounds - 1
-        ready = told if last else told.where("_final")
+        enough = F.coalesce((F.size("_near") >= F.col("_need")) & (F.element_at("_near", -1)["d"] <= reach), F.lit(False))
+        told = checkpointed(told.withColumn("_final", (F.col("_need") == 0) | covered | enough))
+        ready = told.where("_final").select(id_, *by, "_near")
         done = ready if done is None else done.unionByName(ready)
-        open_points = told.where("not _final").select(id_, *by, "x", "y", "_supply", "_need")
+        open_points = told.where("not _final").drop("_near", "_final")
         size *= 2
-        if not last and open_points.isEmpty():
+        if open_points.isEmpty():
             break
     ranks = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get("_near", i)))
     wide = done.select(id_, *by, ranks.alias("k_rank", "_n"))
@@ -110,21 +124,29 @@ def assign_folds(ids: DataFrame, column: str, folds: int = 5, seed: str = "42")
 
 
 def idw_predict(knn_links: DataFrame, stations: DataFrame, id_: str = "unique_id", value: str = "aadt", cutoff: float = 2000.0) -> DataFrame:
-    """Inverse-distance prediction by (id, year): rounded value, neighbours' bounds that contain it, confidence and number used."""
-    near = knn_links.where((F.col("station_distance_m") <= cutoff) & F.col("nearest_tc_number").isNotNull())
+    """Inverse-distance prediction by (id, year): rounded value, neighbours' bounds that contain it, confidence and number used.
+
+    Links: id, year, k_rank, nearest_tc_number, station_distance_m, same_route_flag. Neighbours
+    within ``cutoff`` that have a value count; if the first in rank lies beyond it, there
+    is no prediction. The first in rank, with or without a value, gives the confidence:
+    high within 500 m on the same route, else medium; none without a prediction.
+    """
     s = stations.select("year", F.col("tc_number").alias("nearest_tc_number"), F.col(value).cast("double").alias("_v")).where("_v is not null")
-    used = near.join(s, ["year", "nearest_tc_number"])
-    w = 1 / F.greatest(F.col("station_distance_m"), F.lit(1.0))
-    told = used.groupBy(id_, "year").agg(
-        (F.sum(w * F.col("_v")) / F.sum(w)).alias("_p"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("n_used"),
-        F.min_by(F.struct("station_distance_m", "same_route_flag"), "k_rank").alias("_first"),
+    met = knn_links.join(s, ["year", "nearest_tc_number"], "left")
+    d = F.col("station_distance_m")
+    v = F.when((d <= cutoff) & F.col("_v").isNotNull(), F.col("_v"))
+    w = F.when(v.isNotNull(), 1 / F.greatest(d, F.lit(1.0)))
+    told = met.groupBy(id_, "year").agg(
+        (F.sum(w * v) / F.sum(w)).alias("_p"), F.min(v).alias("_low"), F.max(v).alias("_high"), F.count(v).alias("_used"),
+        F.min_by(F.struct(d.alias("d"), F.col("same_route_flag").alias("same"), F.col("nearest_tc_number").alias("tc")), "k_rank").alias("_first"),
     )
-    told = knn_links.select(id_, "year").distinct().join(told, [id_, "year"], "left")
-    p = F.bround("_p").cast("bigint")
-    close = (F.col("_first.station_distance_m") <= 500) & (F.col("_first.same_route_flag") == 1)
+    reached = (F.col("_used") > 0) & F.coalesce(F.col("_first.d") <= cutoff, F.lit(False))
+    p = F.when(reached, F.bround("_p").cast("bigint"))
+    close = (F.col("_first.d") <= 500) & (F.col("_first.same") == 1)
     return told.select(
-        id_, "year", p.alias("predicted"), F.least(F.col("_low").cast("bigint"), p).alias("lower"), F.greatest(F.col("_high").cast("bigint"), p).alias("upper"),
-        F.when(p.isNull(), "none").when(close, "high").otherwise("medium").alias("confidence"), F.coalesce("n_used", F.lit(0)).alias("n_used"),
+        id_, "year", p.alias("predicted"), F.when(reached, F.least(F.bround("_low").cast("bigint"), p)).alias("lower"), F.when(reached, F.greatest(F.bround("_high").cast("bigint"), p)).alias("upper"),
+        F.when(~reached, "none").when(close, "high").otherwise("medium").alias("confidence"), F.when(reached, F.col("_used")).otherwise(F.lit(0)).cast("bigint").alias("n_used"),
+        F.bround("_first.d", 1).alias("nearest_distance_m"), F.col("_first.tc").alias("nearest_tc_number"),
     )
 
 
@@ -208,13 +230,28 @@ def trajectory(years: list[int], columns: list[Column]) -> Column:
     return F.struct(*[F.when(enough, p).alias(n) for p, n in zip(parts, ("level", "slope", "bend"), strict=True)], F.lit(centre).alias("centre"))
 
 
-def trajectory_value(fit: Column, year: int, columns: list[Column], floor: Column | None = None, widen: float = 0.8) -> Column:
-    """The fitted value of a year, within ``widen`` of the least and 1.2 of the largest value, and above ``floor``."""
+def eligible_for_fit(a2020: Column, a2022: Column, a2023: Column, a2024: Column) -> Column:
+    """Whether a segment has values of 2020 and 2022 and of at least one later year."""
+    return a2020.isNotNull() & a2022.isNotNull() & (a2023.isNotNull() | a2024.isNotNull())
+
+
+def clamp_prediction(raw: Column, a2020: Column, a2022: Column, widened: Column | bool = False) -> Column:
+    """Within 0.8 of the lesser (0.5 if widened, never below half of 2022) and 1.2 of the greater of the values of 2020 and 2022."""
+    wide = widened if isinstance(widened, Column) else F.lit(widened)
+    low = F.greatest(F.least(a2020, a2022) * F.when(wide, 0.5).otherwise(0.8), a2022 * 0.5)
+    return F.least(F.greatest(a2020, a2022) * 1.2, F.greatest(low, raw))
+
+
+def trajectory_raw(fit: Column, year: int) -> Column:
+    """The fitted value of a year; null where there is no fit."""
     t = F.lit(float(year)) - fit["centre"]
-    p = F.exp(fit["level"] + fit["slope"] * t + fit["bend"] * t * t)
-    p = F.greatest(F.least(*columns) * widen, F.least(F.greatest(*columns) * 1.2, p))
-    p = p if floor is None else F.greatest(p, floor)
-    return F.when(fit["level"].isNotNull(), F.bround(p).cast("bigint"))
+    return F.exp(fit["level"] + fit["slope"] * t + fit["bend"] * t * t)
+
+
+def predict_2021(a2020: Column, a2022: Column, a2023: Column, a2024: Column, widened: Column | bool = False) -> Column:
+    """The clamped prediction of 2021 of the eligible segments; null for others."""
+    fit = trajectory([2020, 2022, 2023, 2024], [a2020, a2022, a2023, a2024])
+    return F.when(eligible_for_fit(a2020, a2022, a2023, a2024), clamp_prediction(trajectory_raw(fit, 2021), a2020, a2022, widened))
 
 
 def holdout_metrics(df: DataFrame, predicted: str, truth: str, by: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_TABLES = r"\b(region|nation|customer|supplier|part|orders|lineitem|events|documents|embeddings|pages|benchmark|labels|conversations)\b"
+
+
+def made(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """The result of a SQL text, in words that DuckDB reads as well, over the tables it names."""
+    frames = {t: read(spark, sf_dir, t) for t in set(re.findall(_TABLES, sql))}
+    return spark.sql(re.sub(_TABLES, r"{\1}", sql), **frames)
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Road segments of ``lineitem``: a route per order (pairs of INC and DEC), lengths from quantities."""
     rows = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(

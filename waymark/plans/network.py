@@ -24,20 +24,42 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Miles by value source, agreement and confidence tier."""
     s = segments(spark, d).drop("HPMS_AADT")
     s = intervals.enrich(s, reference(spark, d), "ROUTE_ID", {"AADT_HPMS": "ref_aadt"}, {"AADT": "ref_aadt"}, "hpms")
-    agreement = R.source_agreement(F.when(F.col("AADT_FILL_METHOD") == "direct", F.col("AADT")), F.col("AADT_HPMS"))
-    s = s.withColumn("agreement", agreement).withColumn("tier", R.confidence_tier(F.col("agreement"), F.lit(None).cast("string")))
+    direct = F.col("AADT_FILL_METHOD") == "direct"
+    s = s.withColumn("agreement", R.source_agreement(F.when(direct, F.col("AADT")), F.col("AADT_HPMS")))
+    source = F.coalesce("AADT_SOURCE", F.lit("missing"))
+    statistics = F.when(direct, F.when(F.col("FUNCTIONAL_CLASS") % 2 == 0, "Actual").otherwise("Estimated"))
+    s = s.withColumn("tier", R.confidence_tier(F.col("agreement"), source, statistics))
     return s.groupBy(F.col("AADT_SOURCE").alias("source"), "agreement", "tier").agg(F.count("*").alias("rows"), F.sum("miles").alias("miles"))
 
 
 FLAGSHIP_SQL = f"""{BOTH}, {_BEST}, told AS (
-  SELECT miles, CASE WHEN AADT IS NULL AND ref_aadt IS NOT NULL THEN 'hpms' WHEN AADT IS NOT NULL THEN 'official_exact' END AS source,
+  SELECT miles, AADT IS NOT NULL AND FUNCTIONAL_CLASS % 2 = 0 AS actual, CASE WHEN AADT IS NULL AND ref_aadt IS NOT NULL THEN 'hpms' WHEN AADT IS NOT NULL THEN 'official_exact' END AS source,
     CASE WHEN AADT IS NULL AND ref_aadt IS NULL THEN 'missing' WHEN ref_aadt IS NULL THEN 'state_only' WHEN AADT IS NULL THEN 'hpms_only'
-      WHEN abs(AADT - ref_aadt) <= 200 OR abs(AADT - ref_aadt) / greatest(AADT, ref_aadt) <= 0.15 THEN 'both_agree' ELSE 'both_disagree' END AS agreement
+      WHEN abs(ref_aadt - AADT) <= 200 THEN 'both_agree' WHEN AADT <> 0 AND abs(ref_aadt - AADT) * 100 <= 15 * abs(AADT) THEN 'both_agree' ELSE 'both_disagree' END AS agreement
   FROM best
-) SELECT source, agreement, CASE agreement WHEN 'missing' THEN 'missing' WHEN 'both_disagree' THEN 'low' WHEN 'both_agree' THEN 'high' ELSE 'medium' END AS tier,
+) SELECT source, agreement, CASE WHEN source IS NULL THEN 'missing' WHEN agreement = 'both_disagree' THEN 'low' WHEN actual OR agreement = 'both_agree' THEN 'high' ELSE 'medium' END AS tier,
   count(*) AS rows, sum(miles) AS miles FROM told GROUP BY 1, 2, 3"""
 
 
+def agreement_and_confidence(spark: SparkSession, d: str) -> DataFrame:
+    """Agreement and tier of every pair of values near the bounds, with all sources and statistics types."""
+    k = F.col("o_orderkey")
+    sources = F.array(*[F.lit(x) for x in ("missing", "official_exact", "hpms", *R.DERIVED_SOURCES)], F.lit(None).cast("string"))
+    types = F.array(F.lit("Actual"), F.lit(" Estimated "), F.lit("Calculated"), F.lit(None).cast("string"))
+    s = read(spark, d, "orders").select(
+        k.alias("id"), F.when(k % 9 != 0, (k * 31) % 4000).alias("state"), F.when(k % 7 != 0, (k * 31) % 4000 + (k * 17) % 900 - 450).alias("hpms"),
+        F.element_at(sources, (k % 7 + 1).cast("int")).alias("source"), F.element_at(types, (k % 4 + 1).cast("int")).alias("statistics"),
+    )
+    s = s.withColumn("agreement", R.source_agreement(F.col("state"), F.col("hpms")))
+    return s.select("id", "agreement", R.confidence_tier(F.col("agreement"), F.col("source"), F.col("statistics")).alias("tier"))
+
+
+CONFIDENCE_SQL = """WITH s AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 9 <> 0 THEN (o_orderkey * 31) % 4000 END AS a, CASE WHEN o_orderkey % 7 <> 0 THEN (o_orderkey * 31) % 4000 + (o_orderkey * 17) % 900 - 450 END AS b,
+  ['missing', 'official_exact', 'hpms', 'direction_mirror', 'analytical_gap_fill', 'nearest_neighbor', NULL][o_orderkey % 7 + 1] AS source, ['Actual', 'Estimated', 'Calculated', NULL][o_orderkey % 4 + 1] AS kind FROM orders),
+g AS (SELECT *, CASE WHEN a IS NULL AND b IS NULL THEN 'missing' WHEN b IS NULL THEN 'state_only' WHEN a IS NULL THEN 'hpms_only' WHEN abs(b - a) <= 200 OR (a <> 0 AND abs(b - a) * 100 <= 15 * abs(a)) THEN 'both_agree' ELSE 'both_disagree' END AS agreement FROM s)
+SELECT id, agreement, CASE WHEN source = 'missing' THEN 'missing' WHEN source IN ('direction_mirror', 'analytical_gap_fill', 'nearest_neighbor') OR agreement = 'both_disagree' THEN 'low' WHEN kind = 'Actual' OR agreement = 'both_agree' THEN 'high' ELSE 'medium' END AS tier FROM g"""
+
+
 def best_overlap(spark: SparkSession, d: str) -> DataFrame:
     found = intervals.best_overlap(segments(spark, d), reference(spark, d), "ROUTE_ID", ["ref_seq", "ref_aadt"])
     return found.select("unique_id", "ref_seq", "ref_aadt", "overlap")
@@ -79,17 +101,18 @@ SELECT * EXCLUDE (run), CASE WHEN has_before AND has_after THEN 'interpolate' WH
 
 
 def interpolation(spark: SparkSession, d: str) -> DataFrame:
-    found = intervals.interpolate_gaps(segments(spark, d), "AADT", F.lit(True), longest=60.0)
+    """Gaps on routes with holes between rows; only rows of status F or O with an even number are official."""
+    rows = segments(spark, d).where("(seq + COUNTY) % 4 <> 0")
+    found = intervals.interpolate_gaps(rows, "AADT", F.col("seq") % 5 != 0, longest=60.0)
     return found.select("unique_id", "AADT", "interpolated")
 
 
-INTERPOLATION_SQL = f"""{SEG}, t AS (SELECT *, AADT IS NULL AS gap, lag(AADT IS NULL) OVER w AS before FROM seg WINDOW w AS (PARTITION BY ROUTE_ID ORDER BY from_mp)),
-r AS (SELECT *, sum(CASE WHEN before IS NULL OR before <> gap THEN 1 ELSE 0 END) OVER (PARTITION BY ROUTE_ID ORDER BY from_mp) AS run FROM t),
-n AS (SELECT *, last_value(AADT IGNORE NULLS) OVER p AS pv, last_value(CASE WHEN AADT IS NOT NULL THEN to_mp END IGNORE NULLS) OVER p AS pe,
-  first_value(AADT IGNORE NULLS) OVER q AS nv, first_value(CASE WHEN AADT IS NOT NULL THEN from_mp END IGNORE NULLS) OVER q AS nb, sum(to_mp - from_mp) OVER (PARTITION BY ROUTE_ID, run) AS length
-  FROM r WINDOW p AS (PARTITION BY ROUTE_ID ORDER BY from_mp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), q AS (PARTITION BY ROUTE_ID ORDER BY from_mp ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
-SELECT unique_id, CASE WHEN gap AND length <= 60 AND pv IS NOT NULL AND nv IS NOT NULL THEN CAST(round_even(pv + least(1.0, greatest(0.0, ((from_mp + to_mp) / 2 - pe) / (nb - pe))) * (nv - pv), 0) AS BIGINT) ELSE AADT END AS AADT,
-  gap AND length <= 60 AND pv IS NOT NULL AND nv IS NOT NULL AS interpolated FROM n"""
+INTERPOLATION_SQL = f"""{SEG}, h AS (SELECT *, AADT IS NOT NULL AND seq % 5 <> 0 AS on_ FROM seg WHERE (seq + COUNTY) % 4 <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY ROUTE_ID ORDER BY from_mp) AS rn, sum(CASE WHEN on_ THEN 1 ELSE 0 END) OVER (PARTITION BY ROUTE_ID ORDER BY from_mp) AS run FROM h),
+g AS (SELECT ROUTE_ID, run, min(rn) AS first_at, max(rn) AS last_at, sum(to_mp - from_mp) AS length FROM o WHERE NOT on_ GROUP BY 1, 2),
+n AS (SELECT g.*, p.AADT AS pv, p.to_mp AS pe, q.AADT AS nv, q.from_mp AS nb FROM g LEFT JOIN o p ON p.ROUTE_ID = g.ROUTE_ID AND p.rn = g.first_at - 1 LEFT JOIN o q ON q.ROUTE_ID = g.ROUTE_ID AND q.rn = g.last_at + 1),
+f AS (SELECT o.*, n.pv, n.pe, n.nv, n.nb, NOT o.on_ AND n.length <= 60 AND n.pv IS NOT NULL AND n.nv IS NOT NULL AS fills FROM o LEFT JOIN n ON o.ROUTE_ID = n.ROUTE_ID AND o.run = n.run AND NOT o.on_)
+SELECT unique_id, CASE WHEN fills THEN CAST(round_even(pv + CASE WHEN nb - pe <= 1e-4 THEN 0.5 ELSE least(1.0, greatest(0.0, ((from_mp + to_mp) / 2 - pe) / (nb - pe))) END * (nv - pv), 0) AS BIGINT) ELSE AADT END AS AADT, coalesce(fills, false) AS interpolated FROM f"""
 
 
 def direction_mirror(spark: SparkSession, d: str) -> DataFrame:
@@ -180,18 +203,22 @@ def priority(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders")
     k = F.col("o_orderkey")
     s = o.select(
-        k.alias("id"), (1 + k % 7).alias("FUNCTIONAL_CLASS"), (k % 11 == 0).alias("SIGNED_INTERSTATE_FLAG"), (k % 13 == 0).cast("int").alias("SIGNED_US_ROUTE_FLAG"), F.when(k % 17 == 0, 1).alias("STRAHNET"), F.when(k % 19 == 0, 2).otherwise(0).alias("NHFN"),
-        F.when(k % 5 == 0, k % 4).alias("NHS_IND"), F.floor(F.col("o_totalprice") / 50).cast("bigint").alias("AADT"), (k % 23 == 0).alias("SEC_EVAC"), (k % 29 == 0).alias("SEC_EVAC_CONTRAFLOW"), (k % 31 == 0).alias("IS_GRIP_CORRIDOR"),
-        F.lit(None).cast("boolean").alias("IS_NUCLEAR_EPZ_ROUTE"), (k % 37 == 0).alias("IS_SOLE_COUNTY_SEAT_CONNECTION"), F.when(F.col("o_orderstatus") == "P", " US ").otherwise("SR").alias("ROUTE_TYPE_GDOT"),
+        k.alias("id"), F.when(k % 8 != 0, 1 + k % 7).alias("FUNCTIONAL_CLASS"), (k % 11 == 0).alias("SIGNED_INTERSTATE_FLAG"), (k % 13 == 0).cast("int").alias("SIGNED_US_ROUTE_FLAG"), F.when(k % 17 == 0, 1 + k % 3).alias("STRAHNET"), F.when(k % 19 == 0, 2).otherwise(0).alias("NHFN"),
+        F.when(k % 5 == 0, k % 3).alias("NHS_IND"), F.when(k % 3 == 0, F.floor(F.col("o_totalprice") / 60).cast("bigint")).alias("AADT_2024"), F.when(k % 3 != 1, F.floor(F.col("o_totalprice") / 50).cast("bigint")).alias("AADT_2024_HPMS"), F.when(k % 9 != 1, F.floor(F.col("o_totalprice") / 70).cast("bigint")).alias("AADT"),
+        (k % 23 == 0).alias("SEC_EVAC"), (k % 29 == 0).alias("SEC_EVAC_CONTRAFLOW"), (k % 31 == 0).alias("IS_GRIP_CORRIDOR"), (k % 41 == 0).alias("IS_NUCLEAR_EPZ_ROUTE"), (k % 37 == 0).alias("IS_SOLE_COUNTY_SEAT_CONNECTION"),
+        F.when(F.col("o_orderstatus") == "P", " US ").otherwise("SR").alias("ROUTE_TYPE_GDOT"), F.when(k % 2 == 0, 2 + k % 5).alias("THROUGH_LANES"), F.when(k % 4 != 0, 20 + k % 30).alias("SPEED_LIMIT"), F.when(k % 6 != 0, (k % 100) / 10).alias("segment_length_mi"),
     )
-    return s.withColumn("p", R.priority_tier()).select("id", "p.tier", "p.reasons")
+    return s.withColumn("p", R.priority_tier(s.columns)).select("id", "p.tier", "p.reasons")
 
 
-PRIORITY_SQL = """WITH s AS (SELECT o_orderkey AS id, o_orderkey AS k, 1 + o_orderkey % 7 AS fc, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 4 END AS nhs, CAST(floor(o_totalprice / 50) AS BIGINT) AS aadt, o_orderstatus = 'P' AS us FROM orders),
-r AS (SELECT id, concat_ws(' | ', CASE WHEN fc = 1 OR k % 11 = 0 THEN 'Interstate' END, CASE WHEN k % 19 = 0 THEN 'National freight corridor (NHFN)' END, CASE WHEN k % 17 = 0 THEN 'State freight corridor (STRAHNET)' END, CASE WHEN nhs BETWEEN 2 AND 9 THEN 'Intermodal connector (NHS)' END) AS c,
-  concat_ws(' | ', CASE WHEN nhs >= 1 AND aadt > 3000 THEN 'NHS principal arterial (AADT > 3,000)' END, CASE WHEN us OR k % 13 = 0 THEN 'US route' END, CASE WHEN k % 31 = 0 THEN 'GRIP corridor' END, CASE WHEN k % 23 = 0 THEN 'GEMA evacuation route' END, CASE WHEN k % 37 = 0 THEN 'Sole county-seat connection' END, CASE WHEN aadt > 3000 AND NOT coalesce(nhs >= 1, false) THEN 'AADT > 3,000 (non-NHS)' END) AS h,
-  concat_ws(' | ', CASE WHEN k % 23 = 0 OR k % 29 = 0 THEN 'Hurricane evacuation route' END, CASE WHEN nhs >= 1 AND NOT coalesce(aadt > 3000, false) THEN 'NHS with AADT <= 3,000' END) AS m FROM s)
-SELECT id, CASE WHEN c <> '' THEN 'Critical' WHEN h <> '' THEN 'High' WHEN m <> '' THEN 'Medium' ELSE 'Low' END AS tier, CASE WHEN c <> '' THEN c WHEN h <> '' THEN h ELSE m END AS reasons FROM r"""
+PRIORITY_SQL = """WITH s AS (SELECT o_orderkey AS id, o_orderkey AS k, CASE WHEN o_orderkey % 8 <> 0 THEN 1 + o_orderkey % 7 END AS fc, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 3 END AS nhs, CASE WHEN o_orderkey % 17 = 0 THEN 1 + o_orderkey % 3 END AS stra,
+  coalesce(CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice / 60) END, CASE WHEN o_orderkey % 3 <> 1 THEN floor(o_totalprice / 50) END, CASE WHEN o_orderkey % 9 <> 1 THEN floor(o_totalprice / 70) END) AS aadt, o_orderstatus = 'P' OR o_orderkey % 13 = 0 AS us,
+  CASE WHEN o_orderkey % 2 = 0 THEN 2 + o_orderkey % 5 END AS lanes, CASE WHEN o_orderkey % 4 <> 0 THEN 20 + o_orderkey % 30 END AS speed, CASE WHEN o_orderkey % 6 <> 0 THEN (o_orderkey % 100) / 10 END AS miles FROM orders),
+r AS (SELECT id, concat_ws(' | ', CASE WHEN fc = 1 OR k % 11 = 0 THEN 'Interstate' END, CASE WHEN k % 19 = 0 THEN 'National freight corridor (NHFN)' END, CASE WHEN stra IN (1, 2) THEN 'State freight corridor (STRAHNET)' END, CASE WHEN nhs >= 2 AND nhs < 10 THEN 'Intermodal connector (NHS)' END) AS c,
+  concat_ws(' | ', CASE WHEN stra IN (1, 2) THEN 'STRAHNET' END, CASE WHEN nhs >= 1 AND aadt > 3000 THEN 'NHS principal arterial (AADT > 3,000)' END, CASE WHEN us THEN 'US route' END, CASE WHEN k % 31 = 0 THEN 'GRIP corridor' END, CASE WHEN k % 41 = 0 THEN 'Nuclear plant EPZ route' END, CASE WHEN k % 23 = 0 THEN 'GEMA evacuation route' END, CASE WHEN k % 37 = 0 THEN 'Sole county-seat connection' END, CASE WHEN aadt > 3000 AND NOT coalesce(nhs >= 1, false) THEN 'AADT > 3,000 (non-NHS)' END) AS h,
+  concat_ws(' | ', CASE WHEN k % 23 = 0 OR k % 29 = 0 THEN 'Hurricane evacuation route' END, CASE WHEN nhs >= 1 AND (aadt IS NULL OR aadt <= 3000) THEN 'NHS with AADT <= 3,000' END, CASE WHEN us AND lanes >= 4 THEN 'US highway with 4+ lanes' END) AS m,
+  concat_ws(' | ', CASE WHEN aadt < 3000 THEN 'AADT < 3,000' END, CASE WHEN speed < 35 THEN 'Speed limit < 35 mph' END, CASE WHEN miles < 5 THEN 'Segment < 5 mi' END) AS l FROM s)
+SELECT id, CASE WHEN c <> '' THEN 'Critical' WHEN h <> '' THEN 'High' WHEN m <> '' THEN 'Medium' ELSE 'Low' END AS tier, CASE WHEN c <> '' THEN c WHEN h <> '' THEN h WHEN m <> '' THEN m WHEN l <> '' THEN l ELSE 'Default (no higher criteria met)' END AS reasons FROM r"""
 
 
 def class_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -261,10 +288,12 @@ def quality_checks(spark: SparkSession, d: str) -> DataFrame:
     return checks.all_checks(told, checks.implies(s, "aadt_has_status", "AADT", "STATUS"), checks.same_keys(s, reference(spark, d), "routes", "ROUTE_ID"))
 
 
-CHECKS_SQL = f"""{BOTH}, n AS (SELECT count(*) AS n, count(AADT) AS a, count(DISTINCT unique_id) AS u FROM seg)
-SELECT 'row_count' AS name, n >= 1000 AS passed, CAST(n AS VARCHAR) AS detail FROM n UNION ALL SELECT 'column_count', true, '13'
-UNION ALL SELECT 'nulls_AADT', (n - a) / n < 0.3, CAST(round((n - a) / n, 6) AS VARCHAR) FROM n UNION ALL SELECT 'nulls_miles', true, '0.0'
-UNION ALL SELECT 'range_FUNCTIONAL_CLASS', true, '0' UNION ALL SELECT 'unique_unique_id', n = u, CAST(n - u AS VARCHAR) FROM n UNION ALL SELECT 'aadt_has_status', true, '0' UNION ALL SELECT 'routes', true, '0/0'"""
+CHECKS_SQL = f"""{BOTH}, n AS (SELECT count(*) AS n, count(AADT) AS a, count(miles) AS m, count(DISTINCT unique_id) AS u, count(*) FILTER (NOT FUNCTIONAL_CLASS BETWEEN 1 AND 7) AS bad, count(*) FILTER (AADT IS NOT NULL AND STATUS IS NULL) AS bare FROM seg),
+w AS (SELECT count(*) AS cols FROM (DESCRIBE {SEG} SELECT * FROM seg)),
+x AS (SELECT count(*) AS l FROM (SELECT ROUTE_ID FROM seg EXCEPT SELECT ROUTE_ID FROM ref)), y AS (SELECT count(*) AS r FROM (SELECT ROUTE_ID FROM ref EXCEPT SELECT ROUTE_ID FROM seg)), t AS (SELECT * FROM n, w, x, y)
+SELECT 'row_count' AS name, n >= 1000 AS passed, CAST(n AS VARCHAR) AS detail FROM t UNION ALL SELECT 'column_count', cols >= 10, CAST(cols AS VARCHAR) FROM t
+UNION ALL SELECT 'nulls_AADT', (n - a) / n < 0.3, CAST(round((n - a) / n, 6) AS VARCHAR) FROM t UNION ALL SELECT 'nulls_miles', (n - m) / n < 0.01, CAST(round((n - m) / n, 6) AS VARCHAR) FROM t
+UNION ALL SELECT 'range_FUNCTIONAL_CLASS', bad = 0, CAST(bad AS VARCHAR) FROM t UNION ALL SELECT 'unique_unique_id', n = u, CAST(n - u AS VARCHAR) FROM t UNION ALL SELECT 'aadt_has_status', bare = 0, CAST(bare AS VARCHAR) FROM t UNION ALL SELECT 'routes', l + r = 0, CAST(l AS VARCHAR) || '/' || CAST(r AS VARCHAR) FROM t"""
 
 
 def route_families(spark: SparkSession, d: str) -> DataFrame:
@@ -301,6 +330,7 @@ g AS (SELECT CASE WHEN count(*) OVER (PARTITION BY u) > 1 THEN u || '_' || left(
 
 QUERIES = {
     "flagship": (flagship, FLAGSHIP_SQL),
+    "agreement_and_confidence": (agreement_and_confidence, CONFIDENCE_SQL),
     "interval_best_overlap": (best_overlap, f"{BOTH}, {_BEST} SELECT unique_id, ref_seq, ref_aadt, overlap FROM best"),
     "interval_first_covering": (first_covering, COVERING_SQL),
     "segment_routes": (segmentation, SEGMENTATION_SQL),

@@ -26,14 +26,15 @@ def knn(spark: SparkSession, d: str) -> DataFrame:
 
 def idw(spark: SparkSession, d: str) -> DataFrame:
     link = _links(spark, d).select("unique_id", "year", "k_rank", F.col("tc_number").alias("nearest_tc_number"), F.col("distance").alias("station_distance_m"), (F.col("tc_number") % 2).alias("same_route_flag"))
-    return S.idw_predict(link, stations(spark, d), cutoff=6000.0)
+    return S.idw_predict(link, stations(spark, d))
 
 
-IDW_SQL = f"""{PTS}, {_KNN}, used AS (SELECT l.unique_id, l.year, l.k_rank, l.distance, l.tc_number, CAST(s.aadt AS DOUBLE) AS v FROM link l JOIN sta s USING (year, tc_number) WHERE l.distance <= 6000 AND s.aadt IS NOT NULL),
-g AS (SELECT unique_id, year, CAST(round_even(sum(v / greatest(distance, 1)) / sum(1 / greatest(distance, 1)), 0) AS BIGINT) AS p, min(v) AS low, max(v) AS high, count(*) AS n,
-  arg_min(distance <= 500 AND tc_number % 2 = 1, k_rank) AS close FROM used GROUP BY 1, 2)
-SELECT p0.unique_id, p0.year, p AS predicted, CASE WHEN p IS NOT NULL THEN least(CAST(low AS BIGINT), p) END AS lower, CASE WHEN p IS NOT NULL THEN greatest(CAST(high AS BIGINT), p) END AS upper,
-  CASE WHEN p IS NULL THEN 'none' WHEN close THEN 'high' ELSE 'medium' END AS confidence, coalesce(n, 0) AS n_used FROM pts p0 LEFT JOIN g USING (unique_id, year)"""
+IDW_SQL = f"""{PTS}, {_KNN}, met AS (SELECT l.*, CASE WHEN l.distance <= 2000 THEN CAST(s.aadt AS DOUBLE) END AS v FROM link l LEFT JOIN sta s ON l.year = s.year AND l.tc_number = s.tc_number),
+g AS (SELECT unique_id, year, round_even(sum(v / greatest(distance, 1)) / sum(CASE WHEN v IS NOT NULL THEN 1 / greatest(distance, 1) END), 0) AS p, min(v) AS low, max(v) AS high, count(v) AS n FROM met GROUP BY 1, 2),
+f AS (SELECT unique_id, distance AS d, tc_number AS tc FROM link WHERE k_rank = 1),
+t AS (SELECT g.*, f.d, f.tc, n > 0 AND coalesce(f.d <= 2000, false) AS ok FROM g JOIN f USING (unique_id))
+SELECT unique_id, year, CASE WHEN ok THEN CAST(p AS BIGINT) END AS predicted, CASE WHEN ok THEN CAST(least(low, p) AS BIGINT) END AS lower, CASE WHEN ok THEN CAST(greatest(high, p) AS BIGINT) END AS upper,
+  CASE WHEN NOT ok THEN 'none' WHEN d <= 500 AND tc % 2 = 1 THEN 'high' ELSE 'medium' END AS confidence, CASE WHEN ok THEN n ELSE 0 END AS n_used, round_even(d, 1) AS nearest_distance_m, tc AS nearest_tc_number FROM t"""
 
 
 def folds(spark: SparkSession, d: str) -> DataFrame:
@@ -55,23 +56,26 @@ SELECT *, CAST((aadt_2020 IS NOT NULL)::INT + (aadt_2021 IS NOT NULL)::INT + (aa
 
 
 def trajectory(spark: SparkSession, d: str) -> DataFrame:
+    """The prediction of 2021 for segments with 2020, 2022 and a later year; every fifth one widened; later years far from the earlier."""
     years, k = [2020, 2022, 2023, 2024], F.col("c_custkey")
-    values = [F.when(k % 6 != i, 1000 + (k * (i + 3)) % 500 + 40 * i).cast("double") for i in range(4)]
+    values = [F.when(k % 6 != i, 1000 + (k * (i + 3)) % 500 + 40 * i + (k % 9) * (100 if i > 1 else 0)).cast("double") for i in range(4)]
     told = read(spark, d, "customer").select("c_custkey", *[v.alias(f"a{y}") for v, y in zip(values, years, strict=True)])
     columns = [F.col(f"a{y}") for y in years]
     fit = S.trajectory(years, columns)
-    return told.withColumn("fit", fit).select("c_custkey", S.trajectory_value(F.col("fit"), 2021, columns).alias("a2021"), F.bround("fit.slope", 6).alias("slope"))
+    predicted = S.predict_2021(*columns, widened=k % 5 == 0)
+    return told.select("c_custkey", S.eligible_for_fit(*columns).alias("eligible"), F.bround(predicted, 3).alias("a2021"), F.bround(fit["slope"], 6).alias("slope"))
 
 
 _X = [-2.25, -0.25, 0.75, 1.75]
 _S = [" + ".join(f"CASE WHEN v{i} IS NOT NULL THEN {x**p} ELSE 0 END" for i, x in enumerate(_X)) for p in range(5)]
 _B = [" + ".join(f"coalesce({x**p} * ln(v{i}), 0)" for i, x in enumerate(_X)) for p in range(3)]
-TRAJECTORY_SQL = f"""WITH v AS (SELECT c_custkey, {", ".join(f"CASE WHEN c_custkey % 6 <> {i} THEN CAST(1000 + (c_custkey * {i + 3}) % 500 + {40 * i} AS DOUBLE) END AS v{i}" for i in range(4))} FROM customer),
+TRAJECTORY_SQL = f"""WITH v AS (SELECT c_custkey, {", ".join(f"CASE WHEN c_custkey % 6 <> {i} THEN CAST(1000 + (c_custkey * {i + 3}) % 500 + {40 * i}{' + (c_custkey % 9) * 100' if i > 1 else ''} AS DOUBLE) END AS v{i}" for i in range(4))} FROM customer),
 s AS (SELECT *, {", ".join(f"{e} AS s{p}" for p, e in enumerate(_S))}, {", ".join(f"{e} AS b{p}" for p, e in enumerate(_B))} FROM v),
 f AS (SELECT *, s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) AS d,
   b0 * (s2 * s4 - s3 * s3) - s1 * (b1 * s4 - s3 * b2) + s2 * (b1 * s3 - s2 * b2) AS d0, s0 * (b1 * s4 - s3 * b2) - b0 * (s1 * s4 - s3 * s2) + s2 * (s1 * b2 - b1 * s2) AS d1,
-  s0 * (s2 * b2 - b1 * s3) - s1 * (s1 * b2 - b1 * s2) + b0 * (s1 * s3 - s2 * s2) AS d2 FROM s)
-SELECT c_custkey, CAST(round_even(greatest(least(v0, v1, v2, v3) * 0.8, least(greatest(v0, v1, v2, v3) * 1.2, exp(d0 / d + d1 / d * (-1.25) + d2 / d * 1.5625))), 0) AS BIGINT) AS a2021, round_even(d1 / d, 6) AS slope FROM f"""
+  s0 * (s2 * b2 - b1 * s3) - s1 * (s1 * b2 - b1 * s2) + b0 * (s1 * s3 - s2 * s2) AS d2, v0 IS NOT NULL AND v1 IS NOT NULL AND (v2 IS NOT NULL OR v3 IS NOT NULL) AS ok FROM s),
+r AS (SELECT *, exp(d0 / d + d1 / d * (-1.25) + d2 / d * 1.5625) AS raw, greatest(least(v0, v1) * CASE WHEN c_custkey % 5 = 0 THEN 0.5 ELSE 0.8 END, v1 * 0.5) AS low, greatest(v0, v1) * 1.2 AS high FROM f)
+SELECT c_custkey, ok AS eligible, CASE WHEN ok THEN round_even(CASE WHEN raw < low THEN low WHEN raw > high THEN high ELSE raw END, 3) END AS a2021, round_even(d1 / d, 6) AS slope FROM r"""
 
 
 def holdout(spark: SparkSession, d: str) -> DataFrame:
