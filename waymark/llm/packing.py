@@ -8,11 +8,12 @@ plus penalties; as a window's padding is ``window - (end - start)``, the best
 start for an end is the least ``cost + position`` within reach, which a monotone
 queue gives in constant time.
 
-The program runs on along the stream. Now and then the ways back from all cuts that a
-next window could start at are followed until they meet; what lies before that cut
-is settled and goes out, so the result is the same however often that is done. Each
-partition ends with one partly filled window, and no document is moved between
-partitions, so there is no shuffle.
+The stream is worked off in stretches of some hundred windows: at the end of one, the
+cheapest cut within the last two windows is kept and the program goes on from it. An
+optimal run has a cut there that costs no less, and one more window leads from ours to
+its next, so a stretch loses at most one window's cost against the optimum of the whole
+stream. Each partition ends with one partly filled window, and no document is moved
+between partitions, so there is no shuffle.
 
 Defined results: a null or empty text is its end id alone; null and repeated ids
 are documents like others; an empty table gives no rows; further columns are
@@ -37,54 +38,58 @@ SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 class Cuts:
     """Cuts of least padding plus penalties along a stream of marks, places where it may be cut.
 
-    ``cost`` and ``before`` belong to the marks that aren't settled; the first of these is a
-    cut. Marks rise from 0 and no gap between them is above ``window``.
+    Marks rise from 0 and no gap between them is above ``window``. The first mark held is a cut.
     """
 
     def __init__(self, window: int):
         self.window = window
-        self.at, self.cost, self.before = [0], [0.0], [0]
-        self.queue: deque[tuple[float, int, int]] = deque([(0.0, 0, 0)])
+        self._begin(0)
+
+    def _begin(self, at: int) -> None:
+        self.at, self.fee, self.cost, self.before = [at], [0.0], [0.0], [0]
+        self.queue: deque[tuple[float, int, int]] = deque([(float(at), at, 0)])
 
     def add(self, marks: list[int], fees: list[float]) -> None:
         window, queue, j = self.window, self.queue, len(self.at) - 1
-        at, cost, before = self.at.append, self.cost.append, self.before.append
+        cost, before = self.cost.append, self.before.append
+        self.at += marks
+        self.fee += fees
         for here, fee in zip(marks, fees, strict=True):
             j += 1
             reach = here - window
             while queue[0][1] < reach:
                 queue.popleft()
             least, _, k = queue[0]
-            total = least + window - here + fee
-            key = total + here
+            # a window's padding is window - (end - start), so starts compare by cost + position
+            key = least + window + fee
             while queue and queue[-1][0] >= key:
                 queue.pop()
             queue.append((key, here, j))
-            at(here)
-            cost(total)
+            cost(key - here)
             before(k)
 
     def settled(self, ended: bool = False) -> list[int]:
-        """The cuts that are certain, from the last one known; all of them if the stream has ended."""
-        heads = {len(self.at) - 1} if ended else {j for _, _, j in self.queue}
-        while len(heads) > 1:
-            last = max(heads)
-            heads.remove(last)
-            heads.add(self.before[last])
-        (j,) = heads
+        """Cuts from the last one known up to the end of the stream, or to the cheapest one within two windows of what is there."""
+        j = last = len(self.at) - 1
+        if not ended:
+            near = self.at[-1] - 2 * self.window
+            while last and self.at[last] > near:
+                last -= 1
+            j = min(range(len(self.at) - 1, last, -1), key=self.cost.__getitem__)
         cuts = [j]
         while cuts[-1]:
             cuts.append(self.before[cuts[-1]])
         found = [self.at[c] for c in reversed(cuts)]
-        self.at, self.cost, self.before = self.at[j:], self.cost[j:], [max(0, b - j) for b in self.before[j:]]
-        self.queue = deque((key, here, i - j) for key, here, i in self.queue if i >= j)
+        marks, fees = self.at[j + 1 :], self.fee[j + 1 :]
+        self._begin(self.at[j])
+        self.add(marks, fees)
         return found
 
 
 class Packer:
     """Packs a stream of documents; ``add`` and ``close`` return finished pieces."""
 
-    def __init__(self, window: int, sentence_end: np.ndarray, first_sequence: int, stretch: int = 64, sentence_fee: float = 2, inner_fee: float = 8, step: int = 32):
+    def __init__(self, window: int, sentence_end: np.ndarray, first_sequence: int, stretch: int = 256, sentence_fee: float = 2, inner_fee: float = 8, step: int = 32):
         self.window, self.sentence_end, self.sequence = window, sentence_end, first_sequence
         self.stretch, self.sentence_fee, self.inner_fee, self.step = stretch * window, sentence_fee, inner_fee, min(step, window)
         self.cuts = Cuts(window)

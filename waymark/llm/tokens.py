@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterable, Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -12,15 +14,26 @@ import pyarrow.compute as pc
 WORD_BPE = "word_bpe_49k.json"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers put for each byte: printable ones stand for themselves, the rest follow from 256 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class ChunkEncoder:
     """Ids of texts, equal to the tokenizer's own on the whole text.
 
     The tokenizer's pre-tokenisation never crosses a space or a line feed, so a
-    text's ids are those of its chunks, joined. Chunks are looked up in a cache of
-    bounded size and unknown ones are encoded together.
+    text's ids are those of its chunks, joined. Chunks of a batch are told apart by
+    Arrow and looked up in a cache of bounded size. Unknown words of letters alone go
+    straight to the tokenizer's merges, which is what its own steps come to for them
+    (probed when it is loaded); all other chunks go through the whole tokenizer.
     """
 
-    MOST = 250_000
+    MOST = 400_000
+    _TAIL = ".,!?;:"
+    _PROBES = ("a", "tokenizer", "zqxjkv", "\u00e9t\u00e9", "\u00fcber", "\u4e2d\u6587", "\u044f\u0437\u044b\u043a", "internationalisation")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -28,18 +41,15 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.sentence_end = np.zeros_like(self.closes)
+        self.sentence_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, i in vocabulary.items():
             if token.endswith("</w>"):
-                self.closes[i] = True
                 self.sentence_end[i] = token[-5:-4] in (".", "!", "?")
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.special = [t.content for t in added.values()]
-        self.mark_id, self.mark = next((i, t.content) for i, t in added.items() if t.special and not (t.lstrip or t.rstrip))
+        self.letters = _byte_letters()
+        self.direct = all(self._merged(x) == self._whole([x])[0] and self._merged(x) + self._whole(["."])[0] == self._whole([x + "."])[0] for x in self._PROBES)
         self.cache: dict[str, bytes] = {"": b""}
 
-    def encode(self, texts: Iterable[str], chars: int = 2_000_000) -> Iterator[np.ndarray]:
+    def encode(self, texts: Iterable[str], chars: int = 4_000_000) -> Iterator[np.ndarray]:
         """uint32 ids of each text, in order."""
         held: list[str] = []
         size = 0
@@ -57,9 +67,8 @@ class ChunkEncoder:
             self.cache = {"": b""}
         lists = pc.split_pattern(pa.array(held, pa.large_string()), " ")
         coded = lists.values.dictionary_encode()
-        chunks, turn, bounds = coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
-        self._learn([c for c in chunks if c not in self.cache])
-        pieces = list(map(self.cache.__getitem__, chunks))
+        turn, bounds = coded.indices.to_numpy(), lists.offsets.to_numpy()
+        pieces = self._pieces(coded.dictionary.to_pylist())
         size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
         known = np.frombuffer(b"".join(pieces), dtype="<u4")
         first, n = (np.cumsum(size) - size)[turn], size[turn]
@@ -69,23 +78,36 @@ class ChunkEncoder:
         for a, z in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
             yield ids[a:z]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode unknown chunks together, a special token between them: it keeps them apart and shows where each ends."""
-        joined, other = "\n".join(chunks), []
-        for x in self.special:
-            if x in joined:
-                other += [c for c in chunks if x in c]
-        plain = [c for c in chunks if c not in set(other)] if other else chunks
-        if plain:
-            code = self.tokenizer.encode_batch_fast([self.mark.join(plain) + self.mark], add_special_tokens=False)[0]
-            ids = np.array(code.ids, dtype="<u4")
-            ends = np.flatnonzero(ids == self.mark_id)
-            data, at = ids.tobytes(), 0
-            for chunk, end in zip(plain, (4 * ends).tolist(), strict=True):
-                self.cache[chunk] = data[at:end]
-                at = end + 4
-        for chunk, code in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.cache[chunk] = np.array(code.ids, dtype="<u4").tobytes()
+    def _pieces(self, chunks: list[str]) -> list[bytes]:
+        """Ids, as bytes, of different chunks."""
+        cache, out, other = self.cache, [], []
+        for chunk in chunks:
+            found = cache.get(chunk)
+            if found is None:
+                word = chunk.rstrip(self._TAIL)
+                if self.direct and word.isalpha() and (word.isascii() or is_normalized("NFC", word)) and word.lower() == word:
+                    found = cache.get(word)
+                    if found is None:
+                        cache[word] = found = self._merged(word)
+                    if len(word) < len(chunk):
+                        tail = chunk[len(word) :]
+                        if tail not in cache:
+                            cache[tail] = self._whole([tail])[0]
+                        found += cache[tail]
+                else:
+                    other.append(chunk)
+            out.append(found)
+        if other:
+            cache |= zip(other, self._whole(other), strict=True)
+            out = [cache[chunk] if found is None else found for chunk, found in zip(chunks, out, strict=True)]
+        return out
+
+    def _merged(self, word: str) -> bytes:
+        plain = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(plain)]).tobytes()
+
+    def _whole(self, chunks: list[str]) -> list[bytes]:
+        return [array("I", code.ids).tobytes() for code in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
 
 _encoders: dict[str, ChunkEncoder] = {}
