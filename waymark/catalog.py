@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from waymark.plans import network, rules, traffic
+from waymark.plans import counts, network, references, rules, traffic
 
-_ALL = network.QUERIES | traffic.QUERIES | rules.QUERIES
+_ALL = network.QUERIES | traffic.QUERIES | rules.QUERIES | references.QUERIES | counts.QUERIES
 QUERIES = {name: query for name, (query, _) in _ALL.items()}
 ORACLE_SQL = {name: sql for name, (_, sql) in _ALL.items() if sql}
 FLAGSHIP = "flagship"

@@ -93,6 +93,14 @@ def yearly_values(segments: DataFrame, history: DataFrame, key: str, segment_id:
     return segments.join(wide.select(segment_id, *[F.col(str(y)).cast("bigint").alias(name.format(y)) for y in years]), segment_id, "left")
 
 
+def fill_from_overlap(segments: DataFrame, reference: DataFrame, key: str, fill: dict[str, str]) -> DataFrame:
+    """Null columns (keys of ``fill``) take the column named there of the best-overlapping reference row; nothing else changes."""
+    wanted = list(dict.fromkeys(fill.values()))
+    r = reference.select(key, "from_mp", "to_mp", *[F.col(c).alias(f"_r_{c}") for c in wanted])
+    found = best_overlap(segments, r, key, [f"_r_{c}" for c in wanted])
+    return found.withColumns({t: F.coalesce(F.col(t), F.col(f"_r_{c}")) for t, c in fill.items()}).select(*segments.columns)
+
+
 def dedupe_intervals(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The first row (by ``order``) of each (route, begin, end)."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")

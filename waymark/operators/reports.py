@@ -103,6 +103,12 @@ def load_summary(df: DataFrame, by: str) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.lit(len(df.columns)).alias("columns"), nulls.alias("nulls")).crossJoin(F.broadcast(spread))
 
 
+def flag_rates(df: DataFrame, flag: str, keys: list[str]) -> DataFrame:
+    """Flagged rows, rows and their share by keys."""
+    told = df.groupBy(*keys).agg(F.count_if(F.col(flag) == 1).alias("flagged"), F.count("*").alias("rows"))
+    return told.withColumn("flagged_pct", percent(F.col("flagged"), F.col("rows")))
+
+
 def sample_by_hash(df: DataFrame, id_: str, by: list[str], n: int = 10) -> DataFrame:
     """A deterministic sample of ``n`` rows by key (the report's own limit)."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(F.md5(F.col(id_).cast("string")), id_))).where(F.col("_n") <= n).drop("_n")

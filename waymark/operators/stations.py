@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.functions.scalars import haversine_m, percent
+from waymark.functions.classify import resolver_confidence
+from waymark.functions.scalars import fc_bin, haversine_m, percent, urban_rural
 from waymark.lineage import checkpointed
 
 
@@ -68,45 +69,158 @@ def knn(points: DataFrame, stations: DataFrame, id_: str, station: str, k: int =
     return wide.select(id_, *by, (F.col("k_rank") + 1).alias("k_rank"), F.col("_n.s").alias(station), F.col("_n.d").alias("distance"))
 
 
-def resolve_stations(anchor: DataFrame, target: DataFrame, radius: float = 500.0) -> DataFrame:
-    """Identity of each target station (year, tc_number, latitude, longitude, aadt, functional_class) among the anchors.
+ANCHOR_YEAR = 2024
+
+
+def _lat_lon_cells(df: DataFrame, degree: float) -> DataFrame:
+    """Cells of latitude and longitude; one of longitude is wide enough up to 66 degrees of latitude."""
+    return df.withColumns({"_cy": F.floor(F.col("latitude") / degree), "_cx": F.floor(F.col("longitude") / (degree * 2.5))})
+
+
+def _around(df: DataFrame) -> DataFrame:
+    """Rows for their own cell and the eight around it."""
+    near = F.explode(F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))"))
+    return df.withColumn("_o", near).withColumns({"_cy": F.col("_cy") + F.col("_o.i"), "_cx": F.col("_cx") + F.col("_o.j")}).drop("_o")
 
-    The same id within the radius is the same station; else the only candidate within
-    it, or the best of several by 0.30 distance + 0.35 half log ratio + 0.35 class
-    agreement, with the margin to the runner-up. Candidates meet by grid cells of latitude
-    and longitude at least a radius wide.
+
+def nearest_anchor(targets: DataFrame, anchors: DataFrame, radius: float = 500.0) -> DataFrame:
+    """(year, tc_number, metres) to the nearest of ``anchors`` (latitude, longitude), whatever the distance.
+
+    Targets meet anchors of their cell and those around it; who finds one within the
+    radius that a cell spans is done, the others go on with twice the radius.
     """
-    degree = radius / 111_000.0
-    width = degree * 2.5  # a cell of longitude is wide enough up to 66 degrees of latitude
+    a = anchors.select(F.col("latitude").alias("a_lat"), F.col("longitude").alias("a_lon"), "latitude", "longitude").distinct()
+    open_rows, done = targets.select("year", "tc_number", "latitude", "longitude"), None
+    if a.isEmpty():
+        return open_rows.select("year", "tc_number", F.lit(None).cast("double").alias("metres"))
+    while True:
+        degree = radius / 111_000.0
+        whole = degree > 72
+        d = haversine_m(F.col("latitude"), F.col("longitude"), F.col("a_lat"), F.col("a_lon"))
+        cells = _lat_lon_cells(a, degree).drop("latitude", "longitude")
+        near = _around(_lat_lon_cells(open_rows, degree)).join(cells, ["_cy", "_cx"]).withColumn("_d", d)
+        found = near.groupBy("year", "tc_number").agg(F.min("_d").alias("metres"))
+        told = checkpointed(open_rows.join(found, ["year", "tc_number"], "left").withColumn("_final", F.coalesce(F.col("metres") <= radius, F.lit(False)) | F.lit(whole)))
+        ready = told.where("_final").select("year", "tc_number", "metres")
+        done = ready if done is None else done.unionByName(ready)
+        open_rows = told.where("not _final").drop("metres", "_final")
+        radius *= 4
+        if open_rows.isEmpty():
+            return done
+
 
-    def cells(df: DataFrame) -> DataFrame:
-        return df.withColumns({"_cy": F.floor(F.col("latitude") / degree), "_cx": F.floor(F.col("longitude") / width)})
+def resolve_stations(anchor: DataFrame, target: DataFrame, radius: float = 500.0, anchor_year: int = ANCHOR_YEAR) -> DataFrame:
+    """Identity of each target station (year, tc_number, latitude, longitude, aadt, functional_class) among the anchors.
 
-    a = cells(anchor.where("latitude is not null and longitude is not null").select(F.col("tc_number").alias("a_tc"), F.col("latitude").alias("a_lat"), F.col("longitude").alias("a_lon"), F.col("aadt").alias("a_aadt"), F.col("functional_class").alias("a_fc"), "latitude", "longitude")).drop("latitude", "longitude")
-    around = F.explode(F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))"))
-    t = cells(target.where("latitude is not null and longitude is not null")).withColumn("_o", around)
-    t = t.withColumns({"_cy": F.col("_cy") + F.col("_o.i"), "_cx": F.col("_cx") + F.col("_o.j")}).drop("_o")
+    The same id within the radius is the same station (tc_number); else the only candidate
+    within it (spatial), or the best of several (scored): the least of 0.30 distance + 0.35
+    half log ratio + 0.35 class difference, half of a weight where a value is missing, with
+    the margin to the runner-up; equal scores go to the smaller id. Without a candidate a
+    station has an id of its own (tc_conflict if an anchor has its number, else
+    unresolved) and the distance to the nearest anchor. Candidates meet by grid cells at
+    least a radius wide.
+    """
+    degree = radius / 111_000.0
+    a = anchor.where("latitude is not null and longitude is not null")
+    a = _lat_lon_cells(a.select(F.col("tc_number").alias("a_tc"), F.col("latitude").alias("a_lat"), F.col("longitude").alias("a_lon"), F.col("aadt").alias("a_aadt"), F.col("functional_class").alias("a_fc"), "latitude", "longitude"), degree).drop("latitude", "longitude")
+    t = _around(_lat_lon_cells(target.where("latitude is not null and longitude is not null"), degree))
     d = haversine_m(F.col("latitude"), F.col("longitude"), F.col("a_lat"), F.col("a_lon"))
     near = t.join(a, ["_cy", "_cx"]).withColumn("_d", d).where(F.col("_d") <= radius)
-    ratio = F.when((F.col("aadt") > 0) & (F.col("a_aadt") > 0), F.greatest(F.lit(0.0), 1 - F.abs(F.log(F.col("aadt") / F.col("a_aadt"))) / 2))
-    same = F.when(F.col("functional_class").isNotNull() & F.col("a_fc").isNotNull(), (F.col("functional_class") == F.col("a_fc")).cast("double"))
-    score = 0.30 * (1 - F.col("_d") / radius) + 0.35 * F.coalesce(ratio, F.lit(0.5)) + 0.35 * F.coalesce(same, F.lit(0.5))
+    ratio = F.when((F.col("aadt") > 0) & (F.col("a_aadt") > 0), F.least(F.lit(2.0), F.abs(F.log(F.col("a_aadt") / F.col("aadt")))) / 2)
+    differs = (F.col("functional_class").cast("int") != F.col("a_fc").cast("int")).cast("double")
+    score = 0.30 * F.col("_d") / radius + 0.35 * F.coalesce(ratio, F.lit(0.5)) + 0.35 * F.coalesce(differs, F.lit(0.5))
     near = near.withColumn("_score", score).withColumn("_same", F.col("tc_number") == F.col("a_tc"))
-    told = near.groupBy("year", "tc_number").agg(
-        F.count("*").alias("n"),
-        F.max_by(F.struct("a_tc", "_d"), F.struct("_same", -F.col("_d"), "a_tc")).alias("own"),
-        F.bool_or("_same").alias("has_own"),
-        F.slice(F.sort_array(F.collect_list(F.struct("_score", F.col("a_tc"), F.col("_d"))), asc=False), 1, 2).alias("best"),
-    )
+    best = Window.partitionBy("year", "tc_number").orderBy("_score", "a_tc")
+    told = near.withColumns({"_r": F.row_number().over(best), "_n": F.count("*").over(Window.partitionBy("year", "tc_number"))})
+    told = told.groupBy("year", "tc_number").agg(
+        F.max("_n").alias("n"), F.bool_or("_same").alias("has_own"), F.min(F.when(F.col("_same"), F.struct("_d", "a_tc"))).alias("own"),
+        F.min_by(F.struct("_score", "a_tc", "_d"), "_r").alias("best"), F.min(F.when(F.col("_r") == 2, F.col("_score"))).alias("next"),
+    )
     everyone = target.select("year", "tc_number", "latitude", "longitude").join(told, ["year", "tc_number"], "left")
-    known = anchor.select(F.col("tc_number").alias("_known")).distinct()
-    everyone = everyone.join(known, F.col("tc_number") == F.col("_known"), "left")
-    own, first, second = F.coalesce("has_own", F.lit(False)), F.get("best", 0), F.get("best", 1)
-    method = F.when(F.col("latitude").isNull() | F.col("longitude").isNull(), "unresolved").when(own, "tc_number").when(F.col("n") == 1, "spatial").when(F.col("n") > 1, "scored").when(F.col("_known").isNotNull(), "tc_conflict").otherwise("unresolved")
-    margin = F.when(method == "scored", first["_score"] - second["_score"])
-    uid = F.when(own, F.col("own.a_tc")).when(F.col("n") >= 1, first["a_tc"]).otherwise(F.concat_ws("_", F.col("tc_number"), F.col("year").cast("string")))
-    confidence = F.when(margin > 0.10, "high").when(margin > 0.05, "medium").otherwise("low")
-    return everyone.select("year", "tc_number", uid.alias("station_uid"), method.alias("resolver_method"), F.when(own, F.col("own._d")).otherwise(first["_d"]).alias("resolver_delta_m"), confidence.alias("resolver_confidence"))
+    known = anchor.where("latitude is not null and longitude is not null").select(F.col("tc_number").alias("_known")).distinct()
+    everyone = checkpointed(everyone.join(known, F.col("tc_number") == F.col("_known"), "left"))
+    placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    far = nearest_anchor(everyone.where(placed & F.col("n").isNull()), a.select(F.col("a_lat").alias("latitude"), F.col("a_lon").alias("longitude")), radius)
+    everyone = everyone.join(far, ["year", "tc_number"], "left")
+    own = F.coalesce("has_own", F.lit(False))
+    method = F.when(~placed, "unresolved").when(own, "tc_number").when(F.col("n") == 1, "spatial").when(F.col("n") > 1, "scored").when(F.col("_known").isNotNull(), "tc_conflict").otherwise("unresolved")
+    margin = F.when(method == "scored", F.col("next") - F.col("best._score"))
+    anchored = F.concat(F.lit(f"GA{anchor_year % 100:02d}_"), F.when(own, F.col("own.a_tc")).otherwise(F.col("best.a_tc")))
+    uid = F.when(F.col("n") >= 1, anchored).otherwise(F.concat(F.lit("GA"), F.lpad((F.col("year") % 100).cast("string"), 2, "0"), F.lit("_"), F.col("tc_number")))
+    delta = F.when(own, F.col("own._d")).when(F.col("n") >= 1, F.col("best._d")).otherwise(F.col("metres"))
+    return everyone.select("year", "tc_number", uid.alias("station_uid"), method.alias("resolver_method"), delta.alias("resolver_delta_m"), resolver_confidence(margin).alias("resolver_confidence"))
+
+
+def run_resolver(stations: DataFrame, radius: float = 500.0, anchor_year: int = ANCHOR_YEAR) -> DataFrame:
+    """Resolver rows of all years at once: the anchor year's stations as they are, all others against them.
+
+    Of repeated (year, tc_number) the least row counts. Stations without coordinates are
+    unresolved, and so are all where the anchor year has none with coordinates.
+    """
+    columns = ["latitude", "longitude", "aadt", "functional_class"]
+    once = stations.groupBy("year", "tc_number").agg(F.min(F.struct(*columns)).alias("_s")).select("year", "tc_number", "_s.*")
+    anchor = once.where(F.col("year") == anchor_year)
+    placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    own = anchor.select(
+        "year", "tc_number", F.concat(F.lit(f"GA{anchor_year % 100:02d}_"), "tc_number").alias("station_uid"), F.lit("anchor").alias("resolver_method"),
+        F.when(placed, 0.0).alias("resolver_delta_m"), F.when(placed, "high").otherwise("low").alias("resolver_confidence"),
+    )
+    return own.unionByName(resolve_stations(anchor, once.where(F.col("year") != anchor_year), radius, anchor_year))
+
+
+def resolver_report(resolved: DataFrame, anchor_year: int = ANCHOR_YEAR) -> DataFrame:
+    """By year: rows by method and by confidence, the resolved share, and quantiles of the distance of resolved stations."""
+    methods = ("anchor", "tc_number", "spatial", "scored", "tc_conflict", "unresolved")
+    moved = F.when((F.col("resolver_method") != "anchor") & F.col("resolver_delta_m").isNotNull(), F.col("resolver_delta_m"))
+    return resolved.groupBy("year").agg(
+        F.count("*").alias("rows"), *[F.count_if(F.col("resolver_method") == m).alias(m) for m in methods], *[F.count_if(F.col("resolver_confidence") == c).alias(c) for c in ("high", "medium", "low")],
+        percent(F.count_if(F.col("resolver_method") != "unresolved"), F.count("*")).alias("resolved_pct"), F.percentile(moved, 0.5).alias("median_m"), F.percentile(moved, 0.95).alias("p95_m"), F.max(moved).alias("max_m"),
+    )
+
+
+def nearest_station(points: DataFrame, stations: DataFrame, id_: str, station: str, by: list[str] | None = None) -> DataFrame:
+    """The nearest station of each point; points without any keep a row of nulls."""
+    return knn(points, stations, id_, station, 1, by).drop("k_rank")
+
+
+def station_routes(segments: DataFrame, stations: DataFrame, id_: str = "unique_id", route: str = "ROUTE_ID", station: str = "tc_number") -> DataFrame:
+    """(station, inferred_route): the route of the segment (x, y of its midpoint) that is nearest to each station."""
+    link = knn(stations.select(station, "x", "y"), segments.select(id_, "x", "y"), station, id_, 1)
+    return link.join(segments.select(id_, route), id_, "left").select(station, F.col(route).alias("inferred_route"))
+
+
+def same_route_flag(links: DataFrame, segments: DataFrame, routes: DataFrame, id_: str = "unique_id", route: str = "ROUTE_ID", station: str = "tc_number") -> DataFrame:
+    """Links (id, station) with same_route_flag: 1 if the station's inferred route is the segment's, else 0."""
+    told = links.join(segments.select(id_, route), id_, "left").join(routes, station, "left")
+    return told.withColumn("same_route_flag", F.coalesce(F.col(route) == F.col("inferred_route"), F.lit(False)).cast("int")).drop(route, "inferred_route")
+
+
+def attach_nearest_value(stations: DataFrame, segments: DataFrame, value: str, name: str, id_: str = "unique_id", station: str = "station_uid") -> DataFrame:
+    """Stations with the value of the nearest segment that has one."""
+    known = segments.where(F.col(value).isNotNull())
+    link = knn(stations.select(station, "x", "y"), known.select(id_, "x", "y"), station, id_, 1)
+    return stations.join(link.join(known.select(id_, F.col(value).alias(name)), id_, "left").select(station, name), station, "left")
+
+
+def station_segment_attributes(stations: DataFrame, resolver: DataFrame, links: DataFrame, segments: DataFrame) -> DataFrame:
+    """Stations with station_uid, and fc_bin, urban_rural and district of the segment they are the nearest station of.
+
+    ``links``: year, k_rank, nearest_tc_number, unique_id. Of several segments the nearest
+    (the smallest id of equals) counts, so a station stays one row.
+    """
+    first = links.where("k_rank = 1").groupBy("year", F.col("nearest_tc_number").alias("tc_number"))
+    link = first.agg(F.min_by("unique_id", F.struct(F.col("station_distance_m"), F.col("unique_id"))).alias("nearest_segment_uid"))
+    told = stations.join(resolver.select("year", "tc_number", "station_uid"), ["year", "tc_number"], "left").join(link, ["year", "tc_number"], "left")
+    attributes = segments.select(F.col("unique_id").alias("nearest_segment_uid"), fc_bin(F.col("FUNCTIONAL_CLASS")).alias("fc_bin"), urban_rural(F.col("URBAN_CODE")).alias("urban_rural"), F.col("DISTRICT").alias("district"))
+    return told.join(attributes, "nearest_segment_uid", "left")
+
+
+def actual_on_flagged(links: DataFrame, stations: DataFrame, segments: DataFrame, flag: str, value: str) -> DataFrame:
+    """(unique_id, tc_number, aadt_actual, value): stations of type Actual whose linked segment is flagged and has the same value within 1."""
+    actual = stations.where("statistics_type = 'Actual'").select("year", F.col("tc_number").alias("nearest_tc_number"), F.col("aadt").alias("aadt_actual"))
+    flagged = segments.where(F.col(flag) == 1).select("unique_id", F.col(value).alias("value"))
+    met = links.join(actual, ["year", "nearest_tc_number"]).join(flagged, "unique_id")
+    return met.where(F.abs(F.col("aadt_actual") - F.col("value")) < 1).select("unique_id", F.col("nearest_tc_number").alias("tc_number"), "aadt_actual", "value")
 
 
 def assign_folds(ids: DataFrame, column: str, folds: int = 5, seed: str = "42") -> DataFrame:
@@ -159,26 +273,64 @@ def station_wide(stations: DataFrame, resolver: DataFrame, years: list[int], val
     return wide.withColumn("years_with_data", sum(F.col(f"{values[0]}_{y}").isNotNull().cast("int") for y in years))
 
 
-def cohort_ratios(rows: DataFrame, keys: list[str], value: str, ratio: Column, min_size: int = 30) -> DataFrame:
-    """Median value and ratio by all ``keys``; cohorts below ``min_size`` take those of the parent without the last key.
+def _cohorts(rows: DataFrame, version: list[str], keys: list[str], size: Column, base: Column, ratios: dict[str, Column], min_size: int) -> DataFrame:
+    """Size, median of ``base`` and of each ratio by version and keys; small cohorts take all of them from the parent without the last key.
 
     Exact medians at both levels from one pass of grouping sets; null is a key like others.
     """
-    told = rows.withColumn("_ratio", ratio)
+    told = rows.withColumns({"_base": base} | {f"_{n}": x for n, x in ratios.items()})
+    fixed, own_keys = [F.col(k) for k in version], [F.col(k) for k in keys]
     level = F.grouping(keys[-1])
-    both = told.groupingSets([[F.col(k) for k in keys], [F.col(k) for k in keys[:-1]]], *[F.col(k) for k in keys]).agg(
-        F.count(value).alias("n"), F.median(value).alias("median_value"), F.median("_ratio").alias("median_ratio"), level.cast("int").alias("_parent")
+    both = told.groupingSets([[*fixed, *own_keys], [*fixed, *own_keys[:-1]]], *fixed, *own_keys).agg(
+        size.alias("n"), F.median("_base").alias("median_value"), *[F.median(f"_{n}").alias(n) for n in ratios], level.cast("int").alias("_parent")
     )
     own, parent = both.where("_parent = 0").drop("_parent").alias("o"), both.where("_parent = 1").alias("p")
-    on = None
-    for k in keys[:-1]:
-        term = F.col(f"o.{k}").eqNullSafe(F.col(f"p.{k}"))
-        on = term if on is None else on & term
+    on = F.lit(True)
+    for k in [*version, *keys[:-1]]:
+        on = on & F.col(f"o.{k}").eqNullSafe(F.col(f"p.{k}"))
     small = F.col("o.n") < min_size
-    return own.join(parent, on, "left").select(
-        *[F.col(f"o.{k}").alias(k) for k in keys], F.col("o.n").alias("n"), F.when(small, F.col("p.median_value")).otherwise(F.col("o.median_value")).alias("median_value"),
-        F.when(small, F.col("p.median_ratio")).otherwise(F.col("o.median_ratio")).alias("median_ratio"), small.alias("from_parent"),
-    )
+    taken = [F.when(small, F.col(f"p.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in ("n", "median_value", *ratios)]
+    return own.join(parent, on, "left").select(*[F.col(f"o.{k}").alias(k) for k in [*version, *keys]], *taken, small.cast("int").alias("fallback_used"))
+
+
+COHORT_VERSIONS = ("full", "exclude_2020", "exclude_2022", "exclude_2023", "exclude_2024")
+COHORT_KEYS = ["fc_bin", "urban_rural", "district"]
+
+
+def _ratio(numerator: str, denominator: str) -> Column:
+    return F.when(F.col(denominator) > 0, F.col(numerator) / F.col(denominator))
+
+
+def cohort_ratios(segments: DataFrame, min_size: int = 30, names: str = "AADT_{}_HPMS") -> DataFrame:
+    """Cohorts of segments (FUNCTIONAL_CLASS, URBAN_CODE, DISTRICT and the yearly values) in five versions.
+
+    Columns: version, fc_bin, urban_rural, district, n, median_value (of 2020), ratio_2022 and
+    ratio_2024 (to 2020), fallback_used. A version hides what rests on its year: exclude_2022
+    and exclude_2024 their ratio, exclude_2020 all medians, exclude_2023 nothing.
+    """
+    year = names.format
+    told = segments.withColumns({"fc_bin": fc_bin(F.col("FUNCTIONAL_CLASS")), "urban_rural": urban_rural(F.col("URBAN_CODE")), "district": F.col("DISTRICT")})
+    ratios = {"ratio_2022": _ratio(year(2022), year(2020)), "ratio_2024": _ratio(year(2024), year(2020))}
+    found = _cohorts(told, [], COHORT_KEYS, F.count("*"), F.col(year(2020)).cast("double"), ratios, min_size)
+    found = found.crossJoin(F.broadcast(segments.sparkSession.createDataFrame([(v,) for v in COHORT_VERSIONS], "version string")))
+    hidden = {"median_value": ["exclude_2020"], "ratio_2022": ["exclude_2020", "exclude_2022"], "ratio_2024": ["exclude_2020", "exclude_2024"]}
+    return found.withColumns({c: F.when(~F.col("version").isin(*v), F.col(c)) for c, v in hidden.items()})
+
+
+def station_cohort_ratios(stations: DataFrame, folds: int = 5, min_size: int = 30) -> DataFrame:
+    """Cohorts of stations (station_uid, year, aadt, fc_bin, urban_rural, district) in a full version and one without each fold.
+
+    One row per station and attributes carries the first value (by row order of value) of
+    each year and goes into the versions that keep its station; sizes count distinct stations.
+    """
+    years = (2020, 2022, 2023, 2024)
+    complete = stations.where("fc_bin is not null and urban_rural is not null and district is not null and station_uid is not null")
+    wide = complete.groupBy("station_uid", *COHORT_KEYS).agg(*[F.min(F.when(F.col("year") == y, F.col("aadt"))).alias(f"_y{y}") for y in years])
+    told = wide.join(assign_folds(stations.where("station_uid is not null"), "station_uid", folds), "station_uid")
+    versions = F.concat(F.array(F.lit("full")), F.transform(F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda i: i != F.col("fold")), lambda i: F.concat(F.lit("fold_"), i.cast("string"))))
+    told = told.withColumn("version", F.explode(versions))
+    ratios = {"ratio_2022": _ratio("_y2022", "_y2020"), "ratio_2024": _ratio("_y2024", "_y2020")}
+    return _cohorts(told, ["version"], COHORT_KEYS, F.count_distinct("station_uid"), F.col("_y2020").cast("double"), ratios, min_size)
 
 
 def median_with_fallback(rows: DataFrame, value: str, levels: list[list[str]]) -> DataFrame:
@@ -261,3 +413,96 @@ def holdout_metrics(df: DataFrame, predicted: str, truth: str, by: list[str] | N
     return told.groupBy(*(by or [])).agg(
         F.count("*").alias("n"), F.avg("_e").alias("mape"), F.median("_e").alias("median_ape"), F.percentile("_e", 0.95).alias("p95_ape"), percent(F.count_if(F.col("_e") <= 10), F.count("*")).alias("within_10_pct")
     )
+
+
+# Weight of the pandemic's effect by year, and the gates of a validation.
+COVID_WEIGHT = {2020: 1.0, 2021: 0.6, 2022: 0.15, 2023: 0.05, 2024: 0.0}
+GATES = {"within_10_pct": 80.0, "median_ape": 8.0, "mape": 25.0}
+
+
+def covid_widened(fc: Column, area: Column) -> Column:
+    """Whether the lower bound is widened: urban segments of classes 1 to 3."""
+    return F.coalesce((area == "urban") & fc.isin(1, 2, 3), F.lit(False))
+
+
+def predict_held_out(year: int, values: dict[int, Column], widened: Column) -> Column:
+    """Clamped prediction of a hidden year from at least three others; null without them or without its true value.
+
+    The bounds come from 2020 and 2022, for a hidden 2022 from the next year that is there
+    (2020 itself without one).
+    """
+    rest = [y for y in sorted(values) if y != year]
+    fit = trajectory(rest, [values[y] for y in rest])
+    later = F.coalesce(*[values[y] for y in (2023, 2024) if y in rest]) if year == 2022 else values[2022]
+    clamped = clamp_prediction(trajectory_raw(fit, year), values[2020], F.coalesce(later, values[2020]), widened)
+    return F.when(values[year].isNotNull() & fit["level"].isNotNull(), clamped)
+
+
+def validation_gates(metrics: DataFrame) -> DataFrame:
+    """Metrics with ``passes`` (share within 10 percent and median error) and ``stops`` (mean error beyond the hard limit)."""
+    passes = (F.col("within_10_pct") >= GATES["within_10_pct"]) & (F.col("median_ape") <= GATES["median_ape"])
+    return metrics.withColumns({"passes": passes, "stops": F.col("mape") > GATES["mape"]})
+
+
+def idw_all_years(links: DataFrame, stations: DataFrame, years: list[int], id_: str = "unique_id") -> DataFrame:
+    """One row per segment: predicted count, bounds, confidence and number used of each year, and predicted trucks.
+
+    Trucks are single and combination units together, null only where both are.
+    """
+    one = stations.groupBy("year", "tc_number").agg(F.min(F.struct("aadt", "single_unit_aadt", "combo_unit_aadt")).alias("_s")).select("year", "tc_number", "_s.*")
+    trucks = F.when(F.col("single_unit_aadt").isNotNull() | F.col("combo_unit_aadt").isNotNull(), F.coalesce("single_unit_aadt", F.lit(0)) + F.coalesce("combo_unit_aadt", F.lit(0)))
+    total = idw_predict(links, one, id_)
+    heavy = idw_predict(links, one.withColumn("trucks", trucks), id_, "trucks").select(id_, "year", F.col("predicted").alias("trucks"))
+    told = total.join(heavy, [id_, "year"])
+    names = {"predicted": "AADT_{}_MODELED", "lower": "AADT_{}_NEIGHBOR_MIN", "upper": "AADT_{}_NEIGHBOR_MAX", "confidence": "AADT_{}_CONFIDENCE", "n_used": "AADT_{}_N_STATIONS_USED", "trucks": "TRUCK_AADT_{}_MODELED"}
+    return told.groupBy(id_).agg(*[F.max(F.when(F.col("year") == y, F.col(c))).alias(n.format(y)) for y in years for c, n in names.items()])
+
+
+def idw_fill(segments: DataFrame, wanted: Column, links: DataFrame, stations: DataFrame, year: int, id_: str = "unique_id") -> DataFrame:
+    """AADT_<year>_LOCAL_FILL and its confidence for the segments for which ``wanted`` holds, where a prediction exists; null for all others."""
+    asked = segments.where(wanted).select(id_).distinct()
+    told = idw_predict(links.where(F.col("year") == year).join(asked, id_, "left_semi"), stations.where(F.col("year") == year), id_).where("predicted is not null")
+    fill = told.select(id_, F.col("predicted").alias(f"AADT_{year}_LOCAL_FILL"), F.col("confidence").alias(f"AADT_{year}_LOCAL_FILL_CONFIDENCE"))
+    return segments.join(fill, id_, "left")
+
+
+def knn_features_wide(rows: DataFrame, links: DataFrame, stations: DataFrame, k: int = 5) -> DataFrame:
+    """(station_uid, year) with a column set for each of the ``k`` nearest other stations of a station's segment, and how many lie within 1 and 5 km.
+
+    Rows: station_uid, year, tc_number, nearest_segment_uid. The station itself is left out and
+    the rest ranked anew by distance (then id).
+    """
+    met = links.withColumnRenamed("unique_id", "nearest_segment_uid").join(rows.select("station_uid", "year", "tc_number", "nearest_segment_uid").distinct(), ["nearest_segment_uid", "year"])
+    met = met.where(F.col("nearest_tc_number").isNotNull() & (F.col("nearest_tc_number") != F.col("tc_number")))
+    order = Window.partitionBy("station_uid", "year").orderBy("station_distance_m", "nearest_tc_number", "nearest_segment_uid")
+    met = met.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k)
+    facts = ["aadt", "k_factor", "d_factor", "functional_class", "statistics_type"]
+    one = stations.groupBy("year", F.col("tc_number").alias("nearest_tc_number")).agg(F.min(F.struct(*facts)).alias("_s")).select("year", "nearest_tc_number", "_s.*")
+    told = met.join(one, ["year", "nearest_tc_number"], "left")
+    actual = F.when(F.col("aadt").isNotNull() | F.col("statistics_type").isNotNull(), F.coalesce(F.col("statistics_type") == "Actual", F.lit(False)).cast("int"))
+    columns = {"distance": F.col("station_distance_m"), "same_route": F.col("same_route_flag"), "aadt": F.col("aadt"), "k_factor": F.col("k_factor"), "d_factor": F.col("d_factor"), "fc": F.col("functional_class"), "is_actual": actual}
+    wide = [F.max(F.when(F.col("_r") == r, x)).alias(f"knn_{n}_{r}") for r in range(1, k + 1) for n, x in columns.items()]
+    near = [F.count_if(F.col("station_distance_m") <= 1000 * km).alias(f"num_neighbors_within_{km}km") for km in (1, 5)]
+    return told.groupBy("station_uid", "year").agg(*wide, *near)
+
+
+def training_rows(stations: DataFrame, resolver: DataFrame, links: DataFrame, segments: DataFrame, cohorts: DataFrame, years: tuple[int, ...] = (2020, 2022, 2023, 2024)) -> DataFrame:
+    """A row per station and year of type Actual: fold, attributes of the nearest segment, neighbours, cohort, and target ln(aadt).
+
+    Years since 2020, the pandemic's weight, and half a sample weight for urban rows of 2020
+    in classes 1 to 3.
+    """
+    wanted = stations.where((F.col("statistics_type") == "Actual") & F.col("year").isin(*years))
+    told = wanted.join(resolver.select("year", "tc_number", "station_uid"), ["year", "tc_number"]).where("station_uid is not null")
+    told = told.groupBy("station_uid", "year").agg(F.min(F.struct("tc_number", "aadt")).alias("_s")).select("station_uid", "year", "_s.tc_number", "_s.aadt")
+    told = told.join(assign_folds(told, "station_uid"), "station_uid")
+    first = links.where("k_rank = 1").groupBy("year", F.col("nearest_tc_number").alias("tc_number")).agg(F.min_by("unique_id", F.struct("station_distance_m", "unique_id")).alias("nearest_segment_uid"))
+    told = told.join(first, ["year", "tc_number"], "left")
+    attributes = segments.select(F.col("unique_id").alias("nearest_segment_uid"), "FUNCTIONAL_CLASS", fc_bin(F.col("FUNCTIONAL_CLASS")).alias("fc_bin"), urban_rural(F.col("URBAN_CODE")).alias("urban_rural"), F.col("DISTRICT").alias("district"))
+    told = checkpointed(told.join(attributes, "nearest_segment_uid", "left"))
+    told = told.join(knn_features_wide(told, links, stations), ["station_uid", "year"], "left")
+    full = cohorts.where("version = 'full'").select("fc_bin", "urban_rural", "district", F.col("n").alias("cohort_size"), F.col("median_value").alias("cohort_median_2020"), "ratio_2022", "ratio_2024")
+    told = told.join(full, ["fc_bin", "urban_rural", "district"], "left")
+    weight = F.create_map(*[F.lit(x) for pair in COVID_WEIGHT.items() for x in pair])
+    halved = (F.col("year") == 2020) & covid_widened(F.col("FUNCTIONAL_CLASS"), F.col("urban_rural"))
+    return told.withColumns({"years_since_2020": F.col("year") - 2020, "covid_phase_weight": F.try_element_at(weight, F.col("year")), "target": F.log(F.greatest(F.col("aadt").cast("double"), F.lit(1.0))), "sample_weight": F.when(halved, 0.5).otherwise(1.0)})

@@ -162,18 +162,6 @@ AUDIT_SQL = f"""{SEG} SELECT CASE WHEN grouping(DISTRICT) = 0 THEN 'DISTRICT' WH
   FROM seg GROUP BY GROUPING SETS ((DISTRICT), (STATUS), (URBAN_CODE), ())"""
 
 
-def cohorts(spark: SparkSession, d: str) -> DataFrame:
-    s = segments(spark, d).withColumns({"fc_bin": P.fc_bin(F.col("FUNCTIONAL_CLASS")), "area": P.urban_rural(F.col("URBAN_CODE"))})
-    return S.cohort_ratios(s, ["fc_bin", "area", "DISTRICT"], "AADT", F.bround(F.try_divide("AADT", "HPMS_AADT"), 6), 400)
-
-
-COHORTS_SQL = f"""{SEG}, c AS (SELECT *, CASE WHEN FUNCTIONAL_CLASS <= 2 THEN '1-2' WHEN FUNCTIONAL_CLASS <= 4 THEN '3-4' WHEN FUNCTIONAL_CLASS <= 6 THEN '5-6' ELSE '7' END AS fc_bin,
-  CASE WHEN URBAN_CODE = 99999 THEN 'rural' ELSE 'urban' END AS area, round_even(CASE WHEN HPMS_AADT <> 0 THEN AADT / HPMS_AADT END, 6) AS ratio FROM seg),
-o AS (SELECT fc_bin, area, DISTRICT, count(AADT) AS n, median(AADT) AS mv, median(ratio) AS mr FROM c GROUP BY 1, 2, 3), p AS (SELECT fc_bin, area, median(AADT) AS mv, median(ratio) AS mr FROM c GROUP BY 1, 2)
-SELECT o.fc_bin, o.area, o.DISTRICT, o.n, CASE WHEN o.n < 400 THEN p.mv ELSE o.mv END AS median_value, CASE WHEN o.n < 400 THEN p.mr ELSE o.mr END AS median_ratio, o.n < 400 AS from_parent
-FROM o JOIN p USING (fc_bin, area)"""
-
-
 def growth_fallback(spark: SparkSession, d: str) -> DataFrame:
     s = segments(spark, d).withColumn("AADT", F.when((F.col("COUNTY") % 3 != 0) & (F.col("DISTRICT") != 2), F.col("AADT")))
     return S.median_with_fallback(s, "AADT", [["COUNTY", "STATUS"], ["DISTRICT", "STATUS"]]).select("unique_id", "AADT_median", "AADT_median_level")
@@ -341,7 +329,6 @@ QUERIES = {
     "merge_intervals": (merged, MERGED_SQL),
     "coverage_by": (coverage, COVERAGE_SQL),
     "coverage_audit": (coverage_audit, AUDIT_SQL),
-    "cohort_ratios": (cohorts, COHORTS_SQL),
     "median_with_fallback": (growth_fallback, FALLBACK_SQL),
     "dominant_value": (dominant, DOMINANT_SQL),
     "repeated_value_flag": (repeated_values, REPEATED_SQL),

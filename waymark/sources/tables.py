@@ -108,6 +108,17 @@ def join_static_attributes(routes: DataFrame, layers: dict[str, DataFrame], keys
     return routes
 
 
+def attribute_coverage(joined: DataFrame, layers: dict[str, list[str]]) -> DataFrame:
+    """(layer, matched, rows): rows that have any of a layer's columns, in one pass."""
+    any_of = {name: F.coalesce(*[F.col(c).cast("string") for c in columns]) for name, columns in layers.items()}
+    wide = joined.agg(F.count("*").alias("rows"), *[F.count(x).alias(f"_{name}") for name, x in any_of.items()])
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(n).alias("layer"), F.col(f"_{n}").alias("matched"), F.col("rows")) for n in layers])))
+
+
+def station_year_counts(stations: DataFrame) -> DataFrame:
+    return stations.groupBy("year").agg(F.count("*").alias("rows"))
+
+
 def load_roadway_inventory(segments: DataFrame, district: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """State-system or evacuation segments, of one district if given; the predicate reaches the scan."""
     wanted = (F.col("SYSTEM_CODE") == "1") | F.coalesce(F.col("SEC_EVAC"), F.lit(False))
