@@ -7,9 +7,10 @@ from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from waymark.llm.common import table
-from waymark.llm.pitman_yor import Bucket, Layout, Model, _block, _bundle, _gathered, _seat, _swept, _unbundle, _Words, codes_of, draw_tables, score_texts, stirling
+from waymark.llm.pitman_yor import END, Bucket, Layout, Model, _block, _bundle, _gathered, _seat, _swept, _unbundle, codes_of, draw_tables, score_texts, stirling
 from waymark.llm.queries import op6_lm_score
 
 SF = "/root/testdata/sf0.001"
@@ -65,9 +66,14 @@ def test_edge_cases(spark):
 
 
 def test_codes_follow_the_contract():
-    words = _Words()
-    assert len(codes_of("a\x1cb \x0b c\u00a0d", words)) == 3
-    assert codes_of("ÀB", words)[0] == codes_of("Àb", words)[0] != codes_of("àb", words)[0]
+    texts = ["a\x1cb \x0b c\u00a0d", " ÀB\tÀb", None, "", "àb \x0c", "\r\n"]
+    codes, n = codes_of(pa.array(texts))
+    assert n.tolist() == [len(tokens(t)) for t in texts] == [3, 3, 1, 1, 2, 1]
+    parts = np.split(codes, np.cumsum(n)[:-1])
+    assert all(p[-1] == END and (p[:-1] != END).all() for p in parts)
+    assert parts[1][0] == parts[1][1] != parts[4][0]
+    sliced, m = codes_of(pa.array(texts)[1:3])
+    assert m.tolist() == [3, 1] and (sliced == codes[3:7]).all()
 
 
 def test_bundle():
@@ -188,7 +194,8 @@ def test_agrees_with_a_plain_sampler():
 
     train, test = [sentence() for _ in range(60)], [sentence() for _ in range(20)]
     layout = Layout(1, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
-    held = [(i, 0, i < len(train), np.array(s, dtype=np.int64)) for i, s in enumerate([*train, *test])]
+    every = [*train, *test]
+    held = [(np.arange(len(every)), np.zeros(len(every), dtype=np.uint8), (np.arange(len(every)) < len(train)).astype(np.int64), np.array([len(x) for x in every]), np.concatenate(every).astype(np.int64))]
     frame = pd.DataFrame([x for x in _block(held, 0, layout) if x[0] == 0], columns=["bucket", "block", "data"])
     row = _gathered((0,), frame).iloc[0]
     model = Model(layout, discount=DISCOUNT, strength=STRENGTH)

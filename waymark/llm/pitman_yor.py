@@ -40,6 +40,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -57,29 +59,35 @@ _MASK = (1 << 63) - 1
 _BASE_UNIT, _SCORE_UNIT = 1e-7, 1e-6
 
 
-class _Words(dict):
-    """Codes of words as bytes, filled on demand: places of the most frequent ones from 2 on, 63-bit hashes of all others."""
+def _hashed(words: pa.Array) -> np.ndarray:
+    """63-bit hashes of different words; END is no word's."""
+    return np.fromiter((max(_FIRST, xxhash.xxh3_64_intdigest(w) & _MASK) for w in words.cast(pa.large_binary()).to_pylist()), dtype=np.int64, count=len(words))
 
-    def __init__(self, layout: Layout | None = None):
-        super().__init__()
-        self.layout = layout
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        code = max(_FIRST, xxhash.xxh3_64_intdigest(word) & _MASK)
-        if self.layout and len(top := self.layout.top):
-            at = int(np.searchsorted(top, code))
-            if at < len(top) and top[at] == code:
-                code = int(self.layout.place[at])
-        self[word] = code
-        return code
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of texts (null is empty; A-Z in lower case, cut at ASCII white space), the place of each token's word among them, and tokens by text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    coded = lists.flatten().dictionary_encode()
+    turn, ends = coded.indices.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    said = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)
+    if not said.all():
+        # white space at a text's begin or end leaves an empty word there
+        kept = said[turn]
+        ends = np.append(0, np.cumsum(kept))[ends]
+        turn = (np.cumsum(said) - 1)[turn[kept]]
+    return coded.dictionary.filter(pa.array(said)), turn, np.diff(ends)
 
 
-def codes_of(text: str | None, words: _Words) -> np.ndarray:
-    """Codes of a text's words (A-Z in lower case, cut at ASCII white space) and of its end."""
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return np.fromiter((*map(words.__getitem__, found), END), dtype=np.int64, count=len(found) + 1)
+def codes_of(texts: pa.Array, layout: Layout | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all texts' words and ends, one after the other, and how many each text has."""
+    words, turn, n = split_words(texts)
+    codes = _hashed(words)
+    if layout is not None and len(layout.top):
+        at = np.minimum(np.searchsorted(layout.top, codes), len(layout.top) - 1)
+        codes = np.where(layout.top[at] == codes, layout.place[at], codes)
+    out = np.full(len(turn) + len(n), END, dtype=np.int64)
+    out[np.arange(len(turn)) + np.repeat(np.arange(len(n)), n)] = codes[turn]
+    return out, n + 1
 
 
 def _bundle(*arrays: np.ndarray) -> bytes:
@@ -133,16 +141,15 @@ class Layout:
 def _layout(docs: DataFrame, grain: int) -> Layout:
     """Count words; those seen once by a task count there as none, which moves no frequent word."""
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = _Words()
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = [codes_of(t, words) for t in batch["text"]]
-            if codes:
-                word, n = np.unique(np.concatenate(codes), return_counts=True)
-                often = n > max(1, n.sum() >> 20)
-                yield pd.DataFrame({"word": np.append(word[often], 0), "n": np.append(n[often], n.sum())})
+            words, turn, n = split_words(batch.column(0))
+            count = np.bincount(turn, minlength=len(words))
+            often = np.flatnonzero(count > max(1, len(turn) >> 20))
+            word = np.concatenate([_hashed(words.take(pa.array(often))), [END, 0]])
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(np.concatenate([count[often], [len(n), len(turn) + len(n)]]))], names=["word", "n"])
 
-    counts = docs.select("text").mapInPandas(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     rows = counts.orderBy(F.col("word") != 0, F.desc("n"), "word").limit(_TOP + 1).collect()
     tokens = rows[0]["n"] if rows else 0
     word, n = (np.array([r[x] for r in rows[1:]], dtype=np.int64) for x in ("word", "n"))
@@ -152,13 +159,11 @@ def _layout(docs: DataFrame, grain: int) -> Layout:
     return Layout(max(1, round(tokens / grain)), place[wide].astype(np.int64), 1 + 4 * n[wide] // grain, word[order], place[order])
 
 
-def _block(held: list[tuple], number: int, layout: Layout) -> Iterator[tuple]:
-    """(bucket, block, data) rows of some documents (id, is null, learn, codes): their triples by bucket, and themselves below 0; takes them out of ``held``."""
-    lengths = np.array([len(h[3]) for h in held])
-    ids, nulls, learn = (np.array([h[c] for h in held], dtype=kind) for c, kind in ((0, np.int64), (1, np.uint8), (2, np.int64)))
-    yield -1 - number % layout.buckets, number, _bundle(ids, nulls, lengths.astype(np.int32))
-    said = np.concatenate([h[3] for h in held])
+def _block(held: list[tuple[np.ndarray, ...]], number: int, layout: Layout) -> Iterator[tuple]:
+    """(bucket, block, data) rows of some documents (ids, nulls, learn, lengths, codes, in parts): their triples by bucket, and themselves below 0; takes them out of ``held``."""
+    ids, nulls, learn, lengths, said = (np.concatenate(x) for x in zip(*held, strict=True))
     held.clear()
+    yield -1 - number % layout.buckets, number, _bundle(ids, nulls, lengths.astype(np.int32))
     codes = np.unique(said)
     third = np.searchsorted(codes, said).astype(np.int32)
     del said
@@ -531,23 +536,34 @@ def score_texts(docs: DataFrame, learn: str = "learn", burn_in: int = 4, kept: i
     sweeps and the ``kept`` ones that are averaged.
     """
     session = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().cast("int").alias("gone"), "text", F.coalesce(learn, F.lit(False)).cast("int").alias("learn"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().cast("int").alias("gone"), F.coalesce(learn, F.lit(False)).cast("int").alias("learn"), "text")
     layout = _layout(rows, grain)
     shared = session.sparkContext.broadcast(layout)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, number, held, size = _Words(shared.value), TaskContext.get().partitionId() << 32, [], 0
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            for r in zip(batch["id"], batch["gone"], batch["learn"], batch["text"], strict=True):
-                held.append((*r[:3], codes_of(r[3], words)))
-                size += len(held[-1][3])
-                if size >= BLOCK:
-                    yield pd.DataFrame(_block(held, number, shared.value), columns=["bucket", "block", "data"])
+            codes, lengths = codes_of(batch.column(3), shared.value)
+            ids, nulls, learn = (batch.column(i).to_numpy().astype(kind) for i, kind in enumerate((np.int64, np.uint8, np.int64)))
+            ends = np.cumsum(lengths)
+            a = 0
+            while a < len(ids):
+                before = ends[a] - lengths[a]
+                z = max(a + 1, int(np.searchsorted(ends, before + BLOCK - size, side="right")))
+                held.append((ids[a:z], nulls[a:z], learn[a:z], lengths[a:z], codes[before : ends[z - 1]]))
+                size += int(ends[z - 1] - before)
+                a = z
+                if size >= BLOCK or a < len(ids):
+                    yield _rows(_block(held, number, shared.value))
                     number, held, size = number + 1, [], 0
         if held:
-            yield pd.DataFrame(_block(held, number, shared.value), columns=["bucket", "block", "data"])
+            yield _rows(_block(held, number, shared.value))
+
+    def _rows(found: Iterator[tuple]) -> pa.RecordBatch:
+        bucket, block, data = zip(*found, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(block, pa.int64()), pa.array(data, pa.binary())], names=["bucket", "block", "data"])
 
-    blocks = rows.mapInPandas(cut, "bucket int, block long, data binary").repartition(layout.buckets, "bucket")
+    blocks = rows.mapInArrow(cut, "bucket int, block long, data binary").repartition(layout.buckets, "bucket")
     gathered = blocks.groupBy("bucket").applyInPandas(_gathered, "bucket int, block long, model binary, blocks array<long>, pieces array<binary>")
     name = f"waymark_lm_{uuid.uuid4().hex}"
     gathered.write.bucketBy(layout.buckets, "bucket").option("path", f"{checkpoint_folder(session)}/{name}").saveAsTable(name)
