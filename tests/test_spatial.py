@@ -1,3 +1,6 @@
+import math
+import random
+
 from pyspark.sql import functions as F
 
 from waymark.operators import graph, spatial
@@ -14,13 +17,69 @@ def test_polygons(spark):
     lines = spark.createDataFrame([(1, [(0.5, 0.5), (1.5, 0.5)], 0.0, 1.0), (2, [(0.8, 0.5), (1.8, 0.5)], 0.0, 1.0), (3, [(5.0, 5.0), (6.0, 5.0)], 0.0, 1.0)], f"id int, line {LINE}, from_mp double, to_mp double")
     got = {r.id: (r.poly, None if r.share is None else round(r.share, 6)) for r in spatial.overlay_winner(lines, "id", polygons, "poly", 0.7).collect()}
     assert got == {1: ("a", 0.5), 2: ("b", 0.8), 3: (None, None)}
-    listed = {r.id: r.poly_all for r in spatial.overlap_list(lines, "id", polygons, "poly", 0.7).collect()}
-    assert listed == {1: "a, b", 2: "b, a"}
+    named = polygons.withColumn("name", F.upper("poly"))
+    listed = {r.id: r.names for r in spatial.overlap_list(lines.withColumn("major", F.when(F.col("id") == 2, " a ")), "id", named, "poly", "name", 0.7, "major").collect()}
+    assert listed == {1: "A, B", 2: "a, B", 3: None}
     assert {(r.id, r.mp) for r in spatial.boundary_crossings(lines, "id", polygons, 0.7).collect()} == {(1, 0.5), (2, 0.2)}
     points = lines.select("id", F.element_at("line", 1).alias("p"))
     assert {r.id: r.poly for r in spatial.point_in_polygon(points, "id", polygons, "poly", 0.7).collect()} == {1: "a", 2: "a", 3: None}
 
 
+def test_border_stretch_gives_both_ends(spark):
+    polygons = spark.createDataFrame([("a", box(0, 0, 2, 1))], f"poly string, rings array<{LINE}>")
+    route = spark.createDataFrame([(1, [(-1.0, 1.0), (3.0, 1.0)], 0.0, 4.0)], f"id int, line {LINE}, from_mp double, to_mp double")
+    assert {r.mp for r in spatial.boundary_crossings(route, "id", polygons, 0.7).collect()} == {1.0, 3.0}
+
+
+def test_membership_by_brute_force(spark):
+    """Random polygons, with a hole, against even-odd counts; lengths against fine samples; nearest outlines."""
+    r = random.Random(5)
+
+    def star(x, y, n, size):
+        turns = sorted(r.uniform(0, 2 * math.pi) for _ in range(n))
+        ring = [(x + math.cos(t) * size * r.uniform(0.4, 1), y + math.sin(t) * size * r.uniform(0.4, 1)) for t in turns]
+        return [*ring, ring[0]]
+
+    polygons = {f"p{i}": [star(r.uniform(0, 30), r.uniform(0, 30), 9, r.uniform(2, 9))] for i in range(6)}
+    polygons["p0"].append([(p[0] * 0.1 + 13, p[1] * 0.1 + 13) for p in polygons["p0"][0]])
+
+    def inside(x, y, rings):
+        odd = False
+        for ring in rings:
+            for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+                if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+                    odd = not odd
+        return odd
+
+    df = spark.createDataFrame([(k, v) for k, v in polygons.items()], f"poly string, rings array<{LINE}>")
+    points = [(i, (r.uniform(-5, 35), r.uniform(-5, 35))) for i in range(400)]
+    pdf = spark.createDataFrame(points, "id int, p struct<x:double,y:double>")
+    got = {x.id: x.poly for x in spatial.point_in_polygon(pdf, "id", df, "poly", 1.7).collect()}
+    assert got == {i: min((k for k, v in polygons.items() if inside(*p, v)), default=None) for i, p in points}
+    lines = [(i, [(r.uniform(0, 30), r.uniform(0, 30)) for _ in range(3)]) for i in range(12)]
+    ldf = spark.createDataFrame(lines, f"id int, line {LINE}")
+    found = {(x.id, x.poly): x.inside for x in spatial.inside_lengths(ldf, "id", df, "poly", 1.7).collect()}
+    for i, line in lines:
+        for k, rings in polygons.items():
+            want = 0.0
+            for (ax, ay), (bx, by) in zip(line, line[1:]):
+                n = 4000
+                want += math.hypot(bx - ax, by - ay) * sum(inside(ax + (j + 0.5) / n * (bx - ax), ay + (j + 0.5) / n * (by - ay), rings) for j in range(n)) / n
+            assert abs(found.get((i, k), 0.0) - want) < 0.05
+    far = spark.createDataFrame([(1, (500.0, 10.0)), (2, (-40.0, -3.0))], "id int, p struct<x:double,y:double>")
+
+    def gap(p, rings):
+        out = []
+        for ring in rings:
+            for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+                t = max(0, min(1, ((p[0] - ax) * (bx - ax) + (p[1] - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)))
+                out.append(math.hypot(ax + t * (bx - ax) - p[0], ay + t * (by - ay) - p[1]))
+        return min(out)
+
+    near = {x.id: x.poly for x in spatial.nearest_polygon(far, "id", df, "poly", 1.7).collect()}
+    assert near == {i: min(polygons, key=lambda k: gap(p, polygons[k])) for i, p in ((1, (500.0, 10.0)), (2, (-40.0, -3.0)))}
+
+
 def test_distances(spark):
     lines = spark.createDataFrame([(1, "A", [(0.0, 0.0), (10.0, 0.0)]), (2, "B", [(0.0, 3.0), (10.0, 3.0)]), (3, "C", [(0.0, 50.0), (1.0, 50.0)])], f"id int, name string, line {LINE}")
     assert {(r.id, r.connections) for r in spatial.degrees_of_connection(lines, "id", "name", 5.0).collect()} == {(1, 1), (2, 1), (3, 0)}

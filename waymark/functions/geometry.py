@@ -1,7 +1,10 @@
 """Geometry as column expressions on ``array<struct<x, y>>`` lines and ``array<array<struct<x, y>>>`` rings, in metres.
 
-Each works on one row's arrays with higher-order functions, so it stays in the JVM
-and costs in proportion to the number of vertices (times rings for polygons).
+Each works on one row's arrays with higher-order functions, so it stays in the JVM.
+Most cost in proportion to the number of vertices; those that add lengths up along a
+line or join parts (``line_at``, ``line_substring``, ``line_project``, ``merge_parts``) copy
+the array at each step and suit lines of some hundred vertices. The joins of
+``operators`` work on single edges.
 """
 
 from __future__ import annotations
@@ -154,6 +157,39 @@ def edge_crossings(a: Column, b: Column) -> Column:
     return F.when(t.between(0, 1) & s.between(0, 1), t)
 
 
+def edge_meetings(a: Column, b: Column) -> Column:
+    """Shares along edge ``a`` where edge ``b`` meets it: one where they cross, both ends of a common stretch, none else."""
+    ux, uy = a["bx"] - a["ax"], a["by"] - a["ay"]
+    n = ux * ux + uy * uy
+    crossing = edge_crossings(a, b)
+    parallel = F.abs(ux * (b["by"] - b["ay"]) - uy * (b["bx"] - b["ax"])) <= 1e-9 * F.greatest(n, F.lit(1.0))
+    apart = F.abs(ux * (b["ay"] - a["ay"]) - uy * (b["ax"] - a["ax"])) / F.sqrt(F.greatest(n, F.lit(1e-18)))
+    p, q = ((b["ax"] - a["ax"]) * ux + (b["ay"] - a["ay"]) * uy) / F.nullif(n, F.lit(0.0)), ((b["bx"] - a["ax"]) * ux + (b["by"] - a["ay"]) * uy) / F.nullif(n, F.lit(0.0))
+    low, high = F.greatest(F.lit(0.0), F.least(p, q)), F.least(F.lit(1.0), F.greatest(p, q))
+    none = F.array().cast("array<double>")
+    return F.when(crossing.isNotNull(), F.array(crossing)).when((n > 0) & parallel & (apart < 1e-6) & (low <= high), F.array(low, high)).otherwise(none)
+
+
+def edge_distance(a: Column, b: Column) -> Column:
+    """Distance between two edges; 0 where they cross."""
+
+    def to_edge(px: Column, py: Column, g: Column) -> Column:
+        t = _edge_project(g, px, py)
+        return F.hypot(g["ax"] + t * (g["bx"] - g["ax"]) - px, g["ay"] + t * (g["by"] - g["ay"]) - py)
+
+    gap = F.least(to_edge(a["ax"], a["ay"], b), to_edge(a["bx"], a["by"], b), to_edge(b["ax"], b["ay"], a), to_edge(b["bx"], b["by"], a))
+    return F.when(edge_crossings(a, b).isNotNull(), 0.0).otherwise(gap)
+
+
+def line_distance(a: Column, b: Column) -> Column:
+    """Distance between two lines: the least of all pairs of edges (a point is a line of one vertex)."""
+
+    def cut(x: Column) -> Column:
+        return edges(F.when(F.size(x) == 1, F.concat(x, x)).otherwise(x))
+
+    return F.array_min(F.flatten(F.transform(cut(a), lambda e: F.transform(cut(b), lambda g: edge_distance(e, g)))))
+
+
 def snap(x: Column, tolerance: float) -> Column:
     return F.bround(x / tolerance) * tolerance
 

@@ -1,108 +1,202 @@
-"""Spatial joins by grid cells: polygons, overlaps, distances.
+"""Spatial joins by grid cells: polygons, overlaps, distances, densities.
 
 Both sides are cut into cells of a fixed size and meet by an equality join on the
 cell, so no pair is looked at that doesn't share one, and a dense cell can be split
 by adaptive execution. Lines and polygons are arrays (see ``functions.geometry``).
+A polygon is known to a cell by the edges that pass it and by whether the cell's lower
+left corner lies inside; cells within it carry no edges at all, so an outline's
+vertices are copied to the cells they lie in and nowhere else.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import geometry as G
+from waymark.lineage import checkpointed
+
+METRES_PER_MILE = 1609.344
 
 
 def _celled(df: DataFrame, cells: Column) -> DataFrame:
     return df.withColumn("_cell", F.explode(cells))
 
 
+def _ends(e: Column) -> Column:
+    return F.array(F.struct(e["ax"].alias("x"), e["ay"].alias("y")), F.struct(e["bx"].alias("x"), e["by"].alias("y")))
+
+
+def _cell_of(p: Column, size: float) -> Column:
+    return F.struct(F.floor(p["x"] / size).alias("cx"), F.floor(p["y"] / size).alias("cy"))
+
+
+def polygon_cells(polygons: DataFrame, polygon: str, size: float) -> DataFrame:
+    """(polygon, _cell, _in, _edges): cells that a polygon touches, whether their lower left corner is inside, and the edges that pass them (null if none)."""
+    edges = polygons.select(polygon, F.explode(F.flatten(F.transform("rings", G.edges))).alias("_e"))
+    e = F.col("_e")
+    border = _celled(edges, G.line_cells(_ends(e), size)).groupBy(polygon, "_cell").agg(F.collect_list("_e").alias("_edges"))
+    # where the lower sides of rows cross the outline; a corner is inside if an odd number lies beyond it
+    low, high = F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"])
+    first, last = F.ceil(low / size), F.ceil(high / size) - 1
+    rows = edges.where(last >= first).withColumn("_row", F.explode(F.sequence(first, last)))
+    y = F.col("_row") * size
+    at = e["ax"] + (y - e["ay"]) * (e["bx"] - e["ax"]) / (e["by"] - e["ay"])
+    crossings = rows.select(polygon, F.col("_row"), at.alias("_x")).groupBy(polygon, "_row").agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
+    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size("_xs") / 2) - 1), lambda i: F.struct(F.get(F.col("_xs"), (2 * i).cast("int")).alias("a"), F.get(F.col("_xs"), (2 * i + 1).cast("int")).alias("b")))
+    spans = crossings.where(F.size("_xs") > 1).select(polygon, "_row", F.explode(pairs).alias("_p"))
+    inner = spans.where(F.ceil(F.col("_p.a") / size) * size < F.col("_p.b"))
+    inner = inner.withColumn("_cx", F.explode(F.sequence(F.ceil(F.col("_p.a") / size), F.ceil(F.col("_p.b") / size) - 1)))
+    inner = inner.select(polygon, F.struct(F.col("_cx").alias("cx"), F.col("_row").alias("cy")).alias("_cell"), F.lit(True).alias("_in"))
+    both = border.join(inner, [polygon, "_cell"], "full")
+    return both.select(polygon, "_cell", F.coalesce("_in", F.lit(False)).alias("_in"), "_edges")
+
+
+def _inside(x: Column, y: Column, size: float) -> Column:
+    """Whether a point of a cell lies in the cell's polygon: the way from its corner along its lower side and up crosses the outline an even number of times, or the point lies on it."""
+    x0, y0 = F.col("_cell.cx") * size, F.col("_cell.cy") * size
+    edges = F.coalesce("_edges", F.array().cast("array<struct<ax:double,ay:double,bx:double,by:double>>"))
+
+    def across(e: Column) -> Column:
+        over = (e["ay"] > y0) != (e["by"] > y0)
+        at = e["ax"] + (y0 - e["ay"]) * (e["bx"] - e["ax"]) / F.when(over, e["by"] - e["ay"]).otherwise(1.0)
+        return (over & (at > x0) & (at <= x)).cast("int")
+
+    def up(e: Column) -> Column:
+        over = (e["ax"] > x) != (e["bx"] > x)
+        at = e["ay"] + (x - e["ax"]) * (e["by"] - e["ay"]) / F.when(over, e["bx"] - e["ax"]).otherwise(1.0)
+        return (over & (at > y0) & (at <= y)).cast("int")
+
+    def touches(e: Column) -> Column:
+        t = G._edge_project(e, x, y)
+        return F.hypot(e["ax"] + t * (e["bx"] - e["ax"]) - x, e["ay"] + t * (e["by"] - e["ay"]) - y) < 1e-9
+
+    turns = F.aggregate(edges, F.lit(0), lambda n, e: n + across(e) + up(e))
+    return F.exists(edges, touches) | (F.col("_in") != (turns % 2 == 1))
+
+
 def point_in_polygon(points: DataFrame, id_: str, polygons: DataFrame, polygon: str, size: float) -> DataFrame:
     """(id, polygon) of the first polygon, in order of its id, that holds each point (``p``); all points come out."""
-    cell = F.struct(F.floor(F.col("p.x") / size).alias("cx"), F.floor(F.col("p.y") / size).alias("cy"))
-    near = points.select(id_, "p", cell.alias("_cell")).join(_celled(polygons.select(polygon, "rings"), G.ring_cells(F.col("rings"), size)), "_cell")
-    hit = near.where(G.in_rings(F.col("p"), F.col("rings"))).groupBy(id_).agg(F.min(polygon).alias(polygon))
+    near = points.select(id_, "p", _cell_of(F.col("p"), size).alias("_cell")).join(polygon_cells(polygons, polygon, size), "_cell")
+    hit = near.where(_inside(F.col("p.x"), F.col("p.y"), size)).groupBy(id_).agg(F.min(polygon).alias(polygon))
     return points.select(id_).join(hit, id_, "left")
 
 
-def _inside_lengths(lines: DataFrame, id_: str, polygons: DataFrame, polygon: str, size: float) -> DataFrame:
+def stamp(segments: DataFrame, id_: str, layers: dict[str, tuple[DataFrame, str, float]]) -> DataFrame:
+    """Segments (line) with the polygon of each layer (polygons, key, cell size) that holds their midpoint."""
+    points = segments.select(id_, G.line_interpolate(F.col("line"), 0.5).alias("p"))
+    for name, (polygons, key, size) in layers.items():
+        segments = segments.join(point_in_polygon(points, id_, polygons, key, size).withColumnRenamed(key, name), id_, "left")
+    return segments
+
+
+def inside_lengths(lines: DataFrame, id_: str, polygons: DataFrame, polygon: str, size: float) -> DataFrame:
     """(id, polygon, inside): length of each line within each polygon.
 
-    Each edge is cut where it meets a ring; a part counts if its midpoint lies inside.
+    Each edge is cut at the borders of cells and, within a cell, where it meets the outline;
+    a part counts if its midpoint lies inside.
     """
-    edge = lines.select(id_, F.posexplode(G.edges(F.col("line"))).alias("_n", "_e"))
-    ends = F.array(F.struct(F.col("_e.ax").alias("x"), F.col("_e.ay").alias("y")), F.struct(F.col("_e.bx").alias("x"), F.col("_e.by").alias("y")))
-    near = _celled(edge, G.line_cells(ends, size)).join(_celled(polygons.select(polygon, "rings"), G.ring_cells(F.col("rings"), size)), "_cell")
-    near = near.dropDuplicates([id_, "_n", polygon])
-    e = F.col("_e")
-    hits = F.transform(F.flatten(F.transform("rings", G.edges)), lambda b: G.edge_crossings(e, b))
-    cuts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.filter(hits, lambda t: t.isNotNull()))))
-    near = near.withColumn("_cuts", cuts)
+    edge = lines.select(id_, F.explode(G.edges(F.col("line"))).alias("_l"))
+    edge = _celled(edge, G.line_cells(_ends(F.col("_l")), size))
+    e = F.col("_l")
+
+    def span(a: str, b: str, c: str) -> tuple[Column, Column]:
+        lo, by = F.col(f"_cell.{c}") * size, e[b] - e[a]
+        p, q = (lo - e[a]) / F.nullif(by, F.lit(0.0)), (lo + size - e[a]) / F.nullif(by, F.lit(0.0))
+        within = (e[a] >= lo) & (e[a] < lo + size)
+        return F.coalesce(F.least(p, q), F.when(within, 0.0).otherwise(2.0)), F.coalesce(F.greatest(p, q), F.when(within, 1.0).otherwise(-1.0))
+
+    (p, q), (r, s) = span("ax", "bx", "cx"), span("ay", "by", "cy")
+    edge = edge.withColumns({"_t0": F.greatest(F.lit(0.0), p, r), "_t1": F.least(F.lit(1.0), q, s)}).where("_t1 > _t0")
+    near = edge.join(polygon_cells(polygons, polygon, size), "_cell")
+    hits = F.filter(F.transform(F.coalesce("_edges", F.array().cast("array<struct<ax:double,ay:double,bx:double,by:double>>")), lambda b: G.edge_crossings(e, b)), lambda t: (t > F.col("_t0")) & (t < F.col("_t1")))
+    near = near.withColumn("_cuts", F.array_sort(F.array_distinct(F.concat(F.array("_t0", "_t1"), hits))))
     n = F.size("_cuts") - 1
     parts = F.zip_with(F.slice("_cuts", F.lit(1), n), F.slice("_cuts", F.lit(2), n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    length = F.hypot(F.col("_e.bx") - F.col("_e.ax"), F.col("_e.by") - F.col("_e.ay"))
-
-    def counted(t: Column, p: Column) -> Column:
-        m = (p["a"] + p["b"]) / 2
-        mid = F.struct((e["ax"] + m * (e["bx"] - e["ax"])).alias("x"), (e["ay"] + m * (e["by"] - e["ay"])).alias("y"))
-        return t + F.when(G.in_rings(mid, F.col("rings")), p["b"] - p["a"]).otherwise(0.0)
-
-    inside = F.aggregate(parts, F.lit(0.0), counted) * length
-    return near.select(id_, polygon, inside.alias("inside")).groupBy(id_, polygon).agg(F.sum("inside").alias("inside")).where("inside > 0")
+    near = near.select(id_, polygon, "_cell", "_in", "_edges", "_l", F.explode(parts).alias("_p"))
+    m = (F.col("_p.a") + F.col("_p.b")) / 2
+    x, y = e["ax"] + m * (e["bx"] - e["ax"]), e["ay"] + m * (e["by"] - e["ay"])
+    length = F.hypot(e["bx"] - e["ax"], e["by"] - e["ay"]) * (F.col("_p.b") - F.col("_p.a"))
+    held = near.where(_inside(x, y, size)).select(id_, polygon, length.alias("inside"))
+    return held.groupBy(id_, polygon).agg(F.sum("inside").alias("inside")).where("inside > 0")
 
 
 def overlay_winner(lines: DataFrame, id_: str, polygons: DataFrame, polygon: str, size: float) -> DataFrame:
     """The polygon that holds most of each line (ties: the smaller id), that length and its share of all held length; all lines come out."""
-    found = _inside_lengths(lines, id_, polygons, polygon, size)
+    found = inside_lengths(lines, id_, polygons, polygon, size)
     best = found.groupBy(id_).agg(F.min_by(F.struct(polygon, "inside"), F.struct(-F.col("inside"), F.col(polygon))).alias("_b"), F.sum("inside").alias("_all"))
     best = best.select(id_, F.col(f"_b.{polygon}").alias(polygon), F.col("_b.inside").alias("inside"), (F.col("_b.inside") / F.col("_all")).alias("share"))
     return lines.select(id_).join(best, id_, "left")
 
 
-def overlap_list(lines: DataFrame, id_: str, polygons: DataFrame, polygon: str, size: float, least: float = 0.01) -> DataFrame:
-    """Polygons with at least ``least`` of each line's held length, largest share first, as one comma-separated text."""
-    found = _inside_lengths(lines, id_, polygons, polygon, size)
-    total = found.groupBy(id_).agg(F.sum("inside").alias("_all"))
-    told = found.join(total, id_).withColumn("share", F.col("inside") / F.col("_all")).where(F.col("share") >= least)
-    listed = told.groupBy(id_).agg(F.array_sort(F.collect_list(F.struct((-F.col("share")).alias("s"), F.col(polygon).cast("string").alias("p")))).alias("_l"))
-    return listed.select(id_, F.array_join(F.array_distinct(F.transform("_l", lambda x: x["p"])), ", ").alias(f"{polygon}_all"))
+def admin_overlay(segments: DataFrame, id_: str, layers: dict[str, tuple[DataFrame, str, float]], city: str | None = None, least: float = 0.50, narrow: float = 0.51) -> DataFrame:
+    """Segments (line) with the winning polygon of each layer; the layer ``city`` counts only where it holds ``least`` of the segment.
+
+    ``<layer>_borderline`` says whether the winner's share of all held length is at most ``narrow``.
+    """
+    for name, (polygons, key, size) in layers.items():
+        won = overlay_winner(segments, id_, polygons, key, size)
+        told = won.join(segments.select(id_, G.line_length(F.col("line")).alias("_n")), id_)
+        taken = F.col(key)
+        if name == city:
+            taken = F.when(F.col("inside") >= least * F.col("_n"), taken)
+        told = told.select(id_, taken.alias(name), (taken.isNotNull() & (F.col("share") <= narrow)).alias(f"{name}_borderline"))
+        segments = segments.join(told, id_, "left")
+    return segments
+
+
+def overlap_list(lines: DataFrame, id_: str, polygons: DataFrame, polygon: str, name: str, size: float, leading: str | None = None, least: float = 0.01) -> DataFrame:
+    """(id, names): polygons with at least ``least`` of each line's length, largest share first (then id), as one comma-separated text.
+
+    A line's ``leading`` name comes first. Names are told apart without regard to case, the
+    first spelling stays; blank names don't count. Lines without any have null.
+    """
+    found = inside_lengths(lines, id_, polygons, polygon, size).where("inside > 1e-4")
+    lengths = lines.select(id_, G.line_length(F.col("line")).alias("_n"), (F.nullif(F.trim(leading), F.lit("")) if leading else F.lit(None).cast("string")).alias("_first"))
+    told = found.join(lengths.drop("_first"), id_).join(polygons.select(polygon, F.nullif(F.trim(name), F.lit("")).alias("_name")), polygon)
+    told = told.where(F.col("_name").isNotNull() & (F.col("inside") >= least * F.col("_n")))
+    listed = told.groupBy(id_).agg(F.array_sort(F.collect_list(F.struct((-F.col("inside") / F.col("_n")).alias("s"), F.col(polygon).alias("p"), F.col("_name").alias("n")))).alias("_l"))
+    every = lengths.join(listed, id_, "left")
+    names = F.array_compact(F.concat(F.array("_first"), F.coalesce(F.transform("_l", lambda x: x["n"]), F.array().cast("array<string>"))))
+    every = every.withColumn("_names", names)
+    lower = F.transform("_names", lambda x: F.lower(x))
+    once = F.filter("_names", lambda x, i: F.array_position(lower, F.lower(x)) == i + 1)
+    return every.select(id_, F.nullif(F.array_join(once, ", "), F.lit("")).alias("names"))
 
 
 def boundary_crossings(routes: DataFrame, key: str, polygons: DataFrame, size: float) -> DataFrame:
-    """(key, mp) where routes (key, from_mp, to_mp, line) meet polygon rings, by share of length; four decimals."""
+    """(key, mp) where routes (key, from_mp, to_mp, line) meet polygon rings, by share of length; four decimals.
+
+    A stretch along a border gives both its ends.
+    """
     line = F.col("line")
     measured = routes.select(key, "from_mp", "to_mp", G.line_length(line).alias("_total"), F.explode(G._measured(line)).alias("_e"))
-    ends = F.array(F.struct(F.col("_e.ax").alias("x"), F.col("_e.ay").alias("y")), F.struct(F.col("_e.bx").alias("x"), F.col("_e.by").alias("y")))
     border = polygons.select(F.explode(F.flatten(F.transform("rings", G.edges))).alias("_b"))
-    b_ends = F.array(F.struct(F.col("_b.ax").alias("x"), F.col("_b.ay").alias("y")), F.struct(F.col("_b.bx").alias("x"), F.col("_b.by").alias("y")))
-    near = _celled(measured, G.line_cells(ends, size)).join(_celled(border, G.line_cells(b_ends, size)), "_cell")
-    t = G.edge_crossings(F.col("_e"), F.col("_b"))
-    mp = F.col("from_mp") + (F.col("to_mp") - F.col("from_mp")) * (F.col("_e.at") + t * F.col("_e.len")) / F.col("_total")
+    near = _celled(measured, G.line_cells(_ends(F.col("_e")), size)).join(_celled(border, G.line_cells(_ends(F.col("_b")), size)), "_cell")
+    near = near.withColumn("_t", F.explode(G.edge_meetings(F.col("_e"), F.col("_b"))))
+    mp = F.col("from_mp") + (F.col("to_mp") - F.col("from_mp")) * (F.col("_e.at") + F.col("_t") * F.col("_e.len")) / F.col("_total")
     return near.select(key, F.bround(mp, 4).alias("mp")).where("mp is not null").distinct()
 
 
-def within_distance(lines: DataFrame, id_: str, others: DataFrame, other: str, radius: float, size: float | None = None) -> DataFrame:
-    """Distinct (id, other) of lines and points or lines (``line``) within ``radius``, edge by edge."""
-    size = size or max(radius, 1.0)
+def _distance_edges(df: DataFrame, columns: list[str], size: float, reach: float, name: str) -> DataFrame:
+    """Edges of lines in the cells within ``reach`` of them; a single vertex is an edge without length."""
+    line = F.when(F.size("line") == 1, F.concat("line", "line")).otherwise(F.col("line"))
+    edge = df.select(*columns, F.explode(G.edges(line)).alias(name))
+    return _celled(edge, G.line_cells(_ends(F.col(name)), size, reach))
 
-    def cut(df: DataFrame, name: str, reach: float) -> DataFrame:
-        # a single vertex is an edge without length
-        line = F.when(F.size("line") == 1, F.concat("line", "line")).otherwise(F.col("line"))
-        edge = df.select(name, F.explode(G.edges(line)).alias("_e"))
-        ends = F.array(F.struct(F.col("_e.ax").alias("x"), F.col("_e.ay").alias("y")), F.struct(F.col("_e.bx").alias("x"), F.col("_e.by").alias("y")))
-        return _celled(edge, G.line_cells(ends, size, reach))
 
-    a = cut(lines.withColumnRenamed(id_, "_a"), "_a", radius).withColumnRenamed("_e", "_x")
-    b = cut(others.withColumnRenamed(other, "_o"), "_o", 0.0)
-    x, e = F.col("_x"), F.col("_e")
+def _within(lines: DataFrame, columns: list[str], others: DataFrame, other: list[str], radius: float, size: float | None) -> DataFrame:
+    size = size or max(radius, 1.0)
+    a, b = _distance_edges(lines, columns, size, radius, "_x"), _distance_edges(others, other, size, 0.0, "_y")
+    return a.join(b, "_cell").where(G.edge_distance(F.col("_x"), F.col("_y")) <= radius)
 
-    def to_edge(px: Column, py: Column, g: Column) -> Column:
-        t = G._edge_project(g, px, py)
-        return F.hypot(g["ax"] + t * (g["bx"] - g["ax"]) - px, g["ay"] + t * (g["by"] - g["ay"]) - py)
 
-    gap = F.least(to_edge(x["ax"], x["ay"], e), to_edge(x["bx"], x["by"], e), to_edge(e["ax"], e["ay"], x), to_edge(e["bx"], e["by"], x))
-    gap = F.when(G.edge_crossings(x, e).isNotNull(), 0.0).otherwise(gap)
-    return a.join(b, "_cell").where(gap <= radius).select(F.col("_a").alias(id_), F.col("_o").alias(other)).distinct()
+def within_distance(lines: DataFrame, id_: str, others: DataFrame, other: str, radius: float, size: float | None = None) -> DataFrame:
+    """Distinct (id, other) of lines and points or lines (``line``) within ``radius``, edge by edge."""
+    a, b = lines.select(F.col(id_).alias("_a"), "line"), others.select(F.col(other).alias("_o"), "line")
+    return _within(a, ["_a"], b, ["_o"], radius, size).select(F.col("_a").alias(id_), F.col("_o").alias(other)).distinct()
 
 
 def within_flag(lines: DataFrame, id_: str, others: DataFrame, other: str, radius: float, flag: str) -> DataFrame:
@@ -111,6 +205,19 @@ def within_flag(lines: DataFrame, id_: str, others: DataFrame, other: str, radiu
     return lines.join(near, id_, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
+def corridor_near_flag(segments: DataFrame, id_: str, corridors: DataFrame, corridor: str, kind: str = "ROUTE_TYPE_GDOT", radius: float = 50.0, flag: str = "IS_GRIP_CORRIDOR") -> DataFrame:
+    """Segments with whether a corridor lies within the radius; county roads and city streets have false."""
+    told = within_flag(segments, id_, corridors, corridor, radius, flag)
+    return told.withColumn(flag, F.col(flag) & ~F.coalesce(F.col(kind).isin("CR", "CS"), F.lit(False)))
+
+
+def zone_flag(segments: DataFrame, id_: str, sites: DataFrame, name: str, radius: float = 16_093.44, kind: str = "ROUTE_TYPE_GDOT") -> DataFrame:
+    """IS_NUCLEAR_EPZ_ROUTE and NUCLEAR_EPZ_PLANT: sites (name, line of one point) within the radius, names joined; local roads have none."""
+    able = segments.where(~F.coalesce(F.col(kind).isin("CR", "CS"), F.lit(False)))
+    near = within_distance(able, id_, sites, name, radius).groupBy(id_).agg(F.array_join(F.array_sort(F.collect_set(name)), "; ").alias("NUCLEAR_EPZ_PLANT"))
+    return segments.join(near, id_, "left").withColumn("IS_NUCLEAR_EPZ_ROUTE", F.col("NUCLEAR_EPZ_PLANT").isNotNull())
+
+
 def buffer_counts(lines: DataFrame, id_: str, layers: DataFrame, radius: float, names: list[str]) -> DataFrame:
     """Objects (layer, object_id, line) within the radius of each line by layer, in total, and per square mile of the line's buffer."""
     near = within_distance(lines, id_, layers.withColumn("_key", F.struct("layer", "object_id")), "_key", radius)
@@ -122,14 +229,128 @@ def buffer_counts(lines: DataFrame, id_: str, layers: DataFrame, radius: float,
 
 
 def degrees_of_connection(segments: DataFrame, id_: str, name: str, radius: float = 1609.34) -> DataFrame:
-    """Distinct other names within the radius of each segment."""
-    other = segments.select(F.col(id_).alias("_other"), F.col(name).alias("_name"), "line")
-    near = within_distance(segments, id_, other.select("_other", "line"), "_other", radius)
-    named = near.join(other.select("_other", "_name"), "_other").join(segments.select(id_, F.col(name).alias("_own")), id_)
-    counts = named.where(F.col("_name") != F.col("_own")).groupBy(id_).agg(F.count_distinct("_name").alias("connections"))
-    return segments.select(id_).join(counts, id_, "left").na.fill(0, ["connections"])
+    """Distinct other names within the radius of each segment. Pairs are reduced to (segment, name) as soon as they meet."""
+    lines = segments.select(F.col(id_).alias("_id"), F.col(name).alias("_own"), "line")
+    other = segments.where(F.col(name).isNotNull()).select(F.col(name).alias("_name"), "line")
+    met = _within(lines, ["_id", "_own"], other, ["_name"], radius, None).where(F.col("_name") != F.col("_own")).select("_id", "_name").distinct()
+    counts = met.groupBy("_id").agg(F.count("*").alias("connections"))
+    return segments.select(id_).join(counts.withColumnRenamed("_id", id_), id_, "left").na.fill(0, ["connections"])
+
+
+def connectivity_metrics(segments: DataFrame, id_: str, name: str, layers: DataFrame, names: list[str], priority: DataFrame, route: str, weights: dict[str, float] | None = None) -> DataFrame:
+    """connections, generators, per_sq_mi, near_priority and their weighted score."""
+    from waymark.operators.reports import min_max_score
+
+    told = degrees_of_connection(segments, id_, name).join(buffer_counts(segments, id_, layers, 5 * 1609.34, names).select(id_, F.col("total").alias("generators"), "per_sq_mi"), id_)
+    flag = within_flag(segments.select(id_, "line"), id_, priority, route, 150.0, "near_priority").drop("line")
+    return min_max_score(told.join(flag, id_), weights or {"connections": 0.25, "generators": 0.25, "near_priority": 0.50})
 
 
 def dissolve(polygons: DataFrame, key: str) -> DataFrame:
     """One membership polygon per key: all its rings."""
     return polygons.groupBy(key).agg(F.flatten(F.collect_list("rings")).alias("rings"))
+
+
+def nearest_polygon(points: DataFrame, id_: str, polygons: DataFrame, polygon: str, size: float) -> DataFrame:
+    """(id, polygon) with the nearest outline to each point (``p``), ties to the smaller id.
+
+    Points meet edges of their cell and those around it, in cells that grow until each has
+    found one no farther than a cell is wide.
+    """
+    edges = checkpointed(polygons.select(polygon, F.explode(F.flatten(F.transform("rings", G.edges))).alias("_e")))
+    rest, done = points.select(id_, "p").where("p.x is not null and p.y is not null"), None
+    if edges.isEmpty():
+        return points.select(id_, F.lit(None).cast(polygons.schema[polygon].dataType).alias(polygon))
+    around = F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))")
+    while True:
+        cells = F.transform(around, lambda o: F.struct((F.floor(F.col("p.x") / size) + o["i"]).alias("cx"), (F.floor(F.col("p.y") / size) + o["j"]).alias("cy")))
+        near = _celled(rest, cells).join(_celled(edges, G.line_cells(_ends(F.col("_e")), size)), "_cell")
+        t = G._edge_project(F.col("_e"), F.col("p.x"), F.col("p.y"))
+        d = F.hypot(F.col("_e.ax") + t * (F.col("_e.bx") - F.col("_e.ax")) - F.col("p.x"), F.col("_e.ay") + t * (F.col("_e.by") - F.col("_e.ay")) - F.col("p.y"))
+        best = near.groupBy(id_).agg(F.min(F.struct(d.alias("d"), F.col(polygon).alias("k"))).alias("_b"))
+        told = checkpointed(rest.join(best, id_, "left").withColumn("_final", F.coalesce(F.col("_b.d") <= size, F.lit(False))))
+        ready = told.where("_final").select(id_, F.col("_b.k").alias(polygon))
+        done = ready if done is None else done.unionByName(ready)
+        rest = told.where("not _final").select(id_, "p")
+        size *= 4
+        if rest.isEmpty():
+            return done
+
+
+def county_backfill(segments: DataFrame, id_: str, counties: DataFrame, size: float, county: str = "COUNTY_CODE", district: str = "DISTRICT") -> DataFrame:
+    """Null or 000 counties and null districts of segments (line) from counties (code, district, rings).
+
+    County 000 takes the county that holds most of it and, summed separately, the district
+    that does; other rows the county of their midpoint, or the nearest one. Only what is
+    missing is filled.
+    """
+    whole = F.coalesce(F.col(county) == "000", F.lit(False))
+    lines = segments.where(whole & F.col("line").isNotNull())
+    held = checkpointed(inside_lengths(lines, id_, counties, "code", size).join(counties.select("code", "district"), "code"))
+    most = held.groupBy(id_).agg(F.min_by("code", F.struct(-F.col("inside"), F.col("code"))).alias("_county"))
+    by_district = held.where("district is not null").groupBy(id_, "district").agg(F.sum("inside").alias("inside"))
+    by_district = by_district.groupBy(id_).agg(F.min_by("district", F.struct(-F.col("inside"), F.col("district"))).alias("_district"))
+    open_rows = segments.where(~whole & (F.col(county).isNull() | F.col(district).isNull()))
+    points = open_rows.select(id_, G.line_interpolate(F.col("line"), 0.5).alias("p"))
+    stamped = checkpointed(point_in_polygon(points, id_, counties, "code", size))
+    missing = points.join(stamped.where("code is null").select(id_), id_, "left_semi")
+    near = stamped.where("code is not null").unionByName(nearest_polygon(missing, id_, counties, "code", size))
+    near = near.join(counties.select("code", F.col("district").alias("_district")), "code", "left").withColumnRenamed("code", "_county")
+    found = most.join(by_district, id_, "full").unionByName(near.select(id_, "_county", "_district"))
+    told = segments.join(found, id_, "left")
+    new = {county: F.when(F.col(county).isNull() | whole, F.coalesce("_county", county)).otherwise(F.col(county)), district: F.coalesce(F.col(district), F.col("_district"))}
+    return told.withColumns(new).select(*segments.columns)
+
+
+def jobs_by_block_group(blocks: DataFrame, geocode: str = "w_geocode", jobs: str = "C000") -> DataFrame:
+    """(geoid, jobs): workplace jobs by block group, the first 12 digits of the block; what isn't a number counts as 0."""
+    n = F.coalesce(F.col(jobs).cast("string").try_cast("double"), F.lit(0.0))
+    return blocks.groupBy(F.substring(F.lpad(F.col(geocode).cast("string"), 15, "0"), 1, 12).alias("geoid")).agg(F.sum(n).alias("jobs"))
+
+
+def growth_factors(projections: DataFrame, base: str = "2020", future: str = "2050", statewide: bool = False, default: float = 1.15) -> tuple[DataFrame, Column]:
+    """(county, factor) of counties with both years, and the factor of all others: the average if ``statewide``, else ``default``."""
+    factor = F.coalesce(F.try_divide(F.col(f"`{future}`").cast("double"), F.col(f"`{base}`").cast("double")), F.lit(1.0))
+    told = projections.where("county is not null").groupBy("county").agg(F.min(factor).alias("factor"))
+    if not statewide:
+        return told, F.lit(default)
+    return told, F.lit(told.agg(F.avg("factor")).first()[0] or default)
+
+
+def density_metrics(segments: DataFrame, id_: str, block_groups: DataFrame, factors: DataFrame, other: Column, radius: float = METRES_PER_MILE, grain: float = 100.0, job_growth: float = 1.10) -> DataFrame:
+    """People and jobs per square mile within ``radius`` of each segment (line), now and projected, two decimals.
+
+    Block groups (geoid, county, population, jobs, rings) count with the share of their
+    area in reach. Areas are counted in cells of ``grain`` metres by their centres. Segments
+    without any have 0.
+    """
+    half = grain / 2
+    centre = F.struct((F.col("_cell.cx") * grain + half).alias("x"), (F.col("_cell.cy") * grain + half).alias("y"))
+    reached = _distance_edges(segments.select(F.col(id_).alias("_id"), "line"), ["_id"], grain, radius, "_x").select("_id", "_x", "_cell", centre.alias("_p"))
+    t = G._edge_project(F.col("_x"), F.col("_p.x"), F.col("_p.y"))
+    gap = F.hypot(F.col("_x.ax") + t * (F.col("_x.bx") - F.col("_x.ax")) - F.col("_p.x"), F.col("_x.ay") + t * (F.col("_x.by") - F.col("_x.ay")) - F.col("_p.y"))
+    reached = checkpointed(reached.where(gap <= radius).select("_id", "_cell").distinct())
+    cells = polygon_cells(block_groups, "geoid", grain).withColumn("_p", centre)
+    cells = checkpointed(cells.where(_inside(F.col("_p.x"), F.col("_p.y"), grain)).select("geoid", "_cell"))
+    whole = cells.groupBy("geoid").agg(F.count("*").alias("_whole"))
+    shared = reached.join(cells, "_cell").groupBy("_id", "geoid").agg(F.count("*").alias("_shared"))
+    told = shared.join(whole, "geoid").join(block_groups.select("geoid", "county", "population", "jobs"), "geoid").join(factors, "county", "left")
+    weight = F.least(F.lit(1.0), F.col("_shared") / F.col("_whole"))
+    people, jobs = weight * F.coalesce("population", F.lit(0.0)), weight * F.coalesce("jobs", F.lit(0.0))
+    sums = told.groupBy("_id").agg(F.sum(people).alias("_people"), F.sum(jobs).alias("_jobs"), F.sum(people * F.coalesce("factor", other)).alias("_later"))
+    area = reached.groupBy("_id").agg((F.count("*") * grain * grain / METRES_PER_MILE**2).alias("_area"))
+    found = sums.join(area, "_id").withColumnRenamed("_id", id_)
+    new = {"population_density": F.col("_people"), "employment_density": F.col("_jobs"), "population_density_2050": F.col("_later"), "employment_density_2050": F.col("_jobs") * job_growth}
+    found = found.select(id_, *[F.bround(x / F.col("_area"), 2).alias(n) for n, x in new.items()])
+    return segments.join(found, id_, "left").na.fill(0.0, list(new))
+
+
+def spot_checks(layers: dict[str, DataFrame], texts: dict[str, str]) -> DataFrame:
+    """One row per layer: whether it has rows and, where a text is given, whether any of its string columns holds it, in any case."""
+
+    def one(name: str, df: DataFrame) -> DataFrame:
+        said = F.lower(F.concat_ws(" ", *[F.col(c) for c, t in df.dtypes if t == "string"]))
+        found = F.coalesce(F.bool_or(F.contains(said, F.lit(texts[name].lower()))), F.lit(False)) if name in texts else F.lit(True)
+        return df.agg(F.count("*").alias("_n"), found.alias("_f")).select(F.lit(f"layer_{name}").alias("name"), ((F.col("_n") > 0) & F.col("_f")).alias("passed"), F.col("_n").cast("string").alias("detail"))
+
+    return reduce(DataFrame.unionByName, [one(n, df) for n, df in layers.items()])
