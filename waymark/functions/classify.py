@@ -261,12 +261,17 @@ def priority_tier(columns: list[str]) -> Column:
 def corridor_flag(segments: DataFrame, corridors: DataFrame) -> DataFrame:
     """IS_GRIP_CORRIDOR and GRIP_NAMES by (route type, base number) in ``corridors`` (route_type, base_number, name).
 
-    Types that come from a suffix count only within the family State Route.
+    A state route of the list stands for its spurs, business routes and the like as well.
+    These count only where the family (signed, if there is such a column) is State Route or
+    unknown.
     """
-    suffix = F.col("ROUTE_TYPE_GDOT").isin(*set(SUFFIX_TYPES.values()), "BS", "BU", "BI")
-    names = corridors.groupBy("route_type", "base_number").agg(F.array_join(F.array_sort(F.collect_set("name")), "; ").alias("GRIP_NAMES"))
-    able = ~suffix | F.coalesce(F.col("ROUTE_FAMILY") == "State Route", F.lit(False))
-    on = able & (F.col("ROUTE_TYPE_GDOT") == F.col("route_type")) & (F.col("BASE_ROUTE_NUMBER") == F.col("base_number"))
+    suffixes = ("SP", "BU", "CN", "BY", "LP", "AL")
+    wide = F.when(F.col("route_type") == "SR", F.array(F.lit("SR"), *map(F.lit, suffixes))).otherwise(F.array("route_type"))
+    names = corridors.select(F.explode(wide).alias("route_type"), "base_number", "name").groupBy("route_type", "base_number").agg(F.array_join(F.array_sort(F.collect_set("name")), "; ").alias("GRIP_NAMES"))
+    kind = F.upper(F.trim("ROUTE_TYPE_GDOT"))
+    family = F.trim("SIGNED_ROUTE_FAMILY_PRIMARY" if "SIGNED_ROUTE_FAMILY_PRIMARY" in segments.columns else "ROUTE_FAMILY")
+    able = ~F.coalesce(kind.isin(*suffixes), F.lit(False)) | F.coalesce(family == "State Route", F.lit(True))
+    on = able & (kind == F.col("route_type")) & (as_int(F.col("BASE_ROUTE_NUMBER")) == F.col("base_number"))
     return segments.join(names, on, "left").drop("route_type", "base_number").withColumn("IS_GRIP_CORRIDOR", F.col("GRIP_NAMES").isNotNull())
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waymark.functions.geometry import line_length
+
 
 def _rows(df: DataFrame, tests: dict[str, tuple[Column, Column]]) -> DataFrame:
     """One aggregate for all tests (aggregate boolean, aggregate detail) of a table."""
@@ -83,11 +85,75 @@ def total_within(df: DataFrame, name: str, column: str, expected: float, share:
 
 
 def regression_cases(df: DataFrame, cases: DataFrame, flag: str) -> DataFrame:
-    """Cases (case_id, HWY_NAME, COUNTY_NAME, expected) against whether any matching segment has the flag."""
-    told = F.broadcast(cases).join(df.select("HWY_NAME", "COUNTY_NAME", F.col(flag).alias("_f")), ["HWY_NAME", "COUNTY_NAME"], "left")
+    """Cases (case_id, HWY_NAME, COUNTY_NAME, route_suffix, expected) against whether any matching segment has the flag; without a suffix any ROUTE_ID matches."""
+    rows = df.select("HWY_NAME", "COUNTY_NAME", "ROUTE_ID", F.col(flag).alias("_f"))
+    on = [cases[c] == rows[c] for c in ("HWY_NAME", "COUNTY_NAME")]
+    told = cases.join(rows, on[0] & on[1] & (cases["route_suffix"].isNull() | F.endswith(rows["ROUTE_ID"], cases["route_suffix"])), "left")
     got = told.groupBy("case_id", "expected").agg(F.coalesce(F.bool_or("_f"), F.lit(False)).alias("got"))
     return got.select(F.concat(F.lit("case_"), F.col("case_id").cast("string")).alias("name"), (F.col("got") == F.col("expected")).alias("passed"), F.col("got").cast("string").alias("detail"))
 
 
+def family_slots(df: DataFrame, families: list[str], listed: str = "SIGNED_ROUTE_FAMILY_ALL", slots: tuple[str, str, str] = ("SIGNED_ROUTE_FAMILY_PRIMARY", "SECONDARY_SIGNED_ROUTE_FAMILY", "TERTIARY_SIGNED_ROUTE_FAMILY")) -> DataFrame:
+    """Whether JSON lists hold signed families only, and the three slots are their first three; a list that can't be read is misaligned."""
+    blank = F.coalesce(F.trim(listed) == "", F.lit(True))
+    read = F.when(blank, F.array().cast("array<string>")).otherwise(F.from_json(listed, "array<string>"))
+    said = F.filter(F.transform(read, F.trim), lambda x: x != "")
+    signed = F.filter(said, lambda x: x.isin(*families))
+    actual = [F.trim(c) for c in slots]
+    first = F.when(F.size(signed) > 0, actual[0].eqNullSafe(F.get(signed, 0))).otherwise(~F.coalesce(actual[0].isin(*families), F.lit(False)))
+    rest = actual[1].eqNullSafe(F.get(signed, 1)) & actual[2].eqNullSafe(F.get(signed, 2))
+    foreign, apart = F.count_if(F.size(said) > F.size(signed)), F.count_if(read.isNull() | ~(first & rest))
+    return _rows(df, {"family_list": (foreign == 0, foreign), "family_slots": (apart == 0, apart)})
+
+
+def geometry_checks(df: DataFrame, line: str = "line") -> DataFrame:
+    """Whether no line is missing, empty or without length."""
+    none = F.count_if(F.coalesce(F.size(line), F.lit(0)) < 2)
+    flat = F.count_if((F.size(line) >= 2) & (line_length(F.col(line)) == 0))
+    return _rows(df, {"geometry_empty": (none == 0, none), "geometry_degenerate": (flat == 0, flat)})
+
+
+def area_office_table(table: DataFrame, counties: DataFrame, areas: DataFrame | None = None, offices: int = 38) -> DataFrame:
+    """Code table (county, district, area_id, part; part null for whole counties, else remainder or a municipality) against the counties (county).
+
+    Each county occurs once, whole or split; the pairs of district and area are ``offices``;
+    districts lie in 1 to 7, areas from 1; a county has one remainder at most; and with
+    ``areas`` (county, whole_m2, covered_m2) offices cover 99.5 to 100.5 percent.
+    """
+    by_county = table.groupBy("county").agg(F.count_if(F.col("part").isNull()).alias("_whole"), F.count_if(F.col("part").isNotNull()).alias("_split"), F.count_if(F.col("part") == "remainder").alias("_rest"))
+    both = counties.select("county").distinct().withColumn("_known", F.lit(True)).join(by_county, "county", "full")
+    bad = F.count_if(F.col("_known").isNull() | F.coalesce(((F.col("_whole") > 0) & (F.col("_split") > 0)) | (F.col("_whole") > 1), F.lit(True)))
+    many = F.count_if(F.col("_rest") > 1)
+    told = _rows(both, {"offices_counties": (bad == 0, bad), "offices_remainders": (many == 0, many)})
+    pairs, out = F.count_distinct("district", "area_id"), F.count_if(~F.col("district").between(1, 7) | (F.col("area_id") < 1))
+    told = told.unionByName(_rows(table, {"offices_pairs": (pairs == offices, pairs), "offices_ranges": (out == 0, out)}))
+    if areas is not None:
+        share = F.sum("covered_m2") / F.sum("whole_m2")
+        told = told.unionByName(_rows(areas, {"offices_coverage": (share.between(0.995, 1.005), F.round(share, 6))}))
+    return told
+
+
+def loader_checks(statewide: DataFrame, district: DataFrame, wanted: int) -> DataFrame:
+    """Whether the load of all has rows, and that of a district has rows of that one only."""
+    n = F.count("*")
+    other = F.count_if(~F.col("DISTRICT").eqNullSafe(F.lit(wanted)))
+    return _rows(statewide, {"load_statewide": (n > 0, n)}).unionByName(_rows(district, {"load_district": ((n > 0) & (other == 0), other)}))
+
+
+def labels_equal(segments: DataFrame, boundaries: DataFrame, name: str, key: str, label: str, boundary_label: str) -> DataFrame:
+    """Whether the label of each key is that of its boundary; keys without a boundary count."""
+    said = segments.where(F.col(key).isNotNull()).select(key, F.trim(label).alias("_l")).distinct()
+    met = said.join(boundaries.select(key, F.trim(boundary_label).alias("_b")).distinct(), key, "left")
+    bad = F.count_if(~F.col("_l").eqNullSafe(F.col("_b")))
+    return _rows(met, {name: (bad == 0, bad)})
+
+
+def count_bounds(flagged: DataFrame, key: str, bounds: dict[str, tuple[int, int]]) -> DataFrame:
+    """Whether the rows of each key lie within its bounds."""
+    wide = flagged.agg(*[F.count_if(F.col(key) == k).alias(f"_{i}") for i, k in enumerate(bounds)])
+    each = [F.struct(F.lit(f"count_{k}").alias("name"), F.col(f"_{i}").between(lo, hi).alias("passed"), F.col(f"_{i}").cast("string").alias("detail")) for i, (k, (lo, hi)) in enumerate(bounds.items())]
+    return wide.select(F.inline(F.array(*each)))
+
+
 def all_checks(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

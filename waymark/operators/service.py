@@ -9,6 +9,9 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymark.functions.geometry import utm17_to_lonlat
+from waymark.functions.scalars import clean_text
+
 
 @dataclass(frozen=True)
 class Filters:
@@ -94,8 +97,60 @@ def legend_presence(df: DataFrame, value: str, bins: DataFrame, passes: Column)
     return best.groupBy(F.when(F.col("_v").isNull(), "no data").otherwise(F.coalesce("label", F.lit("other"))).alias("label")).agg(F.sum("rows").alias("rows"), F.sum("passing").alias("passing"))
 
 
-def manifest(segments: DataFrame, filters: Filters, chunk: int = 10_000) -> DataFrame:
-    return segments.where(filters.predicate()).agg(F.count("*").alias("total"), F.ceil(F.count("*") / chunk).alias("chunks"))
+def legend_totals(df: DataFrame, value: str, passes: Column) -> DataFrame:
+    """total, with_data, has_no_data and passing, the numbers beside a legend."""
+    known = F.col(value).isNotNull()
+    return df.agg(F.count("*").alias("total"), F.count_if(known).alias("with_data"), F.coalesce(F.bool_or(~known), F.lit(False)).alias("has_no_data"), F.count_if(passes).alias("passing"))
+
+
+def manifest(segments: DataFrame, filters: Filters, chunk: int = 10_000, line: str | None = None) -> DataFrame:
+    """total, chunks and, with a column of lines, the envelope of what passes; one pass."""
+    n = F.count("*")
+    sides = []
+    if line:
+        xs, ys = F.transform(line, lambda p: p["x"]), F.transform(line, lambda p: p["y"])
+        sides = [F.min(F.array_min(xs)).alias("min_x"), F.min(F.array_min(ys)).alias("min_y"), F.max(F.array_max(xs)).alias("max_x"), F.max(F.array_max(ys)).alias("max_y")]
+    return segments.where(filters.predicate()).agg(n.alias("total"), F.ceil(n / chunk).alias("chunks"), *sides)
+
+
+# Columns by which boundary layers are filtered.
+BOUNDARY_COLUMNS = {
+    "county_boundaries": {"district": "GDOT_DISTRICT", "counties": "COUNTYFP"}, "district_boundaries": {"district": "GDOT_DISTRICT"}, "area_office_boundaries": {"district": "AREA_OFFICE_DISTRICT", "area_offices": "AREA_OFFICE_ID"},
+    "mpo_boundaries": {"mpos": "MPO_ID"}, "regional_commission_boundaries": {"regional_commissions": "RC_ID"}, "state_house_boundaries": {"state_house_districts": "STATE_HOUSE_DISTRICT"},
+    "state_senate_boundaries": {"state_senate_districts": "STATE_SENATE_DISTRICT"}, "congressional_boundaries": {"congressional_districts": "CONGRESSIONAL_DISTRICT"},
+}
+
+
+def boundary_filter(boundaries: DataFrame, layer: str, wanted: dict[str, tuple]) -> DataFrame:
+    """Boundaries of a layer by the dimensions it has; others don't count, and an unknown layer has none."""
+    if layer not in BOUNDARY_COLUMNS:
+        return boundaries.limit(0)
+    terms = [F.col(column).isin(*wanted[dimension]) for dimension, column in BOUNDARY_COLUMNS[layer].items() if wanted.get(dimension)]
+    return boundaries.where(reduce(and_, terms, F.lit(True)))
+
+
+def theme_catalog(df: DataFrame, themes: dict[str, tuple[str, float | None]]) -> DataFrame:
+    """(theme, column, numeric, min_value, max_value, step) of themes (column, step or null if categorical), bounds from one pass."""
+    wide = df.agg(*[F.struct(F.min(F.col(c).cast("double")).alias("lo"), F.max(F.col(c).cast("double")).alias("hi")).alias(t) for t, (c, step) in themes.items() if step is not None], F.count("*").alias("_n"))
+    each = [
+        F.struct(
+            F.lit(t).alias("theme"), F.lit(c).alias("column"), F.lit(step is not None).alias("numeric"), (F.col(f"{t}.lo") if step is not None else F.lit(None).cast("double")).alias("min_value"),
+            (F.col(f"{t}.hi") if step is not None else F.lit(None).cast("double")).alias("max_value"), F.lit(step).cast("double").alias("step"),
+        )
+        for t, (c, step) in themes.items()
+    ]
+    return wide.select(F.inline(F.array(*each)))
+
+
+def features(segments: DataFrame, filters: Filters, limit: int = 250, offset: int = 0, order: str = "unique_id", line: str = "line", digits: int = 6) -> DataFrame:
+    """(id, feature) of a page: each row as a GeoJSON feature with longitudes and latitudes; blank texts are null and left out."""
+    rows = page(segments, filters, limit, offset, order)
+    names = [c for c in segments.columns if c != line]
+    kinds = dict(segments.dtypes)
+    plain = [(clean_text(F.col(c)) if kinds[c] == "string" else F.col(c)).alias(c) for c in names]
+    places = F.transform(line, lambda p: F.array(F.bround(utm17_to_lonlat(p)["x"], digits), F.bround(utm17_to_lonlat(p)["y"], digits)))
+    shape = F.struct(F.lit("LineString").alias("type"), places.alias("coordinates"))
+    return rows.select(F.col(order).cast("string").alias("id"), F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*plain).alias("properties"), shape.alias("geometry"))).alias("feature"))
 
 
 def page(segments: DataFrame, filters: Filters, limit: int = 250, offset: int = 0, order: str = "unique_id") -> DataFrame:

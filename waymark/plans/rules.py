@@ -180,12 +180,12 @@ def corridor_rules(spark: SparkSession, d: str) -> DataFrame:
     return s.select("id", "GRIP_NAMES", "IS_GRIP_CORRIDOR", F.col("AADT_2022_OUTLIER").alias("outlier"), R.evacuation_prefilter(named, s.columns).alias("allowed"), R.designation_match(named, s.columns).alias("named"))
 
 
-CORRIDOR_RULES_SQL = f"""WITH s AS ({FLAGGED}), g AS ({GRIP}), n AS (SELECT route_type, base_number, string_agg(DISTINCT name, '; ' ORDER BY name) AS names FROM g GROUP BY 1, 2),
+CORRIDOR_RULES_SQL = f"""WITH s AS ({FLAGGED}), g AS ({GRIP}), w AS (SELECT * FROM g UNION ALL SELECT x, base_number, name FROM g, (SELECT unnest(['SP', 'BU', 'CN', 'BY', 'LP', 'AL']) AS x) WHERE route_type = 'SR'), n AS (SELECT route_type, base_number, string_agg(DISTINCT name, '; ' ORDER BY name) AS names FROM w GROUP BY 1, 2),
 m AS (SELECT "FUNCTIONAL_CLASS" AS f, "AADT_2022_HPMS" AS v, count(*) AS c FROM s GROUP BY 1, 2)
 SELECT id, n.names AS "GRIP_NAMES", n.names IS NOT NULL AS "IS_GRIP_CORRIDOR", CASE WHEN m.v IS NOT NULL THEN CAST(m.c > 100 AS INTEGER) END AS outlier,
   NOT coalesce("ROUTE_TYPE_GDOT" IN ('CR', 'CS'), false) OR ("ROUTE_TYPE_GDOT" = 'CR' AND "BASE_ROUTE_NUMBER" = 12) AS allowed,
   coalesce("HWY_NAME" LIKE 'I-16%' AND upper("HWY_NAME") LIKE '%SPUR%', false) OR coalesce("ROUTE_TYPE_GDOT" = 'CR' AND "BASE_ROUTE_NUMBER" = 12, false) OR coalesce("ROUTE_TYPE_GDOT" IN ('SR', 'BU') AND "BASE_ROUTE_NUMBER" = 26, false) OR coalesce("ROUTE_TYPE_GDOT" = 'US' AND "BASE_ROUTE_NUMBER" = 9, false) AS named
-FROM s LEFT JOIN n ON s."ROUTE_TYPE_GDOT" = n.route_type AND s."BASE_ROUTE_NUMBER" = n.base_number AND (s."ROUTE_TYPE_GDOT" NOT IN ('SP', 'BU') OR s."ROUTE_FAMILY" = 'State Route') LEFT JOIN m ON s."FUNCTIONAL_CLASS" = m.f AND s."AADT_2022_HPMS" IS NOT DISTINCT FROM m.v"""
+FROM s LEFT JOIN n ON s."ROUTE_TYPE_GDOT" = n.route_type AND s."BASE_ROUTE_NUMBER" = n.base_number AND (s."ROUTE_TYPE_GDOT" NOT IN ('SP', 'BU') OR coalesce(s."ROUTE_FAMILY", 'State Route') = 'State Route') LEFT JOIN m ON s."FUNCTIONAL_CLASS" = m.f AND s."AADT_2022_HPMS" IS NOT DISTINCT FROM m.v"""
 
 PLACES = f"""SELECT c_custkey AS "OBJECTID", CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE '  City  ' || CAST(c_custkey % 1200 AS VARCHAR(9)) || ' ' END AS "Name", CAST(c_custkey AS VARCHAR(20)) || '.0' AS code, CASE WHEN c_custkey % 2 = 0 THEN 'GA' ELSE ' fl' END AS "STATE" FROM customer"""
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.functions.scalars import clean_text, null_bad_coordinates, parse_functional_class, parse_lat_long, recode_statistics_type, round_milepoint, without_decimal
+from waymark.operators.spatial import point_in_polygon
 
 STATION_COLUMNS = {
     "year": "int", "tc_number": "string", "latitude": "double", "longitude": "double", "aadt": "bigint", "statistics_type": "string", "single_unit_aadt": "bigint", "combo_unit_aadt": "bigint",
@@ -50,10 +51,29 @@ def read_feature_json(spark: SparkSession, path: str, rename: dict[str, str] | N
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """Properties with lower-case underscored names, and ``geometry_type`` and ``coordinates`` (JSON text)."""
+    """Properties with lower-case underscored names, ``geometry_type``, and ``parts``: arrays of (x, y), one for a point or line, the rings of polygons.
+
+    A file of one geometry type has arrays of equal depth; they are read as text and taken
+    apart by that type.
+    """
     df = spark.read.option("multiLine", True).json(path).select(F.explode("features").alias("f"))
-    flat = df.select("f.properties.*", F.col("f.geometry.type").alias("geometry_type"), F.to_json(F.struct(F.col("f.geometry.coordinates").alias("c"))).alias("coordinates"))
-    return flat.toDF(*[c.strip().lower().replace(" ", "_") for c in flat.columns])
+    flat = df.select("f.properties.*", F.col("f.geometry.type").alias("geometry_type"), F.to_json(F.struct(F.col("f.geometry.coordinates").alias("c"))).alias("_c"))
+    names = [c.strip().lower().replace(" ", "_") for c in flat.columns[:-1]]
+
+    def points(x: Column) -> Column:
+        return F.transform(x, lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y")))
+
+    def at_depth(n: int) -> Column:
+        return F.from_json(F.get_json_object("_c", "$.c"), "array<" * n + "double" + ">" * n)
+
+    kind = F.col("geometry_type")
+    parts = (
+        F.when(kind == "Point", F.array(points(F.array(at_depth(1)))))
+        .when(kind.isin("LineString", "MultiPoint"), F.array(points(at_depth(2))))
+        .when(kind.isin("Polygon", "MultiLineString"), F.transform(at_depth(3), points))
+        .when(kind == "MultiPolygon", F.transform(F.flatten(at_depth(4)), points))
+    )
+    return flat.toDF(*names, "_c").withColumn("parts", parts).drop("_c")
 
 
 def load_station_year(df: DataFrame, year: int, layout: str, source: str) -> DataFrame:
@@ -136,3 +156,62 @@ def write_segments(segments: DataFrame, path: str, geometry: str = "geometry", p
 def code_snapshot(layer: DataFrame, id_: str, name: str) -> DataFrame:
     """Distinct trimmed, non-empty id and name, sorted."""
     return layer.select(clean_text(F.col(id_).cast("string")).alias("id"), clean_text(F.col(name).cast("string")).alias("name")).where("id is not null and name is not null").distinct().orderBy("id", "name")
+
+
+# Columns tried for ids and labels of legislative layers.
+LABEL_CANDIDATES = ("NAMELSAD20", "NAMELSAD", "NAME20", "NAME")
+
+
+def normalize_boundary_layer(layer: DataFrame, id_candidates: tuple[str, ...], id_: str, name: str | None = None, name_candidates: tuple[str, ...] = LABEL_CANDIDATES, pad: int | None = None, names: dict[int, str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A boundary layer with a plain id and a trimmed name; rows without an id go.
+
+    The id is the first candidate the layer has (none is an error that lists them): a
+    whole number, or with ``pad`` a text with zeros in front. Names of ``names`` win over
+    the layer's own.
+    """
+    found = next((c for c in id_candidates if c in layer.columns), None)
+    if found is None:
+        raise ValueError(f"none of {id_candidates} present; there are {layer.columns}")
+    text = without_decimal(F.col(found))
+    key = F.lpad(text, pad, "0") if pad else text.try_cast("double").try_cast("bigint")
+    told = layer.withColumn("_id", key)
+    own = next((F.trim(F.col(c).cast("string")) for c in name_candidates if c in layer.columns), F.lit(None).cast("string"))
+    if names:
+        own = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), F.col("_id").cast("int")), own)
+    columns = [F.col("_id").alias(id_), *([own.alias(name)] if name else []), *[c for c in keep if c in layer.columns]]
+    return told.where("_id is not null").select(*columns)
+
+
+def within_state(layer: DataFrame, polygon: str, state: DataFrame, size: float) -> DataFrame:
+    """Polygons of a layer that have a vertex inside the state's outline: membership, no clipping of rings."""
+    points = layer.select(polygon, F.posexplode(F.flatten("rings")).alias("_n", "p")).withColumn("_v", F.concat_ws("/", F.col(polygon).cast("string"), F.col("_n").cast("string")))
+    outline = state.select(F.lit(1).alias("_state"), "rings")
+    inside = point_in_polygon(points.select("_v", "p"), "_v", outline, "_state", size).where("_state is not null")
+    kept = points.join(inside, "_v", "left_semi").select(polygon).distinct()
+    return layer.join(kept, polygon, "left_semi")
+
+
+def county_projections(rows: DataFrame, counties: DataFrame, expected: int) -> DataFrame:
+    """(COUNTY, COUNTY_FIPS, year, value) of a sheet whose columns c0, c1, ... hold any text, from the row that begins with COUNTY on.
+
+    ``rows`` have their place in ``n``. Year columns are those whose header is a whole number;
+    the state's own row and sources go. Names meet the counties (name, fips) by their
+    letters and digits in upper case; other than ``expected`` mapped counties is an error.
+    """
+    columns = [c for c in rows.columns if c != "n"]
+    header = rows.where(F.trim("c0") == "COUNTY").orderBy("n").limit(1).collect()
+    if not header:
+        raise ValueError("no row begins with COUNTY")
+    years = {c: str(int(float(header[0][c]))) for c in columns[1:] if header[0][c] and header[0][c].strip().replace(".", "", 1).isdigit()}
+    body = rows.where((F.col("n") > header[0]["n"]) & F.col("c0").isNotNull()).withColumn("COUNTY", F.trim("c0"))
+    body = body.where((F.upper("COUNTY") != "GEORGIA") & ~F.col("COUNTY").startswith("Source:"))
+
+    def plain(x: str) -> Column:
+        return F.regexp_replace(F.upper(x), "[^A-Z0-9]", "")
+
+    told = body.withColumn("_k", plain("COUNTY")).join(counties.select(plain("name").alias("_k"), F.col("fips").alias("COUNTY_FIPS")).distinct(), "_k", "left")
+    counts = told.agg(F.count("COUNTY_FIPS").alias("rows"), F.count_distinct("COUNTY_FIPS").alias("fips"), F.collect_set(F.when(F.col("COUNTY_FIPS").isNull(), F.col("COUNTY"))).alias("missing")).first()
+    if counts["rows"] != expected or counts["fips"] != expected:
+        raise ValueError(f"{counts['rows']} rows and {counts['fips']} counties mapped, {expected} expected; missing: {sorted(counts['missing'])[:10]}")
+    each = F.array(*[F.struct(F.lit(int(y)).alias("year"), F.col(c).try_cast("double").alias("value")) for c, y in years.items()])
+    return told.select("COUNTY", "COUNTY_FIPS", F.inline(each))
