@@ -201,7 +201,7 @@ def within_distance(lines: DataFrame, id_: str, others: DataFrame, other: str, r
 
 def within_flag(lines: DataFrame, id_: str, others: DataFrame, other: str, radius: float, flag: str) -> DataFrame:
     """``lines`` with whether anything of ``others`` lies within the radius."""
-    near = within_distance(lines, id_, others, other, radius).select(id_).distinct().withColumn(flag, F.lit(True))
+    near = within_distance(lines, id_, others.withColumnRenamed(other, "_near"), "_near", radius).select(id_).distinct().withColumn(flag, F.lit(True))
     return lines.join(near, id_, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
