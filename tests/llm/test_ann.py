@@ -54,3 +54,22 @@ def test_edge_cases(spark):
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in nearest(df, F.col("vec_id") % 20 == 0).collect())
     assert got == [(0, 1, 1, 2.0), (0, 2, 2, 2.0), (0, 3, 20, 1.0), (20, 1, 0, 1.0), (20, 2, 1, 1.0), (20, 3, 2, 1.0)]
     assert nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_equal_vectors_and_a_hot_cell(spark):
+    """A third of all rows is one vector, another third lies in one cell; results stay exact there."""
+    r = np.random.default_rng(8)
+    base = r.normal(size=8)
+    rows = [(i, base.tolist()) for i in range(0, 1500)] + [(i, (base + r.normal(size=8) * 0.01).tolist()) for i in range(1500, 3000)] + [(i, r.normal(size=8).tolist()) for i in range(3000, 4500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for x in nearest(df, F.col("vec_id") % 500 == 0).collect():
+        got.setdefault(x.query_id, []).append((x["rank"], x.vec_id, x.score))
+    ids, x = np.arange(4500), np.array([v for _, v in rows])
+    hits = 0
+    for q in range(0, 4500, 500):
+        s = (x * x[q]).sum(axis=1)
+        want = [int(m) for m in np.lexsort((ids, -s)) if m != q][:20]
+        hits += len(set(want) & {v for _, v, _ in got[q]})
+        assert [n for n, _, _ in sorted(got[q])] == list(range(1, 21))
+    assert hits / 180 >= 0.95
