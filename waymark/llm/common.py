@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +23,17 @@ def fold(column: Column | str, parts: int) -> Column:
     return (F.crc32(text.cast("binary")) % F.lit(parts)).cast("int")
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their texts (in ``column``) are about ``most`` bytes, a longer text alone."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        a, done = 0, 0
+        while a < len(ends):
+            z = max(a + 1, int(np.searchsorted(ends, done + most, side="right")))
+            yield batch.slice(a, z - a)
+            a, done = z, int(ends[z - 1])
+
+
 def checkpoint_folder(session: SparkSession) -> str:
     """The checkpoint folder that the cluster shares, as named in ``spark.checkpoint.dir``.
 

@@ -26,13 +26,16 @@ from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from waymark.llm.common import text_slices
 from waymark.llm.tokens import encoder
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
 
 class Cuts:
@@ -145,21 +148,21 @@ def pack(docs: DataFrame, window: int = 4096, end_id: int = 2, tokenizer_path: s
     doc_tokens, sequence_id, offset (where the piece starts in its sequence).
     """
 
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer_path)
         packer = Packer(window, code.sentence_end, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], dtype="<u4")
 
-        def frame(pieces: list[tuple]) -> pd.DataFrame:
-            return pd.DataFrame(pieces, columns=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+        def rows(pieces: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*pieces, strict=True), kinds, strict=True)], names=NAMES)
 
-        for batch in batches:
-            texts = ("" if t is None else t for t in batch["text"])
-            ids_of = batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None)
-            for doc_id, ids in zip(ids_of, code.encode(texts), strict=True):
-                if pieces := packer.add(None if doc_id is None else int(doc_id), np.concatenate([ids, end])):
-                    yield frame(pieces)
+        for batch in text_slices(batches, 1):
+            texts = ("" if t is None else t for t in batch.column(1).to_pylist())
+            for doc_id, ids in zip(batch.column(0).to_pylist(), code.encode(texts), strict=True):
+                if pieces := packer.add(doc_id, np.concatenate([ids, end])):
+                    yield rows(pieces)
         if pieces := packer.close():
-            yield frame(pieces)
+            yield rows(pieces)
 
-    return docs.select("doc_id", "text").mapInPandas(packed, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(packed, SCHEMA)

@@ -48,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import checkpoint_folder, checkpointed
+from waymark.llm.common import checkpoint_folder, checkpointed, text_slices
 from waymark.llm.words import mix
 
 END = np.int64(1)
@@ -59,17 +59,6 @@ _MASK = (1 << 63) - 1
 _BASE_UNIT, _SCORE_UNIT = 1e-7, 1e-6
 
 
-def _slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that their texts (in ``column``) are about ``most`` bytes, a longer text alone."""
-    for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        a, done = 0, 0
-        while a < len(ends):
-            z = max(a + 1, int(np.searchsorted(ends, done + most, side="right")))
-            yield batch.slice(a, z - a)
-            a, done = z, int(ends[z - 1])
-
-
 def _hashed(words: pa.Array) -> np.ndarray:
     """63-bit hashes of different words; END is no word's."""
     return np.fromiter((max(_FIRST, xxhash.xxh3_64_intdigest(w) & _MASK) for w in words.cast(pa.large_binary()).to_pylist()), dtype=np.int64, count=len(words))
@@ -153,7 +142,7 @@ def _layout(docs: DataFrame, grain: int) -> Layout:
     """Count words; those seen once by a task count there as none, which moves no frequent word."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches, 0):
+        for batch in text_slices(batches, 0):
             words, turn, n = split_words(batch.column(0))
             count = np.bincount(turn, minlength=len(words))
             often = np.flatnonzero(count > 1)
@@ -553,7 +542,7 @@ def score_texts(docs: DataFrame, learn: str = "learn", burn_in: int = 4, kept: i
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
-        for batch in _slices(batches, 3):
+        for batch in text_slices(batches, 3):
             codes, lengths = codes_of(batch.column(3), shared.value)
             ids, nulls, learn = (batch.column(i).to_numpy().astype(kind) for i, kind in enumerate((np.int64, np.uint8, np.int64)))
             ends = np.cumsum(lengths)

@@ -26,12 +26,13 @@ class ChunkEncoder:
 
     The tokenizer's pre-tokenisation never crosses a space or a line feed, so a
     text's ids are those of its chunks, joined. Chunks of a batch are told apart by
-    Arrow and looked up in a cache of bounded size. Unknown words of letters alone go
+    Arrow and looked up in a cache of two generations of bounded size, so that frequent
+    ones stay and others go. Unknown words of letters alone go
     straight to the tokenizer's merges, which is what its own steps come to for them
     (probed when it is loaded); all other chunks go through the whole tokenizer.
     """
 
-    MOST = 400_000
+    MOST = 150_000
     _TAIL = ".,!?;:"
     _PROBES = ("a", "tokenizer", "zqxjkv", "\u00e9t\u00e9", "\u00fcber", "\u4e2d\u6587", "\u044f\u0437\u044b\u043a", "internationalisation")
 
@@ -48,8 +49,9 @@ class ChunkEncoder:
         self.letters = _byte_letters()
         self.direct = all(self._merged(x) == self._whole([x])[0] and self._merged(x) + self._whole(["."])[0] == self._whole([x + "."])[0] for x in self._PROBES)
         self.cache: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
-    def encode(self, texts: Iterable[str], chars: int = 4_000_000) -> Iterator[np.ndarray]:
+    def encode(self, texts: Iterable[str], chars: int = 2_000_000) -> Iterator[np.ndarray]:
         """uint32 ids of each text, in order."""
         held: list[str] = []
         size = 0
@@ -64,7 +66,7 @@ class ChunkEncoder:
 
     def _flush(self, held: list[str]) -> Iterator[np.ndarray]:
         if len(self.cache) > self.MOST:
-            self.cache = {"": b""}
+            self.old, self.cache = self.cache, {"": b""}
         lists = pc.split_pattern(pa.array(held, pa.large_string()), " ")
         coded = lists.values.dictionary_encode()
         turn, bounds = coded.indices.to_numpy(), lists.offsets.to_numpy()
@@ -78,28 +80,37 @@ class ChunkEncoder:
         for a, z in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
             yield ids[a:z]
 
+    def _known(self, chunk: str) -> bytes | None:
+        found = self.cache.get(chunk)
+        if found is None:
+            found = self.old.get(chunk)
+            if found is not None:
+                self.cache[chunk] = found
+        return found
+
     def _pieces(self, chunks: list[str]) -> list[bytes]:
         """Ids, as bytes, of different chunks."""
-        cache, out, other = self.cache, [], []
+        known, out, other = self._known, [], []
         for chunk in chunks:
-            found = cache.get(chunk)
+            found = known(chunk)
             if found is None:
                 word = chunk.rstrip(self._TAIL)
                 if self.direct and word.isalpha() and (word.isascii() or is_normalized("NFC", word)) and word.lower() == word:
-                    found = cache.get(word)
+                    found = known(word)
                     if found is None:
-                        cache[word] = found = self._merged(word)
+                        self.cache[word] = found = self._merged(word)
                     if len(word) < len(chunk):
                         tail = chunk[len(word) :]
-                        if tail not in cache:
-                            cache[tail] = self._whole([tail])[0]
-                        found += cache[tail]
+                        ending = known(tail)
+                        if ending is None:
+                            self.cache[tail] = ending = self._whole([tail])[0]
+                        found += ending
                 else:
                     other.append(chunk)
             out.append(found)
         if other:
-            cache |= zip(other, self._whole(other), strict=True)
-            out = [cache[chunk] if found is None else found for chunk, found in zip(chunks, out, strict=True)]
+            self.cache |= zip(other, self._whole(other), strict=True)
+            out = [self.cache[chunk] if found is None else found for chunk, found in zip(chunks, out, strict=True)]
         return out
 
     def _merged(self, word: str) -> bytes:
