@@ -11,8 +11,16 @@ their kind; a mention that gets a kind with high probability becomes a span.
 
 Equal mentions are linked as a chain (each to the one before), so the graph grows
 with the text and not with the square of a mention's repeats. Weights are fitted by
-pseudo-likelihood on a bounded sample of texts, with the patterns' decisions as
-labels; mentions similar to a base span are left out there, as theirs are open.
+pseudo-likelihood on a bounded sample of different texts, with the patterns' decisions
+as labels; mentions similar to a base span are left out there, as theirs are open. Of
+base spans that have an equal or similar one in their text, every other one is learnt
+with its shape hidden, so that the skip potentials have to carry its kind. A text
+without any mention that resembles a base span gets no further span: the field carries
+kinds across a document and makes up none.
+
+Mentions have bounds of their own, whatever the text's length: words of up to 64
+characters before an @ and 255 after it, and groups of digits and separators of 7 to 35
+characters; longer runs are taken in parts.
 
 Defined results: null and empty texts have no spans; repeated rows give equal
 spans; an empty table gives no rows; a column of the result's name is replaced;
@@ -25,6 +33,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -167,27 +176,34 @@ class SkipChain:
         return [(a, int(p[i, 1:].argmax()), b) for i, (a, b, y) in enumerate(found) if y == 0 and p[i, 1:].max() >= self.least]
 
 
-def fit_skip_chain(docs: DataFrame, texts: int = 4000, rounds: int = 150, rate: float = 0.5, ridge: float = 1e-3) -> SkipChain:
-    """Fit by pseudo-likelihood on about ``texts`` documents with mentions, taken by a hash of the text."""
+def fit_skip_chain(docs: DataFrame, texts: int = 4000, mentions_each: int = 200, rounds: int = 150, rate: float = 0.5, ridge: float = 1e-3) -> SkipChain:
+    """Fit by pseudo-likelihood on about ``texts`` different texts, taken by their hash, with at most ``mentions_each`` mentions of each, by theirs, from all over the text."""
 
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for text in batch["text"]:
-                found = mentions(text, base_spans(text))[:200]
+                found = mentions(text, base_spans(text))
+                if len(found) > mentions_each:
+                    kept = sorted(range(len(found)), key=lambda i: crc32(f"{i} {text[found[i][0] : found[i][1]]}".encode("utf-8", "surrogatepass")))[:mentions_each]
+                    found = [found[i] for i in sorted(kept)]
                 out.append(([text[a:b] for a, b, _ in found], [y for _, _, y in found]))
             yield pd.DataFrame(out, columns=["said", "labels"]).loc[lambda x: x["said"].str.len() > 0]
 
     grain = 1_000_000
     count = max(1, docs.count())
     sample = docs.select("text").where(F.pmod(F.xxhash64(F.lit("pii"), "text"), F.lit(grain)) < int(grain * min(1.0, texts / count)))
-    rows = sample.where("text is not null").mapInPandas(seen, "said array<string>, labels array<int>").collect()
+    rows = sample.where("text is not null").distinct().mapInPandas(seen, "said array<string>, labels array<int>").collect()
     model = SkipChain()
     x, y, known, pairs, offset = [], [], [], [], 0
     for row in rows:
         n, edges = len(row["said"]), links(row["said"])
         near_base = {e for i, j, _ in edges for e in (i, j) if row["labels"][i] or row["labels"][j]}
-        x += [_features(s) for s in row["said"]]
+        shapes = [_features(s) for s in row["said"]]
+        repeated = sorted({e for i, j, _ in edges for e in (i, j) if row["labels"][i] and row["labels"][j]})
+        for i in repeated[::2]:
+            shapes[i] = np.eye(N_FEATURES)[0]
+        x += shapes
         y += row["labels"]
         known += [bool(row["labels"][i]) or i not in near_base for i in range(n)]
         pairs += [(offset + i, offset + i + 1, 2) for i in range(n - 1)] + [(offset + i, offset + j, k) for i, j, k in edges]
