@@ -39,7 +39,7 @@ def _kind(run: re.Match) -> str:
 
 
 def _shape(token: str) -> str:
-    return _RUN.sub(_kind, token)[:12]
+    return _RUN.sub(_kind, token)
 
 
 class _Codes(dict):
