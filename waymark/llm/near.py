@@ -14,9 +14,10 @@ components have one, and ranges drop out as their next point lies beyond it.
 2. 25 bands of 5 components: nodes that share a band's value are candidates; a pair
    at similarity 0.8 shares none with a probability of 5e-5.
 3. Each bucket links its nodes to its least one (a star); candidates are verified by
-   the exact similarity of their bags, and verified links give components.
-4. Only nodes of one bucket that lie in different components are compared further,
-   each with the nodes before it in a window; this covers all pairs of small buckets.
+   the exact similarity of their bags, and verified links give components: those of
+   the first five bands at once, then those of the others that lie across components.
+4. Only nodes of one bucket that lie in different components are compared further: in
+   buckets of up to 17 nodes, all pairs.
 5. The nodes of larger buckets that still hold different components meet by exact
    prefixes, which lose no pair: a node's shingles are put in one order, rare ones
    first, and two bags whose overlap reaches the similarity share a shingle among
@@ -55,7 +56,7 @@ from waymark.llm.words import WordCodes, mix, shingles, weighted_jaccard
 
 COMPONENTS, BANDS, ROWS = 128, 25, 5
 _GOLDEN, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
-_WINDOW = 16
+_WINDOW, _EARLY = 16, 5
 #: places of the table of frequencies by which shingles are put in order, nodes of a shingle in one block, candidates of a node in the first steps
 _PLACES, _BLOCK, _FIRST = 1 << 18, 1024, (4, 64)
 
@@ -182,13 +183,9 @@ def _verified(pairs: DataFrame, signed: DataFrame, texts: DataFrame, least: floa
 
 
 def _window_pairs(members: DataFrame) -> DataFrame:
-    """Each node of a bucket (key, n, node, component) with those before it in a window, if their components differ.
-
-    Large buckets are cut by a hash into windows of some thousand nodes.
-    """
-    salt = F.when(F.col("n") > 2048, F.pmod(F.xxhash64(F.lit("salt"), "node"), F.ceil(F.col("n") / 2048))).otherwise(0)
-    before = Window.partitionBy("key", "salt").orderBy("node").rowsBetween(-_WINDOW, -1)
-    rows = members.withColumn("salt", salt).withColumn("before", F.collect_list(F.struct("node", "component")).over(before))
+    """Each node of a small bucket (key, n, node, component) with those before it, at most ``_WINDOW``, if their components differ."""
+    before = Window.partitionBy("key").orderBy("node").rowsBetween(-_WINDOW, -1)
+    rows = members.withColumn("before", F.collect_list(F.struct("node", "component")).over(before))
     rows = rows.select(F.col("node").alias("u"), "component", F.explode("before").alias("x"))
     return rows.where("component <> x.component").select("u", F.col("x.node").alias("v"))
 
@@ -267,12 +264,22 @@ def near_duplicate_links(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
         across = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
         return checkpointed(rows.join(across, "key", "left_semi"))
 
-    links = _verified(members.where("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v")), signed, texts, similarity)
+    def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+        """Pairs (u, v) of nodes in different components."""
+        for x in "uv":
+            pairs = pairs.join(found.toDF(x, f"c{x}"), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+        return pairs.where("cu <> cv").drop("cu", "cv")
+
+    # the stars of a few bands link most of what is alike, so that the others bring little more to verify
+    stars = members.where("node <> least").select(F.col("key.band").alias("band"), F.col("node").alias("u"), F.col("least").alias("v"))
+    links = _verified(stars.where(F.col("band") < _EARLY).select("u", "v"), signed, texts, similarity)
+    rest = apart(stars.where(F.col("band") >= _EARLY).select("u", "v").distinct(), components(links))
+    links = links.unionByName(_verified(rest, signed, texts, similarity))
     members = mixed(members, components(links))
-    more = _verified(_window_pairs(members).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), signed, texts, similarity)
-    links = links.unionByName(more)
-    wide = members.where(F.col("n") > _WINDOW + 1).drop("component")
+    more = _window_pairs(members.where(F.col("n") <= _WINDOW + 1)).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    links = links.unionByName(_verified(more, signed, texts, similarity))
     found = components(links)
+    wide = members.where(F.col("n") > _WINDOW + 1).drop("component")
     if wide.isEmpty():
         return found
     nodes = mixed(wide, found).select("node").distinct()
@@ -284,10 +291,7 @@ def near_duplicate_links(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     pairs = checkpointed(pairs.select("u", "v", F.row_number().over(Window.partitionBy("u").orderBy(F.xxhash64("u", "v"))).alias("turn")))
     done = 0
     for most in (*_FIRST, None):
-        rest = pairs.where(F.col("turn") > done)
-        for x in "uv":
-            rest = rest.join(found.toDF(x, f"c{x}"), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
-        pairs = checkpointed(rest.where("cu <> cv").select("u", "v", "turn"))
+        pairs = checkpointed(apart(pairs.where(F.col("turn") > done), found).select("u", "v", "turn"))
         if pairs.isEmpty():
             break
         part = pairs if most is None else pairs.where(F.col("turn") <= most)
