@@ -17,7 +17,7 @@ components have one, and ranges drop out as their next point lies beyond it.
    the exact similarity of their bags, and verified links give components: those of
    the first five bands at once, then those of the others that lie across components.
 4. Only nodes of one bucket that lie in different components are compared further: in
-   buckets of up to 17 nodes, all pairs.
+   buckets of up to 17 nodes all pairs, in larger ones each node with the three before it.
 5. The nodes of larger buckets that still hold different components meet by exact
    prefixes, which lose no pair: a node's shingles are put in one order, rare ones
    first, and two bags whose overlap reaches the similarity share a shingle among
@@ -56,7 +56,7 @@ from waymark.llm.words import WordCodes, mix, shingles, weighted_jaccard
 
 COMPONENTS, BANDS, ROWS = 128, 25, 5
 _GOLDEN, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
-_WINDOW, _EARLY = 16, 5
+_WINDOW, _FEW, _EARLY = 16, 3, 5
 #: places of the table of frequencies by which shingles are put in order, nodes of a shingle in one block, candidates of a node in the first steps
 _PLACES, _BLOCK, _FIRST = 1 << 18, 1024, (4, 64)
 
@@ -183,10 +183,15 @@ def _verified(pairs: DataFrame, signed: DataFrame, texts: DataFrame, least: floa
 
 
 def _window_pairs(members: DataFrame) -> DataFrame:
-    """Each node of a small bucket (key, n, node, component) with those before it, at most ``_WINDOW``, if their components differ."""
-    before = Window.partitionBy("key").orderBy("node").rowsBetween(-_WINDOW, -1)
-    rows = members.withColumn("before", F.collect_list(F.struct("node", "component")).over(before))
-    rows = rows.select(F.col("node").alias("u"), "component", F.explode("before").alias("x"))
+    """Each node of a bucket (key, n, node, component) with those before it, if their components differ: all in small buckets, the last ``_FEW`` in others.
+
+    Large buckets are cut by a hash into windows of some thousand nodes.
+    """
+    salt = F.when(F.col("n") > 2048, F.pmod(F.xxhash64(F.lit("salt"), "node"), F.ceil(F.col("n") / 2048))).otherwise(0)
+    before = Window.partitionBy("key", "salt").orderBy("node").rowsBetween(-_WINDOW, -1)
+    rows = members.withColumn("salt", salt).withColumn("before", F.collect_list(F.struct("node", "component")).over(before))
+    few = F.slice("before", F.greatest(F.size("before") - _FEW + 1, F.lit(1)), F.lit(_FEW))
+    rows = rows.select(F.col("node").alias("u"), "component", F.explode(F.when(F.col("n") > _WINDOW + 1, few).otherwise(F.col("before"))).alias("x"))
     return rows.where("component <> x.component").select("u", F.col("x.node").alias("v"))
 
 
@@ -276,7 +281,7 @@ def near_duplicate_links(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     rest = apart(stars.where(F.col("band") >= _EARLY).select("u", "v").distinct(), components(links))
     links = links.unionByName(_verified(rest, signed, texts, similarity))
     members = mixed(members, components(links))
-    more = _window_pairs(members.where(F.col("n") <= _WINDOW + 1)).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    more = _window_pairs(members).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     links = links.unionByName(_verified(more, signed, texts, similarity))
     found = components(links)
     wide = members.where(F.col("n") > _WINDOW + 1).drop("component")
