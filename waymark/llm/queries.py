@@ -9,13 +9,16 @@ from waymark.llm.ann import nearest
 from waymark.llm.chat import format_chat, read_back
 from waymark.llm.common import fold, table
 from waymark.llm.decontaminate import with_matches
+from waymark.llm.licenses import PHRASES, TEMPLATES, licenses
 from waymark.llm.lines import dedup_lines
 from waymark.llm.near import near_duplicates
 from waymark.llm.packing import pack
 from waymark.llm.pii import KINDS, fit_skip_chain, with_pii
 from waymark.llm.pitman_yor import score_texts
 from waymark.llm.quality import fit_quality, with_quality
+from waymark.llm.spelling import spelling_variants, vocabulary
 from waymark.llm.toxicity import fit_toxicity, with_toxicity
+from waymark.llm.whitening import whiten
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +112,21 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chat(turns.unionByName(extra)))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words and the frequent form of all words of the documents."""
+    return spelling_variants(vocabulary(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the 32 leading components of their exact covariance."""
+    return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and wordings of all documents."""
+    return licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 OP10_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -134,6 +152,56 @@ SELECT conv_id, count(*) AS n_turns,
 FROM summed GROUP BY conv_id
 """
 
+def _op13_sql() -> str:
+    """Phrases and wordings by joins on the words themselves: every pair of equal grams, their diagonals, runs of near diagonals."""
+    rows = ", ".join(f"({i}, '{t.label}', '{t.text}', {t.k}, [{', '.join(repr(w) for w in t.telling)}]::VARCHAR[], {t.phrase})" for i, t in enumerate((*PHRASES, *TEMPLATES)))
+    return rf"""
+WITH template AS (
+  SELECT *, string_split(said, ' ') AS w FROM (VALUES {rows}) v(template, label, said, k, telling, phrase)
+), size AS (
+  SELECT template, label, k, phrase, len(w) - k + 1 AS grams, CASE WHEN phrase THEN 0 ELSE least(3, len(w) - 2) END AS slack FROM template
+), place AS (
+  SELECT template, k, unnest(range(len(w) - k + 1)) AS p, w, telling FROM template
+), gram AS (
+  SELECT template, k, p, array_to_string(w[p + 1 : p + k], ' ') AS said,
+    len(telling) = 0 OR list_has_any(w[p + 1 : p + k], telling) AS telling FROM place
+), doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), word AS (
+  SELECT r, unnest(range(len(w))) AS pos, unnest(w) AS x FROM doc
+), run AS (
+  SELECT r, pos, x || ' ' || lead(x) OVER o AS two, x || ' ' || lead(x) OVER o || ' ' || lead(x, 2) OVER o AS three
+  FROM word WINDOW o AS (PARTITION BY r ORDER BY pos)
+), hit AS (
+  SELECT r, pos, template, p, telling FROM run JOIN gram ON k = 2 AND two = said
+  UNION ALL SELECT r, pos, template, p, telling FROM run JOIN gram ON k = 3 AND three = said
+), told AS (
+  SELECT hit.*, size.* EXCLUDE (template), pos - p AS diagonal FROM hit JOIN size USING (template)
+), marked AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER o <= slack THEN 0 ELSE 1 END AS new FROM told
+  WINDOW o AS (PARTITION BY r, template ORDER BY diagonal)
+), chained AS (
+  SELECT *, sum(new) OVER (PARTITION BY r, template ORDER BY diagonal RANGE UNBOUNDED PRECEDING) AS chain FROM marked
+), span AS (
+  SELECT r, template, label, phrase, grams, min(pos) AS start, max(pos) - min(pos) + 1 AS own, count(DISTINCT p) AS found, bool_or(telling) AS telling
+  FROM chained GROUP BY r, template, label, phrase, grams, chain
+), sound AS (
+  SELECT *, 2 * found / (grams + own) AS dice FROM span
+  WHERE CASE WHEN phrase THEN found = grams ELSE telling AND found / grams >= 0.6 AND 2 * found / (grams + own) >= 0.5 END
+), summed AS (
+  SELECT r, count(*) FILTER (phrase) AS n_base, min(start) FILTER (phrase) AS first_word, max(start) FILTER (phrase) AS last_word,
+    array_to_string(list_sort(list(DISTINCT label) FILTER (phrase)), ',') AS base_labels,
+    array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(dice) AS score
+  FROM sound GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM doc LEFT JOIN summed USING (r)
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
@@ -145,5 +213,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_pack": op9_pack,
     "op10_chat_format": op10_chat_format,
+    "op11_spelling": op11_spelling,
+    "op12_whiten": op12_whiten,
+    "op13_license": op13_license,
 }
-ORACLE_SQL = {"op10_chat_format": OP10_SQL}
+ORACLE_SQL = {"op10_chat_format": OP10_SQL, "op13_license": _op13_sql()}
