@@ -4,6 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from waymark.operators import graph, spatial
+from waymark.sources import tables
 
 LINE = "array<struct<x:double,y:double>>"
 
@@ -96,3 +97,66 @@ def test_sole_connections(spark):
     assert edges.count() == 4
     seats = spark.createDataFrame([("Seat", 2900.0, 10.0)], "seat string, x double, y double")
     assert {(r.segment, r.seats) for r in graph.sole_connections(edges, seats).collect()} == {("s4", "Seat"), ("s5", "Seat")}
+
+
+def test_sole_connections_at_the_edges_of_the_rule(spark):
+    """The circle lies around the nearest node, 20 km from the seat; an end 45 km from the seat counts, one beyond the circle doesn't."""
+    node, far = (20_000.0, 0.0), (45_000.0, 0.0)
+    rows = [("a", [node, far]), ("b", [node, (20_000.0, 4_000.0)]), ("c", [(20_000.0, 4_000.0), (26_000.0, 4_000.0)]), ("d", [node, (20_000.0, 30_050.0)])]
+    edges = graph.road_edges(spark.createDataFrame(rows, f"id string, line {LINE}"), "id")
+    seats = [("Near", 0.0, 0.0), ("Far", -10_050.0, 0.0), ("None", None, 1.0), ("Nan", float("nan"), 0.0)]
+    sdf = spark.createDataFrame(seats, "seat string, x double, y double")
+    assert {(r.segment, r.seats) for r in graph.sole_connections(edges, sdf).collect()} == {("a", "Near"), ("b", "Near"), ("c", "Near")}
+    # two edges are too few
+    assert graph.sole_connections(edges.where("bx <> 26000"), sdf).collect() == []
+    assert graph.sole_connections(edges.limit(0), sdf).collect() == []
+
+
+def test_leaves_are_taken_off_before_a_task_sees_them(spark):
+    ring = [(0.0, 0.0), (500.0, 0.0), (500.0, 500.0), (0.0, 500.0), (0.0, 0.0)]
+    rows = [(f"r{i}", [a, b]) for i, (a, b) in enumerate(zip(ring, ring[1:]))] + [(f"t{i}", [(500.0 + 500 * i, 0.0), (1_000.0 + 500 * i, 0.0)]) for i in range(4)]
+    edges = graph.road_edges(spark.createDataFrame(rows, f"id string, line {LINE}"), "id")
+    leaves, core = graph._peeled(edges.select(F.lit("s").alias("seat"), "ax", "ay", "bx", "by"))
+    assert core.count() == 4 and leaves.count() == 4
+    seats = spark.createDataFrame([("S", 0.0, 0.0), ("T", 2_400.0, 0.0)], "seat string, x double, y double")
+    got = {r.segment: r.seats for r in graph.sole_connections(edges, seats, close=1_600.0).collect()}
+    assert got == {"t0": "S; T", "t1": "S; T", "t2": "S; T", "t3": "T"}
+
+
+def _even_odd(x, y, rings):
+    return sum((ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax for ring in rings for (ax, ay), (bx, by) in zip(ring, ring[1:])) % 2 == 1
+
+
+def test_dissolve_by_brute_force(spark):
+    """Overlapping, touching, equal and holed polygons: inside the union where any holds the place; closed rings."""
+    r = random.Random(11)
+    rows = [("a", box(0, 0, 4, 4)), ("a", box(3, 1, 7, 3)), ("a", box(7, 1, 9, 3)), ("a", box(0, 0, 4, 4)), ("a", box(20, 20, 30, 30) + box(22, 22, 28, 28)), ("a", box(24, 21, 26, 29)), (None, box(1, 1, 2, 2)), ("empty", [])]
+    for _ in range(9):
+        x, y, turn = r.uniform(0, 30), r.uniform(0, 30), r.uniform(0, 3)
+        ring = [(x + 6 * math.cos(turn + i * 1.1) * r.uniform(0.5, 1), y + 6 * math.sin(turn + i * 1.1) * r.uniform(0.5, 1)) for i in range(6)]
+        rows.append(("b", [[*ring, ring[0]]]))
+    found = {x.k: [[(p.x, p.y) for p in ring] for ring in x.rings] for x in spatial.dissolve(spark.createDataFrame(rows, f"k string, rings array<{LINE}>"), "k").collect()}
+    assert set(found) == {"a", "b", None, "empty"} and found["empty"] == []
+    for rings in found.values():
+        assert all(ring[0] == ring[-1] and len(ring) > 3 for ring in rings)
+    for k, rings in found.items():
+        for _ in range(3000):
+            x, y = r.uniform(-3, 36), r.uniform(-3, 36)
+            assert _even_odd(x, y, rings) == any(_even_odd(x, y, p) for key, p in rows if key == k)
+    df = spark.createDataFrame([(1, (3.5, 2.0)), (2, (7.0, 2.0)), (3, (23.0, 25.0))], "id int, p struct<x:double,y:double>")
+    merged = spatial.dissolve(spark.createDataFrame(rows, f"k string, rings array<{LINE}>"), "k")
+    assert {x.id: x.k for x in spatial.point_in_polygon(df, "id", merged.where("k = 'a'"), "k", 1.3).collect()} == {1: "a", 2: "a", 3: None}
+
+
+def test_polygons_that_meet(spark):
+    state = [[(10.0, 10.0), (20.0, 12.0), (18.0, 20.0), (9.0, 19.0), (10.0, 10.0)]]
+    rows = [("covers", box(0, 0, 40, 40)), ("crosses", box(0, 14, 40, 15)), ("within", box(13, 13, 14, 14)), ("corner", box(15, 5, 19.5, 11.95)), ("apart", box(30, 0, 31, 40)), ("around", box(0, 0, 40, 40) + box(5, 5, 35, 35)), ("touches", box(20, 12, 25, 13))]
+    layer = spark.createDataFrame(rows, f"k string, rings array<{LINE}>")
+    outline = spark.createDataFrame([(state,)], f"rings array<{LINE}>")
+    assert {r.k for r in tables.within_state(layer, "k", outline, 3.0).collect()} == {"covers", "crosses", "within", "corner", "touches"}
+
+
+def test_places_without_coordinates_end_the_search(spark):
+    polygons = spark.createDataFrame([("a", box(0, 0, 1, 1))], f"poly string, rings array<{LINE}>")
+    points = spark.createDataFrame([(1, (float("nan"), 0.0)), (2, (float("inf"), 0.0)), (3, (900.0, 5.0)), (4, None)], "id int, p struct<x:double,y:double>")
+    assert {r.id: r.poly for r in spatial.nearest_polygon(points, "id", polygons, "poly", 2.0).collect()} == {3: "a"}

@@ -1,10 +1,9 @@
 """Geometry as column expressions on ``array<struct<x, y>>`` lines and ``array<array<struct<x, y>>>`` rings, in metres.
 
-Each works on one row's arrays with higher-order functions, so it stays in the JVM.
-Most cost in proportion to the number of vertices; those that add lengths up along a
-line or join parts (``line_at``, ``line_substring``, ``line_project``, ``merge_parts``) copy
-the array at each step and suit lines of some hundred vertices. The joins of
-``operators`` work on single edges.
+Each works on one row's arrays with higher-order functions, so it stays in the JVM, and
+costs in proportion to the number of vertices (pairs of them in ``line_distance``): folds
+along a line carry a few numbers, never an array. The joins of ``operators`` work on single
+edges; ``operators.lines`` measures and cuts many lines at many places at once.
 """
 
 from __future__ import annotations
@@ -39,26 +38,20 @@ def line_miles(line: Column) -> Column:
     return line_length(line) / METRES_PER_MILE
 
 
-def _measured(line: Column) -> Column:
-    """Edges with the length before each (``at``) and their own (``len``)."""
-    start = F.struct(F.lit(0.0).alias("t"), F.array().cast("array<struct<ax:double,ay:double,bx:double,by:double,at:double,len:double>>").alias("out"))
+def line_at(line: Column, distance: Column) -> Column:
+    """The point at a distance along a line, clamped to its ends."""
+    first = F.get(line, 0)
+    start = F.struct(F.lit(0.0).alias("t"), first["x"].alias("x"), first["y"].alias("y"), F.lit(False).alias("found"))
 
     def step(s: Column, e: Column) -> Column:
         n = _edge_length(e)
-        return F.struct((s["t"] + n).alias("t"), F.concat(s["out"], F.array(F.struct(e["ax"].alias("ax"), e["ay"].alias("ay"), e["bx"].alias("bx"), e["by"].alias("by"), s["t"].alias("at"), n.alias("len")))).alias("out"))
-
-    return F.aggregate(edges(line), start, step, lambda s: s["out"])
-
+        here = distance <= s["t"] + n
+        share = F.when(n > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), (distance - s["t"]) / n))).otherwise(0.0)
+        x = F.when(s["found"], s["x"]).when(here, e["ax"] + share * (e["bx"] - e["ax"])).otherwise(e["bx"])
+        y = F.when(s["found"], s["y"]).when(here, e["ay"] + share * (e["by"] - e["ay"])).otherwise(e["by"])
+        return F.struct((s["t"] + n).alias("t"), x.alias("x"), y.alias("y"), F.coalesce(s["found"] | here, F.lit(False)).alias("found"))
 
-def _on_edge(e: Column, d: Column) -> Column:
-    t = F.when(e["len"] > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), (d - e["at"]) / e["len"]))).otherwise(0.0)
-    return F.struct((e["ax"] + t * (e["bx"] - e["ax"])).alias("x"), (e["ay"] + t * (e["by"] - e["ay"])).alias("y"))
-
-
-def line_at(line: Column, distance: Column) -> Column:
-    """The point at a distance along a line, clamped to its ends."""
-    found = F.filter(_measured(line), lambda e: (distance <= e["at"] + e["len"]))
-    return F.coalesce(F.get(F.transform(F.slice(found, 1, 1), lambda e: _on_edge(e, distance)), 0), F.element_at(line, -1))
+    return F.aggregate(edges(line), start, step, lambda s: F.when(first.isNotNull(), F.struct(s["x"].alias("x"), s["y"].alias("y"))))
 
 
 def line_interpolate(line: Column, ratio: Column | float) -> Column:
@@ -68,8 +61,13 @@ def line_interpolate(line: Column, ratio: Column | float) -> Column:
 
 def line_substring(line: Column, begin: Column, end: Column) -> Column:
     """The part of a line between two distances along it: the inner vertices and two interpolated ends."""
-    m = _measured(line)
-    inner = F.transform(F.filter(m, lambda e: (e["at"] > begin) & (e["at"] < end)), lambda e: F.struct(e["ax"].alias("x"), e["ay"].alias("y")))
+    start = F.struct(F.lit(0.0).alias("t"), F.lit(0).alias("before"), F.lit(0).alias("inner"))
+
+    def step(s: Column, e: Column) -> Column:
+        return F.struct((s["t"] + _edge_length(e)).alias("t"), (s["before"] + (s["t"] <= begin).cast("int")).alias("before"), (s["inner"] + ((s["t"] > begin) & (s["t"] < end)).cast("int")).alias("inner"))
+
+    # vertices lie in order of their distance, so the inner ones are one stretch of the array
+    inner = F.aggregate(edges(line), start, step, lambda s: F.slice(line, s["before"] + 1, s["inner"]))
     return F.concat(F.array(line_at(line, begin)), inner, F.array(line_at(line, end)))
 
 
@@ -86,12 +84,16 @@ def _edge_project(e: Column, x: Column, y: Column) -> Column:
 
 
 def _nearest(line: Column, p: Column) -> Column:
-    def one(e: Column) -> Column:
-        t = _edge_project(e, p["x"], p["y"])
-        d = F.hypot(e["ax"] + t * (e["bx"] - e["ax"]) - p["x"], e["ay"] + t * (e["by"] - e["ay"]) - p["y"])
-        return F.struct(d.alias("distance"), (e["at"] + t * e["len"]).alias("along"))
+    """Struct distance, along: of the point of a line that is nearest to ``p``, the first of equals."""
+    start = F.struct(F.lit(0.0).alias("t"), F.lit(None).cast("double").alias("distance"), F.lit(None).cast("double").alias("along"))
+
+    def step(s: Column, e: Column) -> Column:
+        n, share = _edge_length(e), _edge_project(e, p["x"], p["y"])
+        d = F.hypot(e["ax"] + share * (e["bx"] - e["ax"]) - p["x"], e["ay"] + share * (e["by"] - e["ay"]) - p["y"])
+        nearer = s["distance"].isNull() | (d < s["distance"])
+        return F.struct((s["t"] + n).alias("t"), F.when(nearer, d).otherwise(s["distance"]).alias("distance"), F.when(nearer, s["t"] + share * n).otherwise(s["along"]).alias("along"))
 
-    return F.array_min(F.transform(_measured(line), one))
+    return F.aggregate(edges(line), start, step)
 
 
 def line_project(line: Column, p: Column) -> Column:
@@ -117,15 +119,15 @@ def alignment_angle(a: Column, b: Column) -> Column:
 
 def merge_parts(parts: Column) -> Column:
     """Parts of a line joined where one ends at the start of the next, in order."""
-    start = F.array().cast("array<array<struct<x:double,y:double>>>")
+    n = F.size(parts)
+    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(every, lambda i: ~F.coalesce((i > 0) & (F.element_at(F.get(parts, i - 1), -1) == F.get(F.get(parts, i), 0)), F.lit(False)))
 
-    def step(out: Column, p: Column) -> Column:
-        last = F.try_element_at(out, F.lit(-1))
-        touches = F.element_at(last, -1) == F.get(p, 0)
-        joined = F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), F.array(F.concat(last, F.slice(p, F.lit(2), F.size(p)))))
-        return F.when((F.size(out) > 0) & touches, joined).otherwise(F.concat(out, F.array(p)))
+    def joined(start: Column, i: Column) -> Column:
+        rest = F.slice(parts, start + 2, F.coalesce(F.get(starts, i + 1), n) - start - 1)
+        return F.concat(F.get(parts, start), F.flatten(F.transform(rest, lambda p: F.slice(p, F.lit(2), F.size(p)))))
 
-    return F.aggregate(parts, start, step)
+    return F.transform(starts, joined)
 
 
 def longest_part(parts: Column) -> Column:

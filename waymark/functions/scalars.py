@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6_371_000.0
@@ -57,11 +57,28 @@ def unique_id(route: Column, begin: Column, end: Column) -> Column:
     return F.concat_ws("_", F.coalesce(route, F.lit("")), *[F.when(m.isNull(), "NA").otherwise(F.format_string("%.4f", m)) for m in (begin, end)])
 
 
-def unique_id_guard(segments: DataFrame, key: str = "unique_id", parts: tuple[str, ...] = ("DISTRICT", "COUNTY_CODE", "AREA_OFFICE_ID", "MPO_ID", "RC_ID")) -> DataFrame:
-    """Ids that occur more than once get ``_`` and six hex digits of the md5 of their administrative parts."""
-    mark = F.substring(F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in parts])), 1, 6)
-    many = F.count("*").over(Window.partitionBy(key)) > 1
-    return segments.withColumn(key, F.when(many, F.concat_ws("_", key, mark)).otherwise(F.col(key)))
+def unique_id_guard(segments: DataFrame, key: str = "unique_id", parts: tuple[str, ...] = ("DISTRICT", "COUNTY_CODE", "AREA_OFFICE_ID", "MPO_ID", "RC_ID"), told: Observation | None = None) -> DataFrame:
+    """Ids that occur more than once get ``_`` and six hex digits of the md5 of their administrative parts.
+
+    ``told`` learns, as the result is read, how many rows were renamed and how many still
+    share their new id (``marked``, ``left``): rows of one old id and one mark share their new
+    id, so the same partitions tell both, without another pass.
+    """
+    (old, mark, same, left) = (free_name(segments, c) for c in ("_old", "_mark", "_same", "_left"))
+    digits = F.substring(F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in parts])), 1, 6)
+    rows = segments.withColumns({old: F.col(key), mark: digits}).withColumn(same, F.count("*").over(Window.partitionBy(old)))
+    rows = rows.withColumn(left, F.count("*").over(Window.partitionBy(old, mark)))
+    many = F.col(same) > 1
+    if told is not None:
+        rows = rows.observe(told, F.count_if(many).alias("marked"), F.count_if(many & (F.col(left) > 1)).alias("left"))
+    return rows.withColumn(key, F.when(many, F.concat_ws("_", key, mark)).otherwise(F.col(key))).select(*segments.columns)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
 
 
 def decode_label(code: Column, labels: dict[str, str], pad: int = 0) -> Column:
@@ -233,6 +250,11 @@ def geoid_parent(code: Column, width: int) -> Column:
     return F.substring(code, 1, width)
 
 
+def in_state(code: Column, state: str, width: int = 11) -> Column:
+    """Whether a tract (or another geography of ``width`` digits) lies in a state, by the two digits it begins with."""
+    return F.coalesce(F.substring(geoid(code, width), 1, 2) == state, F.lit(False))
+
+
 def acs_rate(part: Column, whole: Column) -> Column:
     """part / whole; 0 where either is null or whole is 0."""
     return F.coalesce(F.when(whole != 0, part / whole), F.lit(0.0))
@@ -265,6 +287,49 @@ def functional_class_label(x: Column) -> Column:
     return F.when(n.isNotNull(), F.coalesce(F.try_element_at(mapping(FUNCTIONAL_CLASSES), n.cast("int")), F.concat(F.lit("Class "), n.cast("string"))))
 
 
+def road_name(name: Column, route: Column) -> Column:
+    """The highway's name, else the route's id, else a plain word; blank ones don't count."""
+
+    def said(x: Column) -> Column:
+        return F.when(F.trim(x.cast("string")) != "", x.cast("string"))
+
+    return F.coalesce(said(name), said(route), F.lit("Roadway segment"))
+
+
+def highway_description(lanes: Column, median: Column, family: Column, access: Column) -> Column:
+    """Lanes with D (divided) or U; null without lanes."""
+    divided = F.coalesce(median.cast("int") != 1, F.lit(False)) | F.coalesce(F.trim(family) == "Interstate", F.lit(False)) | (F.coalesce(access.cast("int").isin(1, 2, 3), F.lit(False)) & (lanes >= 4))
+    return F.when(lanes > 0, F.concat(lanes.cast("int").cast("string"), F.when(divided, "D").otherwise("U")))
+
+
+def evacuation_label(route: Column, contraflow: Column) -> Column:
+    return F.when(contraflow.cast("int") == 1, "Contraflow Route").when(route.cast("int") == 1, "Evacuation Route")
+
+
+# Properties of the map's themes and the columns they are; others are derived.
+THEMATIC_COLUMNS = {
+    "aadt": "AADT", "system_code_label": "SYSTEM_CODE_LABEL", "direction_label": "DIRECTION_LABEL", "num_lanes": "NUM_LANES", "future_aadt_2044": "FUTURE_AADT_2044", "k_factor": "K_FACTOR", "d_factor": "D_FACTOR",
+    "truck_aadt": "TRUCK_AADT", "vmt": "VMT", "nhs_ind_label": "NHS_IND_LABEL", "median_type_label": "MEDIAN_TYPE_LABEL", "speed_limit": "SPEED_LIMIT", "truck_pct": "TRUCK_PCT",
+    "functional_class_viz": "FUNCTIONAL_CLASS", "surface_type_label": "SURFACE_TYPE_LABEL", "ownership_label": "OWNERSHIP_LABEL", "facility_type_label": "FACILITY_TYPE_LABEL",
+}
+
+
+def thematic_properties(df: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and the properties of the map's themes, the road's name among them; a column that ``df`` lacks gives nulls."""
+
+    def col(name: str, kind: str = "string") -> Column:
+        return F.col(name) if name in df.columns else F.lit(None).cast(kind)
+
+    def share(part: str) -> Column:
+        value = col("AADT", "double")
+        return F.when(value > 0, F.round(col(part, "double") * 100.0 / value, 1))
+
+    made = {n: col(c) for n, c in THEMATIC_COLUMNS.items()}
+    made |= {"pct_sadt": share("SINGLE_UNIT_AADT_2024"), "pct_cadt": share("COMBO_UNIT_AADT_2024"), "hwy_des": highway_description(col("NUM_LANES", "int"), col("MEDIAN_TYPE", "int"), col("ROUTE_FAMILY"), col("HPMS_ACCESS_CONTROL", "int"))}
+    made |= {"sec_evac": evacuation_label(col("SEC_EVAC", "int"), col("SEC_EVAC_CONTRAFLOW", "int")), "road_name": road_name(col("HWY_NAME"), col("ROUTE_ID"))}
+    return df.select(*keep, *[c.alias(n) for n, c in made.items()])
+
+
 def move_column_after(df: DataFrame, column: str, after: str) -> DataFrame:
     names = [c for c in df.columns if c != column]
     at = names.index(after) + 1

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import geometry as G
+from waymark.lineage import checkpointed
+from waymark.operators.stations import knn
 
 
 def road_edges(segments: DataFrame, id_: str, tolerance: float = 50.0) -> DataFrame:
@@ -54,29 +56,67 @@ def bridges(pairs: list[tuple]) -> set[int]:
     return found
 
 
+def _near_circles(edges: DataFrame, centres: DataFrame, radius: float) -> DataFrame:
+    """(seat, cx, cy, ax, ay, bx, by): edges with both ends within ``radius`` of each centre (seat, cx, cy); they meet by grid cells."""
+    around = F.explode(F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))"))
+    c = centres.select("seat", "cx", "cy", around.alias("_o"))
+    c = c.select("seat", "cx", "cy", (F.floor(F.col("cx") / radius) + F.col("_o.i")).alias("_gx"), (F.floor(F.col("cy") / radius) + F.col("_o.j")).alias("_gy"))
+    near = edges.select("ax", "ay", "bx", "by", F.floor(F.col("ax") / radius).alias("_gx"), F.floor(F.col("ay") / radius).alias("_gy")).join(c, ["_gx", "_gy"])
+    both = [F.pow(F.col(f"{e}x") - F.col("cx"), 2) + F.pow(F.col(f"{e}y") - F.col("cy"), 2) <= radius**2 for e in "ab"]
+    return near.where(both[0] & both[1]).select("seat", "cx", "cy", "ax", "ay", "bx", "by")
+
+
+def _peeled(edges: DataFrame, share: float = 0.05) -> tuple[DataFrame, DataFrame]:
+    """Edges by seat that end in a leaf, which are bridges, taken off again and again, and what is left.
+
+    Goes on while a round takes off at least ``share`` of the edges; what is left is right
+    however many rounds there were.
+    """
+    ends = [F.struct(F.col(f"{e}x").alias("x"), F.col(f"{e}y").alias("y")) for e in "ab"]
+    taken, rest = None, checkpointed(edges)
+    count = rest.count()
+    while count:
+        leaves = rest.select("seat", F.explode(F.array(*ends)).alias("_n")).groupBy("seat", "_n").agg(F.count("*").alias("_d")).where("_d = 1").select("seat", "_n")
+        a, b = (leaves.select("seat", F.col("_n.x").alias(f"{e}x"), F.col("_n.y").alias(f"{e}y"), F.lit(True).alias(f"_{e}")) for e in "ab")
+        told = checkpointed(rest.join(a, ["seat", "ax", "ay"], "left").join(b, ["seat", "bx", "by"], "left").withColumn("_leaf", F.coalesce("_a", "_b", F.lit(False))).drop("_a", "_b"))
+        off = told.where("_leaf").drop("_leaf")
+        taken = off if taken is None else taken.unionByName(off)
+        rest = told.where("not _leaf").drop("_leaf")
+        left = rest.count()
+        if count - left < share * count:
+            break
+        count = left
+    return (edges.limit(0) if taken is None else taken), rest
+
+
 def sole_connections(edges: DataFrame, seats: DataFrame, radius: float = 30_000.0, close: float = 5_000.0, least: int = 3) -> DataFrame:
-    """(segment, seats): segments of bridges near a county seat (seat, x, y) in the graph within ``radius`` of it.
+    """(segment, seats): segments of bridges near a county seat (seat, x, y).
+
+    The node of the graph that is nearest to a seat (the least of equals) stands for it, if it
+    lies within ``radius``. A seat's graph is all edges with both ends within ``radius`` of
+    that node; with fewer than ``least`` edges it has no bridges. A bridge counts if an end lies
+    less than ``close`` from the node. Names of seats are joined in order.
 
-    Seats meet edges by grid cells; one group per seat, bounded by the radius, goes to a task.
+    Leaf edges are bridges and are taken off by joins, so that only what has no leaves goes to
+    a task, one group a seat, bounded by the roads within the radius. Seats without finite
+    coordinates have none; seats of one name are told apart by their places.
     """
-    around = F.explode(F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))"))
-    s = seats.select("seat", F.col("x").alias("sx"), F.col("y").alias("sy"), around.alias("_o"))
-    s = s.withColumns({"_cx": F.floor(F.col("sx") / radius) + F.col("_o.i"), "_cy": F.floor(F.col("sy") / radius) + F.col("_o.j")}).drop("_o")
-    near = edges.withColumns({"_cx": F.floor(F.col("ax") / radius), "_cy": F.floor(F.col("ay") / radius)}).join(s, ["_cx", "_cy"])
-    inside = (F.hypot(F.col("ax") - F.col("sx"), F.col("ay") - F.col("sy")) <= radius) & (F.hypot(F.col("bx") - F.col("sx"), F.col("by") - F.col("sy")) <= radius)
-
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(frame) >= least:
-            frame = frame.sort_values(["ax", "ay", "bx", "by"]).reset_index(drop=True)
-            a, b = list(zip(frame["ax"], frame["ay"])), list(zip(frame["bx"], frame["by"]))
-            sx, sy = frame["sx"].iloc[0], frame["sy"].iloc[0]
-            node = min({*a, *b}, key=lambda p: ((p[0] - sx) ** 2 + (p[1] - sy) ** 2, p))
-            for i in sorted(bridges(list(zip(a, b)))):
-                if any((p[0] - node[0]) ** 2 + (p[1] - node[1]) ** 2 < close**2 for p in (a[i], b[i])):
-                    out += [(str(x), frame["seat"].iloc[0]) for x in frame["segments"].iloc[i]]
-        return pd.DataFrame(out, columns=["segment", "seat"])
-
-    cut = near.where(inside).select("seat", "sx", "sy", "ax", "ay", "bx", "by", F.transform("segments", lambda x: x.cast("string")).alias("segments"))
-    found = cut.groupBy("seat").applyInPandas(one, "segment string, seat string")
-    return found.groupBy("segment").agg(F.array_join(F.array_sort(F.collect_set("seat")), "; ").alias("seats"))
+    nodes = edges.select(F.explode(F.array(*[F.struct(F.col(f"{e}x").alias("x"), F.col(f"{e}y").alias("y")) for e in "ab"])).alias("node")).distinct()
+    asked = seats.select(F.struct("seat", "x", "y").alias("seat"), "x", "y")
+    centres = knn(asked, nodes.select("node", "node.x", "node.y"), "seat", "node", 1).where(F.col("distance") <= radius)
+    near = checkpointed(_near_circles(edges, centres.select("seat", F.col("node.x").alias("cx"), F.col("node.y").alias("cy")), radius))
+    able = near.groupBy("seat").agg(F.count("*").alias("_n")).where(F.col("_n") >= least).select("seat")
+    told = [F.pow(F.col(f"{e}x") - F.col("cx"), 2) + F.pow(F.col(f"{e}y") - F.col("cy"), 2) < close**2 for e in "ab"]
+    flat = near.join(able, "seat", "left_semi").select("seat", "ax", "ay", "bx", "by", (told[0] | told[1]).alias("close"))
+    leaves, core = _peeled(flat)
+
+    def inner(frame: pd.DataFrame) -> pd.DataFrame:
+        ends = list(zip(zip(frame["ax"], frame["ay"]), zip(frame["bx"], frame["by"])))
+        return frame.iloc[sorted(bridges(ends))]
+
+    core = core.withColumns({"name": F.col("seat.seat"), "sx": F.col("seat.x"), "sy": F.col("seat.y")}).drop("seat")
+    schema = ", ".join(f"{n} {t}" for n, t in core.dtypes)
+    found = core.groupBy("name", "sx", "sy").applyInPandas(inner, schema).where("close").select("name", "ax", "ay", "bx", "by")
+    found = found.unionByName(leaves.where("close").select(F.col("seat.seat").alias("name"), "ax", "ay", "bx", "by")).distinct()
+    segments = found.join(edges, ["ax", "ay", "bx", "by"]).select("name", F.explode("segments").alias("segment"))
+    return segments.groupBy(F.col("segment").cast("string").alias("segment")).agg(F.array_join(F.array_sort(F.collect_set("name")), "; ").alias("seats"))

@@ -1,16 +1,17 @@
 """Joins, gaps and fills on linear-referenced intervals (key, from, to).
 
-Every join has the route as an equality key, so Spark plans it as a sort-merge join
-with a range condition on top and adaptive execution can split a long route; none
-is a Cartesian product.
+Interval joins have the route and a milepoint bin as equality keys, so Spark plans them as
+sort-merge joins with a range condition on top, and a long route is dealt out over its
+bins; none is a Cartesian product.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from waymark.functions.scalars import round_milepoint
+from waymark.functions.scalars import free_name, round_milepoint
+from waymark.operators.lines import slice_lines
 
 EPSILON = 1e-4
 
@@ -20,9 +21,31 @@ def _numbered(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def _pick(pairs: DataFrame, left: DataFrame, key: str, take: Column, rank: Column) -> DataFrame:
-    """Each left row (``_row``) with what it takes of the partner of the least rank (``_best``)."""
-    return pairs.groupBy(key, "_left").agg(F.first(F.struct(*left.columns)).alias("_row"), F.min_by(take, rank).alias("_best"))
+#: width of a milepoint bin; an interval is copied to each bin it touches, so it should be longer than most intervals
+BIN = 32.0
+
+
+def _binned(left: DataFrame, right: DataFrame, key: str, begin: str, end: str, width: float) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with a row for each milepoint bin they touch, and the condition that makes a pair met in the first bin they share, there alone.
+
+    Left rows have ``begin`` and ``end``, right rows ``_key``, ``_begin`` and ``_end``; rows with
+    null bounds go.
+    """
+
+    def bins(a: str, z: str) -> Column:
+        low = F.floor(F.least(a, z) / width)
+        return F.explode(F.sequence(low, F.greatest(low, F.floor(F.greatest(a, z) / width))))
+
+    a = left.where(F.col(begin).isNotNull() & F.col(end).isNotNull()).withColumn("_bin", bins(begin, end))
+    b = right.where("_begin is not null and _end is not null").withColumn("_bin", bins("_begin", "_end")).withColumnRenamed("_bin", "_bin2")
+    shared = F.greatest(F.floor(F.least(begin, end) / width), F.floor(F.least("_begin", "_end") / width))
+    return a, b, (F.col(key) == F.col("_key")) & (F.col("_bin") == F.col("_bin2")) & (F.col("_bin") == shared)
+
+
+def _pick(pairs: DataFrame, left: DataFrame, take: Column, rank: Column) -> DataFrame:
+    """Each left row (``_row``) with what it takes of the partner of the least rank (``_best``); rows without a partner in one bin may have one in another."""
+    found = F.struct(F.col("_key").isNull().alias("none"), rank.alias("rank"))
+    return pairs.groupBy("_left").agg(F.first(F.struct(*left.columns)).alias("_row"), F.min_by(take, found).alias("_best"))
 
 
 def best_overlap(
@@ -35,33 +58,43 @@ def best_overlap(
     end: str = "to_mp",
     min_overlap: float = EPSILON,
     strict: bool = True,
+    width: float = BIN,
 ) -> DataFrame:
     """Left rows with ``columns`` of the right row of the same key that overlaps most, and ``overlap``.
 
     Ties go to the smaller begin, then to ``order``. An overlap has to exceed
     ``min_overlap`` (or reach it, if not ``strict``). A left row with a null bound takes the
     first right row of its key. Each left row comes out once; without a match the
-    columns are null. The aggregate that picks the best keeps the join's partitioning by
-    key, so there is one shuffle of either side.
+    columns are null.
+
+    Both sides meet by key and milepoint bin, so a route that holds a third of all rows is
+    dealt out and costs in proportion to its rows and overlaps; the best of each bin is taken
+    before the second shuffle.
     """
     order = order or columns
     lefts = _numbered(left, "_left")
     r = right.select(F.col(key).alias("_key"), F.col(begin).alias("_begin"), F.col(end).alias("_end"), F.struct(*order).alias("_order"), F.struct(*columns).alias("_take"))
     shared = F.least(F.col(end), F.col("_end")) - F.greatest(F.col(begin), F.col("_begin"))
-    open_bound = F.col(begin).isNull() | F.col(end).isNull()
     enough = (shared > min_overlap) if strict else (shared >= min_overlap)
-    overlap = F.when(~open_bound, shared)
-    rank = F.struct(-F.coalesce(overlap, F.lit(0.0)), F.col("_begin"), F.col("_order"))
-    best = _pick(lefts.join(r, (F.col(key) == F.col("_key")) & (open_bound | enough), "left"), left, key, F.struct("_take", overlap.alias("overlap")), rank)
-    return best.select("_row.*", *[F.col(f"_best._take.{c}").alias(c) for c in columns], F.when(F.col("_best._take").isNotNull(), F.col("_best.overlap")).alias("overlap"))
+    a, b, met = _binned(lefts, r, key, begin, end, width)
+    rank = F.struct(-shared, F.col("_begin"), F.col("_order"))
+    best = _pick(a.join(b, met & enough, "left"), left, F.struct("_take", shared.alias("overlap")), rank)
+    told = best.select("_row.*", *[F.col(f"_best._take.{c}").alias(c) for c in columns], F.when(F.col("_best._take").isNotNull(), F.col("_best.overlap")).alias("overlap"))
+    first = r.groupBy("_key").agg(F.min_by("_take", F.struct("_begin", "_order")).alias("_best"))
+    open_rows = left.where(F.col(begin).isNull() | F.col(end).isNull()).join(first, F.col(key) == F.col("_key"), "left")
+    return told.unionByName(open_rows.select(*left.columns, *[F.col(f"_best.{c}").alias(c) for c in columns], F.lit(None).cast("double").alias("overlap")))
 
 
-def first_covering(left: DataFrame, right: DataFrame, key: str, columns: list[str], begin: str = "from_mp", end: str = "to_mp") -> DataFrame:
-    """Left rows with ``columns`` of the first right row (by begin, end) that covers them within epsilon."""
+def first_covering(left: DataFrame, right: DataFrame, key: str, columns: list[str], begin: str = "from_mp", end: str = "to_mp", width: float = BIN) -> DataFrame:
+    """Left rows with ``columns`` of the first right row (by begin, end) that covers them within epsilon; met by key and milepoint bin of the left row's begin."""
     lefts = _numbered(left, "_left")
     r = right.select(F.col(key).alias("_key"), F.col(begin).alias("_begin"), F.col(end).alias("_end"), F.struct(*columns).alias("_take"))
     covers = (F.col("_begin") <= F.col(begin) + EPSILON) & (F.col("_end") >= F.col(end) - EPSILON)
-    best = _pick(lefts.join(r, (F.col(key) == F.col("_key")) & covers, "left"), left, key, F.col("_take"), F.struct("_begin", "_end", "_take"))
+    # a left row is in one bin, that of its begin; a right row in all that it touches, widened by epsilon
+    low = F.floor((F.col("_begin") - 2 * EPSILON) / width)
+    b = r.where("_begin is not null and _end is not null").withColumn("_bin2", F.explode(F.sequence(low, F.greatest(low, F.floor((F.col("_end") + 2 * EPSILON) / width)))))
+    pairs = lefts.withColumn("_bin", F.floor(F.col(begin) / width)).join(b, (F.col(key) == F.col("_key")) & (F.col("_bin") == F.col("_bin2")) & covers, "left")
+    best = _pick(pairs, left, F.col("_take"), F.struct("_begin", "_end", "_take"))
     return best.select("_row.*", *[F.col(f"_best.{c}").alias(c) for c in columns])
 
 
@@ -87,7 +120,8 @@ def yearly_values(segments: DataFrame, history: DataFrame, key: str, segment_id:
     """A column per year with the value of the best-overlapping record of that year: one join for all years, then a pivot."""
     r = history.where(F.col("year").isin(*years)).select(F.col(key).alias("_key"), "year", F.col("from_mp").alias("_begin"), F.col("to_mp").alias("_end"), F.col(value).alias("_value"))
     shared = F.least("to_mp", "_end") - F.greatest("from_mp", "_begin")
-    pairs = segments.select(segment_id, key, "from_mp", "to_mp").join(r, (F.col(key) == F.col("_key")) & (shared > EPSILON))
+    a, b, met = _binned(segments.select(segment_id, key, "from_mp", "to_mp"), r, key, "from_mp", "to_mp", BIN)
+    pairs = a.join(b, met & (shared > EPSILON))
     best = pairs.groupBy(segment_id, "year").agg(F.min_by("_value", F.struct(-shared, F.col("_begin"), F.col("_value"))).alias("_value"))
     wide = best.groupBy(segment_id).pivot("year", years).agg(F.first("_value"))
     return segments.join(wide.select(segment_id, *[F.col(str(y)).cast("bigint").alias(name.format(y)) for y in years]), segment_id, "left")
@@ -101,9 +135,13 @@ def fill_from_overlap(segments: DataFrame, reference: DataFrame, key: str, fill:
     return found.withColumns({t: F.coalesce(F.col(t), F.col(f"_r_{c}")) for t, c in fill.items()}).select(*segments.columns)
 
 
-def dedupe_intervals(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The first row (by ``order``) of each (route, begin, end)."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")
+def dedupe_intervals(df: DataFrame, key: list[str], order: list[str], told: Observation | None = None) -> DataFrame:
+    """The first row (by ``order``) of each (route, begin, end); ``told`` learns, as the result is read, how many rows there were and went (``rows``, ``dropped``)."""
+    n = free_name(df, "_n")
+    rows = df.withColumn(n, F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    if told is not None:
+        rows = rows.observe(told, F.count("*").alias("rows"), F.count_if(F.col(n) > 1).alias("dropped"))
+    return rows.where(F.col(n) == 1).drop(n)
 
 
 def unambiguous(df: DataFrame, keys: list[str], value: str, flags: list[str]) -> DataFrame:
@@ -152,18 +190,46 @@ def segment_routes(routes: DataFrame, intervals: DataFrame, crossings: DataFrame
     return told.select(*rest, F.posexplode(pieces).alias("piece", "_p")).select(*rest, "piece", F.col("_p.b").alias("from_mp"), F.col("_p.e").alias("to_mp"))
 
 
-def gap_runs(segments: DataFrame, covered: Column, route: str = "ROUTE_ID") -> DataFrame:
-    """Contiguous runs of uncovered rows: route, run, from_mp, to_mp, rows, length, whether there is a covered neighbour on either side, strategy."""
+def segment_lines(routes: DataFrame, intervals: DataFrame, columns: list[str], crossings: DataFrame | None = None, key: str = "ROUTE_ID") -> DataFrame:
+    """Pieces of each route (key, from_mp, to_mp, ``line``, attributes) with their part of the line and ``columns`` of the first interval that covers them.
+
+    Pieces whose part of the line has no length go, as they have no place.
+    """
+    pieces = segment_routes(routes.drop("line"), intervals, crossings, key)
+    cut = slice_lines(pieces, routes.select(key, "from_mp", "to_mp", "line"), key)
+    return first_covering(cut.where("line is not null"), intervals, key, columns)
+
+
+# What a gap run could be filled from, and how much that is worth.
+GAP_STRATEGIES = {"interpolate_between_adjacent_covered": "high", "single_side_extension": "medium", "route_has_nonadjacent_covered_only": "low", "no_current_aadt_on_route": "low"}
+
+
+def gap_runs(segments: DataFrame, covered: Column, route: str = "ROUTE_ID", value: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Contiguous runs of uncovered rows, with the rows on either side, a strategy and its priority.
+
+    Columns: route, run, from_mp, to_mp, rows, length, has_before, has_after, before_mp (where
+    the row before ends), after_mp (where the row after begins), with ``value`` also
+    before_value and after_value, route_covered and route_uncovered (rows), strategy,
+    priority, and ``keep`` of the run's first row. One window order per route.
+    """
     w = Window.partitionBy(route).orderBy("from_mp", "to_mp")
-    told = segments.select(route, "from_mp", "to_mp", F.coalesce(covered, F.lit(False)).alias("_on"))
+    whole = Window.partitionBy(route)
+    told = segments.select(route, "from_mp", "to_mp", F.struct(*[F.col(c) for c in keep], F.lit(0).alias("_0")).alias("_keep"), (F.col(value) if value else F.lit(None)).alias("_v"), F.coalesce(covered, F.lit(False)).alias("_on"))
     told = told.withColumn("_run", F.sum((F.col("_on") != F.coalesce(F.lag("_on").over(w), ~F.col("_on"))).cast("int")).over(w))
-    told = told.withColumns({"_before": F.lag("_on").over(w), "_after": F.lead("_on").over(w)})
+    beside = F.struct("_on", "from_mp", "to_mp", "_v")
+    told = told.withColumns({"_before": F.lag(beside).over(w), "_after": F.lead(beside).over(w), "_all": F.count_if("_on").over(whole), "_none": F.count_if(~F.col("_on")).over(whole)})
+    place = F.struct("from_mp", "to_mp")
     runs = told.where("not _on").groupBy(route, F.col("_run").alias("run")).agg(
         F.min("from_mp").alias("from_mp"), F.max("to_mp").alias("to_mp"), F.count("*").alias("rows"), F.sum(F.col("to_mp") - F.col("from_mp")).alias("length"),
-        F.coalesce(F.bool_or("_before"), F.lit(False)).alias("has_before"), F.coalesce(F.bool_or("_after"), F.lit(False)).alias("has_after"),
+        F.min_by("_before", place).alias("_before"), F.max_by("_after", place).alias("_after"), F.min_by("_keep", place).alias("_keep"), F.max("_all").alias("route_covered"), F.max("_none").alias("route_uncovered"),
     )
-    both = F.col("has_before") & F.col("has_after")
-    return runs.withColumn("strategy", F.when(both, "interpolate").when(F.col("has_before") | F.col("has_after"), "extend").otherwise("none"))
+    before, after = F.coalesce(F.col("_before._on"), F.lit(False)), F.coalesce(F.col("_after._on"), F.lit(False))
+    both, one, other, none = GAP_STRATEGIES
+    strategy = F.when(before & after, both).when(before | after, one).when(F.col("route_covered") > 0, other).otherwise(none)
+    priority = F.create_map(*[F.lit(x) for pair in GAP_STRATEGIES.items() for x in pair])[F.col("strategy")]
+    values = [F.col("_before._v").alias("before_value"), F.col("_after._v").alias("after_value")] if value else []
+    told = runs.select(route, "run", "from_mp", "to_mp", "rows", "length", before.alias("has_before"), after.alias("has_after"), F.col("_before.to_mp").alias("before_mp"), F.col("_after.from_mp").alias("after_mp"), *values, "route_covered", "route_uncovered", strategy.alias("strategy"), *[F.col(f"_keep.{c}").alias(c) for c in keep])
+    return told.withColumn("priority", priority)
 
 
 def _ordered(route: str) -> tuple[Window, Window, Window]:

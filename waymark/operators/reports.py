@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.scalars import percent
+from waymark.lineage import checkpointed
+from waymark.operators.quantiles import exact_quantiles
 
 
 def coverage_by(df: DataFrame, keys: list[str], covered: Column, miles: str, limit: int | None = None) -> DataFrame:
@@ -31,6 +36,29 @@ def coverage_audit(df: DataFrame, keys: list[str], covered: Column, miles: str)
     return found.select(F.when(F.col("dimension") == "", "total").otherwise(F.col("dimension")).alias("dimension"), F.coalesce(*[F.col(f"_{k}") for k in keys]).alias("member"), "rows", "covered_rows", "miles", "covered_miles")
 
 
+def coverage_headline(df: DataFrame, covered: Column, official: Column, source: str, system: str, miles: str) -> DataFrame:
+    """One row: segments and miles in all, covered, officially covered, filled analytically and uncovered, their shares (four decimals), and those of the state system."""
+    on, sure, length = F.coalesce(covered, F.lit(False)), F.coalesce(official, F.lit(False)), F.coalesce(F.col(miles).cast("double"), F.lit(0.0))
+    filled, state = F.coalesce(F.col(source) == "analytical_gap_fill", F.lit(False)), F.coalesce(F.col(system).cast("string") == "1", F.lit(False))
+    counts = {"segments": F.lit(True), "covered_segments": on, "official_segments": sure, "gap_fill_segments": filled, "uncovered_segments": ~on, "state_segments": state, "state_uncovered_segments": state & ~on}
+    sums = {"miles": F.lit(True), "covered_miles": on, "official_miles": sure, "gap_fill_miles": filled, "uncovered_miles": ~on}
+    told = df.agg(*[F.count_if(x).alias(n) for n, x in counts.items()], *[F.coalesce(F.sum(F.when(x, length)), F.lit(0.0)).alias(n) for n, x in sums.items()])
+    shares = {"covered_pct": ("covered_segments", "segments"), "official_pct": ("official_segments", "segments"), "covered_miles_pct": ("covered_miles", "miles")}
+    told = told.withColumns({n: F.round(percent(F.col(a), F.col(b)), 4) for n, (a, b) in shares.items()})
+    return told.withColumn("state_covered_pct", F.round(percent(F.col("state_segments") - F.col("state_uncovered_segments"), F.col("state_segments")), 4))
+
+
+def uncovered_rows(df: DataFrame, covered: Column, columns: list[str], order: list[str]) -> DataFrame:
+    """Rows without a value: those of ``columns`` that there are, in ``order``, nulls last."""
+    rows = df.where(~F.coalesce(covered, F.lit(False)))
+    return rows.select(*[c for c in columns if c in df.columns]).orderBy(*[F.asc_nulls_last(c) for c in order if c in df.columns])
+
+
+def uncovered_routes(df: DataFrame, keys: list[str], covered: Column, miles: str) -> DataFrame:
+    """Coverage by route (and what else is in ``keys``) of those that have uncovered rows, most uncovered first."""
+    return coverage_by(df, keys, covered, miles).where("uncovered_rows > 0").orderBy(F.desc("uncovered_rows"), F.desc("uncovered_miles"), *keys)
+
+
 def match_summary(df: DataFrame, matched: Column, route: str, miles: str) -> DataFrame:
     on = F.coalesce(matched, F.lit(False))
     return df.agg(F.count("*").alias("rows"), F.count_if(on).alias("matched"), F.count_distinct(F.when(on, F.col(route))).alias("routes"), F.sum(F.when(on, F.col(miles))).alias("miles"))
@@ -61,16 +89,109 @@ def tier_agreement(df: DataFrame, derived: str, official: str, tiers: list[str])
     return told.agg(n.alias("n"), percent(F.count_if(F.col("gap") == 0), n).alias("exact_pct"), percent(F.count_if(F.abs("gap") <= 1), n).alias("within_one_pct"), F.count_if(F.col("gap") < 0).alias("promotions"), F.count_if(F.col("gap") > 0).alias("demotions"))
 
 
-def largest_differences(df: DataFrame, a: str, b: str, weight: str, id_: str, k: int = 20) -> DataFrame:
-    """The ``k`` largest differences times weight (the report's own limit)."""
-    return df.withColumn("impact", F.abs(F.col(a) - F.col(b)) * F.col(weight)).where("impact is not null").orderBy(F.desc("impact"), id_).limit(k)
-
-
-def difference_histogram(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Rows by relative difference in bins of 5, 15, 30, 50 and 100 percent."""
-    r = percent(F.abs(F.col(a) - F.col(b)), F.greatest(a, b))
-    name = F.when(r <= 5, "0-5").when(r <= 15, "5-15").when(r <= 30, "15-30").when(r <= 50, "30-50").when(r <= 100, "50-100")
-    return df.select(name.alias("bin")).where("bin is not null").groupBy("bin").agg(F.count("*").alias("rows"))
+def largest_differences(df: DataFrame, a: str, b: str, weight: str, id_: str, k: int = 20, agreement: Column | None = None) -> DataFrame:
+    """The ``k`` largest differences times weight (the report's own limit), of rows whose values disagree, if ``agreement`` tells."""
+    rows = df if agreement is None else df.where(agreement == "both_disagree")
+    return rows.withColumn("impact", F.abs(F.col(a) - F.col(b)) * F.col(weight)).where("impact is not null").orderBy(F.desc("impact"), id_).limit(k)
+
+
+# Order of the report's buckets and tiers, and lower bounds and names of its bins of relative differences.
+AGREEMENTS = ("state_only", "hpms_only", "both_agree", "both_disagree", "missing")
+CONFIDENCES = ("high", "medium", "low", "missing")
+DIFFERENCE_BINS = {0: "0-25%", 25: "25-50%", 50: "50-100%", 100: "100-250%", 250: "250-500%", 500: "500-1000%", 1000: "≥1000%"}
+
+
+def relative_difference(state: Column, other: Column) -> Column:
+    """Difference in percent of the state's value; null if that is 0."""
+    return F.try_divide(F.abs(other - state).cast("double"), F.when(F.abs(state) > 0, state.cast("double"))) * 100
+
+
+def _difference_bin(r: Column) -> Column:
+    name = F.lit(None).cast("string")
+    for low, label in DIFFERENCE_BINS.items():
+        name = F.when(r >= low, label).otherwise(name)
+    return name
+
+
+def difference_histogram(df: DataFrame, state: str, other: str, agreement: str) -> DataFrame:
+    """Disagreeing rows by their difference in percent of the state's value, in right-open bins; empty bins are 0."""
+    r = relative_difference(F.col(state), F.col(other))
+    told = df.where(F.col(agreement) == "both_disagree").select(_difference_bin(r).alias("bin")).groupBy("bin").agg(F.count("*").alias("rows"))
+    bins = df.sparkSession.createDataFrame([(b,) for b in DIFFERENCE_BINS.values()], "bin string")
+    return bins.join(told, "bin", "left").na.fill(0, ["rows"])
+
+
+@dataclass(frozen=True)
+class ReportColumns:
+    """Names of the columns that the agreement report reads."""
+
+    state: str = "AADT_2024_OFFICIAL"
+    other: str = "AADT_2024_HPMS"
+    agreement: str = "AADT_2024_SOURCE_AGREEMENT"
+    confidence: str = "AADT_2024_CONFIDENCE"
+    statistics: str = "AADT_2024_STATS_TYPE"
+    source: str = "AADT_2024_SOURCE"
+    value: str = "AADT"
+    road_class: str = "FUNCTIONAL_CLASS"
+    label: str = "FUNCTIONAL_CLASS_LABEL"
+    system: str = "SYSTEM_CODE"
+    miles: str = "segment_length_mi"
+    id: str = "unique_id"
+
+
+def agreement_report(df: DataFrame, names: ReportColumns = ReportColumns(), top: int = 20) -> DataFrame:
+    """The report on two sources of a value as one long table: section, member, item, value.
+
+    Sections: agreement and confidence (rows, pct, miles), disagreement (rows, shares of
+    overlap and of all, medians and means of differences), top (impact of the ``top``
+    largest), histogram (rows by bin), by_class (class and label) and by_system (total and
+    rows by tier), statistics (rows by type), uplift (rows and pct with a value), source
+    (rows, pct). All counts come from one pass of grouping sets; medians by selection.
+    A missing member is "-"; buckets, tiers and bins without rows are 0.
+    """
+    c = {f: F.col(getattr(names, f)) for f in names.__dataclass_fields__}
+    disagree = c["agreement"] == "both_disagree"
+    rel, gap = F.when(disagree, relative_difference(c["state"], c["other"])), F.when(disagree, F.abs(c["other"] - c["state"]).cast("double"))
+    whole = F.coalesce(c["road_class"].cast("double").cast("int").cast("string"), F.lit("-"))
+    members = {
+        "agreement": c["agreement"], "confidence": c["confidence"], "by_class": F.concat_ws(" ", whole, F.coalesce(F.nullif(c["label"], F.lit("")), F.lit("-"))),
+        "by_system": c["system"].cast("string"), "statistics": c["statistics"], "source": c["source"], "histogram": _difference_bin(rel),
+    }
+    told = df.select(*[F.coalesce(m, F.lit("-")).alias(n) for n, m in members.items()], c["miles"].cast("double").alias("_miles"), c["confidence"].alias("_tier"), rel.alias("_rel"), gap.alias("_gap"), disagree.alias("_dis"),
+                     c["agreement"].isin("both_agree", "both_disagree").alias("_both"), c["state"].isNotNull().alias("_state"), c["other"].isNotNull().alias("_other"), c["value"].isNotNull().alias("_value"))
+    # which of the sets a row of the result belongs to
+    section = F.concat_ws("", *[F.when(F.grouping(n) == 0, F.lit(n)) for n in members])
+    sets = told.groupingSets([[F.col(n)] for n in members] + [[]], *[F.col(n) for n in members]).agg(
+        section.alias("section"), F.count("*").alias("rows"), F.coalesce(F.sum("_miles"), F.lit(0.0)).alias("miles"), *[F.count_if(F.col("_tier") == x).alias(x) for x in CONFIDENCES], F.count_if("_dis").alias("disagree"), F.count_if("_both").alias("overlap"),
+        F.count_if("_state").alias("state"), F.count_if("_other").alias("other"), F.count_if(F.col("_state") | F.col("_other")).alias("either"), F.count_if("_value").alias("with_value"), F.avg("_rel").alias("mean_rel"), F.avg("_gap").alias("mean_gap"),
+    )
+    sets = checkpointed(sets.withColumn("member", F.coalesce(*[F.col(n) for n in members])))
+    total = F.broadcast(sets.where("section = ''").select(F.col("rows").alias("_all")))
+    middle = exact_quantiles(told.where("_dis"), [], {"rel": F.col("_rel"), "gap": F.col("_gap")}, {"median": 0.5})
+
+    def items(told_of: DataFrame, /, **values: Column) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(n).alias("item"), v.cast("double").alias("value")) for n, v in values.items()])
+        return told_of.select("section", "member", F.inline(each))
+
+    def only(*sections: str) -> DataFrame:
+        return sets.where(F.col("section").isin(*sections)).crossJoin(total)
+
+    fixed = [("agreement", m) for m in AGREEMENTS] + [("confidence", m) for m in CONFIDENCES] + [("histogram", m) for m in DIFFERENCE_BINS.values()]
+    fixed = df.sparkSession.createDataFrame(fixed, "section string, member string")
+    n, pct = F.coalesce("rows", F.lit(0)), percent(F.coalesce("rows", F.lit(0)), F.col("_all"))
+    listed = fixed.join(sets, ["section", "member"], "left").crossJoin(total)
+    parts = [
+        items(listed.where("section <> 'histogram'"), rows=n, pct=pct, miles=F.coalesce("miles", F.lit(0.0))), items(listed.where("section = 'histogram'"), rows=n),
+        items(only("by_class", "by_system"), total=n, **{x: F.col(x) for x in CONFIDENCES}), items(only("statistics"), rows=n), items(only("source"), rows=n, pct=pct),
+    ]
+    one = sets.where("section = ''").crossJoin(total)
+    uplift = one.select(F.lit("uplift").alias("section"), "_all", F.inline(F.array(*[F.struct(F.lit(m).alias("member"), F.col(x).alias("rows")) for m, x in (("all", "rows"), ("state", "state"), ("other", "other"), ("either", "either"), ("value", "with_value"))])))
+    whole_gap = one.crossJoin(F.broadcast(middle)).select(F.lit("disagreement").alias("section"), F.lit("both_disagree").alias("member"), "*").drop(sets["section"]).drop(sets["member"])
+    parts.append(items(uplift, rows=n, pct=pct))
+    parts.append(items(whole_gap, rows=F.col("disagree"), pct_of_overlap=percent(F.col("disagree"), F.col("overlap")), pct_of_all=percent(F.col("disagree"), F.col("_all")), median_rel_pct=F.col("rel_median"), mean_rel_pct=F.col("mean_rel"), median_abs=F.col("gap_median"), mean_abs=F.col("mean_gap")))
+    largest = largest_differences(df, names.state, names.other, names.miles, names.id, top, c["agreement"])
+    parts.append(items(largest.select(F.lit("top").alias("section"), F.col(names.id).cast("string").alias("member"), F.col("impact").alias("_impact")), impact=F.col("_impact")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def min_max_score(df: DataFrame, weights: dict[str, float], name: str = "score") -> DataFrame:

@@ -10,13 +10,16 @@ vertices are copied to the cells they lie in and nowhere else.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import geometry as G
 from waymark.lineage import checkpointed
+from waymark.operators.lines import measured_edges
 
 METRES_PER_MILE = 1609.344
 
@@ -171,12 +174,11 @@ def boundary_crossings(routes: DataFrame, key: str, polygons: DataFrame, size: f
 
     A stretch along a border gives both its ends.
     """
-    line = F.col("line")
-    measured = routes.select(key, "from_mp", "to_mp", G.line_length(line).alias("_total"), F.explode(G._measured(line)).alias("_e"))
+    measured = measured_edges(routes, [key, "from_mp", "to_mp"])
     border = polygons.select(F.explode(F.flatten(F.transform("rings", G.edges))).alias("_b"))
     near = _celled(measured, G.line_cells(_ends(F.col("_e")), size)).join(_celled(border, G.line_cells(_ends(F.col("_b")), size)), "_cell")
     near = near.withColumn("_t", F.explode(G.edge_meetings(F.col("_e"), F.col("_b"))))
-    mp = F.col("from_mp") + (F.col("to_mp") - F.col("from_mp")) * (F.col("_e.at") + F.col("_t") * F.col("_e.len")) / F.col("_total")
+    mp = F.col("from_mp") + (F.col("to_mp") - F.col("from_mp")) * (F.col("_at") + F.col("_t") * F.col("_len")) / F.col("_total")
     return near.select(key, F.bround(mp, 4).alias("mp")).where("mp is not null").distinct()
 
 
@@ -246,21 +248,103 @@ def connectivity_metrics(segments: DataFrame, id_: str, name: str, layers: DataF
     return min_max_score(told.join(flag, id_), weights or {"connections": 0.25, "generators": 0.25, "near_priority": 0.50})
 
 
-def dissolve(polygons: DataFrame, key: str) -> DataFrame:
-    """One membership polygon per key: all its rings."""
-    return polygons.groupBy(key).agg(F.flatten(F.collect_list("rings")).alias("rings"))
+def _closed(pieces: pd.DataFrame) -> list[list[dict]]:
+    """Rings from the pieces (px, py, qx, qy) of an outline; vertices on a straight stretch go."""
+    near: dict[tuple, list] = {}
+    for a, b in zip(zip(pieces["px"], pieces["py"]), zip(pieces["qx"], pieces["qy"])):
+        near.setdefault(a, []).append(b)
+        near.setdefault(b, []).append(a)
+    rings = []
+    for start in sorted(near):
+        while near[start]:
+            ring, node = [start], start
+            while near[node]:
+                last, node = node, near[node].pop()
+                near[node].remove(last)
+                ring.append(node)
+                if node == start:
+                    break
+            kept = ring[:1]
+            for p, q in zip(ring[1:], ring[2:]):
+                (ax, ay), (bx, by), (cx, cy) = kept[-1], p, q
+                if abs((bx - ax) * (cy - ay) - (by - ay) * (cx - ax)) > 1e-9 * ((cx - ax) ** 2 + (cy - ay) ** 2):
+                    kept.append(p)
+            rings.append([{"x": x, "y": y} for x, y in [*kept, ring[-1]]])
+    return rings
+
+
+def dissolve(polygons: DataFrame, key: str, size: float | None = None) -> DataFrame:
+    """(key, rings): the union of all polygons (rows of key and rings) of each key.
+
+    A place is inside if any polygon of the key holds it. Outlines are cut where they meet
+    those of the key's other polygons; a piece stays if the key holds one side of it and not
+    the other, both looked up a millimetre beside its middle, so gaps and overlaps narrower
+    than that don't count. All meetings are joins on key and grid cell (``size`` wide; if
+    unset, twice an average edge). The pieces of a key are closed to rings in one task: they
+    are a row in the end. Coordinates are rounded to a micrometre. A null key is a key; rows
+    without rings have no part; a key without area has empty rings.
+    """
+    point = "struct<x:double,y:double>"
+    rounded = F.transform("rings", lambda r: F.transform(r, lambda p: F.struct(F.bround(p["x"], 6).alias("x"), F.bround(p["y"], 6).alias("y"))))
+    parts = checkpointed(polygons.select(F.struct(F.col(key).alias("key")).alias("_key"), rounded.alias("rings"), F.monotonically_increasing_id().alias("_part")))
+    edges = checkpointed(parts.select("_key", "_part", F.explode(F.flatten(F.transform("rings", G.edges))).alias("_e")).where("_e.ax <> _e.bx or _e.ay <> _e.by"))
+    if size is None:
+        size = max(1.0, 2 * (edges.agg(F.avg(F.greatest(F.abs(F.col("_e.bx") - F.col("_e.ax")), F.abs(F.col("_e.by") - F.col("_e.ay"))))).first()[0] or 0.0))
+    celled = _celled(edges, G.line_cells(_ends(F.col("_e")), size))
+    other = celled.select("_key", "_cell", F.col("_part").alias("_q"), F.col("_e").alias("_f"))
+    met = celled.join(other, ["_key", "_cell"]).where(F.col("_part") < F.col("_q"))
+    e = F.col("_e")
+    spot = F.transform(G.edge_meetings(e, F.col("_f")), lambda t: F.struct(F.bround(e["ax"] + t * (e["bx"] - e["ax"]), 6).alias("x"), F.bround(e["ay"] + t * (e["by"] - e["ay"]), 6).alias("y")))
+    met = met.select("_key", "_part", "_e", "_q", "_f", F.explode(spot).alias("_s"))
+    both = F.array(F.struct("_part", "_e", "_s"), F.struct(F.col("_q").alias("_part"), F.col("_f").alias("_e"), "_s"))
+    cuts = met.select("_key", F.inline(both)).groupBy("_key", "_part", "_e").agg(F.collect_set("_s").alias("_s"))
+    told = edges.distinct().join(cuts, ["_key", "_part", "_e"], "left")
+    inner = F.transform(F.coalesce("_s", F.array().cast(f"array<{point}>")), lambda s: F.struct(G._edge_project(e, s["x"], s["y"]).alias("t"), s.alias("s")))
+    path = F.concat(F.array(F.struct(e["ax"].alias("x"), e["ay"].alias("y"))), F.transform(F.array_sort(inner), lambda s: s["s"]), F.array(F.struct(e["bx"].alias("x"), e["by"].alias("y"))))
+    pieces = told.select("_key", F.explode(G.edges(path)).alias("_e")).where("_e.ax <> _e.bx or _e.ay <> _e.by")
+    p, q = F.struct(F.col("_e.ax").alias("x"), F.col("_e.ay").alias("y")), F.struct(F.col("_e.bx").alias("x"), F.col("_e.by").alias("y"))
+    pieces = checkpointed(pieces.select("_key", F.least(p, q).alias("_p"), F.greatest(p, q).alias("_q")).distinct())
+    flat = F.struct(F.col("_p.x").alias("ax"), F.col("_p.y").alias("ay"), F.col("_q.x").alias("bx"), F.col("_q.y").alias("by"))
+    beside = F.array(*[F.struct(F.lit(s).alias("side"), _beside(flat, s).alias("p")) for s in (-1, 1)])
+    asked = pieces.select("_key", "_p", "_q", F.inline(beside)).withColumn("_cell", _cell_of(F.col("p"), size))
+    whole = parts.select(F.struct("_key", "_part").alias("_id"), "rings")
+    shapes = polygon_cells(whole, "_id", size).withColumn("_key", F.col("_id._key"))
+    held = asked.join(shapes, ["_key", "_cell"]).where(_inside(F.col("p.x"), F.col("p.y"), size)).select("_key", "_p", "_q", "side").distinct()
+    border = held.groupBy("_key", "_p", "_q").agg(F.count("*").alias("_sides")).where("_sides = 1")
+    flat = border.select(F.to_json("_key").alias("k"), F.col("_p.x").alias("px"), F.col("_p.y").alias("py"), F.col("_q.x").alias("qx"), F.col("_q.y").alias("qy"))
+    rings = flat.groupBy("k").applyInPandas(lambda f: pd.DataFrame({"k": [f["k"].iloc[0]], "rings": [_closed(f)]}), f"k string, rings array<array<{point}>>")
+    keys = parts.select("_key", F.to_json("_key").alias("k")).distinct()
+    return keys.join(rings, "k", "left").select(F.col("_key.key").alias(key), F.coalesce("rings", F.array().cast(f"array<array<{point}>>")).alias("rings"))
+
+
+def polygons_meeting(polygons: DataFrame, polygon: str, others: DataFrame, other: str, size: float) -> DataFrame:
+    """Distinct (polygon, other) of two layers (id, rings) that have a point in common: outlines that meet, or a vertex of one in the other."""
+    edges = [_celled(df.select(F.col(i).alias(n), F.explode(F.flatten(F.transform("rings", G.edges))).alias(e)), G.line_cells(_ends(F.col(e)), size)) for df, i, n, e in ((polygons, polygon, "_a", "_x"), (others, other, "_b", "_y"))]
+    crossed = edges[0].join(edges[1], "_cell").where(G.edge_distance(F.col("_x"), F.col("_y")) <= 1e-9).select("_a", "_b")
+
+    def holders(points: DataFrame, i: str, n: str, shapes: DataFrame, j: str, m: str) -> DataFrame:
+        # one vertex of each ring is enough: where outlines don't meet, a ring lies wholly in or out
+        first = points.select(F.col(i).alias(n), F.explode(F.transform(F.filter("rings", lambda r: F.size(r) > 0), lambda r: r[0])).alias("p"))
+        near = first.withColumn("_cell", _cell_of(F.col("p"), size)).join(polygon_cells(shapes.select(F.col(j).alias(m), "rings"), m, size), "_cell")
+        return near.where(_inside(F.col("p.x"), F.col("p.y"), size)).select("_a", "_b")
+
+    within = holders(polygons, polygon, "_a", others, other, "_b").unionByName(holders(others, other, "_b", polygons, polygon, "_a"))
+    return crossed.unionByName(within).distinct().select(F.col("_a").alias(polygon), F.col("_b").alias(other))
 
 
 def nearest_polygon(points: DataFrame, id_: str, polygons: DataFrame, polygon: str, size: float) -> DataFrame:
     """(id, polygon) with the nearest outline to each point (``p``), ties to the smaller id.
 
     Points meet edges of their cell and those around it, in cells that grow until each has
-    found one no farther than a cell is wide.
+    found one no farther than a cell is wide. Points without finite coordinates don't come out,
+    nor do edges without them take part.
     """
-    edges = checkpointed(polygons.select(polygon, F.explode(F.flatten(F.transform("rings", G.edges))).alias("_e")))
-    rest, done = points.select(id_, "p").where("p.x is not null and p.y is not null"), None
+    finite = F.greatest(*[F.abs(F.col(f"_e.{c}")) for c in ("ax", "ay", "bx", "by")]) < float("inf")
+    edges = checkpointed(polygons.select(polygon, F.explode(F.flatten(F.transform("rings", G.edges))).alias("_e")).where(finite))
+    placed = (F.abs(F.col("p.x")) < float("inf")) & (F.abs(F.col("p.y")) < float("inf"))
+    rest, done = points.select(id_, "p").where(placed), None
     if edges.isEmpty():
-        return points.select(id_, F.lit(None).cast(polygons.schema[polygon].dataType).alias(polygon))
+        return rest.select(id_, F.lit(None).cast(polygons.schema[polygon].dataType).alias(polygon))
     around = F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))")
     while True:
         cells = F.transform(around, lambda o: F.struct((F.floor(F.col("p.x") / size) + o["i"]).alias("cx"), (F.floor(F.col("p.y") / size) + o["j"]).alias("cy")))
@@ -317,28 +401,120 @@ def growth_factors(projections: DataFrame, base: str = "2020", future: str = "20
     return told, F.lit(told.agg(F.avg("factor")).first()[0] or default)
 
 
-def density_metrics(segments: DataFrame, id_: str, block_groups: DataFrame, factors: DataFrame, other: Column, radius: float = METRES_PER_MILE, grain: float = 100.0, job_growth: float = 1.10) -> DataFrame:
+def buffers(lines: DataFrame, id_: str, radius: float, quarter: int = 16, tolerance: float = 1.0) -> DataFrame:
+    """(id, rings): all places within ``radius`` of each line, a quarter of a circle drawn by ``quarter`` chords.
+
+    The union of a capsule for each edge, after vertices that lie within ``tolerance`` of
+    the straight way between their neighbours are left out. A line of one vertex has a circle; an empty
+    or null line has no row.
+    """
+    edge = F.when(F.size("line") == 1, F.concat("line", "line")).otherwise(G.simplify(F.col("line"), tolerance))
+    e = lines.where(F.size("line") > 0).select(id_, F.explode(G.edges(edge)).alias("_e"))
+    turn = F.atan2(F.col("_e.by") - F.col("_e.ay"), F.col("_e.bx") - F.col("_e.ax"))
+
+    def arc(end: str, start: float) -> Column:
+        angles = F.transform(F.sequence(F.lit(0), F.lit(2 * quarter)), lambda i: turn + start + i * (math.pi / (2 * quarter)))
+        return F.transform(angles, lambda t: F.struct((F.col(f"_e.{end}x") + radius * F.cos(t)).alias("x"), (F.col(f"_e.{end}y") + radius * F.sin(t)).alias("y")))
+
+    ring = F.concat(arc("b", -math.pi / 2), arc("a", math.pi / 2))
+    capsules = checkpointed(e.select(id_, F.array(F.concat(ring, F.slice(ring, 1, 1))).alias("rings")))
+    several = checkpointed(capsules.groupBy(id_).agg(F.count("*").alias("_n")).where("_n > 1").select(id_))
+    alone = capsules.join(several, id_, "left_anti")
+    return alone if several.isEmpty() else alone.unionByName(dissolve(capsules.join(several, id_, "left_semi"), id_, radius / 4))
+
+
+def _sided(polygons: DataFrame, key: str, size: float) -> DataFrame:
+    """(key, _e, _left): edges of each polygon and whether its inside lies to their left."""
+    edges = polygons.select(key, F.explode(F.flatten(F.transform("rings", G.edges))).alias("_e")).where("_e.ax <> _e.bx or _e.ay <> _e.by")
+    near = edges.withColumn("_p", _beside(F.col("_e"), 1)).withColumn("_cell", _cell_of(F.col("_p"), size)).join(polygon_cells(polygons, key, size), [key, "_cell"], "left")
+    return near.groupBy(key, "_e").agg(F.coalesce(F.bool_or(F.col("_in").isNotNull() & _inside(F.col("_p.x"), F.col("_p.y"), size)), F.lit(False)).alias("_left"))
+
+
+def _beside(e: Column, side: int | Column) -> Column:
+    """The place a millimetre to the left (1) or right (-1) of an edge's middle."""
+    dx, dy = e["bx"] - e["ax"], e["by"] - e["ay"]
+    n = F.hypot(dx, dy)
+    return F.struct(((e["ax"] + e["bx"]) / 2 - side * 1e-3 * dy / n).alias("x"), ((e["ay"] + e["by"]) / 2 + side * 1e-3 * dx / n).alias("y"))
+
+
+def _under(e: Column, left: Column) -> Column:
+    """An edge's share of its polygon's area."""
+    return F.when(left, 1.0).otherwise(-1.0) * (e["ax"] + e["bx"]) / 2 * (e["by"] - e["ay"])
+
+
+def polygon_areas(polygons: DataFrame, key: str, size: float) -> DataFrame:
+    """(key, area): by edges, whatever way they run; holes count as such."""
+    return _sided(polygons, key, size).groupBy(key).agg(F.sum(_under(F.col("_e"), F.col("_left"))).alias("area"))
+
+
+def shared_areas(a: DataFrame, a_id: str, b: DataFrame, b_id: str, size: float) -> DataFrame:
+    """(a_id, b_id, area) of all polygons (id, rings) of two layers that share an area.
+
+    The outline of what two polygons share is made of the parts of either outline that lie in
+    the other. Outlines are cut where they meet, and each part adds its integral; a common
+    stretch counts once if both lie on the same side of it. All meetings are joins on
+    cells (``size`` wide): rows grow with the outlines within reach, not with areas. Exact
+    to rounding, but for slivers narrower than a millimetre.
+    """
+    sides = {}
+    for n, df, i in (("a", a, a_id), ("b", b, b_id)):
+        sides[n] = checkpointed(_sided(df.select(F.col(i).alias("_id"), "rings"), "_id", size).select(F.col("_id").alias(f"_{n}"), F.col("_e").alias(f"_{n}e"), F.col("_left").alias(f"_{n}left")))
+    cells = {n: checkpointed(polygon_cells(df.select(F.col(i).alias(f"_{n}"), "rings"), f"_{n}", size)) for n, df, i in (("a", a, a_id), ("b", b, b_id))}
+
+    def within(n: str, m: str, both: bool) -> DataFrame:
+        """(_a, _b, area): parts of the outlines of ``n`` inside polygons of ``m``."""
+        own, other = sides[n], cells[m]
+        e = F.col(f"_{n}e")
+        # an edge is cut at the borders of cells and where it meets the other's edges there
+        told = _celled(own, G.line_cells(_ends(e), size)).join(other, "_cell")
+
+        def span(p: str, q: str, c: str) -> tuple[Column, Column]:
+            lo, by = F.col(f"_cell.{c}") * size, e[q] - e[p]
+            s, t = (lo - e[p]) / F.nullif(by, F.lit(0.0)), (lo + size - e[p]) / F.nullif(by, F.lit(0.0))
+            held = (e[p] >= lo) & (e[p] < lo + size)
+            return F.coalesce(F.least(s, t), F.when(held, 0.0).otherwise(2.0)), F.coalesce(F.greatest(s, t), F.when(held, 1.0).otherwise(-1.0))
+
+        (s, t), (u, v) = span("ax", "bx", "cx"), span("ay", "by", "cy")
+        told = told.withColumns({"_t0": F.greatest(F.lit(0.0), s, u), "_t1": F.least(F.lit(1.0), t, v)}).where("_t1 > _t0")
+        edges = F.coalesce("_edges", F.array().cast("array<struct<ax:double,ay:double,bx:double,by:double>>"))
+        hits = F.filter(F.flatten(F.transform(edges, lambda x: G.edge_meetings(e, x))), lambda x: (x > F.col("_t0")) & (x < F.col("_t1")))
+        told = told.withColumn("_cuts", F.array_sort(F.array_distinct(F.concat(F.array("_t0", "_t1"), hits))))
+        k = F.size("_cuts") - 1
+        parts = F.zip_with(F.slice("_cuts", F.lit(1), k), F.slice("_cuts", F.lit(2), k), lambda x, y: F.struct(x.alias("s"), y.alias("t")))
+        told = told.select("_a", "_b", "_cell", "_in", "_edges", e.alias("_e"), F.col(f"_{n}left").alias("_left"), F.explode(parts).alias("_p"))
+
+        def at(share: Column, c: str) -> Column:
+            return F.col(f"_e.a{c}") + share * (F.col(f"_e.b{c}") - F.col(f"_e.a{c}"))
+
+        piece = F.struct(*[at(F.col(f"_p.{x}"), c).alias(f"{y}{c}") for x, y in (("s", "a"), ("t", "b")) for c in "xy"])
+        told = told.withColumn("_piece", piece).where("_piece.ax <> _piece.bx or _piece.ay <> _piece.by")
+        way = F.when(F.col("_left"), 1).otherwise(-1)
+        for side in (way, -way) if both else (way,):
+            spot = _beside(F.col("_piece"), side)
+            told = told.where(_inside(spot["x"], spot["y"], size))
+        return told.select("_a", "_b", _under(F.col("_piece"), F.col("_left")).alias("area"))
+
+    summed = within("a", "b", False).unionByName(within("b", "a", True)).groupBy("_a", "_b").agg(F.sum("area").alias("area"))
+    return summed.where("area > 1e-6").select(F.col("_a").alias(a_id), F.col("_b").alias(b_id), "area")
+
+
+def density_metrics(segments: DataFrame, id_: str, block_groups: DataFrame, factors: DataFrame, other: Column, radius: float = METRES_PER_MILE, job_growth: float = 1.10, quarter: int = 16) -> DataFrame:
     """People and jobs per square mile within ``radius`` of each segment (line), now and projected, two decimals.
 
     Block groups (geoid, county, population, jobs, rings) count with the share of their
-    area in reach. Areas are counted in cells of ``grain`` metres by their centres. Segments
-    without any have 0.
+    area in reach, by exact areas of buffer and polygon (``shared_areas``). Segments without any
+    have 0.
     """
-    half = grain / 2
-    centre = F.struct((F.col("_cell.cx") * grain + half).alias("x"), (F.col("_cell.cy") * grain + half).alias("y"))
-    reached = _distance_edges(segments.select(F.col(id_).alias("_id"), "line"), ["_id"], grain, radius, "_x").select("_id", "_x", "_cell", centre.alias("_p"))
-    t = G._edge_project(F.col("_x"), F.col("_p.x"), F.col("_p.y"))
-    gap = F.hypot(F.col("_x.ax") + t * (F.col("_x.bx") - F.col("_x.ax")) - F.col("_p.x"), F.col("_x.ay") + t * (F.col("_x.by") - F.col("_x.ay")) - F.col("_p.y"))
-    reached = checkpointed(reached.where(gap <= radius).select("_id", "_cell").distinct())
-    cells = polygon_cells(block_groups, "geoid", grain).withColumn("_p", centre)
-    cells = checkpointed(cells.where(_inside(F.col("_p.x"), F.col("_p.y"), grain)).select("geoid", "_cell"))
-    whole = cells.groupBy("geoid").agg(F.count("*").alias("_whole"))
-    shared = reached.join(cells, "_cell").groupBy("_id", "geoid").agg(F.count("*").alias("_shared"))
+    size = radius / 4
+    reach = checkpointed(buffers(segments.select(F.col(id_).alias("_id"), "line"), "_id", radius, quarter))
+    groups = block_groups.select("geoid", "rings")
+    shared = shared_areas(reach, "_id", groups, "geoid", size).withColumnRenamed("area", "_shared")
+    whole = polygon_areas(groups, "geoid", size).withColumnRenamed("area", "_whole")
     told = shared.join(whole, "geoid").join(block_groups.select("geoid", "county", "population", "jobs"), "geoid").join(factors, "county", "left")
-    weight = F.least(F.lit(1.0), F.col("_shared") / F.col("_whole"))
+    weight = F.least(F.lit(1.0), F.try_divide("_shared", "_whole"))
     people, jobs = weight * F.coalesce("population", F.lit(0.0)), weight * F.coalesce("jobs", F.lit(0.0))
     sums = told.groupBy("_id").agg(F.sum(people).alias("_people"), F.sum(jobs).alias("_jobs"), F.sum(people * F.coalesce("factor", other)).alias("_later"))
-    area = reached.groupBy("_id").agg((F.count("*") * grain * grain / METRES_PER_MILE**2).alias("_area"))
+    area = polygon_areas(reach, "_id", size).select("_id", (F.col("area") / METRES_PER_MILE**2).alias("_area"))
     found = sums.join(area, "_id").withColumnRenamed("_id", id_)
     new = {"population_density": F.col("_people"), "employment_density": F.col("_jobs"), "population_density_2050": F.col("_later"), "employment_density_2050": F.col("_jobs") * job_growth}
     found = found.select(id_, *[F.bround(x / F.col("_area"), 2).alias(n) for n, x in new.items()])

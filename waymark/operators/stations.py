@@ -8,70 +8,102 @@ from pyspark.sql import functions as F
 from waymark.functions.classify import resolver_confidence
 from waymark.functions.scalars import fc_bin, haversine_m, percent, urban_rural
 from waymark.lineage import checkpointed
+from waymark.operators.quantiles import SMALL, exact_quantiles, largest_group
 
 
 def knn(points: DataFrame, stations: DataFrame, id_: str, station: str, k: int = 5, by: list[str] | None = None, cell: float | None = None) -> DataFrame:
-    """The ``k`` nearest stations of each point (x, y in metres) within equal ``by`` columns: id, k_rank, station, distance.
-
-    Points meet stations of their own and the eight neighbouring grid cells; a point is
-    final when its k-th distance lies within the ring searched, the others go on with
-    cells twice as wide, until none is open: cells as wide as the stations' extent and a
-    point's distance to it hold every station, so a round count bounds nothing. Points far
-    outside begin at the stations' border: they are moved onto it for the choice of cells.
-    Ties go to the smaller station id. Ranks without a station are padded with nulls. Each
-    round's points go to the checkpoint folder. A point's candidates are cut to the ``k``
-    best of each cell by a partial window limit before they meet. Without ``cell`` the first
-    cells are as wide as hold about ``k`` stations on average.
+    """The ``k`` nearest stations of each point (x, y in metres) of a group (``by``): id, group, k_rank, station, distance.
+
+    Groups (years) are searched apart: a point of several groups has its own neighbours, its
+    own end of the search and its own ranks in each, and a group's cells are as wide as hold
+    about ``k`` of its stations on average (or ``cell``). Points meet stations of their own
+    and the eight neighbouring cells; a point is final when its k-th distance lies within the
+    ring searched, the others go on with cells twice as wide, until none is open: cells as
+    wide as the group's extent and a point's distance to it hold every station, so a round
+    count bounds nothing. Points far outside begin at the stations' border: they are moved
+    onto it for the choice of cells. A point's candidates are cut to the ``k`` best of each
+    cell by a partial window limit before they meet. Each round's points go to the checkpoint
+    folder.
+
+    Ties go to the smaller station id; of repeated points or stations of a group the least
+    place counts; a place that is null, NaN or infinite is none; ranks without a station
+    are padded with nulls, in a null group all of them.
     """
     by = by or []
-    s = stations.select(*by, F.col(station).alias("_station"), F.col("x").alias("_sx"), F.col("y").alias("_sy")).where("_sx is not null and _sy is not null")
-    s = s.dropDuplicates([*by, "_station"]) if by else s.dropDuplicates(["_station"])
-    supply = s.groupBy(*by).agg(F.count("*").alias("_supply")) if by else s.agg(F.count("*").alias("_supply"))
-    e = s.agg(F.min("_sx"), F.max("_sx"), F.min("_sy"), F.max("_sy"), F.count_distinct(*by) if by else F.lit(1), F.count("*")).first()
-    low_x, high_x, low_y, high_y = (float(v or 0.0) for v in e[:4])
-    width, height = high_x - low_x, high_y - low_y
-    if cell is None:
-        area = width * height if width and height else max(width, height) ** 2 / max(1, e[5])
-        cell = max(1.0, (area * k * e[4] / max(1, e[5])) ** 0.5)
-    open_points = points.select(id_, *by, "x", "y")
-    open_points = open_points.join(supply, by, "left") if by else open_points.crossJoin(F.broadcast(supply))
-    need = F.when(F.col("x").isNull() | F.col("y").isNull(), 0).otherwise(F.least(F.lit(k), F.coalesce("_supply", F.lit(0))))
+    key = [id_, *by]
+
+    def finite(c: str) -> Column:
+        return F.when(F.abs(F.col(c)) < float("inf"), F.col(c).cast("double"))
+
+    s = stations.select(*by, F.col(station).alias("_station"), F.struct(finite("x").alias("x"), finite("y").alias("y")).alias("_at")).where("_at.x is not null and _at.y is not null")
+    s = s.groupBy(*by, "_station").agg(F.min("_at").alias("_at")).select(*by, "_station", F.col("_at.x").alias("_sx"), F.col("_at.y").alias("_sy"))
+    extent = s.groupBy(*by).agg(F.min("_sx").alias("_lx"), F.max("_sx").alias("_hx"), F.min("_sy").alias("_ly"), F.max("_sy").alias("_hy"), F.count("*").alias("_supply"))
+    width, height = F.col("_hx") - F.col("_lx"), F.col("_hy") - F.col("_ly")
+    area = F.when((width > 0) & (height > 0), width * height).otherwise(F.pow(F.greatest(width, height), F.lit(2)) / F.col("_supply"))
+    extent = checkpointed(extent.withColumn("_size", F.greatest(F.lit(1.0), F.sqrt(area * k / F.col("_supply"))) if cell is None else F.lit(float(cell))))
+    # years are few; a table of many groups is joined by a shuffle instead
+    few = F.broadcast(extent) if extent.count() <= _FEW_GROUPS else extent
+
+    def grouped(df: DataFrame, how: str) -> DataFrame:
+        return df.join(few, by, how) if by else df.crossJoin(F.broadcast(extent))
+
+    s = grouped(s, "inner").select(*s.columns, "_size")
+    place = F.struct(finite("x").alias("x"), finite("y").alias("y"))
+    place = F.when(place["x"].isNotNull() & place["y"].isNotNull(), place)
+    open_points = points.select(*key, place.alias("_at")).groupBy(*key).agg(F.min("_at").alias("_at"))
+    open_points = grouped(open_points.select(*key, F.col("_at.x").alias("x"), F.col("_at.y").alias("y")), "left")
+    need = F.when(F.col("x").isNull(), 0).otherwise(F.least(F.lit(k), F.coalesce("_supply", F.lit(0))))
     # where the search of a point begins: the nearest place of the stations' extent
-    open_points = open_points.withColumns({"_need": need, "_ox": F.greatest(F.lit(low_x), F.least(F.lit(high_x), "x")), "_oy": F.greatest(F.lit(low_y), F.least(F.lit(high_y), "y"))})
-    best = Window.partitionBy(id_).orderBy("_d", "_station")
-    done, size = None, cell
+    open_points = open_points.withColumns({"_need": need, "_ox": F.greatest("_lx", F.least("_hx", "x")), "_oy": F.greatest("_ly", F.least("_hy", "y"))})
+    best = Window.partitionBy(*key).orderBy("_d", "_station")
+    done, times = None, 1.0
     while True:
+        size = F.col("_size") * times
         around = F.explode(F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))"))
         px, py = F.floor(F.col("_ox") / size), F.floor(F.col("_oy") / size)
-        asked = open_points.where("_need > 0").withColumn("_o", around).withColumns({"_cx": px + F.col("_o.i"), "_cy": py + F.col("_o.j")}).drop("_o")
-        cells = s.withColumns({"_cx": F.floor(F.col("_sx") / size), "_cy": F.floor(F.col("_sy") / size)})
+        asked = open_points.where("_need > 0").select(*key, "x", "y", px.alias("_px"), py.alias("_py"), around.alias("_o"))
+        asked = asked.select(*key, "x", "y", (F.col("_px") + F.col("_o.i")).alias("_cx"), (F.col("_py") + F.col("_o.j")).alias("_cy"))
+        cells = s.select(*by, "_station", "_sx", "_sy", F.floor(F.col("_sx") / size).alias("_cx"), F.floor(F.col("_sy") / size).alias("_cy"))
         near = asked.join(cells, [*by, "_cx", "_cy"])
         near = near.withColumn("_d", F.sqrt(F.pow(F.col("x") - F.col("_sx"), 2) + F.pow(F.col("y") - F.col("_sy"), 2)))
         near = near.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
-        found = near.groupBy(id_).agg(F.array_sort(F.collect_list(F.struct(F.col("_d").alias("d"), F.col("_station").alias("s")))).alias("_near"))
+        found = near.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("_d").alias("d"), F.col("_station").alias("s")))).alias("_near"))
         ox, oy = F.col("_ox"), F.col("_oy")
         # stations beyond the ring are at least this far from the place where the search begins, and farther from the point itself unless that lies outside
         border = F.least(ox - (px - 1) * size, (px + 2) * size - ox, oy - (py - 1) * size, (py + 2) * size - oy)
         outside = F.sqrt(F.pow(F.col("x") - ox, 2) + F.pow(F.col("y") - oy, 2))
         reach = F.when(outside == 0, border).otherwise(F.sqrt(F.pow(border, 2) + F.pow(outside, 2)))
-        covered = ((px - 1) * size <= low_x) & ((px + 2) * size > high_x) & ((py - 1) * size <= low_y) & ((py + 2) * size > high_y)
-        told = open_points.join(found, id_, "left")
+        covered = ((px - 1) * size <= F.col("_lx")) & ((px + 2) * size > F.col("_hx")) & ((py - 1) * size <= F.col("_ly")) & ((py + 2) * size > F.col("_hy"))
+        told = open_points.join(found, key, "left")
         enough = F.coalesce((F.size("_near") >= F.col("_need")) & (F.element_at("_near", -1)["d"] <= reach), F.lit(False))
-        told = checkpointed(told.withColumn("_final", (F.col("_need") == 0) | covered | enough))
-        ready = told.where("_final").select(id_, *by, "_near")
+        told = checkpointed(told.withColumn("_final", (F.col("_need") == 0) | F.coalesce(covered, F.lit(False)) | enough))
+        ready = told.where("_final").select(*key, "_near")
         done = ready if done is None else done.unionByName(ready)
         open_points = told.where("not _final").drop("_near", "_final")
-        size *= 2
+        times *= 2
         if open_points.isEmpty():
             break
     ranks = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get("_near", i)))
-    wide = done.select(id_, *by, ranks.alias("k_rank", "_n"))
-    return wide.select(id_, *by, (F.col("k_rank") + 1).alias("k_rank"), F.col("_n.s").alias(station), F.col("_n.d").alias("distance"))
+    wide = done.select(*key, ranks.alias("k_rank", "_n"))
+    return wide.select(*key, (F.col("k_rank") + 1).alias("k_rank"), F.col("_n.s").alias(station), F.col("_n.d").alias("distance"))
 
 
+#: groups that are broadcast at most; their count is checked
+_FEW_GROUPS = 10_000
 ANCHOR_YEAR = 2024
 
 
+def _on_earth(lat: str, lon: str) -> Column:
+    """Whether a latitude and a longitude are numbers in range; a NaN is greater than any number."""
+    return (F.abs(F.col(lat)) <= 90) & (F.abs(F.col(lon)) <= 360)
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """Rows with null coordinates where these are no place on earth."""
+    fine = _on_earth("latitude", "longitude")
+    return df.withColumns({c: F.when(fine, F.col(c)) for c in ("latitude", "longitude")})
+
+
 def _lat_lon_cells(df: DataFrame, degree: float) -> DataFrame:
     """Cells of latitude and longitude; one of longitude is wide enough up to 66 degrees of latitude."""
     return df.withColumns({"_cy": F.floor(F.col("latitude") / degree), "_cx": F.floor(F.col("longitude") / (degree * 2.5))})
@@ -89,7 +121,7 @@ def nearest_anchor(targets: DataFrame, anchors: DataFrame, radius: float = 500.0
     Targets meet anchors of their cell and those around it; who finds one within the
     radius that a cell spans is done, the others go on with twice the radius.
     """
-    a = anchors.select(F.col("latitude").alias("a_lat"), F.col("longitude").alias("a_lon"), "latitude", "longitude").distinct()
+    a = anchors.select(F.col("latitude").alias("a_lat"), F.col("longitude").alias("a_lon"), "latitude", "longitude").where(_on_earth("latitude", "longitude")).distinct()
     open_rows, done = targets.select("year", "tc_number", "latitude", "longitude"), None
     if a.isEmpty():
         return open_rows.select("year", "tc_number", F.lit(None).cast("double").alias("metres"))
@@ -118,12 +150,13 @@ def resolve_stations(anchor: DataFrame, target: DataFrame, radius: float = 500.0
     the margin to the runner-up; equal scores go to the smaller id. Without a candidate a
     station has an id of its own (tc_conflict if an anchor has its number, else
     unresolved) and the distance to the nearest anchor. Candidates meet by grid cells at
-    least a radius wide.
+    least a radius wide. Coordinates that are no place on earth count as missing.
     """
     degree = radius / 111_000.0
-    a = anchor.where("latitude is not null and longitude is not null")
+    anchor, target = _placed(anchor), _placed(target)
+    a = anchor.where("latitude is not null")
     a = _lat_lon_cells(a.select(F.col("tc_number").alias("a_tc"), F.col("latitude").alias("a_lat"), F.col("longitude").alias("a_lon"), F.col("aadt").alias("a_aadt"), F.col("functional_class").alias("a_fc"), "latitude", "longitude"), degree).drop("latitude", "longitude")
-    t = _around(_lat_lon_cells(target.where("latitude is not null and longitude is not null"), degree))
+    t = _around(_lat_lon_cells(target.where("latitude is not null"), degree))
     d = haversine_m(F.col("latitude"), F.col("longitude"), F.col("a_lat"), F.col("a_lon"))
     near = t.join(a, ["_cy", "_cx"]).withColumn("_d", d).where(F.col("_d") <= radius)
     ratio = F.when((F.col("aadt") > 0) & (F.col("a_aadt") > 0), F.least(F.lit(2.0), F.abs(F.log(F.col("a_aadt") / F.col("aadt")))) / 2)
@@ -158,7 +191,7 @@ def run_resolver(stations: DataFrame, radius: float = 500.0, anchor_year: int =
     unresolved, and so are all where the anchor year has none with coordinates.
     """
     columns = ["latitude", "longitude", "aadt", "functional_class"]
-    once = stations.groupBy("year", "tc_number").agg(F.min(F.struct(*columns)).alias("_s")).select("year", "tc_number", "_s.*")
+    once = _placed(stations).groupBy("year", "tc_number").agg(F.min(F.struct(*columns)).alias("_s")).select("year", "tc_number", "_s.*")
     anchor = once.where(F.col("year") == anchor_year)
     placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     own = anchor.select(
@@ -172,10 +205,12 @@ def resolver_report(resolved: DataFrame, anchor_year: int = ANCHOR_YEAR) -> Data
     """By year: rows by method and by confidence, the resolved share, and quantiles of the distance of resolved stations."""
     methods = ("anchor", "tc_number", "spatial", "scored", "tc_conflict", "unresolved")
     moved = F.when((F.col("resolver_method") != "anchor") & F.col("resolver_delta_m").isNotNull(), F.col("resolver_delta_m"))
-    return resolved.groupBy("year").agg(
+    told = resolved.groupBy("year").agg(
         F.count("*").alias("rows"), *[F.count_if(F.col("resolver_method") == m).alias(m) for m in methods], *[F.count_if(F.col("resolver_confidence") == c).alias(c) for c in ("high", "medium", "low")],
-        percent(F.count_if(F.col("resolver_method") != "unresolved"), F.count("*")).alias("resolved_pct"), F.percentile(moved, 0.5).alias("median_m"), F.percentile(moved, 0.95).alias("p95_m"), F.max(moved).alias("max_m"),
+        percent(F.count_if(F.col("resolver_method") != "unresolved"), F.count("*")).alias("resolved_pct"), F.max(moved).alias("max_m"),
     )
+    told = _with_quantiles(told, resolved, ["year"], {"_": moved}, {"median_m": 0.5, "p95_m": 0.95}, SMALL).withColumnsRenamed({"__median_m": "median_m", "__p95_m": "p95_m"})
+    return told.select(*[c for c in told.columns if c != "max_m"], "max_m")
 
 
 def nearest_station(points: DataFrame, stations: DataFrame, id_: str, station: str, by: list[str] | None = None) -> DataFrame:
@@ -264,33 +299,64 @@ def idw_predict(knn_links: DataFrame, stations: DataFrame, id_: str = "unique_id
     )
 
 
-def station_wide(stations: DataFrame, resolver: DataFrame, years: list[int], values: tuple[str, ...] = ("aadt",)) -> DataFrame:
-    """One row per resolved station: a column per value and year (first by tc_number), and the number of years with data."""
-    told = stations.join(resolver.where("resolver_method <> 'unresolved'").select("year", "tc_number", "station_uid"), ["year", "tc_number"])
+def truck_aadt(single: Column, combo: Column) -> Column:
+    """Single-unit and combination trucks together; null if neither is known."""
+    return F.when(single.isNotNull() | combo.isNotNull(), F.coalesce(single, F.lit(0)) + F.coalesce(combo, F.lit(0)))
+
+
+def station_wide(stations: DataFrame, resolver: DataFrame, years: list[int], values: tuple[str, ...] = ("aadt",), anchor: int | None = None, attributes: tuple[str, ...] = ("latitude", "longitude", "functional_class", "statistics_type")) -> DataFrame:
+    """One row per resolved station: a column per value and year (first by tc_number), and the number of years with data.
+
+    With ``anchor`` only stations with a row of that year, with its ``attributes`` and number
+    (``statistics_type`` and ``tc_number`` carry the year in their names); of several such rows
+    that of the least number counts.
+    """
+    told = resolver.where("resolver_method <> 'unresolved'").select("year", "tc_number", "station_uid").join(stations, ["year", "tc_number"], "left")
+    dated = {c: f"{c}_{anchor}" for c in ("statistics_type", "tc_number")}
+    own = [F.min_by(F.when(F.col("year") == anchor, F.struct("tc_number", *attributes)), F.when(F.col("year") == anchor, F.col("tc_number"))).alias("_anchor")] if anchor is not None else []
     wide = told.groupBy("station_uid").agg(
-        *[F.min_by(F.when(F.col("year") == y, F.col(v)), F.when((F.col("year") == y) & F.col(v).isNotNull(), F.col("tc_number"))).alias(f"{v}_{y}") for v in values for y in years]
+        *[F.min_by(F.when(F.col("year") == y, F.col(v)), F.when((F.col("year") == y) & F.col(v).isNotNull(), F.col("tc_number"))).alias(f"{v}_{y}") for v in values for y in years], *own
     )
-    return wide.withColumn("years_with_data", sum(F.col(f"{values[0]}_{y}").isNotNull().cast("int") for y in years))
+    wide = wide.withColumn("years_with_data", sum(F.col(f"{values[0]}_{y}").isNotNull().cast("int") for y in years))
+    if anchor is None:
+        return wide
+    kept = [F.col(f"_anchor.{c}").alias(dated.get(c, c)) for c in ("tc_number", *attributes)]
+    return wide.where("_anchor is not null").select("station_uid", *kept, *[c for c in wide.columns if c not in ("station_uid", "_anchor")])
+
 
+def _with_quantiles(df: DataFrame, rows: DataFrame, keys: list[str], columns: dict[str, Column], shares: dict[str, float], small: int = 0) -> DataFrame:
+    """``df`` (one row a key) with exact quantiles of ``rows``; null is a key like others."""
+    found = exact_quantiles(rows, keys, columns, shares, small)
+    key = F.struct(*keys, F.lit(0)).alias("_k")
+    values = found.select(key, *[c for c in found.columns if c not in keys])
+    return df.withColumn("_k", key).join(values, "_k", "left").drop("_k")
 
-def _cohorts(rows: DataFrame, version: list[str], keys: list[str], size: Column, base: Column, ratios: dict[str, Column], min_size: int) -> DataFrame:
+
+def _cohorts(rows: DataFrame, version: list[str], keys: list[str], size: Column, base: Column, ratios: dict[str, Column], min_size: int, small: int = SMALL) -> DataFrame:
     """Size, median of ``base`` and of each ratio by version and keys; small cohorts take all of them from the parent without the last key.
 
-    Exact medians at both levels from one pass of grouping sets; null is a key like others.
+    Exact medians at both levels from one pass of grouping sets, or, where a parent has more
+    than ``small`` rows, by selection; null is a key like others.
     """
     told = rows.withColumns({"_base": base} | {f"_{n}": x for n, x in ratios.items()})
     fixed, own_keys = [F.col(k) for k in version], [F.col(k) for k in keys]
     level = F.grouping(keys[-1])
+    large = largest_group(told, [*version, *keys[:-1]]) > small
+    medians = [F.median("_base").alias("median_value"), *[F.median(f"_{n}").alias(n) for n in ratios]]
     both = told.groupingSets([[*fixed, *own_keys], [*fixed, *own_keys[:-1]]], *fixed, *own_keys).agg(
-        size.alias("n"), F.median("_base").alias("median_value"), *[F.median(f"_{n}").alias(n) for n in ratios], level.cast("int").alias("_parent")
+        size.alias("n"), *([] if large else medians), level.cast("int").alias("_parent")
     )
-    own, parent = both.where("_parent = 0").drop("_parent").alias("o"), both.where("_parent = 1").alias("p")
+    own, parent = both.where("_parent = 0").drop("_parent"), both.where("_parent = 1")
+    if large:
+        columns = {"median_value": F.col("_base")} | {n: F.col(f"_{n}") for n in ratios}
+        own, parent = (_with_quantiles(df, told, names, columns, {"m": 0.5}).withColumnsRenamed({f"{c}_m": c for c in columns}) for df, names in ((own, [*version, *keys]), (parent, [*version, *keys[:-1]])))
+    own, parent = own.alias("o"), parent.alias("p")
     on = F.lit(True)
     for k in [*version, *keys[:-1]]:
         on = on & F.col(f"o.{k}").eqNullSafe(F.col(f"p.{k}"))
-    small = F.col("o.n") < min_size
-    taken = [F.when(small, F.col(f"p.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in ("n", "median_value", *ratios)]
-    return own.join(parent, on, "left").select(*[F.col(f"o.{k}").alias(k) for k in [*version, *keys]], *taken, small.cast("int").alias("fallback_used"))
+    few = F.col("o.n") < min_size
+    taken = [F.when(few, F.col(f"p.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in ("n", "median_value", *ratios)]
+    return own.join(parent, on, "left").select(*[F.col(f"o.{k}").alias(k) for k in [*version, *keys]], *taken, few.cast("int").alias("fallback_used"))
 
 
 COHORT_VERSIONS = ("full", "exclude_2020", "exclude_2022", "exclude_2023", "exclude_2024")
@@ -333,15 +399,17 @@ def station_cohort_ratios(stations: DataFrame, folds: int = 5, min_size: int = 3
     return _cohorts(told, ["version"], COHORT_KEYS, F.count_distinct("station_uid"), F.col("_y2020").cast("double"), ratios, min_size)
 
 
-def median_with_fallback(rows: DataFrame, value: str, levels: list[list[str]]) -> DataFrame:
-    """Each row with the median of its first level (then the next, at last of all rows) that has one, and which it was."""
+def median_with_fallback(rows: DataFrame, value: str, levels: list[list[str]], small: int = SMALL) -> DataFrame:
+    """Each row with the median of its first level (then the next, at last of all rows) that has one, and which it was.
+
+    Medians are exact; a group of more than ``small`` rows, as all rows together are, never
+    meets in one task. Rows with a null key have no median of that level.
+    """
     found, cover, names = rows, [], []
+    known = rows.where(F.col(value).isNotNull())
     for i, keys in enumerate([*levels, []]):
-        if keys:
-            level = rows.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.median(value).alias(f"_m{i}"))
-            found = found.join(level, keys, "left")
-        else:
-            found = found.crossJoin(F.broadcast(rows.agg(F.median(value).alias(f"_m{i}"))))
+        level = exact_quantiles(known, keys, {"_m": F.col(value)}, {str(i): 0.5}, small).withColumnRenamed(f"_m_{i}", f"_m{i}")
+        found = found.join(level, keys, "left") if keys else found.crossJoin(F.broadcast(level))
         cover.append(F.col(f"_m{i}"))
         names.append(F.when(F.col(f"_m{i}").isNotNull(), "+".join(keys) or "all"))
     found = found.withColumns({f"{value}_median": F.coalesce(*cover), f"{value}_median_level": F.coalesce(*names)})

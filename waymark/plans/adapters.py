@@ -64,9 +64,10 @@ REFERENCE_SQL = "ref AS (SELECT ROUTE_ID, seq AS ref_seq, from_mp + seq % 3 AS f
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segment midpoints in metres, one per customer, over five years."""
+    """Segment midpoints in metres, one per customer in each of five years; every 97th has no place."""
     k = F.col("c_custkey")
-    return read(spark, sf_dir, "customer").select(k.alias("unique_id"), (2020 + k % 5).cast("int").alias("year"), ((k * 7919) % 50_000).cast("double").alias("x"), ((k * 104_729) % 50_000).cast("double").alias("y"))
+    rows = read(spark, sf_dir, "customer").withColumn("year", F.explode(F.sequence(F.lit(2020), F.lit(2024))))
+    return rows.select(k.alias("unique_id"), F.col("year").cast("int").alias("year"), F.when(k % 97 == 0, F.lit(float("nan"))).otherwise(((k * 7919) % 50_000).cast("double")).alias("x"), ((k * 104_729) % 50_000).cast("double").alias("y"))
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +82,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 POINTS_SQL = """
 pts AS (
-  SELECT c_custkey AS unique_id, CAST(2020 + c_custkey % 5 AS INTEGER) AS year, CAST((c_custkey * 7919) % 50000 AS DOUBLE) AS x, CAST((c_custkey * 104729) % 50000 AS DOUBLE) AS y FROM customer
+  SELECT c_custkey AS unique_id, CAST(yr AS INTEGER) AS year, CASE WHEN c_custkey % 97 <> 0 THEN CAST((c_custkey * 7919) % 50000 AS DOUBLE) END AS x, CAST((c_custkey * 104729) % 50000 AS DOUBLE) AS y FROM customer, generate_series(2020, 2024) g(yr)
 ), sta AS (
   SELECT s_suppkey AS tc_number, CAST(yr AS INTEGER) AS year, CAST((s_suppkey * 3571 + yr % 3 * 100) % 50000 AS DOUBLE) AS x, CAST((s_suppkey * 15485) % 50000 AS DOUBLE) AS y,
     CASE WHEN (s_suppkey + yr) % 11 <> 0 THEN CAST(floor(abs(s_acctbal)) AS BIGINT) + (yr - 2020) * 37 END AS aadt, CAST(s_suppkey % 7 + 1 AS INTEGER) AS FUNCTIONAL_CLASS

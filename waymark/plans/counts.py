@@ -32,9 +32,8 @@ def _segments(spark: SparkSession, d: str) -> DataFrame:
 def _links(spark: SparkSession, d: str, k: int = 5) -> DataFrame:
     """k-NN links of all segments and years."""
     years = F.explode(F.array(*[F.lit(y) for y in range(2020, 2025)])).alias("year")
-    p = _segments(spark, d).select("unique_id", years, "x", "y").withColumn("pid", F.concat_ws("/", "unique_id", F.col("year").cast("string")))
-    found = S.knn(p, _stations(spark, d), "pid", "tc_number", k, ["year"])
-    return found.select(F.split("pid", "/")[0].alias("unique_id"), "year", "k_rank", F.col("tc_number").alias("nearest_tc_number"), F.col("distance").alias("station_distance_m"), (F.col("tc_number").cast("int") % 2).alias("same_route_flag"))
+    found = S.knn(_segments(spark, d).select("unique_id", years, "x", "y"), _stations(spark, d), "unique_id", "tc_number", k, ["year"])
+    return found.select("unique_id", "year", "k_rank", F.col("tc_number").alias("nearest_tc_number"), F.col("distance").alias("station_distance_m"), (F.col("tc_number").cast("int") % 2).alias("same_route_flag"))
 
 
 _LINK = """pairs AS (SELECT p.unique_id, s.year, s.tc_number, sqrt(pow(p.x - s.x, 2) + pow(p.y - s.y, 2)) AS d FROM seg p CROSS JOIN sta s),

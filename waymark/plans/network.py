@@ -89,15 +89,18 @@ SELECT ROUTE_ID, piece, from_mp, to_mp FROM cut WHERE to_mp IS NOT NULL"""
 
 
 def gap_runs(spark: SparkSession, d: str) -> DataFrame:
-    runs = intervals.gap_runs(segments(spark, d), F.col("AADT").isNotNull())
-    return runs.select("ROUTE_ID", "from_mp", "to_mp", "rows", "length", "has_before", "has_after", "strategy")
+    """Runs with the rows beside them; every fifth route has no value at all."""
+    s = segments(spark, d).withColumn("AADT", F.when((F.substring("ROUTE_ID", 1, 10).cast("int") % 5 != 0) & (F.col("seq") % 4 != 2), F.col("AADT")))
+    return intervals.gap_runs(s, F.col("AADT").isNotNull(), value="AADT", keep=("COUNTY", "STATUS")).drop("run")
 
 
-GAP_SQL = f"""{SEG}, t AS (SELECT *, AADT IS NOT NULL AS on_, lag(AADT IS NOT NULL) OVER w AS before, lead(AADT IS NOT NULL) OVER w AS after FROM seg WINDOW w AS (PARTITION BY ROUTE_ID ORDER BY from_mp)),
-r AS (SELECT *, sum(CASE WHEN before IS NULL OR before <> on_ THEN 1 ELSE 0 END) OVER (PARTITION BY ROUTE_ID ORDER BY from_mp) AS run FROM t),
-g AS (SELECT ROUTE_ID, run, min(from_mp) AS from_mp, max(to_mp) AS to_mp, count(*) AS rows, sum(to_mp - from_mp) AS length,
-  coalesce(bool_or(before), false) AS has_before, coalesce(bool_or(after), false) AS has_after FROM r WHERE NOT on_ GROUP BY 1, 2)
-SELECT * EXCLUDE (run), CASE WHEN has_before AND has_after THEN 'interpolate' WHEN has_before OR has_after THEN 'extend' ELSE 'none' END AS strategy FROM g"""
+GAP_SQL = f"""{SEG}, s AS (SELECT * REPLACE (CASE WHEN CAST(left(ROUTE_ID, 10) AS INTEGER) % 5 <> 0 AND seq % 4 <> 2 THEN AADT END AS AADT) FROM seg),
+t AS (SELECT *, AADT IS NOT NULL AS on_, row_number() OVER w AS n, count(AADT) OVER r AS yes, count(*) OVER r - count(AADT) OVER r AS no FROM s WINDOW w AS (PARTITION BY ROUTE_ID ORDER BY from_mp), r AS (PARTITION BY ROUTE_ID)),
+g AS (SELECT *, n - row_number() OVER (PARTITION BY ROUTE_ID, on_ ORDER BY n) AS run FROM t),
+k AS (SELECT ROUTE_ID, min(n) AS a, max(n) AS z, min(from_mp) AS from_mp, max(to_mp) AS to_mp, count(*) AS rows, sum(to_mp - from_mp) AS length, any_value(yes) AS route_covered, any_value(no) AS route_uncovered, arg_min(COUNTY, n) AS COUNTY, arg_min(STATUS, n) AS STATUS FROM g WHERE NOT on_ GROUP BY ROUTE_ID, run),
+b AS (SELECT k.*, coalesce(p.on_, false) AS has_before, coalesce(q.on_, false) AS has_after, p.to_mp AS before_mp, q.from_mp AS after_mp, p.AADT AS before_value, q.AADT AS after_value FROM k LEFT JOIN t p ON p.ROUTE_ID = k.ROUTE_ID AND p.n = k.a - 1 LEFT JOIN t q ON q.ROUTE_ID = k.ROUTE_ID AND q.n = k.z + 1),
+w AS (SELECT * EXCLUDE (a, z), CASE WHEN has_before AND has_after THEN 1 WHEN has_before OR has_after THEN 2 WHEN route_covered > 0 THEN 3 ELSE 4 END AS c FROM b)
+SELECT * EXCLUDE (c), ['interpolate_between_adjacent_covered', 'single_side_extension', 'route_has_nonadjacent_covered_only', 'no_current_aadt_on_route'][c] AS strategy, ['high', 'medium', 'low', 'low'][c] AS priority FROM w"""
 
 
 def interpolation(spark: SparkSession, d: str) -> DataFrame:
@@ -162,6 +165,28 @@ AUDIT_SQL = f"""{SEG} SELECT CASE WHEN grouping(DISTRICT) = 0 THEN 'DISTRICT' WH
   FROM seg GROUP BY GROUPING SETS ((DISTRICT), (STATUS), (URBAN_CODE), ())"""
 
 
+def coverage_report(spark: SparkSession, d: str) -> DataFrame:
+    """The audit's headline, its uncovered rows, and routes that have some, as one long table."""
+    s = _compared(spark, d).withColumn("source", F.when(F.col("state").isNotNull(), "official_exact").when(F.col("ref_aadt") > 8000, "analytical_gap_fill"))
+    on, sure = F.col("source").isNotNull(), F.col("state").isNotNull()
+    head = reports.coverage_headline(s, on, sure, "source", "FUNCTIONAL_CLASS", "miles")
+    items = F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in head.columns]))
+    rows = reports.uncovered_rows(s, on, ["unique_id", "miles", "GONE"], ["STATUS", "ROUTE_ID"])
+    routes = reports.uncovered_routes(s, ["ROUTE_ID", "COUNTY", "STATUS"], on, "miles")
+    told = head.select(F.lit("headline").alias("kind"), items)
+    told = told.unionByName(rows.select(F.lit("row").alias("kind"), F.col("unique_id").alias("name"), F.col("miles").alias("value")))
+    return told.unionByName(routes.select(F.lit("route").alias("kind"), F.concat_ws("/", "ROUTE_ID", F.col("COUNTY").cast("string"), "STATUS", F.col("covered_rows").cast("string"), F.col("uncovered_rows").cast("string")).alias("name"), F.col("uncovered_miles").cast("double").alias("value")))
+
+
+def _coverage_sql() -> str:
+    n = {"segments": "true", "covered_segments": "on_", "official_segments": "state IS NOT NULL", "gap_fill_segments": "on_ AND state IS NULL", "uncovered_segments": "NOT on_", "state_segments": "FUNCTIONAL_CLASS = 1", "state_uncovered_segments": "FUNCTIONAL_CLASS = 1 AND NOT on_"}
+    m = {"miles": "true", "covered_miles": "on_", "official_miles": "state IS NOT NULL", "gap_fill_miles": "on_ AND state IS NULL", "uncovered_miles": "NOT on_"}
+    x = [(k, f"CAST(count(*) FILTER ({w}) AS DOUBLE)") for k, w in n.items()] + [(k, f"coalesce(sum(miles) FILTER ({w}), 0)") for k, w in m.items()]
+    x += [("covered_pct", "round(100.0 * count(*) FILTER (on_) / count(*), 4)"), ("official_pct", "round(100.0 * count(state) / count(*), 4)"), ("covered_miles_pct", "round(100.0 * sum(miles) FILTER (on_) / sum(miles), 4)"), ("state_covered_pct", "round(100.0 * count(*) FILTER (FUNCTIONAL_CLASS = 1 AND on_) / count(*) FILTER (FUNCTIONAL_CLASS = 1), 4)")]
+    return f"""{_COMPARED}, c AS (SELECT *, state IS NOT NULL OR coalesce(ref_aadt > 8000, false) AS on_ FROM t) {" UNION ALL ".join(f"SELECT 'headline' AS kind, '{k}' AS name, {v} AS value FROM c" for k, v in x)}
+UNION ALL SELECT 'row', unique_id, miles FROM c WHERE NOT on_ UNION ALL SELECT 'route', concat_ws('/', ROUTE_ID, COUNTY, STATUS, count(*) FILTER (on_), count(*) FILTER (NOT on_)), sum(miles) FILTER (NOT on_) FROM c GROUP BY ROUTE_ID, COUNTY, STATUS HAVING count(*) FILTER (NOT on_) > 0"""
+
+
 def growth_fallback(spark: SparkSession, d: str) -> DataFrame:
     s = segments(spark, d).withColumn("AADT", F.when((F.col("COUNTY") % 3 != 0) & (F.col("DISTRICT") != 2), F.col("AADT")))
     return S.median_with_fallback(s, "AADT", [["COUNTY", "STATUS"], ["DISTRICT", "STATUS"]]).select("unique_id", "AADT_median", "AADT_median_level")
@@ -262,12 +287,59 @@ SCORE_SQL = f"""{SEG}, b AS (SELECT CAST(min(HPMS_AADT) AS DOUBLE) AS a, CAST(ma
 SELECT unique_id, round_even(0.0 + 0.25 * ((HPMS_AADT - a) / (z - a)) + 0.25 * ((miles - ma) / (mz - ma)) + 0.5 * CAST(AADT IS NOT NULL AS INTEGER), 4) AS score FROM seg, b"""
 
 
+def _compared(spark: SparkSession, d: str) -> DataFrame:
+    """Segments with both sources, agreement and tier; every 50th state value is 0."""
+    s = segments(spark, d).withColumn("state", F.when(F.col("HPMS_AADT") % 50 == 0, F.lit(0)).otherwise(F.col("AADT"))).drop("HPMS_AADT", "AADT")
+    s = intervals.best_overlap(s, reference(spark, d), "ROUTE_ID", ["ref_seq", "ref_aadt"])
+    s = s.withColumns({"agreement": R.source_agreement(F.col("state"), F.col("ref_aadt")), "source": F.when(F.col("state").isNotNull(), "official_exact").when(F.col("ref_aadt").isNotNull(), "hpms"), "statistics": F.when(F.col("state").isNotNull(), F.when(F.col("FUNCTIONAL_CLASS") % 2 == 0, "Actual").otherwise("Estimated"))})
+    tier = R.confidence_tier(F.col("agreement"), F.coalesce("source", F.lit("missing")), F.col("statistics"))
+    return s.withColumns({"tier": tier, "value": F.coalesce("state", "ref_aadt"), "label": F.when(F.col("FUNCTIONAL_CLASS") != 3, F.concat(F.lit("Class "), F.col("FUNCTIONAL_CLASS").cast("string")))})
+
+
+_COMPARED = f"""{SEG.replace("AS AADT,", "AS AADT0,")}, {REFERENCE_SQL}, z AS (SELECT *, CASE WHEN HPMS_AADT % 50 = 0 THEN 0 ELSE AADT0 END AS state FROM seg),
+best AS (SELECT s.*, r.ref_aadt FROM z s LEFT JOIN ref r ON s.ROUTE_ID = r.ROUTE_ID AND least(s.to_mp, r.to_mp) - greatest(s.from_mp, r.from_mp) > 1e-4
+  QUALIFY row_number() OVER (PARTITION BY s.unique_id ORDER BY least(s.to_mp, r.to_mp) - greatest(s.from_mp, r.from_mp) DESC, r.from_mp, r.ref_seq, r.ref_aadt) = 1),
+g AS (SELECT *, CASE WHEN state IS NULL AND ref_aadt IS NULL THEN 'missing' WHEN ref_aadt IS NULL THEN 'state_only' WHEN state IS NULL THEN 'hpms_only' WHEN abs(ref_aadt - state) <= 200 OR (state <> 0 AND abs(ref_aadt - state) * 100 <= 15 * abs(state)) THEN 'both_agree' ELSE 'both_disagree' END AS agreement FROM best),
+t AS (SELECT *, CASE WHEN state IS NULL AND ref_aadt IS NULL THEN 'missing' WHEN agreement = 'both_disagree' THEN 'low' WHEN (state IS NOT NULL AND FUNCTIONAL_CLASS % 2 = 0) OR agreement = 'both_agree' THEN 'high' ELSE 'medium' END AS tier,
+  CASE WHEN agreement = 'both_disagree' AND state <> 0 THEN 100.0 * (abs(ref_aadt - state) / abs(state)) END AS rel, CASE WHEN agreement = 'both_disagree' THEN CAST(abs(ref_aadt - state) AS DOUBLE) END AS gap FROM g)"""
+_BINS = [(0, 25), (25, 50), (50, 100), (100, 250), (250, 500), (500, 1000), (1000, None)]
+
+
+def _bin_label(low: int, high: int | None) -> str:
+    return f"{low}-{high}%" if high else f"≥{low}%"
+
+
 def histogram(spark: SparkSession, d: str) -> DataFrame:
-    return reports.difference_histogram(segments(spark, d), "AADT", "HPMS_AADT")
+    return reports.difference_histogram(_compared(spark, d), "state", "ref_aadt", "agreement")
+
+
+HISTOGRAM_SQL = f"{_COMPARED} " + " UNION ALL ".join(f"SELECT '{_bin_label(a, b)}' AS bin, count(*) AS rows FROM t WHERE rel >= {a}{f' AND rel < {b}' if b else ''}" for a, b in _BINS)
+
+
+def agreement_report(spark: SparkSession, d: str) -> DataFrame:
+    """All sections of the report on two sources."""
+    names = reports.ReportColumns("state", "ref_aadt", "agreement", "tier", "statistics", "source", "value", "FUNCTIONAL_CLASS", "label", "STATUS", "miles")
+    return reports.agreement_report(_compared(spark, d), names).withColumn("value", F.bround("value", 6))
+
+
+def _counts(section: str, member: str, group: str, *items: tuple[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{section}' AS section, {member} AS member, '{n}' AS item, CAST({v} AS DOUBLE) AS value FROM t {group}" for n, v in items)
 
 
-HISTOGRAM_SQL = f"""{SEG}, r AS (SELECT 100.0 * abs(AADT - HPMS_AADT) / greatest(AADT, HPMS_AADT) AS r FROM seg WHERE AADT IS NOT NULL AND greatest(AADT, HPMS_AADT) > 0)
-SELECT CASE WHEN r <= 5 THEN '0-5' WHEN r <= 15 THEN '5-15' WHEN r <= 30 THEN '15-30' WHEN r <= 50 THEN '30-50' ELSE '50-100' END AS bin, count(*) AS rows FROM r WHERE r <= 100 GROUP BY 1"""
+_ALL, _SHARE = "(SELECT count(*) FROM t)", "100.0 * count(*) / (SELECT count(*) FROM t)"
+_TIER_ITEMS = [("total", "count(*)"), *[(x, f"count(*) FILTER (tier = '{x}')") for x in ("high", "medium", "low", "missing")]]
+_REPORT = [
+    *[_counts("agreement", f"'{x}'", f"WHERE agreement = '{x}'", ("rows", "count(*)"), ("pct", _SHARE), ("miles", "coalesce(sum(miles), 0)")) for x in ("state_only", "hpms_only", "both_agree", "both_disagree", "missing")],
+    *[_counts("confidence", f"'{x}'", f"WHERE tier = '{x}'", ("rows", "count(*)"), ("pct", _SHARE), ("miles", "coalesce(sum(miles), 0)")) for x in ("high", "medium", "low", "missing")],
+    *[_counts("histogram", f"'{_bin_label(a, b)}'", f"WHERE rel >= {a}{f' AND rel < {b}' if b else ''}", ("rows", "count(*)")) for a, b in _BINS],
+    _counts("by_class", "CAST(FUNCTIONAL_CLASS AS VARCHAR) || CASE WHEN FUNCTIONAL_CLASS = 3 THEN ' -' ELSE ' Class ' || FUNCTIONAL_CLASS END", "GROUP BY FUNCTIONAL_CLASS", *_TIER_ITEMS), _counts("by_system", "STATUS", "GROUP BY STATUS", *_TIER_ITEMS),
+    _counts("statistics", "CASE WHEN state IS NULL THEN '-' WHEN FUNCTIONAL_CLASS % 2 = 0 THEN 'Actual' ELSE 'Estimated' END", "GROUP BY 2", ("rows", "count(*)")),
+    _counts("source", "CASE WHEN state IS NOT NULL THEN 'official_exact' WHEN ref_aadt IS NOT NULL THEN 'hpms' ELSE '-' END", "GROUP BY 2", ("rows", "count(*)"), ("pct", _SHARE)),
+    *[_counts("uplift", f"'{m}'", f"WHERE {w}", ("rows", "count(*)"), ("pct", _SHARE)) for m, w in (("all", "true"), ("state", "state IS NOT NULL"), ("other", "ref_aadt IS NOT NULL"), ("either", "coalesce(state, ref_aadt) IS NOT NULL"), ("value", "coalesce(state, ref_aadt) IS NOT NULL"))],
+    _counts("disagreement", "'both_disagree'", "WHERE agreement = 'both_disagree'", ("rows", "count(*)"), ("pct_of_overlap", "100.0 * count(*) / (SELECT count(*) FROM t WHERE agreement IN ('both_agree', 'both_disagree'))"), ("pct_of_all", _SHARE), ("median_rel_pct", "median(rel)"), ("mean_rel_pct", "avg(rel)"), ("median_abs", "median(gap)"), ("mean_abs", "avg(gap)")),
+]
+REPORT_SQL = f"""{_COMPARED}, top AS (SELECT unique_id, gap * miles AS impact FROM t WHERE gap IS NOT NULL ORDER BY 2 DESC, 1 LIMIT 20)
+SELECT section, member, item, round_even(value, 6) AS value FROM ({" UNION ALL ".join(_REPORT)} UNION ALL SELECT 'top', unique_id, 'impact', impact FROM top)"""
 
 
 def quality_checks(spark: SparkSession, d: str) -> DataFrame:
@@ -316,6 +388,8 @@ GUARD_SQL = f"""{SEG}, s AS (SELECT CAST(COUNTY AS VARCHAR) || '_' || CAST(CAST(
 g AS (SELECT CASE WHEN count(*) OVER (PARTITION BY u) > 1 THEN u || '_' || left(md5(p), 6) ELSE u END AS unique_id FROM s) SELECT unique_id, count(*) AS rows FROM g GROUP BY 1"""
 
 
+#: made when all texts above are known
+COVERAGE_REPORT_SQL = _coverage_sql()
 QUERIES = {
     "flagship": (flagship, FLAGSHIP_SQL),
     "agreement_and_confidence": (agreement_and_confidence, CONFIDENCE_SQL),
@@ -329,6 +403,7 @@ QUERIES = {
     "merge_intervals": (merged, MERGED_SQL),
     "coverage_by": (coverage, COVERAGE_SQL),
     "coverage_audit": (coverage_audit, AUDIT_SQL),
+    "coverage_report": (coverage_report, COVERAGE_REPORT_SQL),
     "median_with_fallback": (growth_fallback, FALLBACK_SQL),
     "dominant_value": (dominant, DOMINANT_SQL),
     "repeated_value_flag": (repeated_values, REPEATED_SQL),
@@ -341,6 +416,7 @@ QUERIES = {
     "property_bounds": (property_bounds, BOUNDS_SQL),
     "min_max_score": (score, SCORE_SQL),
     "difference_histogram": (histogram, HISTOGRAM_SQL),
+    "agreement_report": (agreement_report, REPORT_SQL),
     "quality_checks": (quality_checks, CHECKS_SQL),
     "route_families": (route_families, FAMILIES_SQL),
     "unique_id_guard": (id_guard, GUARD_SQL),

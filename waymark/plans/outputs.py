@@ -75,7 +75,8 @@ def layers_and_summaries(spark: SparkSession, d: str) -> DataFrame:
     county = tables.normalize_boundary_layer(raw, ("SLDUST",), "COUNTYFP", pad=3)
     plain = _all(_told("senate", senate, "STATE_SENATE_DISTRICT", F.col("label")), _told("district", district, "GDOT_DISTRICT", F.col("label")), _told("county", county, "COUNTYFP", F.lit("")))
     state = spark.createDataFrame([(1,)], "i int").select(F.array(_line((5000.0, 5000.0), (32000.0, 5000.0), (32000.0, 27000.0), (5000.0, 27000.0), (5000.0, 5000.0))).alias("rings"))
-    inside = _told("in_state", tables.within_state(b, "k", state, 900.0), "k", F.lit(""))
+    spot = spark.createDataFrame([(1,)], "i int").select(F.array(_line((12_000.0, 12_000.0), (14_000.0, 12_500.0), (12_000.0, 13_000.0), (12_000.0, 12_000.0))).alias("rings"))
+    inside = _all(_told("in_state", tables.within_state(b, "k", state, 900.0), "k", F.lit("")), _told("around_spot", tables.within_state(b, "k", spot, 900.0), "k", F.lit("")))
     merged = spatial.dissolve(b, "district")
     points = made(spark, d, SEGMENTS).select("id", F.struct(F.col("x0").alias("x"), F.col("y0").alias("y")).alias("p"))
     held = spatial.point_in_polygon(points, "id", merged.where("district = 1"), "district", 900.0).where("district is not null")
@@ -97,8 +98,9 @@ def layers_and_summaries(spark: SparkSession, d: str) -> DataFrame:
 
 LAYERS_SQL = f"""{BASE}, {SEGMENTS_SQL.replace("seg0 AS", "lin0 AS").replace("seg AS (", "lin AS (").replace("FROM seg0", "FROM lin0")}
 SELECT 'senate' AS kind, CAST(k AS VARCHAR) AS name, label AS value FROM box UNION ALL SELECT 'district', CAST(k % 7 AS VARCHAR), CASE k % 7 WHEN 1 THEN 'One' WHEN 2 THEN 'Two' ELSE label END FROM box WHERE k % 4 <> 0 UNION ALL SELECT 'county', lpad(CAST(k AS VARCHAR), 3, '0'), '' FROM box
-UNION ALL SELECT 'in_state', CAST(k AS VARCHAR), '' FROM box WHERE (a BETWEEN 5000 AND 32000 OR b BETWEEN 5000 AND 32000) AND (c BETWEEN 5000 AND 27000 OR d BETWEEN 5000 AND 27000)
-UNION ALL SELECT 'merged', CAST(s.id AS VARCHAR), '' FROM seg s JOIN box b ON b.district = 1 AND s.x0 BETWEEN b.a AND b.b AND s.y0 BETWEEN b.c AND b.d GROUP BY s.id HAVING count(*) % 2 = 1
+UNION ALL SELECT 'in_state', CAST(k AS VARCHAR), '' FROM box WHERE a <= 32000 AND b >= 5000 AND c <= 27000 AND d >= 5000
+UNION ALL SELECT 'around_spot', CAST(k AS VARCHAR), '' FROM box WHERE a <= 14000 AND b >= 12000 AND c <= 13000 AND d >= 12000
+UNION ALL SELECT 'merged', CAST(s.id AS VARCHAR), '' FROM seg s JOIN box b ON b.district = 1 AND s.x0 BETWEEN b.a AND b.b AND s.y0 BETWEEN b.c AND b.d GROUP BY s.id HAVING count(*) > 0
 UNION ALL SELECT 'projection', '13' || lpad(CAST(r_regionkey AS VARCHAR), 3, '0') || ':2020', CAST(100 + r_regionkey AS VARCHAR) FROM region UNION ALL SELECT 'projection', '13' || lpad(CAST(r_regionkey AS VARCHAR), 3, '0') || ':2050', CASE WHEN r_regionkey <> 2 THEN CAST(200 + r_regionkey AS VARCHAR) END FROM region
 UNION ALL SELECT 'match', 'busy', count(*) || '/' || count(*) FILTER (AADT > 30000) || '/' || count(DISTINCT ROUTE_ID) FILTER (AADT > 30000) || '/' || CAST(sum(miles) FILTER (AADT > 30000) AS BIGINT) FROM lin
 UNION ALL SELECT 'load', 'segments', count(*) || '/2/' || (count(*) - count(AADT)) || '/' || count(*) FILTER (STATUS = 'F') FROM lin

@@ -200,10 +200,26 @@ GRAPH_SQL = f"""WITH s AS ({STREETS}), e AS (SELECT id, round_even(x0 / 50, 0) *
 SELECT CASE WHEN (x, y) < (u, v) THEN x ELSE u END AS ax, CASE WHEN (x, y) < (u, v) THEN y ELSE v END AS ay, CASE WHEN (x, y) < (u, v) THEN u ELSE x END AS bx, CASE WHEN (x, y) < (u, v) THEN v ELSE y END AS "by", array_to_string(list_sort(list(id)), ',') AS segments FROM e WHERE (x, y) <> (u, v) GROUP BY 1, 2, 3, 4"""
 
 
+#: a net of streets of which two fifths are missing, so that it has circles, bridges and leaves
+NET = """SELECT c_custkey * 2 AS id, CAST(c_custkey % 30 AS DOUBLE) * 400 AS x0, CAST(floor(c_custkey / 30) AS DOUBLE) * 400 AS y0, 400.0 AS dx, 0.0 AS dy FROM customer WHERE (c_custkey * 7919 + floor(c_custkey / 30) * 31) % 10 < 6
+  UNION ALL SELECT c_custkey * 2 + 1, CAST(c_custkey % 30 AS DOUBLE) * 400, CAST(floor(c_custkey / 30) AS DOUBLE) * 400, 0.0, 400.0 FROM customer WHERE (c_custkey * 104729 + floor(c_custkey / 30) * 17) % 10 < 6"""
+#: seats in the net, between nodes, and beyond it, two of them too far from any node
+SEATS = "SELECT 'Seat ' || lpad(CAST(n_nationkey AS VARCHAR(9)), 2, '0') AS seat, CASE WHEN n_nationkey = 23 THEN -9000.0 ELSE CAST(n_nationkey % 5 AS DOUBLE) * 3000 - 700 + CAST(n_nationkey AS DOUBLE) * 7 END AS x, CASE WHEN n_nationkey = 24 THEN -2900.0 ELSE CAST(floor(n_nationkey / 5) AS DOUBLE) * 4700 + 130 END AS y FROM nation"
+
+
 def sole_connections(spark: SparkSession, d: str) -> DataFrame:
-    """Bridges of the street graph near seats; tested by a small graph, without SQL form."""
-    seats = made(spark, d, "SELECT 'Seat ' || CAST(n_nationkey AS VARCHAR(9)) AS seat, CAST(n_nationkey % 5 AS DOUBLE) * 2000 AS x, CAST(floor(n_nationkey / 5) AS DOUBLE) * 6000 AS y FROM nation")
-    return graph.sole_connections(graph.road_edges(_streets(spark, d), "id"), seats)
+    """Bridges of the street net near seats, in circles of 3 km."""
+    net = made(spark, d, NET).select("id", _line((F.col("x0"), F.col("y0")), (F.col("x0") + F.col("dx"), F.col("y0") + F.col("dy"))).alias("line"))
+    return graph.sole_connections(graph.road_edges(net, "id"), made(spark, d, SEATS), 3_000.0, 1_300.0)
+
+
+SOLE_SQL = f"""WITH RECURSIVE e AS (SELECT id AS eid, x0 AS ax, y0 AS ay, x0 + dx AS bx, y0 + dy AS "by" FROM ({NET})), s AS ({SEATS}), n AS (SELECT ax AS x, ay AS y FROM e UNION SELECT bx, "by" FROM e),
+c AS (SELECT s.seat, n.x, n.y, (n.x - s.x) ** 2 + (n.y - s.y) ** 2 AS d FROM s CROSS JOIN n QUALIFY row_number() OVER (PARTITION BY s.seat ORDER BY (n.x - s.x) ** 2 + (n.y - s.y) ** 2, n.x, n.y) = 1),
+g AS (SELECT c.seat, e.*, least((ax - c.x) ** 2 + (ay - c.y) ** 2, (bx - c.x) ** 2 + ("by" - c.y) ** 2) < 1300 ** 2 AS near FROM c JOIN e ON c.d <= 3000 ** 2 AND (ax - c.x) ** 2 + (ay - c.y) ** 2 <= 3000 ** 2 AND (bx - c.x) ** 2 + ("by" - c.y) ** 2 <= 3000 ** 2),
+t AS (SELECT * FROM g WHERE near AND seat IN (SELECT seat FROM g GROUP BY 1 HAVING count(*) >= 3)),
+way AS (SELECT seat, eid, ax AS x, ay AS y, bx AS u, "by" AS v FROM g UNION ALL SELECT seat, eid, bx, "by", ax, ay FROM g),
+reach AS (SELECT seat, eid, ax AS x, ay AS y FROM t UNION SELECT r.seat, r.eid, w.u, w.v FROM reach r JOIN way w ON w.seat = r.seat AND w.x = r.x AND w.y = r.y AND w.eid <> r.eid)
+SELECT CAST(t.eid AS VARCHAR) AS segment, string_agg(t.seat, '; ' ORDER BY t.seat) AS seats FROM t WHERE NOT EXISTS (SELECT 1 FROM reach r WHERE r.seat = t.seat AND r.eid = t.eid AND r.x = t.bx AND r.y = t."by") GROUP BY t.eid"""
 
 
 BENT = "SELECT c_custkey AS id, CAST(c_custkey % 700 AS DOUBLE) * 10 AS x, CAST(c_custkey % 900 AS DOUBLE) * 7 AS y, CAST(100 + c_custkey % 400 AS DOUBLE) AS u, CAST(50 + c_custkey % 300 AS DOUBLE) AS v FROM customer"
@@ -233,6 +249,23 @@ MEASURES_SQL = f"""WITH s AS ({BENT}) SELECT id, u + v AS metres, round_even((u
   round_even(degrees(atan2(u, v)), 9) AS azimuth, round_even(abs(degrees(atan2(u, v)) - 20), 9) AS angle, 2 AS parts, u + v AS longest, 3 AS kept_points, round_even(x / 25, 0) * 25 AS snapped,
   CAST(floor((x + u) / 100) - floor(x / 100) + 1 + floor((y + v) / 100) - floor(y / 100) AS INTEGER) AS cells, true AS round_trip, true AS in_scale FROM s"""
 
+def segment_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Routes of two legs cut at interval ends and crossings, with their part of the line and the record that covers it."""
+    c = F.col
+    r = made(spark, d, BENT).select("id", F.lit(0.0).alias("from_mp"), F.lit(10.0).alias("to_mp"), _line((c("x"), c("y")), (c("x") + c("u"), c("y")), (c("x") + c("u"), c("y") + c("v"))).alias("line"))
+    cut = (3 + c("id") % 6).cast("double")
+    rows = r.select("id", F.inline(F.array(F.struct(F.lit(0.0).alias("from_mp"), F.lit(2.5).alias("to_mp"), F.lit("a").alias("told")), F.struct(F.lit(2.5).alias("from_mp"), cut.alias("to_mp"), F.lit("b").alias("told")))))
+    crossings = r.where("id % 3 = 0").select("id", F.lit(5.0).alias("mp"))
+    told = intervals.segment_lines(r, rows, ["told"], crossings, "id")
+    first, last = F.element_at("line", 1), F.element_at("line", -1)
+    return told.select("id", "piece", "from_mp", "to_mp", "told", F.size("line").alias("points"), F.bround(G.line_length(c("line")), 6).alias("metres"), *[F.bround(p[k], 6).alias(f"{n}_{k}") for n, p in (("first", first), ("last", last)) for k in "xy"])
+
+
+LINES_SQL = f"""WITH s AS ({BENT}), c AS (SELECT *, list_sort(list_distinct([0.0, 2.5, 3.0 + id % 6, CASE WHEN id % 3 = 0 THEN 5.0 ELSE 10.0 END, 10.0]::DOUBLE[])) AS m FROM s),
+p AS (SELECT *, i - 1 AS piece, m[i] AS from_mp, m[i + 1] AS to_mp, m[i] / 10 * (u + v) AS d, m[i + 1] / 10 * (u + v) AS e FROM (SELECT *, unnest(range(1, len(m))) AS i FROM c))
+SELECT id, piece, from_mp, to_mp, CASE WHEN to_mp <= 2.5 THEN 'a' WHEN from_mp >= 2.5 AND to_mp <= 3 + id % 6 THEN 'b' END AS told, CASE WHEN d < u AND e > u THEN 3 ELSE 2 END AS points, round_even(e - d, 6) AS metres,
+  round_even(x + least(d, u), 6) AS first_x, round_even(y + greatest(d - u, 0), 6) AS first_y, round_even(x + least(e, u), 6) AS last_x, round_even(y + greatest(e - u, 0), 6) AS last_y FROM p"""
+
 PLOTS = "SELECT s_suppkey AS id, CAST((s_suppkey * 719) % 9000 AS DOUBLE) + 7.0 AS x0, CAST((s_suppkey * 331) % 9000 AS DOUBLE) + 7.0 AS y0, CAST(200 + s_suppkey % 300 AS DOUBLE) AS dx, 0.0 AS dy FROM supplier"
 GROUPS = "SELECT lpad(CAST(n_nationkey AS VARCHAR(9)), 12, '0') AS geoid, CAST(n_nationkey % 6 AS VARCHAR(9)) AS county, CAST(n_nationkey % 5 AS DOUBLE) * 2000 + 3.0 AS a, CAST(floor(n_nationkey / 5) AS DOUBLE) * 2000 + 3.0 AS c, CAST(n_nationkey * 100 AS DOUBLE) AS population FROM nation"
 BLOCKS = "SELECT lpad(CAST(c_custkey % 25 AS VARCHAR(9)), 12, '0') || '001' AS w_geocode, CASE WHEN c_custkey % 7 = 0 THEN 'x' ELSE CAST(c_custkey % 50 AS VARCHAR(9)) END AS jobs FROM customer"
@@ -250,12 +283,23 @@ def densities(spark: SparkSession, d: str) -> DataFrame:
     return told.drop("line")
 
 
-DENSITIES_SQL = f"""WITH s AS ({PLOTS}), g AS ({GROUPS}), j AS (SELECT left(w_geocode, 12) AS geoid, sum(coalesce(TRY_CAST(jobs AS DOUBLE), 0)) AS jobs FROM ({BLOCKS}) GROUP BY 1), x AS (SELECT i FROM generate_series(-12, 110) t(i)),
-r AS (SELECT s.id, a.i AS cx, b.i AS cy FROM s CROSS JOIN x a CROSS JOIN x b WHERE greatest(s.x0 - (a.i * 100 + 50), a.i * 100 + 50 - (s.x0 + s.dx), 0) ** 2 + (s.y0 - (b.i * 100 + 50)) ** 2 <= 640000),
-k AS (SELECT geoid, county, population, a.i AS cx, b.i AS cy FROM g CROSS JOIN x a CROSS JOIN x b WHERE a.i * 100 + 50 BETWEEN g.a AND g.a + 2000 AND b.i * 100 + 50 BETWEEN g.c AND g.c + 2000), w AS (SELECT geoid, count(*) AS n FROM k GROUP BY 1),
-m AS (SELECT r.id, k.geoid, any_value(k.county) AS county, any_value(k.population) AS p, count(*) AS n FROM r JOIN k USING (cx, cy) GROUP BY 1, 2), area AS (SELECT id, count(*) * 10000 / 1609.344 ** 2 AS a FROM r GROUP BY 1),
+#: what a box takes of a strip between two chords' heights: an antiderivative of clamp(z, a, b) over z
+_CLAMPED = "CASE WHEN {z} < a THEN a * {z} WHEN {z} <= b THEN ({z} * {z} + a * a) / 2 ELSE b * {z} + (a * a - b * b) / 2 END"
+
+
+def _mean(u: str, v: str) -> str:
+    """Mean of clamp over z from ``u`` to ``v``, times the strip's height."""
+    return f"(y2 - y1) * CASE WHEN abs({u} - {v}) < 1e-9 THEN greatest(a, least(b, {u})) ELSE (({_CLAMPED.format(z=v)}) - ({_CLAMPED.format(z=u)})) / ({v} - {u}) END"
+
+
+#: a buffer of a level line is strips between the heights of its chords' ends; in each both sides are straight
+DENSITIES_SQL = f"""WITH s AS ({PLOTS}), g AS ({GROUPS}), j AS (SELECT left(w_geocode, 12) AS geoid, sum(coalesce(TRY_CAST(jobs AS DOUBLE), 0)) AS jobs FROM ({BLOCKS}) GROUP BY 1),
+h AS (SELECT i, 800 * sin(pi() * (i / 32 - 0.5)) AS u1, 800 * sin(pi() * ((i + 1) / 32 - 0.5)) AS u2, 800 * cos(pi() * (i / 32 - 0.5)) AS w1, 800 * cos(pi() * ((i + 1) / 32 - 0.5)) AS w2 FROM generate_series(0, 31) t(i)),
+p AS (SELECT s.id, g.geoid, g.county, g.population, g.a, g.a + 2000 AS b, s.x0, s.x0 + s.dx AS x1, u1, u2, w1, w2, greatest(g.c, s.y0 + u1) - s.y0 AS y1, least(g.c + 2000, s.y0 + u2) - s.y0 AS y2 FROM s CROSS JOIN g CROSS JOIN h WHERE greatest(g.c, s.y0 + u1) < least(g.c + 2000, s.y0 + u2)),
+q AS (SELECT *, w1 + (y1 - u1) / (u2 - u1) * (w2 - w1) AS v1, w1 + (y2 - u1) / (u2 - u1) * (w2 - w1) AS v2 FROM p), e AS (SELECT *, x1 + v1 AS r1, x1 + v2 AS r2, x0 - v1 AS l1, x0 - v2 AS l2 FROM q),
+m AS (SELECT id, geoid, any_value(county) AS county, any_value(population) AS p, sum({_mean("r1", "r2")} - {_mean("l1", "l2")}) / 4e6 AS w FROM e GROUP BY 1, 2),
 f AS (SELECT CAST(r_regionkey AS VARCHAR) AS county, (150 + r_regionkey * 7) / (100 + r_regionkey) AS f FROM region WHERE r_regionkey < 4),
-t AS (SELECT m.id, sum(m.n / w.n * m.p) AS p, sum(m.n / w.n * coalesce(j.jobs, 0)) AS e, sum(m.n / w.n * m.p * coalesce(f.f, 1.15)) AS later FROM m JOIN w USING (geoid) LEFT JOIN j USING (geoid) LEFT JOIN f USING (county) GROUP BY 1)
+t AS (SELECT m.id, sum(w * m.p) AS p, sum(w * coalesce(j.jobs, 0)) AS e, sum(w * m.p * coalesce(f.f, 1.15)) AS later FROM m LEFT JOIN j USING (geoid) LEFT JOIN f USING (county) WHERE w > 0 GROUP BY 1), area AS (SELECT id, (1600 * dx + 32 * 640000 * sin(pi() / 32)) / 1609.344 ** 2 AS a FROM s)
 SELECT s.id, coalesce(round_even(t.p / a, 2), 0) AS population_density, coalesce(round_even(t.e / a, 2), 0) AS employment_density, coalesce(round_even(t.later / a, 2), 0) AS population_density_2050, coalesce(round_even(t.e * 1.10 / a, 2), 0) AS employment_density_2050 FROM s LEFT JOIN t USING (id) LEFT JOIN area USING (id)"""
 
 QUERIES = {
@@ -268,7 +312,8 @@ QUERIES = {
     "split_flagged": (flagged_pieces, PIECES_SQL),
     "apply_evacuation": (evacuation, None),
     "road_graph": (road_graph, GRAPH_SQL),
-    "sole_connections": (sole_connections, None),
+    "sole_connections": (sole_connections, SOLE_SQL),
     "geometry_measures": (measures, MEASURES_SQL),
+    "segment_lines": (segment_lines, LINES_SQL),
     "density_metrics": (densities, DENSITIES_SQL),
 }

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.functions import scalars as P
+from waymark.functions.classify import source_agreement
 from waymark.operators import reports
 from waymark.operators import stations as S
 from waymark.plans.adapters import POINTS_SQL, SEGMENTS_SQL, points, read, segments, stations
 
 PTS = f"WITH {POINTS_SQL}"
-_KNN = """pairs AS (SELECT p.unique_id, p.year, s.tc_number, sqrt(pow(p.x - s.x, 2) + pow(p.y - s.y, 2)) AS distance FROM pts p JOIN sta s USING (year)),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY distance, tc_number) AS k_rank FROM pairs QUALIFY k_rank <= 5),
-link AS (SELECT p.unique_id, p.year, CAST(k AS INTEGER) AS k_rank, r.tc_number, r.distance FROM pts p CROSS JOIN generate_series(1, 5) g(k) LEFT JOIN ranked r ON r.unique_id = p.unique_id AND r.k_rank = k)"""
+_KNN = """pairs AS (SELECT p.unique_id, p.year, s.tc_number, sqrt(pow(p.x - s.x, 2) + pow(p.y - s.y, 2)) AS distance FROM pts p JOIN sta s USING (year) WHERE p.x IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY unique_id, year ORDER BY distance, tc_number) AS k_rank FROM pairs QUALIFY k_rank <= 5),
+link AS (SELECT p.unique_id, p.year, CAST(k AS INTEGER) AS k_rank, r.tc_number, r.distance FROM pts p CROSS JOIN generate_series(1, 5) g(k) LEFT JOIN ranked r ON r.unique_id = p.unique_id AND r.year = p.year AND r.k_rank = k)"""
 
 
 def _links(spark: SparkSession, d: str) -> DataFrame:
@@ -31,8 +32,8 @@ def idw(spark: SparkSession, d: str) -> DataFrame:
 
 IDW_SQL = f"""{PTS}, {_KNN}, met AS (SELECT l.*, CASE WHEN l.distance <= 2000 THEN CAST(s.aadt AS DOUBLE) END AS v FROM link l LEFT JOIN sta s ON l.year = s.year AND l.tc_number = s.tc_number),
 g AS (SELECT unique_id, year, round_even(sum(v / greatest(distance, 1)) / sum(CASE WHEN v IS NOT NULL THEN 1 / greatest(distance, 1) END), 0) AS p, min(v) AS low, max(v) AS high, count(v) AS n FROM met GROUP BY 1, 2),
-f AS (SELECT unique_id, distance AS d, tc_number AS tc FROM link WHERE k_rank = 1),
-t AS (SELECT g.*, f.d, f.tc, n > 0 AND coalesce(f.d <= 2000, false) AS ok FROM g JOIN f USING (unique_id))
+f AS (SELECT unique_id, year, distance AS d, tc_number AS tc FROM link WHERE k_rank = 1),
+t AS (SELECT g.*, f.d, f.tc, n > 0 AND coalesce(f.d <= 2000, false) AS ok FROM g JOIN f USING (unique_id, year))
 SELECT unique_id, year, CASE WHEN ok THEN CAST(p AS BIGINT) END AS predicted, CASE WHEN ok THEN CAST(least(low, p) AS BIGINT) END AS lower, CASE WHEN ok THEN CAST(greatest(high, p) AS BIGINT) END AS upper,
   CASE WHEN NOT ok THEN 'none' WHEN d <= 500 AND tc % 2 = 1 THEN 'high' ELSE 'medium' END AS confidence, CASE WHEN ok THEN n ELSE 0 END AS n_used, round_even(d, 1) AS nearest_distance_m, tc AS nearest_tc_number FROM t"""
 
@@ -45,14 +46,18 @@ FOLDS_SQL = "SELECT c_custkey, CAST((row_number() OVER (ORDER BY md5('42' || c_c
 
 
 def wide(spark: SparkSession, d: str) -> DataFrame:
-    s = stations(spark, d)
-    resolver = s.select("year", "tc_number", F.concat(F.lit("U"), F.floor(F.col("tc_number") / 2).cast("string")).alias("station_uid"), F.when(F.col("tc_number") % 9 == 0, "unresolved").otherwise("tc_number").alias("resolver_method"))
-    return S.station_wide(s, resolver, [2020, 2021, 2022])
+    """Values and trucks by year of stations with a row of 2022, with that row's attributes."""
+    k, year = F.col("tc_number"), F.col("year")
+    s = stations(spark, d).where((k + year) % 8 != 0).withColumns({"single": F.when(k % 3 != 0, k % 300), "combo": F.when((k + year) % 4 != 0, k % 200), "statistics_type": F.when(k % 2 == 0, "Actual")})
+    s = s.select("year", "tc_number", "aadt", S.truck_aadt(F.col("single"), F.col("combo")).alias("truck_aadt"), F.col("y").alias("latitude"), F.col("x").alias("longitude"), F.col("FUNCTIONAL_CLASS").alias("functional_class"), "statistics_type")
+    resolver = s.select("year", "tc_number", F.concat(F.lit("U"), F.floor(k / 2).cast("string")).alias("station_uid"), F.when(k % 9 == 0, "unresolved").otherwise("tc_number").alias("resolver_method"))
+    return S.station_wide(s, resolver, [2020, 2021, 2022], ("aadt", "truck_aadt"), 2022)
 
 
-WIDE_SQL = f"""{PTS}, u AS (SELECT *, 'U' || CAST(tc_number // 2 AS VARCHAR) AS station_uid FROM sta WHERE tc_number % 9 <> 0),
-w AS (SELECT station_uid, {", ".join(f"arg_min(aadt, tc_number) FILTER (year = {y} AND aadt IS NOT NULL) AS aadt_{y}" for y in (2020, 2021, 2022))} FROM u GROUP BY 1)
-SELECT *, CAST((aadt_2020 IS NOT NULL)::INT + (aadt_2021 IS NOT NULL)::INT + (aadt_2022 IS NOT NULL)::INT AS INTEGER) AS years_with_data FROM w"""
+_WIDE = ", ".join(f"arg_min({v}, tc_number) FILTER (year = {y} AND {v} IS NOT NULL) AS {v}_{y}" for v in ("aadt", "truck_aadt") for y in (2020, 2021, 2022))
+WIDE_SQL = f"""{PTS}, u AS (SELECT *, 'U' || CAST(tc_number // 2 AS VARCHAR) AS station_uid, CASE WHEN tc_number % 3 <> 0 OR (tc_number + year) % 4 <> 0 THEN CASE WHEN tc_number % 3 <> 0 THEN tc_number % 300 ELSE 0 END + CASE WHEN (tc_number + year) % 4 <> 0 THEN tc_number % 200 ELSE 0 END END AS truck_aadt FROM sta WHERE tc_number % 9 <> 0 AND (tc_number + year) % 8 <> 0),
+w AS (SELECT station_uid, {_WIDE} FROM u GROUP BY 1), f AS (SELECT * FROM u WHERE year = 2022 QUALIFY row_number() OVER (PARTITION BY station_uid ORDER BY tc_number) = 1)
+SELECT w.*, CAST((aadt_2020 IS NOT NULL)::INT + (aadt_2021 IS NOT NULL)::INT + (aadt_2022 IS NOT NULL)::INT AS INTEGER) AS years_with_data, f.tc_number AS tc_number_2022, f.y AS latitude, f.x AS longitude, f.FUNCTIONAL_CLASS AS functional_class, CASE WHEN f.tc_number % 2 = 0 THEN 'Actual' END AS statistics_type_2022 FROM w JOIN f USING (station_uid)"""
 
 
 def trajectory(spark: SparkSession, d: str) -> DataFrame:
@@ -115,10 +120,12 @@ AGREEMENT_SQL = f"""WITH {_TIERS_SQL} SELECT count(*) AS n, round_even(100.0 * c
 
 
 def differences(spark: SparkSession, d: str) -> DataFrame:
-    return reports.largest_differences(segments(spark, d), "AADT", "HPMS_AADT", "miles", "unique_id").select("unique_id", "impact")
+    """The largest of the rows that disagree; the rest, however far apart, don't count."""
+    told = source_agreement(F.col("AADT"), F.col("HPMS_AADT"))
+    return reports.largest_differences(segments(spark, d).where("AADT > 20000 or HPMS_AADT > 100"), "AADT", "HPMS_AADT", "miles", "unique_id", agreement=told).select("unique_id", "impact")
 
 
-DIFFERENCES_SQL = f"WITH {SEGMENTS_SQL} SELECT unique_id, abs(AADT - HPMS_AADT) * miles AS impact FROM seg WHERE AADT IS NOT NULL ORDER BY 2 DESC, 1 LIMIT 20"
+DIFFERENCES_SQL = f"WITH {SEGMENTS_SQL} SELECT unique_id, abs(AADT - HPMS_AADT) * miles AS impact FROM seg WHERE (AADT > 20000 OR HPMS_AADT > 100) AND abs(AADT - HPMS_AADT) > 200 AND (AADT = 0 OR abs(AADT - HPMS_AADT) * 100 > 15 * abs(AADT)) ORDER BY 2 DESC, 1 LIMIT 20"
 
 
 def column_coverage(spark: SparkSession, d: str) -> DataFrame:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.functions.scalars import clean_text, null_bad_coordinates, parse_functional_class, parse_lat_long, recode_statistics_type, round_milepoint, without_decimal
-from waymark.operators.spatial import point_in_polygon
+from waymark.lineage import checkpointed
+from waymark.operators.spatial import polygons_meeting
 
 STATION_COLUMNS = {
     "year": "int", "tc_number": "string", "latitude": "double", "longitude": "double", "aadt": "bigint", "statistics_type": "string", "single_unit_aadt": "bigint", "combo_unit_aadt": "bigint",
@@ -146,6 +147,15 @@ def load_roadway_inventory(segments: DataFrame, district: int | None = None, kee
     return segments.where(wanted).select(*(keep or segments.columns))
 
 
+def load_all(segments: DataFrame, categories: dict[str, Callable[[DataFrame], DataFrame]], district: int | None = None, keep: list[str] | None = None) -> dict[str, DataFrame]:
+    """The roadway inventory (``roadways``), of one district if given, and each category's metrics of it by name.
+
+    The inventory is written to the checkpoint folder once, as all categories read it.
+    """
+    roadways = checkpointed(load_roadway_inventory(segments, district, keep))
+    return {"roadways": roadways} | {name: metrics(roadways) for name, metrics in categories.items()}
+
+
 def write_segments(segments: DataFrame, path: str, geometry: str = "geometry", partition: str = "DISTRICT") -> None:
     """Two tables below ``path``: attributes without, and all with geometry; columns that begin with ``_`` are internal."""
     public = segments.drop(*[c for c in segments.columns if c.startswith("_")])
@@ -153,6 +163,25 @@ def write_segments(segments: DataFrame, path: str, geometry: str = "geometry", p
     public.write.mode("overwrite").partitionBy(partition).parquet(f"{path}/features")
 
 
+def write_feature_json(rows: DataFrame, path: str) -> None:
+    """One JSON file of ``features[].attributes``. A feature file is one value, so this is for layers, not for tables of any size."""
+    whole = rows.agg(F.to_json(F.struct(F.collect_list(F.struct(F.struct(*rows.columns).alias("attributes"))).alias("features")), {"ignoreNullFields": "false"}).alias("value"))
+    whole.write.mode("overwrite").text(path)
+
+
+def write_geojson(rows: DataFrame, kind: str, parts: str, path: str) -> None:
+    """One GeoJSON file of a layer whose ``parts`` are arrays of (x, y): one for a Point or LineString, the rings of a Polygon."""
+
+    def pairs(p: Column) -> Column:
+        return F.transform(p, lambda v: F.array(v["x"], v["y"]))
+
+    coordinates = {"Point": F.get(pairs(F.get(F.col(parts), 0)), 0), "LineString": pairs(F.get(F.col(parts), 0)), "Polygon": F.transform(parts, pairs)}[kind]
+    properties = F.struct(*[c for c in rows.columns if c != parts])
+    feature = F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")).alias("geometry"))
+    whole = rows.agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features")), {"ignoreNullFields": "false"}).alias("value"))
+    whole.write.mode("overwrite").text(path)
+
+
 def code_snapshot(layer: DataFrame, id_: str, name: str) -> DataFrame:
     """Distinct trimmed, non-empty id and name, sorted."""
     return layer.select(clean_text(F.col(id_).cast("string")).alias("id"), clean_text(F.col(name).cast("string")).alias("name")).where("id is not null and name is not null").distinct().orderBy("id", "name")
@@ -183,12 +212,9 @@ def normalize_boundary_layer(layer: DataFrame, id_candidates: tuple[str, ...], i
 
 
 def within_state(layer: DataFrame, polygon: str, state: DataFrame, size: float) -> DataFrame:
-    """Polygons of a layer that have a vertex inside the state's outline: membership, no clipping of rings."""
-    points = layer.select(polygon, F.posexplode(F.flatten("rings")).alias("_n", "p")).withColumn("_v", F.concat_ws("/", F.col(polygon).cast("string"), F.col("_n").cast("string")))
+    """Polygons of a layer that have a point in common with the state: one that covers it or crosses it without a vertex inside stays too. No clipping of rings."""
     outline = state.select(F.lit(1).alias("_state"), "rings")
-    inside = point_in_polygon(points.select("_v", "p"), "_v", outline, "_state", size).where("_state is not null")
-    kept = points.join(inside, "_v", "left_semi").select(polygon).distinct()
-    return layer.join(kept, polygon, "left_semi")
+    return layer.join(polygons_meeting(layer, polygon, outline, "_state", size).select(polygon).distinct(), polygon, "left_semi")
 
 
 def county_projections(rows: DataFrame, counties: DataFrame, expected: int) -> DataFrame:
