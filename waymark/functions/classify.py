@@ -128,12 +128,18 @@ def local_family(system: Column, function: Column, suffix: Column, signing: Colu
     )
 
 
+# Short types by function, family and local family.
+FUNCTION_TYPES = {2: "RP", 3: "CD", 4: "RC", 5: "FR", 6: "ALY"}
+FAMILY_TYPES = {"Interstate": "I", "U.S. Route": "US", "State Route": "SR"}
+LOCAL_TYPES = {"County Road": "CR", "City Street": "CS", "Private Road": "PR", "Federal Route": "FED"}
+
+
 def route_type(function: Column, suffix: Column, signed: Column, local: Column) -> Column:
     """Short route type of the function type, suffix and families."""
     f, x = as_int(function), F.coalesce(suffix, F.lit(""))
-    by_function = F.try_element_at(mapping({2: "RP", 3: "CD", 4: "RC", 5: "FR", 6: "ALY"}), f.cast("int"))
+    by_function = F.try_element_at(mapping(FUNCTION_TYPES), f.cast("int"))
     business = F.when(signed == "Interstate", "BI").when(signed == "U.S. Route", "BU").otherwise("BS")
-    by_family = F.coalesce(F.try_element_at(mapping({"Interstate": "I", "U.S. Route": "US", "State Route": "SR"}), signed), F.try_element_at(mapping({"County Road": "CR", "City Street": "CS", "Private Road": "PR", "Federal Route": "FED"}), local))
+    by_family = F.coalesce(F.try_element_at(mapping(FAMILY_TYPES), signed), F.try_element_at(mapping(LOCAL_TYPES), local))
     express = F.coalesce(f == 7, F.lit(False)) | x.isin(*EXPRESS_SUFFIXES)
     return F.coalesce(by_function, F.when(express, "ML"), F.when(f == 8, "YC"), F.when(x.isin("BU", "SB"), business), F.try_element_at(mapping(SUFFIX_TYPES), x), by_family, F.lit("OT"))
 
@@ -224,6 +230,7 @@ def priority_tier(columns: list[str]) -> Column:
     def reasons(*pairs: tuple[Column, str]) -> Column:
         return F.array_compact(F.array(*[F.when(test, F.lit(text)) for test, text in pairs]))
 
+    # fixed values: the texts of the reasons
     critical = reasons(
         (F.coalesce(fc == 1, F.lit(False)) | is_true(c("SIGNED_INTERSTATE_FLAG")), "Interstate"),
         (nhfn != 0, "National freight corridor (NHFN)"),

@@ -60,12 +60,29 @@ def _capsule(e: Column, c: Column, radius: float) -> Column:
     return F.filter(clipped, lambda x: x["b"] > x["a"])
 
 
+def _met(segments: DataFrame, keys: list[str], corridors: DataFrame, on: list[str], radius: float, size: float) -> DataFrame:
+    """(keys, on, _e, _c): pairs of edges whose cells meet within the radius.
+
+    A pair belongs to the first cell that both touch, so it is met once and not shuffled again.
+    """
+    near = _edges(segments, keys, size, radius).join(_edges(corridors, on, size, 0.0).withColumnRenamed("_e", "_c"), "_cell")
+    e, c = F.col("_e"), F.col("_c")
+
+    def first(a: str, b: str) -> Column:
+        return F.greatest(F.floor((F.least(e[a], e[b]) - radius) / size), F.floor(F.least(c[a], c[b]) / size))
+
+    return near.where((F.col("_cell.cx") == first("ax", "bx")) & (F.col("_cell.cy") == first("ay", "by")))
+
+
+def _along(e: Column, c: Column, radius: float) -> Column:
+    """array<struct<from_m, to_m>>: stretches of the line of edge ``e`` within the radius of edge ``c``."""
+    return F.transform(_capsule(e, c, radius), lambda p: F.struct((e["at"] + p["a"] * e["len"]).alias("from_m"), (e["at"] + p["b"] * e["len"]).alias("to_m")))
+
+
 def covered_ranges(segments: DataFrame, id_: str, corridors: DataFrame, radius: float, size: float = 500.0) -> DataFrame:
     """(id, corridor, from_m, to_m): stretches of each segment within the radius of each corridor."""
-    near = _edges(segments, [id_], size, radius).join(_edges(corridors, ["corridor"], size, 0.0).withColumnRenamed("_e", "_c"), "_cell")
-    near = near.dropDuplicates([id_, "corridor", "_e", "_c"])
-    parts = near.select(id_, "corridor", "_e", F.explode(_capsule(F.col("_e"), F.col("_c"), radius)).alias("_p"))
-    ranges = parts.select(id_, "corridor", (F.col("_e.at") + F.col("_p.a") * F.col("_e.len")).alias("from_m"), (F.col("_e.at") + F.col("_p.b") * F.col("_e.len")).alias("to_m"))
+    near = _met(segments, [id_], corridors, ["corridor"], radius, size)
+    ranges = near.select(id_, "corridor", F.inline(_along(F.col("_e"), F.col("_c"), radius)))
     return merge_intervals(ranges, [id_, "corridor"], 0.5)
 
 
@@ -135,14 +152,24 @@ def corridor_candidates(segments: DataFrame, id_: str, corridors: DataFrame, rul
 
     The angle is that between the segment and the corridor's longest stretch near it.
     """
-    loose = length_within(segments, id_, corridors, rules.loose)
-    tight = length_within(segments, id_, corridors, rules.tight).withColumnRenamed("overlap_m", "tight_m")
-    told = loose.join(tight, [id_, "corridor"], "left").na.fill(0.0, ["tight_m"])
-    told = told.join(segments.select(id_, G.line_length(F.col("line")).alias("length_m"), G.azimuth(F.col("line")).alias("_z")), id_)
     parts = checkpointed(corridors.withColumn("_part", F.monotonically_increasing_id()).select("_part", "corridor", "line"))
-    near = covered_ranges(parts, "_part", segments.withColumnRenamed(id_, "_id").select(F.col("_id").alias("corridor"), "line"), rules.angle_reach).withColumnRenamed("corridor", id_)
-    near = near.join(parts.select("_part", "corridor"), "_part")
-    way = section_azimuths(parts, [id_, "corridor"], near, ["_part"])
+    near = _met(segments, [id_], parts, ["_part", "corridor"], max(rules.loose, rules.tight, rules.angle_reach), 500.0)
+    e, c = F.col("_e"), F.col("_c")
+
+    def told_as(kind: str, part: Column, ranges: Column) -> Column:
+        return F.transform(ranges, lambda r: F.struct(F.lit(kind).alias("kind"), part.alias("_part"), r["from_m"].alias("from_m"), r["to_m"].alias("to_m")))
+
+    # one join gives the segment's stretches at both reaches and those of each corridor line near it
+    whole = F.lit(-1).cast("bigint")
+    each = F.concat(told_as("loose", whole, _along(e, c, rules.loose)), told_as("tight", whole, _along(e, c, rules.tight)), told_as("back", F.col("_own"), _along(c, e, rules.angle_reach)))
+    rows = near.withColumnRenamed("_part", "_own").select(id_, "corridor", F.inline(each))
+    ranges = checkpointed(merge_intervals(rows, [id_, "corridor", "kind", "_part"], 0.5))
+    length = F.sum(F.col("to_m") - F.col("from_m"))
+    told = ranges.where("kind = 'loose'").groupBy(id_, "corridor").agg(length.alias("overlap_m"))
+    tight = ranges.where("kind = 'tight'").groupBy(id_, "corridor").agg(length.alias("tight_m"))
+    told = told.join(tight, [id_, "corridor"], "left").na.fill(0.0, ["tight_m"])
+    told = told.join(segments.select(id_, G.line_length(F.col("line")).alias("length_m"), G.azimuth(F.col("line")).alias("_z")), id_)
+    way = section_azimuths(parts, [id_, "corridor"], ranges.where("kind = 'back'"), ["_part"])
     told = told.join(way, [id_, "corridor"], "left")
     return checkpointed(told.select(id_, "corridor", "overlap_m", "tight_m", "length_m", (F.col("overlap_m") / F.col("length_m")).alias("share"), (F.col("tight_m") / F.col("length_m")).alias("tight_share"), G.alignment_angle(F.col("_z"), F.col("azimuth")).alias("angle")))
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -71,6 +72,76 @@ def column_coverage(df: DataFrame, columns: list[str]) -> DataFrame:
     return long.withColumn("filled_pct", percent(F.col("filled"), F.col("rows")))
 
 
+@dataclass(frozen=True)
+class Summary:
+    """What an enrichment's summary counts, by item: rows with a value, with a flag, with one value, without; and rows by value (``known``: nulls left out), by part of a joined text, and by pair of values."""
+
+    filled: dict[str, str] = field(default_factory=dict)
+    flags: dict[str, str] = field(default_factory=dict)
+    equal: dict[str, tuple[str, str]] = field(default_factory=dict)
+    missing: dict[str, str] = field(default_factory=dict)
+    values: dict[str, str] = field(default_factory=dict)
+    known: dict[str, str] = field(default_factory=dict)
+    parts: dict[str, tuple[str, str]] = field(default_factory=dict)
+    pairs: dict[str, tuple[str, str]] = field(default_factory=dict)
+
+
+# Items of the six summaries and the columns they count.
+_HPMS_COVERAGE = {f"hpms_{n}_coverage": f"HPMS_{c}" for n, c in (("iri", "IRI"), ("psr", "PSR"), ("rutting", "RUTTING"), ("cracking", "CRACKING_PCT"), ("access_control", "ACCESS_CONTROL"), ("terrain", "TERRAIN_TYPE"), ("nhfn", "NHFN"), ("strahnet_type", "STRAHNET_TYPE"), ("route_signing", "ROUTE_SIGNING"))}
+SUMMARIES = {
+    "speed_limits": Summary(filled={"speed_limit_coverage": "SPEED_LIMIT"}, flags={"school_zone_segments": "IS_SCHOOL_ZONE"}, values={"speed_limit_source_counts": "SPEED_LIMIT_SOURCE"}, known={"speed_limit_distribution": "SPEED_LIMIT"}),
+    "hpms": Summary(
+        filled=_HPMS_COVERAGE | {"final_aadt_coverage": "AADT"}, equal={"hpms_aadt_filled": ("AADT_2024_SOURCE", "hpms_2024"), "hpms_signing_upgrades": ("SIGNED_ROUTE_VERIFY_SOURCE", "hpms_2024")},
+        values={"signed_route_source_counts": "SIGNED_ROUTE_VERIFY_SOURCE", "final_aadt_source_counts": "AADT_2024_SOURCE"},
+    ),
+    "signed_routes": Summary(
+        flags={"signed_interstate_segments": "SIGNED_INTERSTATE_FLAG", "signed_us_route_segments": "SIGNED_US_ROUTE_FLAG", "signed_state_route_segments": "SIGNED_STATE_ROUTE_FLAG"},
+        values={"primary_family_counts": "SIGNED_ROUTE_FAMILY_PRIMARY", "verification_confidence_counts": "SIGNED_ROUTE_VERIFY_CONFIDENCE", "verification_source_counts": "SIGNED_ROUTE_VERIFY_SOURCE", "verification_method_counts": "SIGNED_ROUTE_VERIFY_METHOD"},
+    ),
+    "evacuation": Summary(flags={"evacuation_segments": "SEC_EVAC", "contraflow_segments": "SEC_EVAC_CONTRAFLOW"}, parts={"evacuation_route_names": ("SEC_EVAC_ROUTE_NAME", "; ")}),
+    "priority": Summary(missing={"null_srp_count": "SRP_DERIVED"}, known={"tier_counts": "SRP_DERIVED"}, parts={"reason_counts": ("SRP_DERIVED_REASONS", " | ")}, pairs={"tier_by_route_type": ("ROUTE_TYPE_GDOT", "SRP_DERIVED")}),
+    "phase_1b": Summary(
+        filled={"nhfn_non_null": "NHFN", "strahnet_type_non_null": "STRAHNET_TYPE"}, flags={"grip_flagged": "IS_GRIP_CORRIDOR", "epz_flagged": "IS_NUCLEAR_EPZ_ROUTE", "sole_connection_flagged": "IS_SOLE_COUNTY_SEAT_CONNECTION"},
+        missing={"srp_null_count": "SRP_DERIVED"}, known={"srp_tier_counts": "SRP_DERIVED"},
+    ),
+}
+
+
+def enrichment_summary(df: DataFrame, name: str, spec: Summary | None = None, gap_fills: tuple[str, ...] = ()) -> DataFrame:
+    """(summary, item, member, rows): an enrichment's counts as one long table, from one pass.
+
+    ``gap_fills`` are further columns whose filled rows count (``hpms_gap_fill_<column>``). An item
+    of a column that ``df`` lacks is 0, or has no members; a null member is "-".
+    """
+    spec = spec or SUMMARIES[name]
+    filled = spec.filled | {f"hpms_gap_fill_{c.lower()}": c for c in gap_fills}
+
+    def has(*columns: str) -> bool:
+        return all(c in df.columns for c in columns)
+
+    def text(c: str) -> Column:
+        return F.col(c).cast("string")
+
+    ones = {i: F.col(c).isNotNull() if has(c) else F.lit(False) for i, c in filled.items()}
+    ones |= {i: F.coalesce(F.col(c).cast("boolean"), F.lit(False)) if has(c) else F.lit(False) for i, c in spec.flags.items()}
+    ones |= {i: F.col(c) == v if has(c) else F.lit(False) for i, (c, v) in spec.equal.items()}
+    ones |= {i: F.col(c).isNull() for i, c in spec.missing.items() if has(c)}
+
+    def told(item: str, members: Column) -> Column:
+        return F.transform(members, lambda m: F.struct(F.lit(item).alias("item"), m.alias("member")))
+
+    none = F.array().cast("array<string>")
+    lists = [told("segment_count", F.array(F.lit("")))] + [told(i, F.when(x, F.array(F.lit(""))).otherwise(none)) for i, x in ones.items()]
+    lists += [told(i, F.array(F.coalesce(text(c), F.lit("-")))) for i, c in spec.values.items() if has(c)]
+    lists += [told(i, F.array_compact(F.array(text(c)))) for i, c in spec.known.items() if has(c)]
+    lists += [told(i, F.filter(F.transform(F.coalesce(F.split(text(c), re.escape(by)), none), lambda x: F.trim(x)), lambda x: x != "")) for i, (c, by) in spec.parts.items() if has(c)]
+    lists += [told(i, F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.array(F.concat_ws("/", text(a), text(b)))).otherwise(none)) for i, (a, b) in spec.pairs.items() if has(a, b)]
+    counts = df.select(F.explode(F.concat(*lists)).alias("_c")).groupBy("_c.item", "_c.member").agg(F.count("*").alias("rows"))
+    fixed = df.sparkSession.createDataFrame([(i, "") for i in ("segment_count", *ones)], "item string, member string")
+    every = fixed.join(counts, ["item", "member"], "left").na.fill(0, ["rows"]).unionByName(counts.where("member <> ''"))
+    return every.select(F.lit(name).alias("summary"), "item", "member", "rows")
+
+
 def family_counts(df: DataFrame, family: str = "ROUTE_FAMILY") -> DataFrame:
     return df.groupBy(F.coalesce(family, F.lit("Unknown")).alias("family")).agg(F.count("*").alias("rows")).orderBy("family")
 

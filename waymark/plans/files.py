@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from waymark.functions import geometry as G
 from waymark.functions import scalars as P
 from waymark.lineage import checkpointed, shared_folder
-from waymark.operators import intervals
+from waymark.operators import intervals, reports
 from waymark.plans.adapters import SEGMENTS_SQL, made, read, segments
 from waymark.plans.rules import _pick
 from waymark.sources import tables
@@ -130,7 +130,68 @@ THEMES_SQL = f"""WITH s AS ({THEMED}) SELECT id, id % 3 <> 0 AND id % 7 <> 0 AS
   coalesce(CASE WHEN trim("HWY_NAME") <> '' THEN "HWY_NAME" END, CASE WHEN trim("ROUTE_ID") <> '' THEN "ROUTE_ID" END, 'Roadway segment') AS road_name, CASE WHEN "SEC_EVAC_CONTRAFLOW" = 1 THEN 'Contraflow Route' WHEN "SEC_EVAC" = 1 THEN 'Evacuation Route' END AS sec_evac,
   CASE WHEN "AADT" > 0 THEN round("SINGLE_UNIT_AADT_2024" * 100 / "AADT", 1) END AS pct_sadt, CASE WHEN "AADT" > 0 THEN round("COMBO_UNIT_AADT_2024" * 100 / "AADT", 1) END AS pct_cadt, "AADT" AS aadt, "SPEED_LIMIT" AS speed_limit, CAST(NULL AS VARCHAR) AS vmt FROM s"""
 
+ENRICHED = f"""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(20 + o_orderkey % 5 * 5 AS INTEGER) END AS "SPEED_LIMIT", o_orderkey % 7 = 0 AS "IS_SCHOOL_ZONE", {_pick(["zone", None, "route"], "o_orderkey")} AS "SPEED_LIMIT_SOURCE", CASE WHEN o_orderkey % 11 < 4 THEN 1.5 END AS "HPMS_IRI", CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS "AADT",
+  {_pick(["hpms_2024", "official_exact", None, "hpms_2024", "direction_mirror"], "o_orderkey")} AS "AADT_2024_SOURCE", {_pick(["hpms_2024", "layer", None, None], "o_orderkey")} AS "SIGNED_ROUTE_VERIFY_SOURCE", o_orderkey % 13 = 0 AS "SIGNED_INTERSTATE_FLAG", CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 5 = 0 END AS "SIGNED_US_ROUTE_FLAG", {_pick(["Interstate", None, "State Route"], "o_orderkey")} AS "SIGNED_ROUTE_FAMILY_PRIMARY",
+  o_orderkey % 6 = 0 AS "SEC_EVAC", o_orderkey % 18 = 0 AS "SEC_EVAC_CONTRAFLOW", {_pick(["SR 1; I 16", "SR 1", None, " ; Coast Way; ", ""], "o_orderkey")} AS "SEC_EVAC_ROUTE_NAME", {_pick(["High", "Low", None, "Medium"], "o_orderkey")} AS "SRP_DERIVED", {_pick(["NHS route | US route", "US route", None], "o_orderkey")} AS "SRP_DERIVED_REASONS", {_pick(["SR", "US", None], "o_orderkey")} AS "ROUTE_TYPE_GDOT", CASE WHEN o_orderkey % 9 = 0 THEN 1 END AS "NHFN", o_orderkey % 10 = 0 AS "IS_GRIP_CORRIDOR" FROM orders"""
+
+
+def summaries(spark: SparkSession, d: str) -> DataFrame:
+    """All six summaries of enriched rows; columns that are not there count as 0."""
+    s = made(spark, d, ENRICHED.replace('"', "`"))
+    told = [reports.enrichment_summary(s, name, gap_fills=("SPEED_LIMIT",) if name == "hpms" else ()) for name in reports.SUMMARIES]
+    whole = told[0]
+    for df in told[1:]:
+        whole = whole.unionByName(df)
+    return whole
+
+
+def _summaries_sql() -> str:
+    out = []
+
+    def one(summary: str, item: str, condition: str) -> None:
+        out.append(f"SELECT '{summary}' AS summary, '{item}' AS item, '' AS member, count(*) FILTER ({condition}) AS rows FROM s")
+
+    def each(summary: str, item: str, member: str, source: str = "s") -> None:
+        out.append(f"SELECT '{summary}', '{item}', {member}, count(*) FROM {source} GROUP BY 3")
+
+    for summary in ("speed_limits", "hpms", "signed_routes", "evacuation", "priority", "phase_1b"):
+        one(summary, "segment_count", "true")
+    one("speed_limits", "speed_limit_coverage", "SPEED_LIMIT IS NOT NULL")
+    one("speed_limits", "school_zone_segments", "IS_SCHOOL_ZONE")
+    each("speed_limits", "speed_limit_source_counts", "coalesce(SPEED_LIMIT_SOURCE, '-')")
+    each("speed_limits", "speed_limit_distribution", "CAST(SPEED_LIMIT AS VARCHAR)", "s WHERE SPEED_LIMIT IS NOT NULL")
+    for n in ("iri", "psr", "rutting", "cracking", "access_control", "terrain", "nhfn", "strahnet_type", "route_signing"):
+        one("hpms", f"hpms_{n}_coverage", "HPMS_IRI IS NOT NULL" if n == "iri" else "false")
+    one("hpms", "hpms_gap_fill_speed_limit", "SPEED_LIMIT IS NOT NULL")
+    one("hpms", "final_aadt_coverage", "AADT IS NOT NULL")
+    one("hpms", "hpms_aadt_filled", "AADT_2024_SOURCE = 'hpms_2024'")
+    one("hpms", "hpms_signing_upgrades", "SIGNED_ROUTE_VERIFY_SOURCE = 'hpms_2024'")
+    each("hpms", "signed_route_source_counts", "coalesce(SIGNED_ROUTE_VERIFY_SOURCE, '-')")
+    each("hpms", "final_aadt_source_counts", "coalesce(AADT_2024_SOURCE, '-')")
+    one("signed_routes", "signed_interstate_segments", "SIGNED_INTERSTATE_FLAG")
+    one("signed_routes", "signed_us_route_segments", "SIGNED_US_ROUTE_FLAG")
+    one("signed_routes", "signed_state_route_segments", "false")
+    each("signed_routes", "primary_family_counts", "coalesce(SIGNED_ROUTE_FAMILY_PRIMARY, '-')")
+    each("signed_routes", "verification_source_counts", "coalesce(SIGNED_ROUTE_VERIFY_SOURCE, '-')")
+    one("evacuation", "evacuation_segments", "SEC_EVAC")
+    one("evacuation", "contraflow_segments", "SEC_EVAC_CONTRAFLOW")
+    each("evacuation", "evacuation_route_names", "x", "(SELECT trim(unnest(string_split(SEC_EVAC_ROUTE_NAME, '; '))) AS x FROM s) WHERE x <> ''")
+    one("priority", "null_srp_count", "SRP_DERIVED IS NULL")
+    each("priority", "tier_counts", "SRP_DERIVED", "s WHERE SRP_DERIVED IS NOT NULL")
+    each("priority", "reason_counts", "x", "(SELECT trim(unnest(string_split(SRP_DERIVED_REASONS, ' | '))) AS x FROM s) WHERE x <> ''")
+    each("priority", "tier_by_route_type", "ROUTE_TYPE_GDOT || '/' || SRP_DERIVED", "s WHERE ROUTE_TYPE_GDOT IS NOT NULL AND SRP_DERIVED IS NOT NULL")
+    one("phase_1b", "nhfn_non_null", "NHFN IS NOT NULL")
+    one("phase_1b", "strahnet_type_non_null", "false")
+    one("phase_1b", "grip_flagged", "IS_GRIP_CORRIDOR")
+    one("phase_1b", "epz_flagged", "false")
+    one("phase_1b", "sole_connection_flagged", "false")
+    one("phase_1b", "srp_null_count", "SRP_DERIVED IS NULL")
+    each("phase_1b", "srp_tier_counts", "SRP_DERIVED", "s WHERE SRP_DERIVED IS NOT NULL")
+    return f"WITH s AS ({ENRICHED}) " + " UNION ALL ".join(out)
+
+
 QUERIES = {
+    "enrichment_summaries": (summaries, _summaries_sql()),
     "interval_round_trip": (interval_round_trip, INTERVALS_SQL),
     "segments_round_trip": (segments_round_trip, WRITTEN_SQL),
     "layers_round_trip": (layers_round_trip, LAYERS_SQL),

@@ -176,12 +176,67 @@ PIECES_SQL = f"""{BASE}, s AS (SELECT id, dx + dy AS n, CASE WHEN id % 3 <> 0 AN
 SELECT id, x.i AS piece, CASE WHEN x.a = 0 THEN 0.0 ELSE round_even(10 * x.a / n, 4) END AS from_mp, CASE WHEN x.b = n THEN 10.0 ELSE round_even(10 * x.b / n, 4) END AS to_mp, x.f AS flagged, round_even(x.b - x.a, 3) AS metres FROM p"""
 
 
+#: segments close to the corridors, so that many have siblings, with a county each
+NEAR = f"""SELECT c_custkey AS id, CAST((c_custkey * 7919) % 3000 AS DOUBLE) + 0.5 AS x0, CAST(c_custkey % 25 AS DOUBLE) * 2100 + 130.0 + CAST(floor(c_custkey / 25) % 11 - 5 AS DOUBLE) * 11.3 AS y0, CASE WHEN c_custkey % 6 <> 0 THEN CAST(60 + (c_custkey % 9) * 150 AS DOUBLE) ELSE 0.0 END AS dx, CASE WHEN c_custkey % 6 <> 0 THEN 0.0 ELSE CAST(20 + (c_custkey % 7) * 30 AS DOUBLE) END AS dy,
+  {_pick(["SR-1", "US-27", "CS-4", "SR-3", "RAMP", "CR-12", "I-16", None, "SR-9", "CR-785"], "c_custkey")} AS name, {_pick(["SR", "US", "CS", "SR", "RP", "CR", "I", "OT", "SR", "CR"], "c_custkey")} AS kind, {_pick(["State Route", "U.S. Route", "Local/Other", "State Route", "State Route", "Local/Other", "Interstate", None, "State Route", "Local/Other"], "c_custkey")} AS family, 'C' || CAST(c_custkey % 3 AS VARCHAR(9)) AS county FROM customer"""
+FORCED = [("SR 1", "CS-4", "C1"), ("SR 3/US 27", "CR-12", "C2"), ("Coast Way", "SR-9", "C2"), ("I 16", "CS-4", "C0")]
+
+
+def corridor_filters(spark: SparkSession, d: str) -> DataFrame:
+    """What of the matches has a sibling, follows its corridor or is exempt; what the cap on samples leaves; what rules add."""
+    c = F.col
+    s = made(spark, d, NEAR).withColumn("line", _line((c("x0"), c("y0")), (c("x0") + c("dx"), c("y0") + c("dy"))))
+    lanes = corridors.build_corridors(_roads(spark, d), "id", "name")
+    found = corridors.corridor_candidates(s, "id", lanes)
+    matches = corridors.corridor_match(found, s, "id", "name", "family", corridors.discover_prefixes(found, s, "id", "name", lanes))
+    kept = corridors.sibling_filter(matches, s, "id", "name", lanes)
+    whole = corridors.collapse_matches(kept, "id")
+    capped = corridors.hard_cap(whole, s, "id", lanes, 40.0)
+    rules = spark.createDataFrame(FORCED, "corridor string, HWY_NAME string, COUNTY_NAME string")
+    forced = corridors.forced_flags(capped, s.select("id", c("name").alias("HWY_NAME"), c("county").alias("COUNTY_NAME"), "line"), "id", lanes, rules, 40.0)
+    told = kept.select(F.lit("kept").alias("kind"), "id", c("corridor").alias("told"), F.bround("share", 6).alias("value"))
+    told = told.unionByName(capped.select(F.lit("capped").alias("kind"), "id", F.array_join("corridors", "; ").alias("told"), F.bround("overlap_m", 3).alias("value")))
+    return told.unionByName(forced.select(F.lit("forced").alias("kind"), "id", F.concat_ws("/", F.array_join("corridors", "; "), "method").alias("told"), F.bround("overlap_m", 3).alias("value")))
+
+
+_SAMPLED = "unnest(range(11)) AS i"
+FILTERS_SQL = f"""WITH seg AS ({NEAR}), road AS ({ROADS}), {_CORRIDORS}, k2 AS (SELECT m3.*, s.x0, s.y0, s.dx AS sx, s.dy AS sy FROM m3 JOIN seg s USING (id) WHERE reason = '-'),
+loc AS (SELECT * FROM k2 WHERE NOT state AND corridor NOT LIKE '@_@_UNNAMED%' ESCAPE '@'), smp AS (SELECT id, corridor, name, n, sx, x0 + i * sx / 10 AS px, y0 + i * sy / 10 AS py, i FROM (SELECT *, {_SAMPLED} FROM loc)),
+bes AS (SELECT id FROM smp p WHERE EXISTS (SELECT 1 FROM k2 s WHERE s.state AND s.corridor = p.corridor AND greatest(s.x0 - px, px - s.x0 - s.sx, 0) ** 2 + greatest(s.y0 - py, py - s.y0 - s.sy, 0) ** 2 <= 625) GROUP BY id, corridor HAVING count(*) / 11 >= 0.8),
+fol AS (SELECT id FROM smp p WHERE coalesce(name NOT LIKE 'CR-%', true) AND n >= 80 AND sx > 0 AND EXISTS (SELECT 1 FROM k WHERE k.corridor = p.corridor AND abs(k.y - py) <= 20) GROUP BY id, corridor HAVING count(*) / 11 >= 0.6),
+fine AS (SELECT id FROM bes UNION SELECT id FROM fol UNION SELECT id FROM loc WHERE name = 'CR-785'), kept AS (SELECT * FROM k2 WHERE id NOT IN (SELECT id FROM loc) OR id IN (SELECT id FROM fine)),
+w AS (SELECT id, any_value(x0) AS x0, any_value(y0) AS y0, any_value(sy) AS sy, max(o) AS o, list_sort(list(corridor) FILTER (corridor NOT LIKE '@_@_UNNAMED%' ESCAPE '@')) AS names FROM kept GROUP BY 1),
+cap AS (SELECT * FROM w WHERE EXISTS (SELECT 1 FROM k WHERE (names IS NULL OR list_contains(names, k.corridor)) AND greatest(abs(y0 - k.y), abs(y0 + sy - k.y)) <= 40)),
+rul AS (SELECT * FROM (VALUES {", ".join(map(str, FORCED))}) v(corridor, name, county)), fs AS (SELECT s.id, r.corridor, y0 + i * s.dy / 10 AS py FROM (SELECT *, {_SAMPLED} FROM seg) s JOIN rul r USING (name, county)),
+fn AS (SELECT id, corridor FROM fs WHERE EXISTS (SELECT 1 FROM k WHERE k.corridor = fs.corridor AND abs(k.y - py) <= 40) GROUP BY 1, 2 HAVING count(*) / 11 >= 0.7), ad AS (SELECT id, list(corridor) AS more FROM fn GROUP BY 1)
+SELECT 'kept' AS kind, id, corridor AS told, round_even(o / n, 6) AS value FROM kept UNION ALL SELECT 'capped', id, coalesce(array_to_string(names, '; '), ''), round_even(o, 3) FROM cap
+UNION ALL SELECT 'forced', coalesce(cap.id, ad.id), array_to_string(list_sort(list_distinct(list_concat(coalesce(names, []), coalesce(more, [])))), '; ') || '/' || CASE WHEN cap.id IS NOT NULL THEN 'spatial' ELSE 'concurrent_forced' END, coalesce(round_even(o, 3), 0) FROM cap FULL JOIN ad ON cap.id = ad.id"""
+
+
+#: as above, but upright segments begin 49 m below a corridor and end 81 or 89 m above it, so that the part in reach is known
+EVACUATED = NEAR.replace("130.0 + CAST(floor(c_custkey / 25) % 11 - 5 AS DOUBLE) * 11.3", "130.0 + CASE WHEN c_custkey % 6 = 0 THEN -49.0 ELSE CAST(floor(c_custkey / 25) % 11 - 5 AS DOUBLE) * 11.3 END").replace("CAST(20 + (c_custkey % 7) * 30 AS DOUBLE)", "CAST(130 + c_custkey % 4 * 4 AS DOUBLE)")
+
+
 def evacuation(spark: SparkSession, d: str) -> DataFrame:
-    """The whole evacuation path; it has no SQL form and is tested on a small network."""
-    s = _segments(spark, d).select(F.col("id").cast("string").alias("unique_id"), F.concat(F.lit("R"), F.floor(F.col("id") / 2).cast("string"), F.when(F.col("id") % 2 == 0, "INC").otherwise("DEC")).alias("ROUTE_ID"), F.lit(0.0).alias("from_mp"), F.lit(1.0).alias("to_mp"), F.col("name").alias("HWY_NAME"), F.col("family").alias("ROUTE_FAMILY"), "line")
+    """The whole evacuation path: matches, siblings, contraflow, cuts, DEC twins and new ids."""
+    c = F.col
+    s = made(spark, d, EVACUATED).withColumn("line", _line((c("x0"), c("y0")), (c("x0") + c("dx"), c("y0") + c("dy"))))
+    s = s.select(c("id").cast("string").alias("unique_id"), F.concat(F.lit("R"), F.floor(c("id") / 2).cast("string"), F.when(c("id") % 2 == 0, "INC").otherwise("DEC")).alias("ROUTE_ID"), F.lit(0.0).alias("from_mp"), F.lit(1.0).alias("to_mp"), c("name").alias("HWY_NAME"), c("family").alias("ROUTE_FAMILY"), "line")
     r = _roads(spark, d)
-    told = corridors.apply_evacuation(s, r.select("id", F.col("name").alias("ROUTE_NAME"), "line"), r.where("name = 'I 16'").select("id", F.col("name").alias("TITLE"), "line"))
-    return told.drop("line")
+    told = corridors.apply_evacuation(s, r.select("id", c("name").alias("ROUTE_NAME"), "line"), r.where("name = 'I 16'").select("id", c("name").alias("TITLE"), "line"))
+    return told.drop("line", "HWY_NAME", "ROUTE_FAMILY").withColumns({x: F.bround(x, 6) for x in ("SEC_EVAC_OVERLAP_M", "SEC_EVAC_OVERLAP_RATIO", "SEC_EVAC_MATCH_PORTION")})
+
+
+EVACUATION_SQL = f"""{FILTERS_SQL[: FILTERS_SQL.index("w AS (SELECT id, any_value(x0)")].replace(NEAR, EVACUATED)}ev AS (SELECT id, list_sort(list(DISTINCT corridor) FILTER (corridor NOT LIKE '@_@_UNNAMED%' ESCAPE '@')) AS names, max(o) AS o, max(o / n) AS share, CASE WHEN max(o) >= 30 AND max(o / n) < 0.9 THEN max(o / n) ELSE 1.0 END AS portion FROM kept GROUP BY 1),
+co AS (SELECT id, dx AS o FROM seg s WHERE family = 'Interstate' AND dx > 0 AND EXISTS (SELECT 1 FROM road r WHERE r.name = 'I 16' AND abs(r.y - s.y0) <= 15)),
+al AS (SELECT s.id, 'R' || CAST(s.id // 2 AS VARCHAR) AS base, s.id % 2 = 0 AS inc, ev.id IS NOT NULL AS on_, co.id IS NOT NULL AS counter, ev.portion, s.dx + s.dy AS n, greatest(coalesce(ev.o, 0), coalesce(co.o, 0)) AS m, greatest(coalesce(ev.share, 0), CASE WHEN co.id IS NOT NULL THEN 1 ELSE 0 END) AS ratio,
+  nullif(array_to_string(list_sort(list_distinct(list_concat(coalesce(ev.names, []), CASE WHEN co.id IS NOT NULL THEN ['I 16'] ELSE [] END))), '; '), '') AS title FROM seg s LEFT JOIN ev USING (id) LEFT JOIN co USING (id)),
+pc AS (SELECT *, 0.0 AS f, CASE WHEN portion < 1 THEN round_even(portion, 4) ELSE 1.0 END AS t, on_ OR counter AS held FROM al UNION ALL SELECT *, round_even(portion, 4), 1.0, false FROM al WHERE portion < 1),
+nw AS (SELECT id, base, inc, f, t, held AS "SEC_EVAC", held AND counter AS "SEC_EVAC_CONTRAFLOW", CASE WHEN held THEN title END AS "SEC_EVAC_ROUTE_NAME", CASE WHEN held THEN CASE WHEN on_ THEN 'gdot_eoc_hurricane_evacuation' ELSE 'gdot_eoc_contraflow' END END AS "SEC_EVAC_SOURCE", CASE WHEN held AND on_ THEN 'spatial' END AS "SEC_EVAC_MATCH_METHOD",
+  CASE WHEN held THEN m ELSE 0.0 END AS "SEC_EVAC_OVERLAP_M", CASE WHEN held THEN ratio ELSE 0.0 END AS "SEC_EVAC_OVERLAP_RATIO", CASE WHEN held THEN portion END AS "SEC_EVAC_MATCH_PORTION" FROM pc),
+mi AS (SELECT d.id, d.f, g AS giver FROM nw d JOIN nw g ON g.base = d.base AND g.inc AND NOT d.inc AND g."SEC_EVAC" AND NOT d."SEC_EVAC" AND least(d.t, g.t) - greatest(d.f, g.f) >= 0.01 QUALIFY row_number() OVER (PARTITION BY d.id, d.f ORDER BY least(d.t, g.t) - greatest(d.f, g.f) DESC, g.f) = 1)
+SELECT nw.base || CASE WHEN nw.inc THEN 'INC' ELSE 'DEC' END AS "ROUTE_ID", nw.f AS from_mp, nw.t AS to_mp, nw.base || CASE WHEN nw.inc THEN 'INC' ELSE 'DEC' END || printf('_%.4f_%.4f', nw.f, nw.t) AS unique_id,
+  {", ".join(f'CASE WHEN giver IS NOT NULL THEN giver."{x}" ELSE nw."{x}" END AS "{x}"' if "OVERLAP" not in x and "PORTION" not in x else f'round_even(CASE WHEN giver IS NOT NULL THEN giver."{x}" ELSE nw."{x}" END, 6) AS "{x}"' for x in corridors.EVACUATION)} FROM nw LEFT JOIN mi ON mi.id = nw.id AND mi.f = nw.f"""
 
 
 STREETS = "SELECT c_custkey AS id, CAST(c_custkey % 20 AS DOUBLE) * 400 AS x0, CAST(floor(c_custkey / 20) AS DOUBLE) * 400 + CAST(c_custkey % 3 AS DOUBLE) AS y0, CASE c_custkey % 4 WHEN 0 THEN 400.0 WHEN 1 THEN 0.0 WHEN 2 THEN 20.0 ELSE 400.0 END AS dx, CASE c_custkey % 4 WHEN 1 THEN 400.0 WHEN 3 THEN 400.0 ELSE 0.0 END AS dy FROM customer"
@@ -309,8 +364,9 @@ QUERIES = {
     "official_tier": (official_tiers, TIERS_SQL),
     "corridor_match": (corridor_matches, MATCH_SQL),
     "corridor_overlays": (overlays, OVERLAYS_SQL),
+    "corridor_filters": (corridor_filters, FILTERS_SQL),
     "split_flagged": (flagged_pieces, PIECES_SQL),
-    "apply_evacuation": (evacuation, None),
+    "apply_evacuation": (evacuation, EVACUATION_SQL),
     "road_graph": (road_graph, GRAPH_SQL),
     "sole_connections": (sole_connections, SOLE_SQL),
     "geometry_measures": (measures, MEASURES_SQL),
