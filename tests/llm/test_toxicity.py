@@ -1,3 +1,6 @@
+import math
+import re
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -27,6 +30,43 @@ def test_segments_brute_force(scores):
     assert all(s == sum(scores[a:b]) for a, b, s in got)
 
 
+def brute_score(model, text):
+    """The score by definition: segments of a plain recursion over runs that can't be joined, then the law and the logistic."""
+    tokens = re.findall(r"\w+", (text or "").lower())
+    scores = [model.words.get(t, model.stems.get(t[:4], model.drift) if len(t) > 4 else model.drift) for t in tokens]
+
+    def segments(low, high):
+        # the best segment (Kadane), then the same on either side of it
+        stack, sums = [(low, high)], []
+        while stack:
+            low, high = stack.pop()
+            best, here, start = (0.0, low, low), 0.0, low
+            for i in range(low, high):
+                if here <= 0:
+                    here, start = 0.0, i
+                here += scores[i]
+                if here > best[0]:
+                    best = (here, start, i + 1)
+            if best[0] > 0:
+                sums.append(best[0])
+                stack += [(low, best[1]), (best[2], high)]
+        return sums
+
+    each = [model.decay * s - math.log(model.k * max(1, len(tokens))) for s in segments(0, len(scores))]
+    strong = [x for x in each if x > 0]
+    evidence = min(100.0, sum(strong)) if strong else max([min(0.0, -math.log(model.k * max(1, len(tokens)))), *each])
+    return 1 / (1 + math.exp(-max(-500.0, min(500.0, model.slope * evidence + model.intercept))))
+
+
+def test_scores_by_brute_force(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, "/root/testdata/sf0.001", "labels"))
+    got = with_toxicity(docs, model).collect()
+    assert model.slope > 0 and len(got) == 200
+    for r in got:
+        assert abs(r.toxicity.score - brute_score(model, r.text)) < 1e-6
+
+
 def test_held_out(spark):
     rows = op1_toxicity(spark, SF).where("held_out").join(table(spark, SF, "labels"), "doc_id").select("score", "predicted", "toxic").collect()
     y = np.array([r.toxic for r in rows])

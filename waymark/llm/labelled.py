@@ -20,15 +20,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     Rows are taken by a hash of their id, at a rate that follows from the number of
     labels, so the sample and its broadcast list of ids have a bound that doesn't
     grow with the corpus. Null ids and labels are left out; an id with several
-    labels takes the largest. ``part`` is another hash of the id.
+    labels takes the largest, one with several rows the least text, so an id is one row
+    however often it occurs. ``part`` is another hash of the id.
     """
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).select("doc_id", F.col(label).alias("label"))
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("label"))
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(_GRAIN))
     taken = [(F.col("label") == y) & (place < int(_GRAIN * min(1.0, per_class / n))) for y, n in counts.items()]
     chosen = known.where(taken[0] if len(taken) == 1 else taken[0] | taken[1]) if taken else known.limit(0)
-    chosen = chosen.groupBy("doc_id").agg(F.max("label").alias("label"))
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    found = found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
     return found.select("doc_id", "text", "label", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(10)).cast("int").alias("part"))
 
 
