@@ -97,3 +97,13 @@ def test_edge_cases(spark):
     assert [[m.item_id for m in r.matches] for r in got] == [[], [], [7, 10, None], [7, 10, None], [None]]
     assert with_matches(docs.limit(0), items).count() == 0
     assert all(r.matches == [] for r in with_matches(docs, items.limit(0)).collect())
+
+
+def test_blocks_of_items_follow_each_other(spark):
+    """Many small blocks, each with a broadcast of its own, give what one gives."""
+    docs, items = table(spark, SF, "documents"), table(spark, SF, "benchmark")
+    docs = docs.withColumn("_found", docs["doc_id"])
+    chars = sum(len(r.text) for r in items.collect())
+    one, many = with_matches(docs, items), with_matches(docs, items, block_chars=chars // 5)
+    assert many.columns == one.columns and pairs(many) == pairs(one) != {}
+    assert many.where("_found <> doc_id").count() == 0

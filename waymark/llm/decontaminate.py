@@ -13,8 +13,8 @@ left out before they get a fingerprint, which loses nothing. Shingles of a pair
 similarity 0.8 put its fingerprints some 10 bits apart on average; the default
 radius of 23 lies more than four standard deviations beyond.
 
-Items reach the executors in blocks of bounded size, one broadcast after the other;
-documents are never shuffled.
+Items reach the executors in blocks of bounded size, one broadcast after the other, a
+checkpoint between them; documents are never shuffled.
 
 Defined results: null and empty texts, and items without words, match nothing;
 items of fewer than five words match as one shingle; a repeated item matches under
@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waymark.llm.common import checkpointed, free_name
 from waymark.llm.words import SHINGLE, WordCodes, mix, shingles, weighted_jaccard
 
 BITS = 64
@@ -152,19 +153,28 @@ def with_matches(docs: DataFrame, items: DataFrame, similarity: float = 0.8, rad
     """``docs`` (text and any further columns) with an array ``column``: benchmark items found in the text.
 
     ``items``: item_id, text. They are collected and broadcast in blocks of about
-    ``block_chars`` characters, so neither grows with the benchmark.
+    ``block_chars`` characters; with more than one block the documents are written to the
+    checkpoint folder after each and its broadcast is destroyed, so a task holds one block
+    however large the benchmark is.
     """
     context = docs.sparkSession.sparkContext
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = int(chars // block_chars) + 1
-    found = []
+    found, (so_far,) = docs, free_name(docs, "_found")
+    none = F.array().cast(MATCHES)
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).select(F.col("item_id").cast("long"), "text").collect()
         if own:
-            found.append(_matcher(context.broadcast(Index([tuple(r) for r in own], radius, similarity)))(F.col("text")))
-    if not found:
-        return docs.withColumn(column, F.array().cast(MATCHES))
-    return docs.withColumn(column, F.concat(*found) if len(found) > 1 else found[0])
+            shared = context.broadcast(Index([tuple(r) for r in own], radius, similarity))
+            new = _matcher(shared)(F.col("text"))
+            if blocks == 1:
+                return docs.withColumn(column, new)
+            before = F.col(so_far) if so_far in found.columns else none
+            found = checkpointed(found.withColumn(so_far, F.concat(before, new)))
+            shared.destroy()
+    if so_far not in found.columns:
+        return docs.withColumn(column, none)
+    return found.withColumn(column, F.col(so_far)).drop(so_far)
 
 
 def _matcher(shared):
