@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -49,6 +50,12 @@ def checkpoint_folder(session: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def release(session: SparkSession) -> None:
+    """Let Spark delete shuffle and checkpoint files that nothing refers to any more; it learns of them by the driver's garbage collection alone."""
+    gc.collect()
+    session.sparkContext._jvm.System.gc()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder."""
     checkpoint_folder(df.sparkSession)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import checkpointed
+from waymark.llm.common import checkpointed, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,4 +35,5 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = stamp
         now = checkpointed(_small_star(_large_star(now).distinct()).distinct())
+        release(edges.sparkSession)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v"), F.col("v")).distinct())

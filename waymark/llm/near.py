@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.bloom import maybe_in
-from waymark.llm.common import checkpointed, free_name
+from waymark.llm.common import checkpointed, free_name, release
 from waymark.llm.graph import components
 from waymark.llm.words import WordCodes, mix, shingles, weighted_jaccard
 
@@ -179,7 +179,9 @@ def _verified(pairs: DataFrame, signed: DataFrame, texts: DataFrame, least: floa
     rows = pairs.distinct().join(sketch.toDF("u", "sketch_u"), "u").join(sketch.toDF("v", "sketch_v"), "v")
     rows = rows.where(_alike(least)(F.col("sketch_u"), F.col("sketch_v"))).select("u", "v")
     rows = rows.join(texts.toDF("u", "text_u"), "u").join(texts.toDF("v", "text_v"), "v")
-    return checkpointed(rows.where(_similarity()(F.col("text_u"), F.col("text_v")) >= least - 1e-12).select("u", "v"))
+    found = checkpointed(rows.where(_similarity()(F.col("text_u"), F.col("text_v")) >= least - 1e-12).select("u", "v"))
+    release(pairs.sparkSession)
+    return found
 
 
 def _window_pairs(members: DataFrame) -> DataFrame:
