@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import checkpointed, table
+from waymark.llm.common import checkpointed, free_name, table
 from waymark.llm.decontaminate import with_matches
 from waymark.llm.lines import dedup_lines
 from waymark.llm.near import near_duplicates
@@ -22,12 +22,14 @@ TOXIC = 0.7
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents whose probability of being toxic reaches ``TOXIC``."""
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return with_toxicity(docs, model, "_toxicity").where(F.col("_toxicity.score") < TOXIC).drop("_toxicity")
+    (told,) = free_name(docs, "_toxicity")
+    return with_toxicity(docs, model, told).where(F.col(f"{told}.score") < TOXIC).drop(told)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take out repeated lines; a document that has nothing left goes. ``n_chars`` follows the text."""
-    kept = dedup_lines(docs.withColumn("_had", F.trim("text") != "")).where((F.trim("text") != "") | ~F.coalesce("_had", F.lit(False)))
+    (had,) = free_name(docs, "_had")
+    kept = dedup_lines(docs.withColumn(had, F.trim("text") != "")).where((F.trim("text") != "") | ~F.coalesce(had, F.lit(False)))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -39,8 +41,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
-    found = with_matches(docs, table(spark, sf_dir, "benchmark"), column="_matches")
-    return found.where(F.size("_matches") == 0).drop("_matches")
+    (matches,) = free_name(docs, "_matches")
+    found = with_matches(docs, table(spark, sf_dir, "benchmark"), column=matches)
+    return found.where(F.size(matches) == 0).drop(matches)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
