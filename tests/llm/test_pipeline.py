@@ -2,8 +2,11 @@ import corpus_pipeline
 import test_decontaminate
 import test_lines
 import test_near
+import test_toxicity
+from pyspark.sql import functions as F
 
 from waymark.llm.common import table
+from waymark.llm.toxicity import fit_toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,4 +42,28 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 
 def test_run_gives_the_stages_rows(spark):
-    assert corpus_pipeline.run(spark, SF).select("doc_id", "start", "length").count() > 0
+    docs = table(spark, SF, "documents")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+
+    def told(df):
+        return {r.doc_id: (r.n, r.pieces and r.ids) for r in df.groupBy("doc_id").agg(F.sum("length").alias("n"), F.count("*").alias("pieces"), F.min("doc_tokens").alias("ids")).collect()}
+
+    assert told(corpus_pipeline.run(spark, SF)) == told(docs) != {}
+
+
+def test_columns_with_the_stages_working_names(spark):
+    docs = table(spark, SF, "documents")
+    named = docs.withColumns({c: F.lit(7) for c in ("_had", "_toxicity", "_matches", "_found", "row", "kept", "bucket", "matches", "toxicity")})
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        got, plain = stage(spark, named, SF), stage(spark, docs, SF)
+        assert got.columns == named.columns, name
+        assert rows(got) == rows(plain), name
+        assert got.where(" or ".join(f"{c} <> 7" for c in ("_had", "_toxicity", "_matches", "_found", "row", "kept", "bucket"))).count() == 0, name
+
+
+def test_toxicity_stage_by_brute_force(spark):
+    docs = table(spark, SF, "documents")
+    model = fit_toxicity(docs, table(spark, SF, "labels"))
+    kept = rows(corpus_pipeline.toxicity(spark, docs, SF))
+    assert kept == {k: t for k, t in rows(docs).items() if test_toxicity.brute_score(model, t) < corpus_pipeline.TOXIC}
