@@ -59,6 +59,8 @@ _GOLDEN, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _WINDOW, _FEW, _EARLY = 16, 3, 5
 #: places of the table of frequencies by which shingles are put in order, nodes of a shingle in one block, candidates of a node in the first steps
 _PLACES, _BLOCK, _FIRST = 1 << 18, 1024, (4, 64)
+#: places of that table that a task reports in one row
+_STRETCH = 1 << 12
 
 
 def bag_min_hash(items: np.ndarray, weights: np.ndarray, m: int = COMPONENTS) -> np.ndarray:
@@ -174,13 +176,22 @@ def _similarity():
 
 
 def _verified(pairs: DataFrame, signed: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Those of the pairs (u, v) whose texts have the similarity."""
+    """Those of the pairs (u, v) whose texts have the similarity.
+
+    Each pair takes both texts along, so pairs go in slices of at most as many as there are
+    texts, and what one slice has shuffled is released before the next.
+    """
     sketch = signed.select("node", "sketch")
     rows = pairs.distinct().join(sketch.toDF("u", "sketch_u"), "u").join(sketch.toDF("v", "sketch_v"), "v")
-    rows = rows.where(_alike(least)(F.col("sketch_u"), F.col("sketch_v"))).select("u", "v")
-    rows = rows.join(texts.toDF("u", "text_u"), "u").join(texts.toDF("v", "text_v"), "v")
-    found = checkpointed(rows.where(_similarity()(F.col("text_u"), F.col("text_v")) >= least - 1e-12).select("u", "v"))
-    release(pairs.sparkSession)
+    rows = checkpointed(rows.where(_alike(least)(F.col("sketch_u"), F.col("sketch_v"))).select("u", "v"))
+    slices = 1 + rows.count() // max(1, texts.count())
+    found = None
+    for i in range(slices):
+        part = rows.where(F.pmod(F.xxhash64(F.lit("slice"), "u", "v"), F.lit(slices)) == i)
+        part = part.join(texts.toDF("u", "text_u"), "u").join(texts.toDF("v", "text_v"), "v")
+        alike = checkpointed(part.where(_similarity()(F.col("text_u"), F.col("text_v")) >= least - 1e-12).select("u", "v"))
+        found = alike if found is None else found.unionByName(alike)
+        release(pairs.sparkSession)
     return found
 
 
@@ -216,12 +227,23 @@ def _prefixes(texts: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             for text in batch["text"]:
                 seen += np.bincount((_elements(codes, text) % np.uint64(_PLACES)).astype(np.int64), minlength=_PLACES)
+        # a row for each stretch of the table, not for each place
         place = np.flatnonzero(seen)
-        yield pd.DataFrame({"place": place, "n": seen[place]})
-
+        stretch = place // _STRETCH
+        rows = [(int(s), place[stretch == s].tobytes(), seen[place[stretch == s]].tobytes()) for s in np.unique(stretch)]
+        yield pd.DataFrame(rows, columns=["stretch", "place", "n"])
+
+    def summed(frame: pd.DataFrame) -> pd.DataFrame:
+        place, n = (np.concatenate([np.frombuffer(x, dtype=np.int64) for x in frame[c]]) for c in ("place", "n"))
+        own, at = np.unique(place, return_inverse=True)
+        total = np.zeros(len(own), dtype=np.int64)
+        np.add.at(total, at, n)
+        return pd.DataFrame({"stretch": [int(frame["stretch"].iloc[0])], "place": [own.tobytes()], "n": [total.tobytes()]})
+
+    schema = "stretch int, place binary, n binary"
     counts = np.zeros(_PLACES, dtype=np.int64)
-    for row in texts.select("text").mapInPandas(counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
-        counts[row["place"]] = row["n"]
+    for row in texts.select("text").mapInPandas(counted, schema).groupBy("stretch").applyInPandas(summed, schema).collect():
+        counts[np.frombuffer(row["place"], dtype=np.int64)] = np.frombuffer(row["n"], dtype=np.int64)
     shared = texts.sparkSession.sparkContext.broadcast(counts)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
