@@ -56,3 +56,11 @@ def test_checks_and_scores(spark):
     got = {r.name: r.passed for r in checks.county_list(df, "listed", ["Cobb", "Fulton"], "lead").collect()}
     assert got == {"county_list_blank": True, "county_list_repeated": False, "county_list_unknown": False, "county_list_leading": False}
     assert {r.v: r.score for r in reports.min_max_score(df, {"v": 1.0}).collect()} == {1: 0.0, 3: 1.0}
+
+
+def test_words_and_short_types_of_functions(spark):
+    told = one(spark, R.route_family(F.lit("2121200040100INC")))
+    assert (told.detail, told.source) == ("Public Road Ramp", "function_type_2")
+    assert one(spark, R.route_family(F.lit("R121100040100INC"))).detail.endswith("Roundabout")
+    none = F.lit(None).cast("string")
+    assert one(spark, R.route_type(F.lit("2"), none, none, none)) == "RP"

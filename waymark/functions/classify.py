@@ -129,7 +129,7 @@ def local_family(system: Column, function: Column, suffix: Column, signing: Colu
 
 
 # Short types by function, family and local family.
-FUNCTION_TYPES = {2: "RP", 3: "CD", 4: "RC", 5: "FR", 6: "ALY"}
+SHORT_FUNCTION_TYPES = {2: "RP", 3: "CD", 4: "RC", 5: "FR", 6: "ALY"}
 FAMILY_TYPES = {"Interstate": "I", "U.S. Route": "US", "State Route": "SR"}
 LOCAL_TYPES = {"County Road": "CR", "City Street": "CS", "Private Road": "PR", "Federal Route": "FED"}
 
@@ -137,7 +137,7 @@ LOCAL_TYPES = {"County Road": "CR", "City Street": "CS", "Private Road": "PR", "
 def route_type(function: Column, suffix: Column, signed: Column, local: Column) -> Column:
     """Short route type of the function type, suffix and families."""
     f, x = as_int(function), F.coalesce(suffix, F.lit(""))
-    by_function = F.try_element_at(mapping(FUNCTION_TYPES), f.cast("int"))
+    by_function = F.try_element_at(mapping(SHORT_FUNCTION_TYPES), f.cast("int"))
     business = F.when(signed == "Interstate", "BI").when(signed == "U.S. Route", "BU").otherwise("BS")
     by_family = F.coalesce(F.try_element_at(mapping(FAMILY_TYPES), signed), F.try_element_at(mapping(LOCAL_TYPES), local))
     express = F.coalesce(f == 7, F.lit(False)) | x.isin(*EXPRESS_SUFFIXES)
