@@ -10,9 +10,18 @@ from pyspark.sql import functions as F
 from waymark.functions.geometry import line_length
 
 
+def _plain(value: Column) -> Column:
+    """A value as text; numbers from ten million on are written out like smaller ones."""
+    text = value.cast("string")
+    scientific = text.rlike(r"^-?\d\.\d+E-?\d+$") & F.abs(text.try_cast("double")).between(1e-4, 9e15)
+    # a double has at most 17 digits, so the decimal holds all of them
+    long = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(scientific, long).otherwise(text)
+
+
 def _rows(df: DataFrame, tests: dict[str, tuple[Column, Column]]) -> DataFrame:
     """One aggregate for all tests (aggregate boolean, aggregate detail) of a table."""
-    each = [F.struct(F.lit(n).alias("name"), F.coalesce(t, F.lit(False)).alias("passed"), d.cast("string").alias("detail")) for n, (t, d) in tests.items()]
+    each = [F.struct(F.lit(n).alias("name"), F.coalesce(t, F.lit(False)).alias("passed"), _plain(d).alias("detail")) for n, (t, d) in tests.items()]
     wide = df.agg(F.array(*each).alias("c"))
     return wide.select(F.inline("c"))
 
