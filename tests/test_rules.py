@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import classify as R
 from waymark.functions import scalars as P
-from waymark.operators import checks, reports, service
+from waymark.operators import checks, intervals, reports, service
 
 
 def one(spark, column):
@@ -64,3 +64,18 @@ def test_words_and_short_types_of_functions(spark):
     assert one(spark, R.route_family(F.lit("R121100040100INC"))).detail.endswith("Roundabout")
     none = F.lit(None).cast("string")
     assert one(spark, R.route_type(F.lit("2"), none, none, none)) == "RP"
+
+
+def test_details_are_plain_numbers(spark):
+    df = spark.sql("SELECT CAST(91802586 AS DOUBLE) AS miles UNION ALL SELECT CAST(0.125 AS DOUBLE)")
+    told = checks.total_within(df, "t", "miles", 9e7, 0.5).first()
+    assert (told.passed, told.detail) == (True, "91802586.125")
+    assert checks.total_within(df.where("miles > 1"), "t", "miles", 9e7, 0.5).first().detail == "91802586.0"
+    assert checks.total_within(df.where("miles < 1"), "t", "miles", 9e7, 0.5).first().detail == "0.125"
+
+
+def test_ties_of_references_go_by_the_given_order(spark):
+    left = spark.createDataFrame([("R", 0.0, 4.0, 5)], "ROUTE_ID string, from_mp double, to_mp double, AADT long")
+    refs = spark.createDataFrame([("R", 1.0, 3.0, 2, 10), ("R", 1.0, 3.0, 1, 99)], "ROUTE_ID string, from_mp double, to_mp double, seq int, aadt long")
+    assert intervals.enrich(left, refs, "ROUTE_ID", {"told": "aadt"}, {}, "hpms", order=["seq"]).first().told == 99
+    assert intervals.enrich(left, refs, "ROUTE_ID", {"told": "aadt"}, {}, "hpms").first().told == 10

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import classify as R
 from waymark.functions import scalars as P
+from waymark.functions.scalars import round_even
 from waymark.operators import checks, intervals, reports, service
 from waymark.operators import stations as S
 from waymark.plans.adapters import REFERENCE_SQL, SEGMENTS_SQL, read, reference, segments
@@ -23,7 +24,7 @@ _BEST = """best AS (
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Miles by value source, agreement and confidence tier."""
     s = segments(spark, d).drop("HPMS_AADT")
-    s = intervals.enrich(s, reference(spark, d), "ROUTE_ID", {"AADT_HPMS": "ref_aadt"}, {"AADT": "ref_aadt"}, "hpms")
+    s = intervals.enrich(s, reference(spark, d), "ROUTE_ID", {"AADT_HPMS": "ref_aadt"}, {"AADT": "ref_aadt"}, "hpms", order=["ref_seq"])
     direct = F.col("AADT_FILL_METHOD") == "direct"
     s = s.withColumn("agreement", R.source_agreement(F.when(direct, F.col("AADT")), F.col("AADT_HPMS")))
     source = F.coalesce("AADT_SOURCE", F.lit("missing"))
@@ -319,7 +320,7 @@ HISTOGRAM_SQL = f"{_COMPARED} " + " UNION ALL ".join(f"SELECT '{_bin_label(a, b)
 def agreement_report(spark: SparkSession, d: str) -> DataFrame:
     """All sections of the report on two sources."""
     names = reports.ReportColumns("state", "ref_aadt", "agreement", "tier", "statistics", "source", "value", "FUNCTIONAL_CLASS", "label", "STATUS", "miles")
-    return reports.agreement_report(_compared(spark, d), names).withColumn("value", F.bround("value", 6))
+    return reports.agreement_report(_compared(spark, d), names).withColumn("value", round_even("value", 6))
 
 
 def _counts(section: str, member: str, group: str, *items: tuple[str, str]) -> str:
