@@ -52,3 +52,20 @@ def test_projection_round_trip(spark):
     for lon, lat in ((-84.39, 33.75), (-81.1, 32.08), (-85.6, 34.98), (-80.84, 30.36)):
         q = value(spark, G.utm17_to_lonlat(G.lonlat_to_utm17(F.lit(lon), F.lit(lat))))
         assert abs(q.x - lon) < 1e-8 and abs(q.y - lat) < 1e-8
+
+
+def test_crossings_at_half_a_decimal(spark):
+    from waymark.operators import spatial
+
+    def line(*at):
+        return [{"x": float(x), "y": float(y)} for x, y in at]
+
+    def box(x):
+        return [line((x, -9000.75), (x + 9000, -9000.75), (x + 9000, 9000.25), (x, 9000.25), (x, -9000.75))]
+
+    shape = "array<struct<x:double,y:double>>"
+    # 10 * (39.75 / 1200) and 10 * (909.75 / 1200): the products lie beside the tie or on it
+    for at in (39.75, 109.75, 879.75, 909.75, 1029.75):
+        route = spark.createDataFrame([(1, 0.0, 10.0, line((0.5, 0.5), (1200.5, 0.5)))], f"k int, from_mp double, to_mp double, line {shape}")
+        boxes = spark.createDataFrame([(box(at + 0.5),)], f"rings array<{shape}>")
+        assert [r.mp for r in spatial.boundary_crossings(route, "k", boxes, 900.0).collect()] == [round(at / 1200 * 10 * 1e4) / 1e4]

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.functions.scalars import percent
+from waymark.functions.scalars import percent, round_even
 from waymark.lineage import checkpointed
 from waymark.operators.quantiles import exact_quantiles
 
@@ -284,7 +284,7 @@ def min_max_score(df: DataFrame, weights: dict[str, float], name: str = "score")
     total = F.lit(0.0)
     for c, w in weights.items():
         total = total + w * scaled(c)
-    return told.select(*df.columns, F.bround(total, 4).alias(name))
+    return told.select(*df.columns, round_even(total, 4).alias(name))
 
 
 def load_summary(df: DataFrame, by: str) -> DataFrame:

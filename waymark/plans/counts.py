@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.functions import scalars as P
+from waymark.functions.scalars import round_even
 from waymark.operators import reports
 from waymark.operators import stations as S
 from waymark.plans.adapters import made
@@ -53,7 +54,7 @@ res AS (SELECT t.year, t.tc_number, CASE WHEN n.own IS NOT NULL THEN 'GA24_' ||
 
 
 def resolver(spark: SparkSession, d: str) -> DataFrame:
-    return S.run_resolver(_stations(spark, d)).withColumn("resolver_delta_m", F.bround("resolver_delta_m", 3))
+    return S.run_resolver(_stations(spark, d)).withColumn("resolver_delta_m", round_even("resolver_delta_m", 3))
 
 
 RESOLVER_SQL = f"{BASE}, {_RESOLVED} SELECT year, tc_number, station_uid, resolver_method, round_even(delta, 3) AS resolver_delta_m, resolver_confidence FROM res"
@@ -61,7 +62,7 @@ RESOLVER_SQL = f"{BASE}, {_RESOLVED} SELECT year, tc_number, station_uid, resolv
 
 def resolver_report(spark: SparkSession, d: str) -> DataFrame:
     told = S.resolver_report(S.run_resolver(_stations(spark, d)))
-    return told.withColumns({c: F.bround(c, 3) for c in ("resolved_pct", "median_m", "p95_m", "max_m")})
+    return told.withColumns({c: round_even(c, 3) for c in ("resolved_pct", "median_m", "p95_m", "max_m")})
 
 
 _MOVED = "CASE WHEN resolver_method <> 'anchor' THEN delta END"
@@ -78,7 +79,7 @@ def station_routes(spark: SparkSession, d: str) -> DataFrame:
     link = S.nearest_station(seg, s, "unique_id", "tc_number")
     flagged = S.same_route_flag(link, seg, routes)
     a = routes.join(valued, "tc_number").select(F.lit("station").alias("kind"), F.col("tc_number").alias("id"), F.col("inferred_route").alias("name"), F.col("future").alias("value"), F.lit(None).cast("int").alias("flag"))
-    return a.unionByName(flagged.select(F.lit("segment").alias("kind"), F.col("unique_id").alias("id"), F.col("tc_number").alias("name"), F.bround("distance", 3).alias("value"), F.col("same_route_flag").alias("flag")))
+    return a.unionByName(flagged.select(F.lit("segment").alias("kind"), F.col("unique_id").alias("id"), F.col("tc_number").alias("name"), round_even("distance", 3).alias("value"), F.col("same_route_flag").alias("flag")))
 
 
 ROUTES_SQL = f"""{BASE}, s AS (SELECT * FROM sta WHERE year = 2022), p AS (SELECT s.tc_number, g.unique_id, g.route_id, g.a2022, sqrt(pow(g.x - s.x, 2) + pow(g.y - s.y, 2)) AS d FROM s CROSS JOIN seg g),
@@ -95,7 +96,7 @@ def _station_cohorts(spark: SparkSession, d: str) -> DataFrame:
 
 def station_cohorts(spark: SparkSession, d: str) -> DataFrame:
     found = S.station_cohort_ratios(_station_cohorts(spark, d), min_size=5)
-    return found.withColumns({c: F.bround(c, 6) for c in ("median_value", "ratio_2022", "ratio_2024")})
+    return found.withColumns({c: round_even(c, 6) for c in ("median_value", "ratio_2022", "ratio_2024")})
 
 
 _BIN = "CASE WHEN g.functional_class <= 2 THEN '1-2' WHEN g.functional_class <= 4 THEN '3-4' WHEN g.functional_class <= 6 THEN '5-6' WHEN g.functional_class = 7 THEN '7' END"
@@ -121,7 +122,7 @@ SELECT version, fc_bin, urban_rural, district, n, round_even(median_value, 6) AS
 
 
 def segment_cohorts(spark: SparkSession, d: str) -> DataFrame:
-    return S.cohort_ratios(_segments(spark, d), 40).withColumns({c: F.bround(c, 6) for c in ("median_value", "ratio_2022", "ratio_2024")})
+    return S.cohort_ratios(_segments(spark, d), 40).withColumns({c: round_even(c, 6) for c in ("median_value", "ratio_2022", "ratio_2024")})
 
 
 _SEG_ROWS = f"x AS (SELECT {_BIN} AS fc_bin, {_AREA} AS urban_rural, district, a2020 AS v20, a2022 AS v22, a2024 AS v24 FROM seg g)"
@@ -155,8 +156,8 @@ def training(spark: SparkSession, d: str) -> DataFrame:
     s, seg, link = _stations(spark, d), _segments(spark, d), _links(spark, d)
     rows = S.training_rows(s, S.run_resolver(s), link, seg, S.cohort_ratios(seg, 40))
     return rows.select(
-        "station_uid", "year", "tc_number", "fold", "nearest_segment_uid", "fc_bin", "urban_rural", "district", "cohort_size", F.bround("ratio_2022", 6).alias("ratio_2022"), "years_since_2020", "covid_phase_weight", F.bround("target", 6).alias("target"), "sample_weight",
-        F.bround("knn_distance_1", 3).alias("knn_distance_1"), "knn_aadt_1", "knn_is_actual_2", "knn_fc_3", "knn_same_route_1", "num_neighbors_within_1km", "num_neighbors_within_5km",
+        "station_uid", "year", "tc_number", "fold", "nearest_segment_uid", "fc_bin", "urban_rural", "district", "cohort_size", round_even("ratio_2022", 6).alias("ratio_2022"), "years_since_2020", "covid_phase_weight", round_even("target", 6).alias("target"), "sample_weight",
+        round_even("knn_distance_1", 3).alias("knn_distance_1"), "knn_aadt_1", "knn_is_actual_2", "knn_fc_3", "knn_same_route_1", "num_neighbors_within_1km", "num_neighbors_within_5km",
     )
 
 
@@ -178,7 +179,7 @@ def hidden_years(spark: SparkSession, d: str) -> DataFrame:
     seg = seg.where(S.eligible_for_fit(*values.values()))
     wide = S.covid_widened(F.col("FUNCTIONAL_CLASS"), F.col("area"))
     parts = [S.validation_gates(S.holdout_metrics(seg.withColumn("guess", S.predict_held_out(y, values, wide)), "guess", f"AADT_{y}_HPMS", ["fc_bin"])).withColumn("year", F.lit(y)) for y in (2022, 2023)]
-    return parts[0].unionByName(parts[1]).select("year", "fc_bin", "n", *[F.bround(c, 6).alias(c) for c in ("mape", "median_ape", "p95_ape", "within_10_pct")], "passes", "stops")
+    return parts[0].unionByName(parts[1]).select("year", "fc_bin", "n", *[round_even(c, 6).alias(c) for c in ("mape", "median_ape", "p95_ape", "within_10_pct")], "passes", "stops")
 
 
 def _fit(year: int) -> str:
@@ -205,7 +206,7 @@ def flagged_actuals(spark: SparkSession, d: str) -> DataFrame:
     met = S.actual_on_flagged(link.where("year = 2022"), s.where("year = 2022"), seg, "synthetic", "value")
     a = met.select(F.lit("actual").alias("kind"), "unique_id", F.col("tc_number").alias("name"), F.col("value").cast("double").alias("value"))
     report, sample = reports.flag_rates(seg, "synthetic", ["FUNCTIONAL_CLASS"]), reports.sample_by_hash(seg.where("synthetic = 1"), "unique_id", ["FUNCTIONAL_CLASS"], 3)
-    b = report.select(F.lit("rate").alias("kind"), F.col("FUNCTIONAL_CLASS").cast("string").alias("unique_id"), F.concat_ws("/", "flagged", "rows").alias("name"), F.bround("flagged_pct", 6).alias("value"))
+    b = report.select(F.lit("rate").alias("kind"), F.col("FUNCTIONAL_CLASS").cast("string").alias("unique_id"), F.concat_ws("/", "flagged", "rows").alias("name"), round_even("flagged_pct", 6).alias("value"))
     c = sample.select(F.lit("sample").alias("kind"), "unique_id", F.col("FUNCTIONAL_CLASS").cast("string").alias("name"), F.lit(None).cast("double").alias("value"))
     return a.unionByName(b).unionByName(c)
 

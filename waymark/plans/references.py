@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymark.functions.scalars import round_even
 from waymark.operators import intervals, verification as V
 from waymark.plans.adapters import REFERENCE_SQL, SEGMENTS_SQL, made, reference, segments
 from waymark.plans.rules import _pick
@@ -109,7 +110,7 @@ def mirrored_and_parts(spark: SparkSession, d: str) -> DataFrame:
     some = s.where("ROUTE_ID like '%INC' or COUNTY % 3 = 0").select("ROUTE_ID", "from_mp", "to_mp", "STATUS")
     mirrored = intervals.mirror_intervals(some, s.select("ROUTE_ID").distinct())
     parts = s.select("ROUTE_ID", F.col("seq").alias("part"), F.col("miles").alias("length"), F.lit(10.0).alias("route_from"), F.lit(30.0).alias("route_to"))
-    ranges = intervals.component_ranges(parts).select("ROUTE_ID", F.bround("from_mp", 6).alias("from_mp"), F.bround("to_mp", 6).alias("to_mp"), F.lit(None).cast("string").alias("STATUS"))
+    ranges = intervals.component_ranges(parts).select("ROUTE_ID", round_even("from_mp", 6).alias("from_mp"), round_even("to_mp", 6).alias("to_mp"), F.lit(None).cast("string").alias("STATUS"))
     twice = s.select(F.lit("x").alias("ROUTE_ID"), F.floor("from_mp").cast("double").alias("from_mp"), F.floor("to_mp").cast("double").alias("to_mp"), "STATUS", "unique_id")
     once = intervals.dedupe_intervals(twice, ["ROUTE_ID", "from_mp", "to_mp"], ["unique_id"]).drop("unique_id")
     kinds = {"mirrored": mirrored, "ranges": ranges, "once": once}

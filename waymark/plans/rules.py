@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import classify as R
 from waymark.functions import scalars as P
+from waymark.functions.scalars import round_even
 from waymark.plans.adapters import made
 
 
@@ -84,8 +85,8 @@ def station_fields(spark: SparkSession, d: str) -> DataFrame:
     good = P.null_bad_coordinates(place["lat"], place["lon"])
     return made(spark, d, STATION_FIELDS).select(
         "id", good["lat"].alias("lat"), good["lon"].alias("lon"), P.parse_functional_class(c("fc")).alias("fc"), P.recode_statistics_type(c("kind")).alias("kind"), P.without_decimal(c("tc")).alias("tc"),
-        F.bround(P.haversine_m(good["lat"], good["lon"], F.lit(33.0) + c("n") / 10, F.lit(-84.0)), 3).alias("metres"), F.bround(P.acs_rate(c("share"), c("whole")), 6).alias("rate"),
-        F.bround(P.percent(c("share"), c("whole")), 6).alias("pct"), P.percent(c("share"), c("whole"), 1).alias("pct1"), P.fc_bin(c("n")).alias("bin"), P.urban_rural(F.when(c("n") == 0, 99999).when(c("n") < 8, c("n"))).alias("area"),
+        round_even(P.haversine_m(good["lat"], good["lon"], F.lit(33.0) + c("n") / 10, F.lit(-84.0)), 3).alias("metres"), round_even(P.acs_rate(c("share"), c("whole")), 6).alias("rate"),
+        round_even(P.percent(c("share"), c("whole")), 6).alias("pct"), P.percent(c("share"), c("whole"), 1).alias("pct1"), P.fc_bin(c("n")).alias("bin"), P.urban_rural(F.when(c("n") == 0, 99999).when(c("n") < 8, c("n"))).alias("area"),
         P.functional_class_label(F.when(c("n") > 0, c("n"))).alias("label"), R.resolver_confidence(F.when(c("n") < 9, c("n") / 50)).alias("confidence"),
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import scalars as P
 from waymark.functions.classify import source_agreement
+from waymark.functions.scalars import round_even
 from waymark.operators import reports
 from waymark.operators import stations as S
 from waymark.plans.adapters import POINTS_SQL, SEGMENTS_SQL, points, read, segments, stations
@@ -22,7 +23,7 @@ def _links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def knn(spark: SparkSession, d: str) -> DataFrame:
-    return _links(spark, d).select("unique_id", "year", "k_rank", "tc_number", F.bround("distance", 3).alias("distance"))
+    return _links(spark, d).select("unique_id", "year", "k_rank", "tc_number", round_even("distance", 3).alias("distance"))
 
 
 def idw(spark: SparkSession, d: str) -> DataFrame:
@@ -68,7 +69,7 @@ def trajectory(spark: SparkSession, d: str) -> DataFrame:
     columns = [F.col(f"a{y}") for y in years]
     fit = S.trajectory(years, columns)
     predicted = S.predict_2021(*columns, widened=k % 5 == 0)
-    return told.select("c_custkey", S.eligible_for_fit(*columns).alias("eligible"), F.bround(predicted, 3).alias("a2021"), F.bround(fit["slope"], 6).alias("slope"))
+    return told.select("c_custkey", S.eligible_for_fit(*columns).alias("eligible"), round_even(predicted, 3).alias("a2021"), round_even(fit["slope"], 6).alias("slope"))
 
 
 _X = [-2.25, -0.25, 0.75, 1.75]
@@ -86,7 +87,7 @@ SELECT c_custkey, ok AS eligible, CASE WHEN ok THEN round_even(CASE WHEN raw < l
 def holdout(spark: SparkSession, d: str) -> DataFrame:
     s = segments(spark, d).withColumn("fc_bin", P.fc_bin(F.col("FUNCTIONAL_CLASS")))
     m = S.holdout_metrics(s.withColumn("guess", F.col("AADT") + F.col("HPMS_AADT") % 9000), "guess", "AADT", ["fc_bin"])
-    return m.select("fc_bin", "n", *[F.bround(c, 6).alias(c) for c in ("mape", "median_ape", "p95_ape", "within_10_pct")])
+    return m.select("fc_bin", "n", *[round_even(c, 6).alias(c) for c in ("mape", "median_ape", "p95_ape", "within_10_pct")])
 
 
 HOLDOUT_SQL = f"""WITH {SEGMENTS_SQL}, e AS (SELECT CASE WHEN FUNCTIONAL_CLASS <= 2 THEN '1-2' WHEN FUNCTIONAL_CLASS <= 4 THEN '3-4' WHEN FUNCTIONAL_CLASS <= 6 THEN '5-6' ELSE '7' END AS fc_bin, abs(100.0 * (HPMS_AADT % 9000) / AADT) AS e FROM seg WHERE AADT > 0)
@@ -112,7 +113,7 @@ CONFUSION_SQL = f"""WITH {_TIERS_SQL} SELECT ['Critical', 'High', 'Medium', 'Low
 
 def agreement(spark: SparkSession, d: str) -> DataFrame:
     m = reports.tier_agreement(_tiers(spark, d), "derived", "official", TIERS)
-    return m.withColumns({c: F.bround(c, 6) for c in ("exact_pct", "within_one_pct")})
+    return m.withColumns({c: round_even(c, 6) for c in ("exact_pct", "within_one_pct")})
 
 
 AGREEMENT_SQL = f"""WITH {_TIERS_SQL} SELECT count(*) AS n, round_even(100.0 * count(*) FILTER (a = b) / count(*), 6) AS exact_pct, round_even(100.0 * count(*) FILTER (abs(a - b) <= 1) / count(*), 6) AS within_one_pct,
@@ -129,7 +130,7 @@ DIFFERENCES_SQL = f"WITH {SEGMENTS_SQL} SELECT unique_id, abs(AADT - HPMS_AADT)
 
 
 def column_coverage(spark: SparkSession, d: str) -> DataFrame:
-    return reports.column_coverage(segments(spark, d), ["AADT", "HPMS_AADT", "miles"]).withColumn("filled_pct", F.bround("filled_pct", 6))
+    return reports.column_coverage(segments(spark, d), ["AADT", "HPMS_AADT", "miles"]).withColumn("filled_pct", round_even("filled_pct", 6))
 
 
 COLUMNS_SQL = f"""WITH {SEGMENTS_SQL}, n AS (SELECT count(*) AS rows, count(AADT) AS a, count(HPMS_AADT) AS h, count(miles) AS m FROM seg)
