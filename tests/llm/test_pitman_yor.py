@@ -221,3 +221,14 @@ def test_agrees_with_a_plain_sampler():
     got = (n * np.log10(sums / kept)[triple])[asked].sum() / n[asked].sum()
     want = plain_gibbs(train, test, 150, 40)
     assert abs(got - want) < 0.015
+
+
+def test_base_scores_to_many_digits(spark):
+    texts = ["a b c", None, "", "A B \x85 c", "x\x1cy \x1f z", "a " * 5000, "\x0b\x0ca\rb"]
+    docs = spark.createDataFrame([(i, t, i != 3) for i, t in enumerate(texts)], "doc_id long, text string, learn boolean")
+    said = [tokens(t) for t in texts]
+    count = Counter(w for i, x in enumerate(said) if i != 3 for w in x)
+    total = sum(count.values()) + len(count) + 1
+    for r in score_texts(docs, rounds=0, burn_in=0, kept=1).collect():
+        want = sum(math.log10((count[w] + 1) / total) for w in said[r.doc_id])
+        assert abs(r.base_score - want) < 1e-10 * max(1, abs(want))
