@@ -1,3 +1,4 @@
+import math
 import random
 
 from waymark.operators import stations as S
@@ -41,3 +42,16 @@ def test_anchors_and_targets_without_a_place(spark):
     rows = [(2024, "a", 33.0, -84.0, 10.0, 1), (2024, "b", nan, -84.0, 10.0, 1), (2020, "a", 33.0, -84.0, 10.0, 1), (2020, "x", nan, -84.0, 10.0, 1), (2020, "y", 33.0, float("inf"), 10.0, 1), (2020, "z", 40.0, -84.0, 10.0, 1)]
     got = {(r.year, r.tc_number): r.resolver_method for r in S.run_resolver(spark.createDataFrame(rows, schema)).collect()}
     assert got == {(2024, "a"): "anchor", (2024, "b"): "anchor", (2020, "a"): "tc_number", (2020, "x"): "unresolved", (2020, "y"): "unresolved", (2020, "z"): "unresolved"}
+
+
+def test_crowded_cells_are_several_lists(spark):
+    r = random.Random(3)
+    stations = [(i, 100.0 + r.randrange(3), 100.0 + r.randrange(3)) for i in range(1500)] + [(5000 + i, r.uniform(0, 4000), r.uniform(0, 4000)) for i in range(60)]
+    points = [(i, r.uniform(0, 300), r.uniform(0, 300)) for i in range(40)] + [(100, None, 2.0), (101, 9e5, -9e5)]
+    got = S.knn(spark.createDataFrame(points, "id int, x double, y double"), spark.createDataFrame(stations, "s int, x double, y double"), "id", "s", 4, cell=500.0)
+    found = sorted((x.id, x.k_rank, x.s) for x in got.collect())
+    want = []
+    for i, x, y in points:
+        best = [s for _, s in sorted((math.sqrt((x - a) ** 2 + (y - b) ** 2), s) for s, a, b in stations)[:4]] if x is not None else [None] * 4
+        want += [(i, n + 1, s) for n, s in enumerate(best)]
+    assert found == sorted(want, key=lambda t: t[:2])

@@ -21,9 +21,10 @@ def knn(points: DataFrame, stations: DataFrame, id_: str, station: str, k: int =
     ring searched, the others go on with cells twice as wide, until none is open: cells as
     wide as the group's extent and a point's distance to it hold every station, so a round
     count bounds nothing. Points far outside begin at the stations' border: they are moved
-    onto it for the choice of cells. A point's candidates are cut to the ``k`` best of each
-    cell by a partial window limit before they meet. Each round's points go to the checkpoint
-    folder.
+    onto it for the choice of cells. A station is told to the nine cells from which it is
+    seen, so a point is shuffled once and pairs never are: a cell's stations are lists of
+    about ``_LISTED``, of which a point keeps the ``k`` best. Each round's points go to the
+    checkpoint folder.
 
     Ties go to the smaller station id; of repeated points or stations of a group the least
     place counts; a place that is null, NaN or infinite is none; ranks without a station
@@ -55,30 +56,34 @@ def knn(points: DataFrame, stations: DataFrame, id_: str, station: str, k: int =
     need = F.when(F.col("x").isNull(), 0).otherwise(F.least(F.lit(k), F.coalesce("_supply", F.lit(0))))
     # where the search of a point begins: the nearest place of the stations' extent
     open_points = open_points.withColumns({"_need": need, "_ox": F.greatest("_lx", F.least("_hx", "x")), "_oy": F.greatest("_ly", F.least("_hy", "y"))})
-    best = Window.partitionBy(*key).orderBy("_d", "_station")
-    done, times = None, 1.0
+    # a point that needs none is done; the others meet all stations around them in the one cell that they lie in
+    none = F.lit(None).cast(f"array<struct<d:double,s:{s.schema['_station'].dataType.simpleString()}>>")
+    done, times = open_points.where("_need = 0").select(*key, none.alias("_near")), 1.0
+    open_points = open_points.where("_need > 0")
+    cell_of = [*by, "_cx", "_cy"]
     while True:
         size = F.col("_size") * times
         around = F.explode(F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))"))
+        cells = s.select(*by, "_station", "_sx", "_sy", F.floor(F.col("_sx") / size).alias("_px"), F.floor(F.col("_sy") / size).alias("_py"), around.alias("_o"))
+        cells = cells.select(*by, (F.col("_px") + F.col("_o.i")).alias("_cx"), (F.col("_py") + F.col("_o.j")).alias("_cy"), F.struct("_station", "_sx", "_sy").alias("_s"), F.pmod(F.xxhash64("_station"), F.lit(_LISTS)).alias("_list"))
+        # crowded cells have several lists of stations, so that none is long
+        crowd = cells.groupBy(*cell_of).agg(F.ceil(F.count("*") / _LISTED).alias("_lists"))
+        cells = cells.join(crowd, cell_of).groupBy(*cell_of, F.pmod("_list", "_lists").alias("_list")).agg(F.collect_list("_s").alias("_ss"))
         px, py = F.floor(F.col("_ox") / size), F.floor(F.col("_oy") / size)
-        asked = open_points.where("_need > 0").select(*key, "x", "y", px.alias("_px"), py.alias("_py"), around.alias("_o"))
-        asked = asked.select(*key, "x", "y", (F.col("_px") + F.col("_o.i")).alias("_cx"), (F.col("_py") + F.col("_o.j")).alias("_cy"))
-        cells = s.select(*by, "_station", "_sx", "_sy", F.floor(F.col("_sx") / size).alias("_cx"), F.floor(F.col("_sy") / size).alias("_cy"))
-        near = asked.join(cells, [*by, "_cx", "_cy"])
-        near = near.withColumn("_d", F.sqrt(F.pow(F.col("x") - F.col("_sx"), 2) + F.pow(F.col("y") - F.col("_sy"), 2)))
-        near = near.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
-        found = near.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("_d").alias("d"), F.col("_station").alias("s")))).alias("_near"))
+        asked = open_points.withColumns({"_cx": px, "_cy": py}).join(cells, cell_of, "left")
+        away = F.transform("_ss", lambda p: F.struct(F.sqrt(F.pow(F.col("x") - p["_sx"], 2) + F.pow(F.col("y") - p["_sy"], 2)).alias("d"), p["_station"].alias("s")))
+        asked = asked.select(*cell_of, id_, F.struct(*open_points.columns).alias("_point"), F.slice(F.sort_array(away), 1, k).alias("_best"))
+        told = asked.groupBy(*cell_of, id_).agg(F.first("_point").alias("_point"), F.flatten(F.collect_list("_best")).alias("_best"))
+        told = told.select("_point.*", F.slice(F.sort_array("_best"), 1, k).alias("_near"))
         ox, oy = F.col("_ox"), F.col("_oy")
         # stations beyond the ring are at least this far from the place where the search begins, and farther from the point itself unless that lies outside
         border = F.least(ox - (px - 1) * size, (px + 2) * size - ox, oy - (py - 1) * size, (py + 2) * size - oy)
         outside = F.sqrt(F.pow(F.col("x") - ox, 2) + F.pow(F.col("y") - oy, 2))
         reach = F.when(outside == 0, border).otherwise(F.sqrt(F.pow(border, 2) + F.pow(outside, 2)))
         covered = ((px - 1) * size <= F.col("_lx")) & ((px + 2) * size > F.col("_hx")) & ((py - 1) * size <= F.col("_ly")) & ((py + 2) * size > F.col("_hy"))
-        told = open_points.join(found, key, "left")
         enough = F.coalesce((F.size("_near") >= F.col("_need")) & (F.element_at("_near", -1)["d"] <= reach), F.lit(False))
-        told = checkpointed(told.withColumn("_final", (F.col("_need") == 0) | F.coalesce(covered, F.lit(False)) | enough))
-        ready = told.where("_final").select(*key, "_near")
-        done = ready if done is None else done.unionByName(ready)
+        told = checkpointed(told.withColumn("_final", F.coalesce(covered, F.lit(False)) | enough))
+        done = done.unionByName(told.where("_final").select(*key, "_near"))
         open_points = told.where("not _final").drop("_near", "_final")
         times *= 2
         if open_points.isEmpty():
@@ -90,6 +95,8 @@ def knn(points: DataFrame, stations: DataFrame, id_: str, station: str, k: int =
 
 #: groups that are broadcast at most; their count is checked
 _FEW_GROUPS = 10_000
+#: stations in a list of a crowded cell, on average, and lists of a cell at most
+_LISTED, _LISTS = 256, 1 << 40
 ANCHOR_YEAR = 2024
 
 
