@@ -78,13 +78,18 @@ def match_reference(segments: DataFrame, reference: DataFrame, id_: str = "uniqu
     route = F.upper(F.trim(F.coalesce("ROUTE_ID", F.lit(""))))
     own = F.when(F.length(route) >= 13, F.array(F.substring(route, 1, 13))).otherwise(F.array().cast("array<string>"))
     asked = segments.where(F.col("SYSTEM_CODE").cast("string") == "1").select(id_, round_milepoint(F.col("from_mp")).alias("_f"), round_milepoint(F.col("to_mp")).alias("_t"), F.posexplode(F.concat(own, rclink_candidates(F.col("ROUTE_ID")))).alias("_pos", "RCLINK"))
-    r = reference.where(F.length("RCLINK") > 0).withColumnsRenamed({"from_mp": "_rf", "to_mp": "_rt"})
-    shared = F.least("_t", "_rt") - F.greatest("_f", "_rf")
-    open_bound = F.col("_f").isNull() | F.col("_t").isNull() | F.col("_rf").isNull() | F.col("_rt").isNull()
-    met = asked.join(r, "RCLINK").where(open_bound | (shared > EPSILON))
-    order = F.struct("_pos", F.col("_rf").isNull(), "_rf", F.col("_rt").isNull(), "_rt", "label", "state_label")
-    best = met.groupBy(id_).agg(F.min_by(F.struct("label", "state_label", (F.col("_rf").isNotNull() & F.col("_rt").isNotNull()).alias("interval")), order).alias("_b"))
-    return best.select(id_, "_b.*")
+    asked = asked.withColumnsRenamed({"RCLINK": "_link"})
+    # equal records, and segments that ask the same, meet once
+    r = reference.where(F.length("RCLINK") > 0).groupBy("RCLINK", F.col("from_mp").alias("_rf"), F.col("to_mp").alias("_rt")).agg(F.min(F.struct("label", "state_label")).alias("_told"))
+    each = asked.select(F.col("_link").alias("RCLINK"), F.col("_f").alias("_af"), F.col("_t").alias("_at")).distinct()
+    shared = F.least("_at", "_rt") - F.greatest("_af", "_rf")
+    open_bound = F.col("_af").isNull() | F.col("_at").isNull() | F.col("_rf").isNull() | F.col("_rt").isNull()
+    met = each.join(r, "RCLINK").where(open_bound | (shared > EPSILON))
+    order = F.struct(F.col("_rf").isNull().alias("_no_rf"), "_rf", F.col("_rt").isNull().alias("_no_rt"), "_rt", "_told")
+    first = met.groupBy("RCLINK", "_af", "_at").agg(F.min(order).alias("_first"))
+    found = asked.join(first, (F.col("_link") == F.col("RCLINK")) & F.col("_f").eqNullSafe(F.col("_af")) & F.col("_t").eqNullSafe(F.col("_at")))
+    best = found.groupBy(id_).agg(F.min(F.struct("_pos", "_first")).alias("_b")).select(id_, "_b._first.*")
+    return best.select(id_, "_told.label", "_told.state_label", (~F.col("_no_rf") & ~F.col("_no_rt")).alias("interval"))
 
 
 def apply_reference(segments: DataFrame, matches: DataFrame, kind: str, id_: str = "unique_id") -> DataFrame:
