@@ -217,7 +217,8 @@ def agreement_report(df: DataFrame, names: ReportColumns = ReportColumns(), top:
     overlap and of all, medians and means of differences), top (impact of the ``top``
     largest), histogram (rows by bin), by_class (class and label) and by_system (total and
     rows by tier), statistics (rows by type), uplift (rows and pct with a value), source
-    (rows, pct). All counts come from one pass of grouping sets; medians by selection.
+    (rows, pct). All counts come from one pass of grouping sets, medians by
+    selection from a second one, which keeps the rows that disagree.
     A missing member is "-"; buckets, tiers and bins without rows are 0.
     """
     c = {f: F.col(getattr(names, f)) for f in names.__dataclass_fields__}
@@ -238,7 +239,10 @@ def agreement_report(df: DataFrame, names: ReportColumns = ReportColumns(), top:
     )
     sets = checkpointed(sets.withColumn("member", F.coalesce(*[F.col(n) for n in members])))
     total = F.broadcast(sets.where("section = ''").select(F.col("rows").alias("_all")))
-    middle = exact_quantiles(told.where("_dis"), [], {"rel": F.col("_rel"), "gap": F.col("_gap")}, {"median": 0.5})
+    # the medians and the largest differences read the rows that disagree, in the few columns they need, more than once
+    apart = df.where(disagree).select(rel.alias("_rel"), gap.alias("_gap"), c["state"], c["other"], c["miles"], c["id"])
+    apart = checkpointed(apart)
+    middle = exact_quantiles(apart, [], {"rel": F.col("_rel"), "gap": F.col("_gap")}, {"median": 0.5})
 
     def items(told_of: DataFrame, /, **values: Column) -> DataFrame:
         each = F.array(*[F.struct(F.lit(n).alias("item"), v.cast("double").alias("value")) for n, v in values.items()])
@@ -260,7 +264,7 @@ def agreement_report(df: DataFrame, names: ReportColumns = ReportColumns(), top:
     whole_gap = one.crossJoin(F.broadcast(middle)).select(F.lit("disagreement").alias("section"), F.lit("both_disagree").alias("member"), "*").drop(sets["section"]).drop(sets["member"])
     parts.append(items(uplift, rows=n, pct=pct))
     parts.append(items(whole_gap, rows=F.col("disagree"), pct_of_overlap=percent(F.col("disagree"), F.col("overlap")), pct_of_all=percent(F.col("disagree"), F.col("_all")), median_rel_pct=F.col("rel_median"), mean_rel_pct=F.col("mean_rel"), median_abs=F.col("gap_median"), mean_abs=F.col("mean_gap")))
-    largest = largest_differences(df, names.state, names.other, names.miles, names.id, top, c["agreement"])
+    largest = largest_differences(apart, names.state, names.other, names.miles, names.id, top)
     parts.append(items(largest.select(F.lit("top").alias("section"), F.col(names.id).cast("string").alias("member"), F.col("impact").alias("_impact")), impact=F.col("_impact")))
     return reduce(DataFrame.unionByName, parts)
 
