@@ -148,6 +148,82 @@ def nearest_anchor(targets: DataFrame, anchors: DataFrame, radius: float = 500.0
             return done
 
 
+def _first_rows(df: DataFrame, key: list[str], order: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows of each key."""
+    return df.withColumn("_turn", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where(F.col("_turn") <= n).drop("_turn")
+
+
+def _around_values(entries: DataFrame, asked: DataFrame) -> DataFrame:
+    """(_place, _group, _v, _near): for each asked value the anchors of the two next values below (or equal) and above.
+
+    ``entries``: _place, _group, _v and its anchors (_ids), a row a value; ``asked``: _place, _group, _v.
+    """
+    key = ["_place", "_group"]
+    order = Window.partitionBy(*key).orderBy("_v")
+    e = entries.withColumns({"_down": F.lag("_ids").over(order), "_up": F.lead("_ids").over(order)})
+    none = F.lit(None).cast(entries.schema["_ids"].dataType)
+    rows = e.withColumn("_ask", F.lit(False)).unionByName(asked.select(*key, "_v", none.alias("_ids"), none.alias("_down"), none.alias("_up"), F.lit(True).alias("_ask")))
+    # an entry comes before what asks for its value; what lies ahead is looked up in the reversed order
+    entry = F.when(~F.col("_ask"), F.struct("_ids", "_down", "_up"))
+    ways = {"_b": Window.partitionBy(*key).orderBy("_v", "_ask"), "_a": Window.partitionBy(*key).orderBy(F.col("_v").desc(), "_ask")}
+    for name, way in ways.items():
+        rows = rows.withColumn(name, F.last(entry, True).over(way.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    met = rows.where("_ask")
+    return met.select(*key, "_v", F.flatten(F.filter(F.array("_b._ids", "_b._down", "_a._ids", "_a._up"), lambda x: x.isNotNull())).alias("_near"))
+
+
+def _within_reach(targets: DataFrame, anchors: DataFrame, radius: float) -> DataFrame:
+    """(_t, n, best, next) of kinds of targets (_t: latitude, longitude, aadt, fc): anchors within the radius, the best and the score of the runner-up.
+
+    Places meet, not stations. At a place, of the anchors of the target's class, those of
+    none, and all together, the closest in value are those of the two next values on either
+    side, and where ratios are capped or missing the least ids count; so a few anchors of
+    each hold the best two, however many stations a place has.
+    """
+    degree, place = radius / 111_000.0, F.struct("latitude", "longitude")
+    # a value that is no positive number gives no ratio
+    a = anchors.select(place.alias("_place"), F.col("tc_number").alias("id"), F.when(F.col("aadt") > 0, F.col("aadt")).alias("_v"), F.col("functional_class").cast("int").alias("fc"))
+    a = checkpointed(a)
+    sizes = a.groupBy("_place").agg(F.count("*").alias("_size"))
+    g = a.withColumn("_group", F.explode(F.array(F.lit("all"), F.coalesce(F.col("fc").cast("string"), F.lit("none")))))
+    one = F.struct("id", "_v", "fc")
+    entries = _first_rows(g.where("_v is not null"), ["_place", "_group", "_v"], ["id"], 2).groupBy("_place", "_group", "_v").agg(F.collect_list(one).alias("_ids"))
+    # of three ids at most one is nearer than the cap where the cap decides
+    least = _first_rows(g.withColumn("_none", F.col("_v").isNull()), ["_place", "_group", "_none"], ["id"], 3).groupBy("_place", "_group").agg(F.collect_list(one).alias("_least"))
+
+    def celled(df: DataFrame) -> DataFrame:
+        return _lat_lon_cells(df, degree)
+
+    spots = celled(sizes.select("_place.*", "_place", "_size")).select("_cy", "_cx", "_place", "_size")
+    asked = _around(celled(targets.select("_t.latitude", "_t.longitude").distinct()))
+    d = haversine_m(F.col("latitude"), F.col("longitude"), F.col("_place.latitude"), F.col("_place.longitude"))
+    reach = checkpointed(asked.join(spots, ["_cy", "_cx"]).withColumn("_d", d).where(F.col("_d") <= radius).select(place.alias("_at"), "_place", "_size", "_d"))
+    t = targets.select("_t", F.struct("_t.latitude", "_t.longitude").alias("_at"), F.when(F.col("_t.aadt") > 0, F.col("_t.aadt")).alias("_v"), F.col("_t.fc").alias("_fc"))
+    groups = F.when(F.col("_fc").isNull(), F.array(F.lit("all"))).otherwise(F.array(F.lit("all"), F.col("_fc").cast("string"), F.lit("none")))
+    met = t.join(reach.drop("_size"), "_at").drop("_at").withColumn("_group", F.explode(groups))
+    near = _around_values(entries, met.where("_v is not null").select("_place", "_group", "_v").distinct())
+    met = met.join(near, ["_place", "_group", "_v"], "left").join(least, ["_place", "_group"], "left")
+
+    def scored(x: Column) -> Column:
+        ratio = F.when(F.col("_v").isNotNull() & x["_v"].isNotNull(), F.least(F.lit(2.0), F.abs(F.log(x["_v"] / F.col("_v")))) / 2)
+        differs = (F.col("_fc") != x["fc"]).cast("double")
+        score = 0.30 * F.col("_d") / radius + 0.35 * F.coalesce(ratio, F.lit(0.5)) + 0.35 * F.coalesce(differs, F.lit(0.5))
+        return F.struct(score.alias("_score"), x["id"].alias("a_tc"), F.col("_d"))
+
+    empty = F.array().cast(entries.schema["_ids"].dataType)
+    every = F.transform(F.concat(F.coalesce("_near", empty), F.coalesce("_least", empty)), scored)
+
+    def two(found: Column) -> Column:
+        return F.slice(F.array_distinct(found), 1, 2)
+
+    # an anchor is among a row's candidates three times at most
+    best = met.select("_t", two(F.slice(F.sort_array(every), 1, 6)).alias("_best"))
+    best = best.groupBy("_t").agg(two(F.sort_array(F.flatten(F.collect_list("_best")))).alias("_best"))
+    n = reach.groupBy("_at").agg(F.sum("_size").alias("n"))
+    told = best.withColumn("_at", F.struct("_t.latitude", "_t.longitude")).join(n, "_at")
+    return told.select("_t", "n", F.get("_best", 0).alias("best"), F.get("_best", 1)["_score"].alias("next"))
+
+
 def resolve_stations(anchor: DataFrame, target: DataFrame, radius: float = 500.0, anchor_year: int = ANCHOR_YEAR) -> DataFrame:
     """Identity of each target station (year, tc_number, latitude, longitude, aadt, functional_class) among the anchors.
 
@@ -156,27 +232,19 @@ def resolve_stations(anchor: DataFrame, target: DataFrame, radius: float = 500.0
     half log ratio + 0.35 class difference, half of a weight where a value is missing, with
     the margin to the runner-up; equal scores go to the smaller id. Without a candidate a
     station has an id of its own (tc_conflict if an anchor has its number, else
-    unresolved) and the distance to the nearest anchor. Candidates meet by grid cells at
+    unresolved) and the distance to the nearest anchor. Places meet by grid cells at
     least a radius wide. Coordinates that are no place on earth count as missing.
     """
-    degree = radius / 111_000.0
     anchor, target = _placed(anchor), _placed(target)
-    a = anchor.where("latitude is not null")
-    a = _lat_lon_cells(a.select(F.col("tc_number").alias("a_tc"), F.col("latitude").alias("a_lat"), F.col("longitude").alias("a_lon"), F.col("aadt").alias("a_aadt"), F.col("functional_class").alias("a_fc"), "latitude", "longitude"), degree).drop("latitude", "longitude")
-    t = _around(_lat_lon_cells(target.where("latitude is not null"), degree))
+    a = anchor.where("latitude is not null").select(F.col("tc_number").alias("a_tc"), F.col("latitude").alias("a_lat"), F.col("longitude").alias("a_lon"))
+    kind = F.struct("latitude", "longitude", "aadt", F.col("functional_class").cast("int").alias("fc"))
+    kinds = target.where("latitude is not null").select("year", "tc_number", "latitude", "longitude", kind.alias("_t"))
+    told = _within_reach(kinds.select("_t").distinct(), anchor.where("latitude is not null"), radius)
+    own = a.select(F.col("a_tc").alias("tc_number"), "a_lat", "a_lon")
     d = haversine_m(F.col("latitude"), F.col("longitude"), F.col("a_lat"), F.col("a_lon"))
-    near = t.join(a, ["_cy", "_cx"]).withColumn("_d", d).where(F.col("_d") <= radius)
-    ratio = F.when((F.col("aadt") > 0) & (F.col("a_aadt") > 0), F.least(F.lit(2.0), F.abs(F.log(F.col("a_aadt") / F.col("aadt")))) / 2)
-    differs = (F.col("functional_class").cast("int") != F.col("a_fc").cast("int")).cast("double")
-    score = 0.30 * F.col("_d") / radius + 0.35 * F.coalesce(ratio, F.lit(0.5)) + 0.35 * F.coalesce(differs, F.lit(0.5))
-    near = near.withColumn("_score", score).withColumn("_same", F.col("tc_number") == F.col("a_tc"))
-    best = Window.partitionBy("year", "tc_number").orderBy("_score", "a_tc")
-    told = near.withColumns({"_r": F.row_number().over(best), "_n": F.count("*").over(Window.partitionBy("year", "tc_number"))})
-    told = told.groupBy("year", "tc_number").agg(
-        F.max("_n").alias("n"), F.bool_or("_same").alias("has_own"), F.min(F.when(F.col("_same"), F.struct("_d", "a_tc"))).alias("own"),
-        F.min_by(F.struct("_score", "a_tc", "_d"), "_r").alias("best"), F.min(F.when(F.col("_r") == 2, F.col("_score"))).alias("next"),
-    )
-    everyone = target.select("year", "tc_number", "latitude", "longitude").join(told, ["year", "tc_number"], "left")
+    own = kinds.join(own, "tc_number").withColumn("_d", d).where(F.col("_d") <= radius).groupBy("year", "tc_number").agg(F.lit(True).alias("has_own"), F.min(F.struct("_d", F.col("tc_number").alias("a_tc"))).alias("own"))
+    told = kinds.select("year", "tc_number", "_t").join(told, "_t").drop("_t")
+    everyone = target.select("year", "tc_number", "latitude", "longitude").join(told, ["year", "tc_number"], "left").join(own, ["year", "tc_number"], "left")
     known = anchor.where("latitude is not null and longitude is not null").select(F.col("tc_number").alias("_known")).distinct()
     everyone = checkpointed(everyone.join(known, F.col("tc_number") == F.col("_known"), "left"))
     placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
