@@ -130,3 +130,19 @@ def test_clashing_names(spark):
     rows = sorted(tuple(r) for r in got.collect())
     assert [r[-3:] for r in rows] == [(1, 2, True), (1, 2, False), (3, 1, True)]
     assert all(r[2:-3] == tuple(range(len(names))) for r in rows)
+
+
+def test_few_edges_take_few_tasks(spark):
+    """A small graph ends in as many partitions as its edges need, not one for each shuffle partition."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40) if i % 10 != 9], "u int, v int")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "50")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = components(edges)
+        got = {(r.node, r.component) for r in found.collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == {(i, i // 10 * 10) for i in range(40)}
+    assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism

@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.bloom import maybe_in
-from waymark.llm.common import checkpointed, free_name, release
+from waymark.llm.common import checkpointed, few, free_name, release
 from waymark.llm.graph import components
 from waymark.llm.words import WordCodes, mix, shingles, weighted_jaccard
 
@@ -59,6 +59,8 @@ _GOLDEN, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _WINDOW, _FEW, _EARLY = 16, 3, 5
 #: places of the table of frequencies by which shingles are put in order, nodes of a shingle in one block, candidates of a node in the first steps
 _PLACES, _BLOCK, _FIRST = 1 << 18, 1024, (4, 64)
+#: texts, or pairs of texts, of a task
+_TEXTS = 1000
 #: places of that table that a task reports in one row
 _STRETCH = 1 << 12
 
@@ -153,7 +155,7 @@ def _alike(least: float):
         x, y = (np.frombuffer(b"".join(s), dtype=np.uint8).reshape(-1, COMPONENTS) for s in (a, b))
         return pd.Series((x == y).mean(axis=1) >= limit)
 
-    return alike
+    return alike.asNondeterministic()
 
 
 def _similarity():
@@ -172,27 +174,34 @@ def _similarity():
         for a, b in batches:
             yield pd.Series([weighted_jaccard(of(x), of(y)) for x, y in zip(a, b, strict=True)], dtype=float)
 
-    return similarity
+    return similarity.asNondeterministic()
 
 
-def _verified(pairs: DataFrame, signed: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Those of the pairs (u, v) whose texts have the similarity.
+def _verified(pairs: DataFrame, most: int, signed: DataFrame, texts: DataFrame, n_texts: int, least: float) -> DataFrame:
+    """Those of the pairs (u, v), at most ``most``, whose texts have the similarity.
 
     Each pair takes both texts along, so pairs go in slices of at most as many as there are
-    texts, and what one slice has shuffled is released before the next.
+    texts (``n_texts``), and what one slice has shuffled is released before the next.
+    Joins are merged to fewer tasks before Python compares, or a task would keep a queue for
+    each of its partitions; so that Spark leaves this order, the comparisons are marked as
+    not deterministic, though they are.
     """
     sketch = signed.select("node", "sketch")
-    rows = pairs.distinct().join(sketch.toDF("u", "sketch_u"), "u").join(sketch.toDF("v", "sketch_v"), "v")
+    rows = few(few(pairs.distinct(), most).join(sketch.toDF("u", "sketch_u"), "u"), most)
+    rows = few(rows.join(sketch.toDF("v", "sketch_v"), "v"), most)
     rows = checkpointed(rows.where(_alike(least)(F.col("sketch_u"), F.col("sketch_v"))).select("u", "v"))
-    slices = 1 + rows.count() // max(1, texts.count())
+    n = rows.count()
+    rows = few(rows, n)
+    slices = 1 + n // max(1, n_texts)
     found = None
     for i in range(slices):
         part = rows.where(F.pmod(F.xxhash64(F.lit("slice"), "u", "v"), F.lit(slices)) == i)
-        part = part.join(texts.toDF("u", "text_u"), "u").join(texts.toDF("v", "text_v"), "v")
+        part = few(part.join(texts.toDF("u", "text_u"), "u"), n // slices, _TEXTS)
+        part = few(part.join(texts.toDF("v", "text_v"), "v"), n // slices, _TEXTS)
         alike = checkpointed(part.where(_similarity()(F.col("text_u"), F.col("text_v")) >= least - 1e-12).select("u", "v"))
         found = alike if found is None else found.unionByName(alike)
         release(pairs.sparkSession)
-    return found
+    return few(found, n)
 
 
 def _window_pairs(members: DataFrame) -> DataFrame:
@@ -260,11 +269,12 @@ def _prefixes(texts: DataFrame, least: float) -> DataFrame:
 
 def _prefix_pairs(prefixes: DataFrame, found: DataFrame, least: float) -> DataFrame:
     """All pairs (u, v) of nodes in different components whose prefixes allow the similarity."""
-    rows = prefixes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    each = rows.groupBy("element", "component").agg(F.count("*").alias("n"))
+    n = prefixes.count()
+    rows = few(few(prefixes, n).join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), n)
+    each = few(rows.groupBy("element", "component").agg(F.count("*").alias("n")), n)
     each = each.groupBy("element").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max_by("component", F.struct("n", "component")).alias("main"))
     rows = rows.join(each.where("parts > 1").drop("parts"), "element")
-    rows = checkpointed(rows.withColumn("blocks", F.ceil(F.col("n") / _BLOCK).cast("int")))
+    rows = checkpointed(few(rows.withColumn("blocks", F.ceil(F.col("n") / _BLOCK).cast("int")), n))
     side = rows.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")).cast("int"))
     side = side.select("element", "block", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("size").alias("size_v"), F.col("at").alias("at_v"), (F.col("component") == F.col("main")).alias("main_v"))
     own = rows.where("component <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -279,34 +289,42 @@ def _prefix_pairs(prefixes: DataFrame, found: DataFrame, least: float) -> DataFr
 def near_duplicate_links(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """(node, component): distinct texts, by md5, that are linked to others; a component is called by its least node."""
     signed = checkpointed(_signed(docs))
+    signed = few(signed, signed.count())
     members = signed.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.struct("band", "value").alias("key"))
     shared = members.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
     members = checkpointed(members.join(shared, "key"))
+    n = members.count()
+    members = few(members, n)
     able = members.select("node").distinct()
     texts = docs.where("text is not null").select(_node().alias("node"), "text")
     texts = texts.where(maybe_in(F.col("node"), able)).join(able, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     texts = checkpointed(texts)
+    n_texts = texts.count()
+    texts = few(texts, n_texts, _TEXTS)
+
+    def verified(pairs: DataFrame, most: int) -> DataFrame:
+        return _verified(pairs, most, signed, texts, n_texts, similarity)
 
     def mixed(members: DataFrame, found: DataFrame) -> DataFrame:
         """Members of those buckets that hold different components."""
-        rows = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        rows = few(members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), n)
         across = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
-        return checkpointed(rows.join(across, "key", "left_semi"))
+        return checkpointed(few(rows.join(across, "key", "left_semi"), n))
 
-    def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-        """Pairs (u, v) of nodes in different components."""
+    def apart(pairs: DataFrame, found: DataFrame, most: int) -> DataFrame:
+        """Pairs (u, v), at most ``most``, of nodes in different components."""
         for x in "uv":
-            pairs = pairs.join(found.toDF(x, f"c{x}"), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+            pairs = few(pairs.join(found.toDF(x, f"c{x}"), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x)), most)
         return pairs.where("cu <> cv").drop("cu", "cv")
 
     # the stars of a few bands link most of what is alike, so that the others bring little more to verify
     stars = members.where("node <> least").select(F.col("key.band").alias("band"), F.col("node").alias("u"), F.col("least").alias("v"))
-    links = _verified(stars.where(F.col("band") < _EARLY).select("u", "v"), signed, texts, similarity)
-    rest = apart(stars.where(F.col("band") >= _EARLY).select("u", "v").distinct(), components(links))
-    links = links.unionByName(_verified(rest, signed, texts, similarity))
+    links = verified(stars.where(F.col("band") < _EARLY).select("u", "v"), n)
+    rest = apart(few(stars.where(F.col("band") >= _EARLY).select("u", "v").distinct(), n), components(links), n)
+    links = links.unionByName(verified(rest, n))
     members = mixed(members, components(links))
     more = _window_pairs(members).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    links = links.unionByName(_verified(more, signed, texts, similarity))
+    links = links.unionByName(verified(more, _WINDOW * n))
     found = components(links)
     wide = members.where(F.col("n") > _WINDOW + 1).drop("component")
     if wide.isEmpty():
@@ -314,17 +332,19 @@ def near_duplicate_links(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     nodes = mixed(wide, found).select("node").distinct()
     prefixes = checkpointed(_prefixes(texts.join(nodes, "node", "left_semi"), similarity))
     pairs = checkpointed(_prefix_pairs(prefixes, found, similarity))
-    if pairs.isEmpty():
+    n_pairs = pairs.count()
+    if not n_pairs:
         return found
     # a few candidates for each node first, then more and in the end all of those that still lie apart
-    pairs = checkpointed(pairs.select("u", "v", F.row_number().over(Window.partitionBy("u").orderBy(F.xxhash64("u", "v"))).alias("turn")))
+    pairs = few(pairs, n_pairs).select("u", "v", F.row_number().over(Window.partitionBy("u").orderBy(F.xxhash64("u", "v"))).alias("turn"))
+    pairs = few(checkpointed(pairs), n_pairs)
     done = 0
     for most in (*_FIRST, None):
-        pairs = checkpointed(apart(pairs.where(F.col("turn") > done), found).select("u", "v", "turn"))
+        pairs = checkpointed(apart(pairs.where(F.col("turn") > done), found, n_pairs).select("u", "v", "turn"))
         if pairs.isEmpty():
             break
         part = pairs if most is None else pairs.where(F.col("turn") <= most)
-        links = links.unionByName(_verified(part.select("u", "v"), signed, texts, similarity))
+        links = links.unionByName(verified(part.select("u", "v"), n_pairs))
         found, done = components(links), most
     return found
 
