@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from waymark.operators import corridors as C
@@ -83,3 +85,18 @@ def test_filters_after_the_match(spark):
     rules = spark.createDataFrame([("Main", "SR-2", "Y"), ("Main", "SR-1", "X")], "corridor string, HWY_NAME string, COUNTY_NAME string")
     got = {r.id: (r.corridors, r.method) for r in C.forced_flags(m.where("id = 'a'"), s, "id", c, rules).collect()}
     assert got == {"a": (["Main"], "spatial"), "c": (["Main"], "concurrent_forced")}
+
+
+def test_samples_among_many_lines(spark):
+    """Samples in a cell that a line passes are near without a comparison, and those beside such cells are compared."""
+    line = "array<struct<x:double,y:double>>"
+    rows = [(i, "a", [(i % 90 * 10.0, i % 7 * 30.0), (i % 90 * 10.0 + 50, i % 7 * 30.0 + i % 3 * 20)]) for i in range(400)]
+    others = [("a" if i % 5 else "b", [(i * 37.0 % 700, i * 11.0 % 160), (i * 37.0 % 700 + i % 4 * 25, i * 11.0 % 160 + i % 2 * 9)]) for i in range(60)]
+    s, o = spark.createDataFrame(rows, f"id int, corridor string, line {line}"), spark.createDataFrame(others, f"corridor string, line {line}")
+    plain, dense = ({(r.id, r.near) for r in C.near_share(s, ["id", "corridor"], o, ["corridor"], 25.0, dense=d).collect()} for d in (False, True))
+    assert plain == dense and 0 < len(plain) < 400
+    # side by side, 40,000 lines are passed cells; each with each would be billions of pairs
+    many = spark.range(40_000).select(F.col("id"), F.lit("a").alias("corridor"), F.expr("array(struct(double(id % 50) as x, double(id % 11) as y), struct(double(id % 50 + 60) as x, double(id % 11) as y))").alias("line"))
+    began = time.time()
+    assert {r.near for r in C.near_share(many, ["id", "corridor"], many.select("corridor", "line"), ["corridor"], 25.0, dense=True).collect()} == {1.0}
+    assert time.time() - began < 60
