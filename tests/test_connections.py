@@ -51,3 +51,22 @@ def test_repeated_places_are_counted_without_their_pairs(spark):
     assert spatial.buffer_counts(lines, "id", objects, 8000.0, ["port"]).groupBy("total").count().collect() == [(n, n)]
     assert spatial.degrees_of_connection(lines, "id", "name").groupBy("connections").count().collect() == [(4, n)]
     assert time.time() - began < 90  # 9e8 pairs each take far longer
+
+
+def test_lines_are_never_broadcast(spark):
+    """The planner takes an exploded row for one, and would send the cells of all lines to the driver."""
+    lines = spark.range(2000).select("id", _line((F.col("id"), 0.5), (F.col("id") + 300, 0.5)).alias("line"))
+    sites = spark.range(4000).select(F.col("id").alias("site"), F.lit("x").alias("more"), _line((F.col("id"), 8.5)).alias("line")).where("site % 1000 = 3")
+    near = spatial.within_distance(lines, "id", sites, "site", 100.0)
+    assert "BuildLeft" not in near._jdf.queryExecution().executedPlan().toString()
+    assert near.groupBy("site").count().count() == 3
+    counted = spatial.buffer_counts(lines, "id", sites.select(F.lit("port").alias("layer"), F.col("site").alias("object_id"), "line"), 100.0, ["port"])
+    assert "BuildLeft" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert counted.agg(F.sum("port")).first()[0] == near.count()
+
+
+def test_names_of_sites_at_the_same_place(spark):
+    lines = _rows(spark, [(1, "SR", [(0, 0), (9, 0)]), (2, "CR", [(0, 0), (9, 0)]), (3, None, [(500, 0), (509, 0)])], "id int, ROUTE_TYPE_GDOT string")
+    sites = _rows(spark, [("b", [(4, 5)]), ("a", [(4, 5)]), ("b", [(4, 5)]), ("c", [(6, 5)]), ("a", [(6, 5)])], "plant string")
+    got = {r.id: (r.IS_NUCLEAR_EPZ_ROUTE, r.NUCLEAR_EPZ_PLANT) for r in spatial.zone_flag(lines, "id", sites, "plant", 6.0).collect()}
+    assert got == {1: (True, "a; b; c"), 2: (False, None), 3: (False, None)}
