@@ -1,6 +1,9 @@
+import random
+
 from pyspark.sql import functions as F
 
 from waymark.operators import intervals
+from waymark.plans import network
 
 
 def test_equal_intervals_meet_once(spark):
@@ -32,3 +35,38 @@ def test_yearly_values_of_segments_that_share_an_id(spark):
     history = spark.createDataFrame([("a", 0.0, 5.0, 2020, 1), ("a", 5.0, 9.0, 2020, 2), ("a", 4.0, 9.0, 2022, 3)], "route string, from_mp double, to_mp double, year int, v int")
     got = sorted(((r.id, r.from_mp, r.AADT_2020_HPMS, r.AADT_2022_HPMS) for r in intervals.yearly_values(segments, history, "route", "id", "v", [2020, 2022]).collect()), key=repr)
     assert got == [("x", 0.0, 1, 3), ("x", 5.0, 2, 3), ("y", None, None, None)]
+
+
+def _dealt_sides(spark, routes, n, seed):
+    draw = random.Random(seed)
+
+    def bound(a):
+        return None if draw.random() < 0.05 else a
+
+    def row(i):
+        a = draw.randrange(0, 80) / 2
+        return i, None if draw.random() < 0.05 else f"r{draw.randrange(routes)}", bound(a), bound(a + draw.randrange(0, 80) / 2)
+
+    left = spark.createDataFrame([row(i) for i in range(n)], "id int, route string, from_mp double, to_mp double")
+    right = spark.createDataFrame([(*row(i)[1:], draw.choice([None, i % 5]), 2020 + i % 3) for i in range(n)], "route string, from_mp double, to_mp double, v int, year int")
+    return left.repartition(5, "route"), right.repartition(5, "route")
+
+
+def test_rows_compared_with_the_list_of_their_route(spark, monkeypatch):
+    left, right = _dealt_sides(spark, 9, 400, 7)
+    for few in (256, 40):  # some routes are longer than 40 rows, so the second time they meet by bins
+        monkeypatch.setattr(intervals, "FEW", few)
+        for strict in (True, False):
+            apart, together = (intervals.best_overlap(left, right, "route", ["v", "year"], min_overlap=2.0, strict=strict, together=x) for x in (False, True))
+            assert apart.columns == together.columns and sorted(map(repr, apart.collect())) == sorted(map(repr, together.collect()))
+        apart, together = (intervals.yearly_values(left, right, "route", "id", "v", [2020, 2022], together=x) for x in (False, True))
+        assert apart.columns == together.columns and sorted(map(repr, apart.collect())) == sorted(map(repr, together.collect()))
+        apart, together = (intervals.fill_from_overlap(left.withColumn("a", F.lit(None).cast("int")), right, "route", {"a": "v"}, together=x) for x in (False, True))
+        assert sorted(map(repr, apart.collect())) == sorted(map(repr, together.collect()))
+
+
+def test_routes_that_are_dealt_are_not_shuffled_again(spark):
+    """One shuffle of the table for the segments and one for the records; nothing else."""
+    d = "/root/testdata/sf0.001"
+    plan = network._compared(spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("REPARTITION_BY_COL") == 2

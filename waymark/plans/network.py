@@ -294,7 +294,7 @@ SELECT unique_id, round_even(0.0 + 0.25 * ((HPMS_AADT - a) / (z - a)) + 0.25 * (
 def _compared(spark: SparkSession, d: str) -> DataFrame:
     """Segments with both sources, agreement and tier; every 50th state value is 0."""
     s = segments(spark, d).withColumn("state", F.when(F.col("HPMS_AADT") % 50 == 0, F.lit(0)).otherwise(F.col("AADT"))).drop("HPMS_AADT", "AADT")
-    s = intervals.best_overlap(s, reference(spark, d), "ROUTE_ID", ["ref_seq", "ref_aadt"])
+    s = intervals.best_overlap(s, reference(spark, d), "ROUTE_ID", ["ref_seq", "ref_aadt"], together=True)
     s = s.withColumns({"agreement": R.source_agreement(F.col("state"), F.col("ref_aadt")), "source": F.when(F.col("state").isNotNull(), "official_exact").when(F.col("ref_aadt").isNotNull(), "hpms"), "statistics": F.when(F.col("state").isNotNull(), F.when(F.col("FUNCTIONAL_CLASS") % 2 == 0, "Actual").otherwise("Estimated"))})
     tier = R.confidence_tier(F.col("agreement"), F.coalesce("source", F.lit("missing")), F.col("statistics"))
     return s.withColumns({"tier": tier, "value": F.coalesce("state", "ref_aadt"), "label": F.when(F.col("FUNCTIONAL_CLASS") != 3, F.concat(F.lit("Class "), F.col("FUNCTIONAL_CLASS").cast("string")))})
