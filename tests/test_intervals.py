@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from waymark.operators import intervals
-from waymark.plans import network
+from waymark.plans import network, references
 
 
 def test_equal_intervals_meet_once(spark):
@@ -66,7 +66,9 @@ def test_rows_compared_with_the_list_of_their_route(spark, monkeypatch):
 
 
 def test_routes_that_are_dealt_are_not_shuffled_again(spark):
-    """One shuffle of the table for the segments and one for the records; nothing else."""
+    """One shuffle of the table for the segments, and two (alike, so one is read twice) for the records; nothing else."""
     d = "/root/testdata/sf0.001"
+    plan = references.history(spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("REPARTITION_BY_COL") == 3
     plan = network._compared(spark, d)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == plan.count("REPARTITION_BY_COL") == 2

@@ -90,8 +90,8 @@ def history(spark: SparkSession, d: str) -> DataFrame:
     """Values of three years, and two null columns filled, by overlap."""
     s, r = segments(spark, d), reference(spark, d)
     years = r.withColumn("year", F.explode(F.array(*map(F.lit, (2020, 2022, 2030))))).where("(ref_seq + year) % 3 <> 0").withColumn("v", F.col("ref_aadt") + F.col("year"))
-    told = intervals.yearly_values(s, years, "ROUTE_ID", "unique_id", "v", [2020, 2022])
-    told = intervals.fill_from_overlap(told.withColumns({"a": F.when(F.col("seq") % 2 == 0, F.col("AADT")), "b": F.lit(None).cast("bigint")}), r, "ROUTE_ID", {"a": "ref_aadt", "b": "ref_seq"})
+    told = intervals.yearly_values(s, years, "ROUTE_ID", "unique_id", "v", [2020, 2022], together=True)
+    told = intervals.fill_from_overlap(told.withColumns({"a": F.when(F.col("seq") % 2 == 0, F.col("AADT")), "b": F.lit(None).cast("bigint")}), r, "ROUTE_ID", {"a": "ref_aadt", "b": "ref_seq"}, together=True)
     return told.select("unique_id", "AADT_2020_HPMS", "AADT_2022_HPMS", "a", "b")
 
 
